@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import new_scratch
 from ..sources.star import build_star
+from . import dimensions as D
+from . import fact as FT
+from . import ingest as I
+from . import quality as QC
 from . import queries as Q
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -39,9 +44,55 @@ OLAP: dict[str, Runner] = {
 }
 
 
+def _scratch(fn, name: str) -> Runner:
+    """A job that writes: it gets a fresh folder below the shared checkpoint dir."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(build_star(spark, sf_dir), new_scratch(spark, name))
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.calendar_parts(build_star(spark, sf_dir).t.events)
+
+
+def _rows_by_key(star):
+    from ..streaming.buffer import rows_by_key
+    return rows_by_key(star.customer_dim.select("product_id", "customer_id"))
+
+
+LOAD: dict[str, Runner] = {
+    "clean_price": _star(I.clean_price_rows),
+    "parse_order_date": _star(I.parse_order_date_rows),
+    "reject_bad_dates": _star(I.reject_bad_dates),
+    "calendar_parts": _calendar,
+    "dim_time": _star(I.dim_time),
+    "dim_supplier": _star(D.dim_supplier),
+    "dim_product": _star(D.dim_product),
+    "dim_store": _star(D.dim_store),
+    "dim_customer": _star(D.dim_customer),
+    "dim_conflicts": _star(D.dim_conflicts),
+    "dim_incremental_anti": _star(D.dim_incremental_anti),
+    "surrogate_key": _star(D.surrogate_key),
+    "check_primary_key": _star(QC.check_primary_key),
+    "check_foreign_key": _star(QC.check_foreign_key),
+    "check_lengths": _star(QC.check_lengths),
+    "load_audit_counts": _star(QC.load_audit_counts),
+    "csv_roundtrip_scan": _scratch(I.csv_roundtrip_scan, "csv_roundtrip"),
+    "lookup_time_first": _star(FT.lookup_time_first),
+    "lookup_store_first": _star(FT.lookup_store_first),
+    "fact_load_compat": _star(FT.fact_load_compat),
+    "fact_load_line": _star(FT.fact_load_line),
+    "fact_readback_semi": _scratch(FT.fact_readback_semi, "fact_readback"),
+    "stream_rows_by_key": _star(_rows_by_key),
+}
+
+
 def all_queries() -> dict[str, Runner]:
     out: dict[str, Runner] = {}
     out.update(OLAP)
+    out.update(LOAD)
     return out
 
 

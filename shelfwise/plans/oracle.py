@@ -58,6 +58,24 @@ customer_dim AS (
 ),
 time_dim AS (
   SELECT row_number() OVER (ORDER BY {ORDER_BY_LINE}) AS time_id, * FROM lines
+),
+raw_txn AS (
+  SELECT l.*, c.c_name AS customer_name, c.c_mktsegment AS gender,
+         CASE WHEN l.order_id % {params.RAW_DATE_HEADER_EVERY} = 0 THEN 'Order Date'
+              WHEN l.order_id % {params.RAW_DATE_EMPTY_EVERY} = 0 THEN ''
+              ELSE strftime(l.order_date, '%-m/%-d/%y %H:%M') END AS order_date_text
+  FROM lines l JOIN customer c ON c.c_custkey = l.customer_id
+),
+parsed_txn AS (
+  SELECT *, try_strptime(order_date_text, '%m/%d/%y %H:%M') AS order_ts FROM raw_txn
+),
+master AS (
+  SELECT p.product_id AS row_ord, p.product_id, p.product_name, p.price, p.supplier_id,
+         CASE WHEN p.product_id % {params.CONFLICT_PART_EVERY} = 0
+              THEN s.supplier_name || ' Ltd' ELSE s.supplier_name END AS supplier_name,
+         ps.store_id, ps.store_name
+  FROM product p JOIN supplier_d s ON p.supplier_id = s.supplier_id
+  JOIN product_store ps ON ps.product_id = p.product_id
 )
 """
 
@@ -218,3 +236,159 @@ QUERIES["q10_entity_month_mv_line"] = STAR + "(" + _Q10_STORE.format(stores="pro
   FROM lines t JOIN product p ON t.product_id = p.product_id
   GROUP BY t.customer_id, t.month
 )"""
+
+
+# ---- ingest -------------------------------------------------------------
+
+QUERIES["clean_price"] = STAR + """
+SELECT product_id, price FROM master
+"""
+
+QUERIES["parse_order_date"] = STAR + """
+SELECT order_id, line_number, product_id, order_date_text, order_ts FROM parsed_txn
+"""
+
+QUERIES["reject_bad_dates"] = STAR + """
+SELECT order_id, line_number, product_id, order_date_text,
+       CASE WHEN trim(order_date_text) = '' THEN 'empty order date'
+            ELSE 'unparsable order date' END AS reason
+FROM parsed_txn WHERE order_ts IS NULL
+"""
+
+QUERIES["calendar_parts"] = """
+SELECT event_id,
+       CAST(hour(ts) AS INTEGER) AS hour, CAST(minute(ts) AS INTEGER) AS minute,
+       CAST(day(ts) AS INTEGER) AS day, CAST(month(ts) AS INTEGER) AS month,
+       CAST(year(ts) AS INTEGER) AS year, CAST(quarter(ts) AS INTEGER) AS quarter,
+       CAST(dayofweek(ts) + 1 AS INTEGER) AS day_of_week
+FROM events
+"""
+
+QUERIES["dim_time"] = STAR + f"""
+SELECT row_number() OVER (ORDER BY {ORDER_BY_LINE}) AS time_id, order_id,
+       order_ts AS order_date,
+       CAST(hour(order_ts) AS INTEGER) AS hour, CAST(minute(order_ts) AS INTEGER) AS minute,
+       CAST(day(order_ts) AS INTEGER) AS day, CAST(year(order_ts) AS INTEGER) AS year,
+       CAST(quarter(order_ts) AS INTEGER) AS quarter, CAST(month(order_ts) AS INTEGER) AS month,
+       qty, product_id, customer_id
+FROM parsed_txn WHERE order_ts IS NOT NULL
+"""
+
+# ---- dimensions ---------------------------------------------------------
+
+def _first(src: str, key: str, cols: str, order: str) -> str:
+    return STAR + f"""
+SELECT {key}, {cols} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {src}
+) WHERE rn = 1
+"""
+
+
+QUERIES["dim_supplier"] = _first("master", "supplier_id", "supplier_name", "row_ord")
+QUERIES["dim_product"] = _first("master", "product_id",
+                                "product_name, supplier_id, price", "row_ord")
+QUERIES["dim_store"] = _first("master", "store_id", "store_name, product_id", "row_ord")
+QUERIES["dim_customer"] = _first("parsed_txn", "customer_id",
+                                 "customer_name, gender, product_id", ORDER_BY_LINE)
+
+QUERIES["dim_conflicts"] = STAR + """
+SELECT supplier_id, CAST(count(DISTINCT supplier_name) AS BIGINT) AS n_values
+FROM master GROUP BY supplier_id HAVING count(DISTINCT supplier_name) > 1
+"""
+
+QUERIES["dim_incremental_anti"] = STAR + f"""
+SELECT c.customer_id, c.customer_name, c.segment, c.product_id
+FROM customer_dim c
+WHERE NOT EXISTS (SELECT 1 FROM customer_dim s
+                  WHERE s.customer_id % {params.STORED_CUSTOMER_EVERY} = 0
+                    AND s.customer_id = c.customer_id)
+"""
+
+QUERIES["surrogate_key"] = STAR + f"""
+SELECT time_id, {ORDER_BY_LINE} FROM time_dim
+"""
+
+# ---- quality ------------------------------------------------------------
+
+QUERIES["check_primary_key"] = """
+SELECT l_orderkey AS order_id, l_linenumber AS line_number, count(*) AS n_rows
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+"""
+
+QUERIES["check_foreign_key"] = STAR + f"""
+SELECT order_id, line_number, product_id, customer_id FROM lines l
+WHERE NOT EXISTS (SELECT 1 FROM customer c
+                  WHERE c.c_custkey % {params.FK_CUSTOMER_DROP_EVERY} <> 0
+                    AND c.c_custkey = l.customer_id)
+"""
+
+QUERIES["check_lengths"] = f"""
+SELECT c_custkey AS customer_id, 'segment' AS column_name, c_mktsegment AS value,
+       CAST(length(c_mktsegment) AS INTEGER) AS length, {params.SEGMENT_MAX_LEN} AS max_length
+FROM customer WHERE length(c_mktsegment) > {params.SEGMENT_MAX_LEN}
+"""
+
+QUERIES["load_audit_counts"] = STAR + """
+SELECT table_name, attempted, loaded, rejected,
+       greatest(attempted - loaded - rejected, 0) AS repeated FROM (
+  SELECT 'supplier' AS table_name, count(*) AS attempted,
+         count(DISTINCT supplier_id) AS loaded, count(*) FILTER (WHERE supplier_id IS NULL) AS rejected
+  FROM master
+  UNION ALL
+  SELECT 'product', count(*), count(DISTINCT product_id),
+         count(*) FILTER (WHERE product_id IS NULL) FROM master
+  UNION ALL
+  SELECT 'store', count(*), count(DISTINCT store_id),
+         count(*) FILTER (WHERE store_id IS NULL) FROM master
+  UNION ALL
+  SELECT 'customer', count(*), count(DISTINCT customer_id),
+         count(*) FILTER (WHERE customer_id IS NULL) FROM parsed_txn
+  UNION ALL
+  SELECT 'time', count(*), count(*) FILTER (WHERE order_ts IS NOT NULL),
+         count(*) FILTER (WHERE order_ts IS NULL) FROM parsed_txn
+)
+"""
+
+QUERIES["csv_roundtrip_scan"] = """
+SELECT s_suppkey AS supplier_id, s_name || ', "Intl" Co.' AS supplier_name FROM supplier
+"""
+
+# ---- fact and lookups ---------------------------------------------------
+
+_FIRST_TIME = "(SELECT product_id, min(time_id) AS time_id FROM time_dim GROUP BY product_id)"
+_FIRST_STORE = "(SELECT product_id, min(store_id) AS store_id FROM store_dim GROUP BY product_id)"
+
+QUERIES["lookup_time_first"] = STAR + f"""
+SELECT c.customer_id, c.product_id, COALESCE(ft.time_id, 0) AS time_id
+FROM customer_dim c LEFT JOIN {_FIRST_TIME} ft ON ft.product_id = c.product_id
+"""
+
+QUERIES["lookup_store_first"] = STAR + f"""
+SELECT c.customer_id, c.product_id, COALESCE(fs.store_id, 0) AS store_id
+FROM customer_dim c LEFT JOIN {_FIRST_STORE} fs ON fs.product_id = c.product_id
+"""
+
+FACT_COMPAT = STAR + f"""
+SELECT c.product_id, c.customer_id, ft.time_id, COALESCE(fs.store_id, 0) AS store_id,
+       CAST(td.qty * p.price AS DECIMAL(10,2)) AS total_sale
+FROM customer_dim c
+JOIN {_FIRST_TIME} ft ON ft.product_id = c.product_id
+JOIN time_dim td ON td.time_id = ft.time_id
+JOIN product p ON p.product_id = c.product_id
+LEFT JOIN {_FIRST_STORE} fs ON fs.product_id = c.product_id
+"""
+QUERIES["fact_load_compat"] = FACT_COMPAT
+QUERIES["fact_readback_semi"] = FACT_COMPAT
+
+QUERIES["fact_load_line"] = STAR + """
+SELECT td.product_id, td.customer_id, td.time_id, COALESCE(ps.store_id, 0) AS store_id,
+       CAST(td.qty * p.price AS DECIMAL(10,2)) AS total_sale
+FROM time_dim td JOIN product p ON p.product_id = td.product_id
+LEFT JOIN product_store ps ON ps.product_id = td.product_id
+"""
+
+QUERIES["stream_rows_by_key"] = STAR + """
+SELECT product_id, count(*) AS n_entries, min(customer_id) AS first_customer_id,
+       max(customer_id) AS last_customer_id
+FROM customer_dim GROUP BY product_id
+"""
