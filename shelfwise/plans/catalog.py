@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import new_scratch
 from ..sources.star import build_star
+from ..streaming import jobs as S
+from . import aggregates as A
 from . import dimensions as D
 from . import fact as FT
 from . import ingest as I
@@ -57,11 +59,6 @@ def _calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.calendar_parts(build_star(spark, sf_dir).t.events)
 
 
-def _rows_by_key(star):
-    from ..streaming.buffer import rows_by_key
-    return rows_by_key(star.customer_dim.select("product_id", "customer_id"))
-
-
 LOAD: dict[str, Runner] = {
     "clean_price": _star(I.clean_price_rows),
     "parse_order_date": _star(I.parse_order_date_rows),
@@ -85,7 +82,17 @@ LOAD: dict[str, Runner] = {
     "fact_load_compat": _star(FT.fact_load_compat),
     "fact_load_line": _star(FT.fact_load_line),
     "fact_readback_semi": _scratch(FT.fact_readback_semi, "fact_readback"),
-    "stream_rows_by_key": _star(_rows_by_key),
+    "mv_refresh_full": _scratch(A.mv_refresh_full, "mv_full"),
+    "mv_refresh_incremental": _scratch(A.mv_refresh_incremental, "mv_incremental"),
+}
+
+STREAM: dict[str, Runner] = {
+    "stream_microbatch_ingest": _scratch(S.stream_microbatch_ingest, "stream_ingest"),
+    "stream_enrich_fact": _scratch(S.stream_enrich_fact, "stream_enrich"),
+    "stream_dim_incremental": _scratch(S.stream_dim_incremental, "stream_dim"),
+    "stream_mv_refresh": _scratch(S.stream_mv_refresh, "stream_mv"),
+    "stream_rows_by_key": _scratch(S.stream_rows_by_key, "stream_rows_by_key"),
+    "stream_rate_report": _scratch(S.stream_rate_report, "stream_rate"),
 }
 
 
@@ -93,6 +100,7 @@ def all_queries() -> dict[str, Runner]:
     out: dict[str, Runner] = {}
     out.update(OLAP)
     out.update(LOAD)
+    out.update(STREAM)
     return out
 
 

@@ -392,3 +392,16 @@ SELECT product_id, count(*) AS n_entries, min(customer_id) AS first_customer_id,
        max(customer_id) AS last_customer_id
 FROM customer_dim GROUP BY product_id
 """
+
+# ---- aggregate tables and streams (the oracle is the batch statement) ----
+
+QUERIES["mv_refresh_full"] = SUPPLIER_MONTH
+QUERIES["mv_refresh_incremental"] = SUPPLIER_MONTH
+QUERIES["stream_mv_refresh"] = SUPPLIER_MONTH
+QUERIES["stream_enrich_fact"] = QUERIES["fact_load_line"]
+QUERIES["stream_dim_incremental"] = QUERIES["dim_customer"]
+
+QUERIES["stream_microbatch_ingest"] = STAR + """
+SELECT order_id, line_number, product_id, customer_id, qty, order_ts AS order_date
+FROM parsed_txn WHERE order_ts IS NOT NULL
+"""
