@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import MONEY
 
@@ -68,11 +69,14 @@ def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str,
               values: Sequence, measure: str, names: Sequence[str],
               total: str | None = None) -> DataFrame:
     """Values of ``pivot_col`` as columns: conditional sums (0, never NULL,
-    for a missing cell), plus an optional row total, in one aggregate."""
+    for a missing cell), plus an optional row total, in one aggregate.
+    Whole-number measures come out as BIGINT, decimal ones as money."""
+    is_decimal = isinstance(df.schema[measure].dataType, T.DecimalType)
+    out_type = MONEY if is_decimal else T.LongType()
     aggs = [F.sum(F.when(F.col(pivot_col) == v, F.col(measure)).otherwise(F.lit(0)))
-            .cast("bigint").alias(n) for v, n in zip(values, names)]
+            .cast(out_type).alias(n) for v, n in zip(values, names)]
     if total:
-        aggs.append(F.sum(measure).cast("bigint").alias(total))
+        aggs.append(F.sum(measure).cast(out_type).alias(total))
     return df.groupBy(*keys).agg(*aggs)
 
 
