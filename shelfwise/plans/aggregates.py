@@ -108,7 +108,7 @@ class AggregateTable:
 def mv_refresh_full(star, root: str) -> DataFrame:
     """Q8's table refreshed twice (the second run switches the pointer), read."""
     from .queries import q8_supplier_month_mv
-    t = AggregateTable(star.t.spark, root, ["supplier_id", "supplier_name", "month"],
+    t = AggregateTable(star.spark, root, ["supplier_id", "supplier_name", "month"],
                        ["monthly_sales"])
     t.refresh_full(q8_supplier_month_mv(star))
     t.refresh_full(q8_supplier_month_mv(star))
@@ -121,7 +121,7 @@ SLICE_BOUNDS = ("1997-01-01", "1999-01-01")
 
 def order_slices(star) -> list[DataFrame]:
     lo, hi = (F.lit(b + " 00:00:00").cast("timestamp_ntz") for b in SLICE_BOUNDS)
-    d = F.col("o_orderdate")
+    d = F.col("order_date")
     return [star.lines_filtered(d < lo),
             star.lines_filtered((d >= lo) & (d < hi)),
             star.lines_filtered(d >= hi)]
@@ -131,7 +131,7 @@ def mv_refresh_incremental(star, root: str) -> DataFrame:
     """Q8's table built from three slices of order lines as three batches,
     with a compaction after the second; read back regrouped."""
     from .queries import supplier_month
-    t = AggregateTable(star.t.spark, root, ["supplier_id", "supplier_name", "month"],
+    t = AggregateTable(star.spark, root, ["supplier_id", "supplier_name", "month"],
                        ["monthly_sales"])
     for i, lines in enumerate(order_slices(star)):
         t.apply_batch(supplier_month(lines, star), i)

@@ -100,5 +100,5 @@ def fact_readback_semi(star: Star, path: str) -> DataFrame:
     the batch just written (the reference's SELECT after each INSERT)."""
     fact = fact_load_compat(star)
     write_fact(fact, path)
-    stored = star.t.spark.read.parquet(path)
+    stored = star.spark.read.parquet(path)
     return read_back(stored, fact, FACT_KEYS)

@@ -120,4 +120,4 @@ def csv_roundtrip_scan(star: Star, path: str) -> DataFrame:
     from ..schemas import SUPPLIER_CSV
     from ..sources.csv import good_rows, read_csv, write_csv
     write_csv(csv_suppliers(star), path)
-    return good_rows(read_csv(star.t.spark, path, SUPPLIER_CSV))
+    return good_rows(read_csv(star.spark, path, SUPPLIER_CSV))

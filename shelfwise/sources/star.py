@@ -39,12 +39,32 @@ def year_range(col: str | Column, year: int) -> Column:
 
 @dataclass
 class Star:
+    """Star views computed from the driver's raw tables on every use."""
     t: Tables
-    order_filter: Column | None = None   # predicate on o_orderdate, pushed to the scan
+    order_filter: Column | None = None   # predicate on order_date, pushed to the scan
+
+    @property
+    def spark(self):
+        return self.t.spark
 
     def with_order_filter(self, pred: Column) -> "Star":
         return Star(self.t, pred)
 
+    def refreshed(self) -> "Star":
+        """The same views over a fresh read of the tables (new file listing)."""
+        return Star(load_tables(self.t.spark, self.t.sf_dir), self.order_filter)
+
+    def lines_in_year(self, year: int) -> DataFrame:
+        """Order lines of one year (a range on the order date: pushed down)."""
+        return self.lines_filtered(year_range("order_date", year))
+
+    @property
+    def customer(self) -> DataFrame:
+        return self.t.customer.select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_name").alias("customer_name"),
+            F.col("c_mktsegment").alias("segment"))
+
     # ---- order lines -----------------------------------------------------
     def lines_base(self) -> DataFrame:
         """lineitem ⋈ orders with the columns of the total order."""
@@ -53,7 +73,7 @@ class Star:
             F.col("o_orderdate").alias("order_date"),
             F.col("o_custkey").alias("customer_id"))
         if self.order_filter is not None:
-            o = o.where(self.order_filter)
+            o = o.where(self.order_filter)  # reaches the scan through the alias
         li = self.t.lineitem.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_number"),
@@ -70,6 +90,11 @@ class Star:
         cal = calendar_columns("order_date")
         return base.select("*", *[c.alias(n) for n, c in cal.items()])
 
+    @property
+    def sales_fact(self) -> DataFrame:
+        from ..plans.fact import fact_rows_line
+        return fact_rows_line(self)
+
     def lines_filtered(self, pred: Column) -> DataFrame:
         return self.with_order_filter(pred).lines
 
@@ -123,11 +148,7 @@ class Star:
         from ..operators.dedup import first_wins
         lines = self.lines_base()
         first = first_wins(lines, ["customer_id"], LINE_ORDER, ["product_id"])
-        cust = self.t.customer.select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_name"),
-            F.col("c_mktsegment").alias("segment"))
-        return (first.join(cust, "customer_id")
+        return (first.join(self.customer, "customer_id")
                 .select("customer_id", "customer_name", "segment", "product_id"))
 
     @cached_property
@@ -141,4 +162,5 @@ class Star:
 
 
 def build_star(spark, sf_dir: str) -> Star:
+    """Star views over the raw tables in ``sf_dir``."""
     return Star(load_tables(spark, sf_dir))

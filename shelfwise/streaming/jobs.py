@@ -62,7 +62,7 @@ def staged_raw(star: Star) -> DataFrame:
 
 
 def stream_microbatch_ingest(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
-    spark = star.t.spark
+    spark = star.spark
     good_path, bad_path = f"{root}/lines", f"{root}/rejects"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -93,7 +93,7 @@ def staged_time(star: Star) -> DataFrame:
 
 def enrich_sink(star: Star, fact_path: str):
     def sink(batch: DataFrame, batch_id: int) -> None:
-        fresh = Star(star.t.__class__(star.t.spark, star.t.sf_dir))  # re-read dimensions
+        fresh = star.refreshed()  # dimensions re-read every batch
         fact = fact_rows_line(fresh, batch).drop("year")
         batch_partition_write(fact, fact_path, batch_id, sort_by="product_id")
     return sink
@@ -101,21 +101,21 @@ def enrich_sink(star: Star, fact_path: str):
 
 def run_enrich(star: Star, root: str, n_ranges: int = N_RANGES) -> tuple[StreamRun, str]:
     fact_path = f"{root}/fact"
-    run = run_ranges(star.t.spark, staged_time(star), "time_id", n_ranges, root,
+    run = run_ranges(star.spark, staged_time(star), "time_id", n_ranges, root,
                      enrich_sink(star, fact_path))
     return run, fact_path
 
 
 def stream_enrich_fact(star: Star, root: str) -> DataFrame:
     run, fact_path = run_enrich(star, root)
-    return star.t.spark.read.parquet(fact_path).drop("batch_id")
+    return star.spark.read.parquet(fact_path).drop("batch_id")
 
 
 def stream_rate_report(star: Star, root: str) -> DataFrame:
     """Rows per micro-batch and the arrival / service rates Spark measured."""
     run, _ = run_enrich(star, root)
     rows = progress_rows(run.progress)
-    return star.t.spark.createDataFrame(
+    return star.spark.createDataFrame(
         rows, "batch_id long, input_rows long, input_rows_per_second double, "
               "processed_rows_per_second double")
 
@@ -123,7 +123,7 @@ def stream_rate_report(star: Star, root: str) -> DataFrame:
 # ---- K6: first-wins dimension on a stream ----------------------------------
 
 def stream_dim_incremental(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
-    spark = star.t.spark
+    spark = star.spark
     dim_path = f"{root}/customer_dim"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -144,7 +144,7 @@ def stream_dim_incremental(star: Star, root: str, n_ranges: int = N_RANGES) -> D
 # ---- I5 on a stream: incremental aggregate refresh -------------------------
 
 def stream_mv_refresh(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
-    spark = star.t.spark
+    spark = star.spark
     table = AggregateTable(spark, f"{root}/supplier_month",
                            ["supplier_id", "supplier_name", "month"], ["monthly_sales"])
 
@@ -160,7 +160,7 @@ def stream_mv_refresh(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFr
 def stream_rows_by_key(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
     """The outer relation (customer dimension rows) streamed in batches; the
     per-key summary of each batch is appended and merged on read."""
-    spark = star.t.spark
+    spark = star.spark
     path = f"{root}/rows_by_key"
     outer = number_rows(star.customer_dim.select("customer_id", "product_id"),
                         ["customer_id"], "row_id")
