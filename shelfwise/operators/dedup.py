@@ -28,6 +28,13 @@ def first_wins(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     return df.groupBy(*keys).agg(w).select(*keys, *out_cols)
 
 
+def first_wins_by_id(df: DataFrame, keys: Sequence[str], id_col: str,
+                     value_cols: Sequence[str]) -> DataFrame:
+    """First-wins when the order is one unique integer column (a dense key):
+    ``min_by`` per value, a hash aggregate with a partial step."""
+    return df.groupBy(*keys).agg(*[F.min_by(c, id_col).alias(c) for c in value_cols])
+
+
 def new_keys_only(candidates: DataFrame, stored: DataFrame,
                   keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not yet in the stored dimension (``left_anti``)."""

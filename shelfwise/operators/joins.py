@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 
 def first_match(lookup: DataFrame, key: str, id_col: str,
                 carry: Sequence[str] = ()) -> DataFrame:
-    """One row per ``key``: the lowest ``id_col`` and the columns of that row."""
-    if not carry:
-        return lookup.groupBy(key).agg(F.min(id_col).alias(id_col))
-    m = F.min(F.struct(id_col, *carry)).alias("_m")
-    return lookup.groupBy(key).agg(m).select(
-        key, *[F.col(f"_m.{c}").alias(c) for c in (id_col, *carry)])
+    """One row per ``key``: the lowest ``id_col`` and the columns of that row.
+
+    ``id_col`` is unique, so ``min_by(c, id)`` takes every carried column from
+    the same row; with fixed-width columns the aggregate stays a hash
+    aggregate with a partial step.
+    """
+    return lookup.groupBy(key).agg(
+        F.min(id_col).alias(id_col), *[F.min_by(c, id_col).alias(c) for c in carry])
 
 
 def lookup_first(stream: DataFrame, lookup: DataFrame, key: str, id_col: str,

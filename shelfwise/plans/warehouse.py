@@ -21,6 +21,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedup import first_wins_by_id
 from ..sources.star import Star, year_range
 from .fact import fact_rows_line
 
@@ -59,7 +60,13 @@ def load_warehouse(star: Star, root: str) -> dict[str, int]:
     write("product_store", star.product_store)
     write("store_dim", star.store_dim)
     write("customer", star.customer)
-    write("customer_dim", star.customer_dim)
+    # first line of a customer = lowest time id: the dense key already encodes
+    # the total order, so the stored lines give the compat dimension by a hash
+    # aggregate instead of a struct-ordered one over the raw lines
+    lines = WarehouseStar(star.spark, root).lines
+    firsts = first_wins_by_id(lines, ["customer_id"], "time_id", ["product_id"])
+    write("customer_dim", firsts.join(star.customer, "customer_id").select(
+        "customer_id", "customer_name", "segment", "product_id"))
     wh = WarehouseStar(star.spark, root)
     write("sales_fact", fact_rows_line(wh), "year", "product_id")
     return counts
