@@ -57,10 +57,14 @@ class AggregateTable:
         return row["path"], row["upto_batch"]
 
     def _switch(self, path: str, upto_batch: int) -> None:
+        """Append one row to the pointer log; the newest row is current.
+
+        Appending never removes the previous pointer, so a job that dies while
+        switching leaves the old version readable."""
         ptr = self.spark.createDataFrame(
-            [(path, int(upto_batch), int(time.time() * 1000))],
+            [(path, int(upto_batch), time.time_ns())],
             "path string, upto_batch long, written_at long")
-        ptr.coalesce(1).write.mode("overwrite").parquet(self.pointer)
+        ptr.coalesce(1).write.mode("append").parquet(self.pointer)
 
     # ---- full refresh ----------------------------------------------------
     def refresh_full(self, df: DataFrame, upto_batch: int = -1) -> str:

@@ -91,14 +91,33 @@ def staged_time(star: Star) -> DataFrame:
                                 "qty", "product_id", "customer_id")
 
 
-def enrich_sink(star: Star, fact_path: str):
+def enrich_sink(star: Star, fact_path: str, echo: int = 0):
+    """foreachBatch body: order lines -> fact rows of this batch.
+
+    With ``echo`` > 0 the rows just written are read back by their batch
+    partition and the first ``echo`` are printed (the reference prints every
+    loaded row; off by default)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         fresh = star.refreshed()  # dimensions re-read every batch
         fact = fact_rows_line(fresh, batch).drop("year")
         batch_partition_write(fact, fact_path, batch_id, sort_by="product_id")
+        if echo:
+            (star.spark.read.parquet(fact_path).where(F.col("batch_id") == batch_id)
+             .show(echo, truncate=False))
     return sink
 
 
+def start_enrichment(star: Star, source: str, fact_path: str, checkpoint: str,
+                     files_per_batch: int = 10, interval: str = "1 second"):
+    """Production form of K1/K2/K4: a paced stream over a landing folder of
+    keyed order-line files, enriched into the fact.  Returns the query."""
+    from .runner import start_paced
+    schema = staged_time(star).schema
+    stream = (star.spark.readStream.schema(schema)
+              .option("maxFilesPerTrigger", files_per_batch).parquet(source))
+    return start_paced(stream, enrich_sink(star, fact_path), checkpoint, interval)
+
+
 def run_enrich(star: Star, root: str, n_ranges: int = N_RANGES) -> tuple[StreamRun, str]:
     fact_path = f"{root}/fact"
     run = run_ranges(star.spark, staged_time(star), "time_id", n_ranges, root,

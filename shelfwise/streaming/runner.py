@@ -81,3 +81,13 @@ def batch_partition_write(df: DataFrame, path: str, batch_id: int,
         out = out.sortWithinPartitions(sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(path))
+
+
+def start_paced(stream: DataFrame, sink: Callable[[DataFrame, int], None],
+                checkpoint: str, interval: str = "1 second"):
+    """A long-running query: one micro-batch every ``interval`` (the
+    reference's pacing).  Cap the batch size on the reader with
+    ``maxFilesPerTrigger``.  Returns the running ``StreamingQuery``."""
+    return (stream.writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=interval).start())
