@@ -4,14 +4,19 @@ A global ``row_number()`` over an ordered window moves every row through one
 task.  Instead:
 
 1. range-partition on the order columns and sort within partitions; tag each
-   row with its partition id and a within-partition counter
+   row with its partition id and its position in the partition
    (``monotonically_increasing_id`` = partition id << 33 + position);
-2. cut the lineage with a reliable ``checkpoint()`` (to the shared
-   ``spark.checkpoint.dir``) so both passes read the very same rows in the very
-   same partitions, even after an executor is lost;
+2. cut the lineage by writing the tagged rows once as a parquet table in the
+   shared ``spark.checkpoint.dir`` folder, so both passes read the very same
+   rows and tags, even after an executor is lost.  (``Dataset.checkpoint``
+   would compute the sorted partitions twice: once to count, once to save.)
 3. count rows per partition: one row per partition, a proven size bound, so
-   its running offsets are computed in one small window and broadcast;
+   the running offsets come from one small window and are broadcast;
 4. key = offset of the partition + position in it + 1.
+
+The range bounds are sampled on the full order key, which is unique, so a
+value that repeats in a leading column (one hot day) is still split across
+partitions.
 """
 
 from __future__ import annotations
@@ -21,28 +26,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import new_scratch
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], key: str,
-              num_partitions: int | None = None) -> DataFrame:
+              num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    path = path or new_scratch(spark, "dense_key")
     cols = [F.col(c) for c in order_cols]
     ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
               else df.repartitionByRange(*cols))
+    pid = F.spark_partition_id()
     tagged = (ranged.sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_pid", pid)
               .withColumn("_pos", F.monotonically_increasing_id()
-                          - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+                          - F.shiftleft(pid.cast("bigint"), 33)))
+    tagged.write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_n").over(
             Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0)).alias("_off"))
     # one row per partition: bounded by the partition count, safe to broadcast
-    out = tagged.join(F.broadcast(offsets), "_pid")
+    out = stored.join(F.broadcast(offsets), "_pid")
     return out.select((F.col("_off") + F.col("_pos") + 1).alias(key),
                       *[c for c in df.columns])
