@@ -20,9 +20,15 @@ def number_rows(df: DataFrame, order_cols: Sequence[str], key: str = "row_id") -
     return dense_key(df, order_cols, key)
 
 
-def range_bounds(df: DataFrame, key: str, n: int) -> list[tuple[int, int]]:
-    """n contiguous (lo, hi] ranges of a dense key; one aggregate row read."""
+def range_bounds(df: DataFrame, key: str, n: int | None,
+                 rows_per_range: int | None = None) -> list[tuple[int, int]]:
+    """Contiguous (lo, hi] ranges of a dense key 1..total: ``n`` equal ranges,
+    or ranges of ``rows_per_range`` rows (the last one shorter).  Reads one
+    aggregate row."""
     total = df.agg(F.max(key)).first()[0] or 0
+    if rows_per_range:
+        cuts = list(range(0, total, rows_per_range)) + [total]
+        return [(cuts[i], cuts[i + 1]) for i in range(len(cuts) - 1)]
     cuts = [round(total * i / n) for i in range(n + 1)]
     return [(cuts[i], cuts[i + 1]) for i in range(n)]
 

@@ -46,15 +46,18 @@ def progress_rows(progress: list) -> list[tuple]:
     return out
 
 
-def run_ranges(spark: SparkSession, staged: DataFrame, key: str, n_ranges: int,
+def run_ranges(spark: SparkSession, staged: DataFrame, key: str, n_ranges: int | None,
                root: str, sink: Callable[[DataFrame, int], None],
                transform: Callable[[DataFrame], DataFrame] | None = None,
-               max_files_per_trigger: int | None = None) -> StreamRun:
-    """Stage ``staged`` in ``n_ranges`` ranges of ``key`` under ``root``; after
-    each, run the stream once (availableNow) with ``sink`` as foreachBatch."""
+               max_files_per_trigger: int | None = None,
+               rows_per_batch: int | None = None) -> StreamRun:
+    """Stage ``staged`` in ranges of the dense ``key`` under ``root`` (either
+    ``n_ranges`` of them or ranges of ``rows_per_batch`` rows, the reference's
+    batch size); after each, run the stream once (availableNow) with ``sink``
+    as foreachBatch."""
     run = StreamRun(f"{root}/source", f"{root}/checkpoint")
     schema = staged.schema
-    for lo, hi in range_bounds(staged, key, n_ranges):
+    for lo, hi in range_bounds(staged, key, n_ranges, rows_per_batch):
         write_range(staged, key, lo, hi, run.source)
         reader = spark.readStream.schema(schema)
         if max_files_per_trigger:
