@@ -93,6 +93,7 @@ STREAM: dict[str, Runner] = {
     "stream_mv_refresh": _scratch(S.stream_mv_refresh, "stream_mv"),
     "stream_rows_by_key": _scratch(S.stream_rows_by_key, "stream_rows_by_key"),
     "stream_rate_report": _scratch(S.stream_rate_report, "stream_rate"),
+    "stream_fact_compat": _scratch(S.stream_fact_compat, "stream_fact_compat"),
 }
 
 

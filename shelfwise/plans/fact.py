@@ -42,15 +42,25 @@ def _total_sale(qty, price):
     return (qty * price).cast(PRICE)
 
 
-def fact_rows_compat(star: Star, outer: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def compat_lookups(star: Star) -> dict[str, DataFrame]:
+    """The three lookup tables of the compat fact, one row per product each:
+    first order line (time id and its quantity), first store, price."""
+    return {
+        "first_time": first_match(star.time_dim.select("product_id", "time_id", "qty"),
+                                  "product_id", "time_id", ["qty"]),
+        "first_store": first_match(star.store_dim.select("product_id", "store_id"),
+                                   "product_id", "store_id"),
+        "price": star.product.select("product_id", "price"),
+    }
+
+
+def fact_rows_compat(star: Star, outer: DataFrame | None = None,
+                     lookups: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """(fact, rejects) at compat grain for the ``outer`` customer rows."""
     if outer is None:
         outer = star.customer_dim.select("customer_id", "product_id")
-    first_time = first_match(star.time_dim.select("product_id", "time_id", "qty"),
-                             "product_id", "time_id", ["qty"])
-    stores = first_match(star.store_dim.select("product_id", "store_id"),
-                         "product_id", "store_id")
-    price = star.product.select("product_id", "price")
+    lk = lookups or compat_lookups(star)
+    first_time, stores, price = lk["first_time"], lk["first_store"], lk["price"]
     df = (outer.join(first_time, "product_id", "left")
           .join(stores, "product_id", "left")
           .join(price, "product_id", "left"))

@@ -400,6 +400,7 @@ QUERIES["mv_refresh_incremental"] = SUPPLIER_MONTH
 QUERIES["stream_mv_refresh"] = SUPPLIER_MONTH
 QUERIES["stream_enrich_fact"] = QUERIES["fact_load_line"]
 QUERIES["stream_dim_incremental"] = QUERIES["dim_customer"]
+QUERIES["stream_fact_compat"] = FACT_COMPAT
 
 QUERIES["stream_microbatch_ingest"] = STAR + """
 SELECT order_id, line_number, product_id, customer_id, qty, order_ts AS order_date

@@ -26,7 +26,7 @@ EXPECTED_ROWS = {
     "dim_time": 58785, "stream_microbatch_ingest": 58785, "stream_enrich_fact": 60000,
     "stream_mv_refresh": 1200, "mv_refresh_full": 1200, "dim_supplier": 100,
     "dim_product": 2000, "dim_store": 25, "stream_dim_incremental": 1500,
-    "fact_readback_semi": 1500, "load_audit_counts": 5,
+    "fact_readback_semi": 1500, "load_audit_counts": 5, "stream_fact_compat": 1500,
 }
 
 

@@ -78,3 +78,13 @@ def test_rate_report_has_one_row_per_batch(spark, star, scratch):
     rows = rep.collect()
     assert len(rows) == S.N_RANGES
     assert sum(r.input_rows for r in rows) == 60000
+
+
+def test_stream_fact_compat_audit(spark, star, scratch):
+    root = scratch("fact_compat")
+    fact = S.stream_fact_compat(star, root, n_ranges=3)
+    assert fact.count() == 1500
+    audit = spark.read.parquet(f"{root}/audit").collect()
+    assert len(audit) == 3
+    assert sum(r.attempted for r in audit) == 1500
+    assert all(r.loaded == r.read_back == r.attempted and r.rejected == 0 for r in audit)
