@@ -30,18 +30,24 @@ def to_int(raw, dtype: str = "bigint") -> Column:
     return F.trim(_c(raw)).try_cast(dtype)
 
 
-def parse_order_date(raw, fmt: str = params.ORDER_DATE_FORMAT) -> Column:
-    """Order-date text -> TIMESTAMP_NTZ, NULL when it does not parse.
-
-    ``M/d/yy H:m`` takes one- or two-digit months, days, hours and minutes and
-    refuses trailing text and four-digit years.  Spark maps ``yy`` to
-    2000-2099; years from the pivot up move back one century so that '95'
-    means 1995, as in the reference.
+def parse_order_date(raw) -> Column:
+    """Order-date text ``M/d/yy H:m`` -> TIMESTAMP_NTZ, NULL when it does not
+    parse.
+
+    The layout is checked by one regular expression (one- or two-digit month,
+    day, hour and minute, a two-digit year, no trailing text), the fields are
+    split out and the value is built with ``try_make_timestamp_ntz``, which
+    gives NULL for impossible dates (month 13, April 31, hour 24).  No time
+    zone is involved, so a session zone with daylight-saving gaps cannot move
+    a wall-clock time.  Years 70-99 are 1970-1999, 00-69 are 2000-2069, as in
+    the reference.
     """
-    ts = F.try_to_timestamp(F.trim(_c(raw)), F.lit(fmt))
-    fixed = F.when(F.year(ts) >= params.TWO_DIGIT_YEAR_PIVOT,
-                   F.timestamp_add("YEAR", F.lit(-100), ts)).otherwise(ts)
-    return fixed.cast("timestamp_ntz")
+    text = F.trim(_c(raw))
+    parts = F.split(text, "[/ :]")
+    m, d, yy, hh, mi = (parts.getItem(i).cast("int") for i in range(5))
+    year = yy + F.when(yy >= params.TWO_DIGIT_YEAR_PIVOT, F.lit(1900)).otherwise(F.lit(2000))
+    ts = F.try_make_timestamp_ntz(year, m, d, hh, mi, F.lit(0))
+    return F.when(text.rlike(params.ORDER_DATE_LAYOUT), ts)
 
 
 def calendar_columns(ts) -> dict[str, Column]:

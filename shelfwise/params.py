@@ -12,11 +12,13 @@ STORE_NAME = "NATION_7"              # reference: 'Tech Haven'
 SIGMA = 2                            # Q5: beyond 2 sample standard deviations
 TOP_K = 5                            # Q3, Q9: LIMIT 5
 
-# fixed values: the reference's date text format '%m/%d/%y %H:%i' in Spark form
+# fixed values: the reference's date text format '%m/%d/%y %H:%i' as the
+# equivalent Spark datetime pattern and as a layout check: one- or two-digit
+# month, day, hour and minute, a two-digit year, nothing before or after
 ORDER_DATE_FORMAT = "M/d/yy H:m"
-# two-digit years at or above this parse one century too late in Spark
-# ('yy' maps to 2000-2099); the reference's pivot maps 70-99 to the 1900s
-TWO_DIGIT_YEAR_PIVOT = 2070
+ORDER_DATE_LAYOUT = r"^\d{1,2}/\d{1,2}/\d{2} \d{1,2}:\d{1,2}$"
+# two-digit years: 70-99 are 1970-1999, 00-69 are 2000-2069
+TWO_DIGIT_YEAR_PIVOT = 70
 
 # fixed values: raw-string fixture rules (FIXTURES.md section 3)
 RAW_DATE_HEADER_EVERY = 97    # order key multiple whose date text is the header text

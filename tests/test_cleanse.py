@@ -48,3 +48,15 @@ def test_to_int_and_length(spark):
                                "i string, s string")
     rows = df.select(to_int("i").alias("i"), within_length("s", 9).alias("ok")).collect()
     assert [(r.i, r.ok) for r in rows] == [(42, True), (None, False), (None, True)]
+
+
+def test_order_date_ignores_session_zone(spark):
+    """A daylight-saving gap in the session zone must not move the time."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([("3/10/19 2:30",), ("11/3/19 1:30",)], "s string")
+        got = [r.t for r in df.select(parse_order_date("s").alias("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2019, 3, 10, 2, 30), dt.datetime(2019, 11, 3, 1, 30)]
