@@ -3,8 +3,6 @@ B12) and the load counters (A8)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,33 +54,42 @@ def check_lengths(star: Star) -> DataFrame:
 def load_audit_counts(star: Star) -> DataFrame:
     """Rows attempted, loaded, rejected and skipped as repeats, per table.
 
-    Each table is one global aggregate with a partial step; the five rows are
-    unioned.  ``attempted`` counts raw rows as the reference's counters do.
+    Two passes in all: one aggregate over the master rows (supplier, product,
+    store) and one over the transactions (customer, time), each with a
+    partial step; the counts are then unpivoted into one row per table.
+    ``attempted`` counts raw rows, as the reference's counters do.
     """
     m = typed_master(star)
     t = transactions_with_reason(star)
-    lit0 = F.lit(0).cast("bigint")
-
-    def dim(df, name, key):
-        return df.agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("attempted"),
-            F.countDistinct(key).alias("loaded"),
-            F.count_if(F.col(key).isNull()).alias("rejected"))
-
-    parts = [
-        dim(m, "supplier", "supplier_id"),
-        dim(m, "product", "product_id"),
-        dim(m, "store", "store_id"),
-        dim(t, "customer", "customer_id"),
-        t.agg(F.lit("time").alias("table_name"),
-              F.count(F.lit(1)).alias("attempted"),
-              F.count_if(F.col("reason").isNull()).alias("loaded"),
-              F.count_if(F.col("reason").isNotNull()).alias("rejected")),
-    ]
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select(
-        "table_name", F.col("attempted").cast("bigint"), F.col("loaded").cast("bigint"),
-        F.col("rejected").cast("bigint"),
-        (F.col("attempted") - F.col("loaded") - F.col("rejected")).cast("bigint")
-        .alias("repeated")).withColumn("repeated", F.greatest("repeated", lit0))
+    n = F.count(F.lit(1))
+
+    def nulls(c):
+        return F.count_if(F.col(c).isNull())
+
+    mc = m.agg(n.alias("m_rows"),
+               F.countDistinct("supplier_id").alias("supplier_loaded"),
+               nulls("supplier_id").alias("supplier_rejected"),
+               F.countDistinct("product_id").alias("product_loaded"),
+               nulls("product_id").alias("product_rejected"),
+               F.countDistinct("store_id").alias("store_loaded"),
+               nulls("store_id").alias("store_rejected"))
+    tc = t.agg(n.alias("t_rows"),
+               F.countDistinct("customer_id").alias("customer_loaded"),
+               nulls("customer_id").alias("customer_rejected"),
+               F.count_if(F.col("reason").isNull()).alias("time_loaded"),
+               F.count_if(F.col("reason").isNotNull()).alias("time_rejected"))
+    # two one-row aggregates side by side: the transaction counts enter as
+    # scalar subqueries of the master row
+    both = mc.select("*", *[tc.select(c).scalar().alias(c) for c in tc.columns])
+    rows = [(name, src) for name, src in (("supplier", "m_rows"), ("product", "m_rows"),
+                                          ("store", "m_rows"), ("customer", "t_rows"),
+                                          ("time", "t_rows"))]
+    stacked = both.select(F.explode(F.array(*[
+        F.struct(F.lit(name).alias("table_name"),
+                 F.col(src).cast("bigint").alias("attempted"),
+                 F.col(f"{name}_loaded").cast("bigint").alias("loaded"),
+                 F.col(f"{name}_rejected").cast("bigint").alias("rejected"))
+        for name, src in rows])).alias("r")).select("r.*")
+    return stacked.withColumn(
+        "repeated", F.greatest(F.col("attempted") - F.col("loaded") - F.col("rejected"),
+                               F.lit(0).cast("bigint")))

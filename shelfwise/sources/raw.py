@@ -24,14 +24,19 @@ def raw_master(star: Star) -> DataFrame:
 
     Suppliers of every 7th part carry the suffix ' Ltd', so one supplier id
     has two names and first-wins matters.  Ordinal: the product id (row order
-    of the master file).
+    of the master file).  One chain of two joins: part -> supplier -> nation.
     """
-    ps = star.product_store
-    sup = star.supplier
-    prod = star.t.part.select(F.col("p_partkey").alias("product_id"),
-                              F.col("p_retailprice").alias("p_price"))
-    base = (star.product.join(prod, "product_id").join(sup, "supplier_id")
-            .join(ps.select("product_id", "store_id", "store_name"), "product_id"))
+    n_sup = star.t.supplier.select(F.count(F.lit(1))).scalar()
+    part = star.t.part.select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").alias("p_price"),
+        (F.col("p_partkey") % n_sup).alias("supplier_id"))
+    sup = star.t.supplier.select(F.col("s_suppkey").alias("supplier_id"),
+                                 F.col("s_name").alias("supplier_name"),
+                                 F.col("s_nationkey").alias("nation_id"))
+    nat = star.t.nation.select(F.col("n_nationkey").alias("nation_id"),
+                               F.col("n_name").alias("store_name"))
+    base = part.join(sup, "supplier_id").join(nat, "nation_id")
     name = F.when(F.col("product_id") % params.CONFLICT_PART_EVERY == 0,
                   F.concat(F.col("supplier_name"), F.lit(" Ltd"))
                   ).otherwise(F.col("supplier_name"))
@@ -42,7 +47,7 @@ def raw_master(star: Star) -> DataFrame:
         F.concat(F.col("p_price").cast("string"), F.lit("$")).alias("product_price"),
         F.col("supplier_id").cast("string").alias("supplier_id"),
         name.alias("supplier_name"),
-        F.col("store_id").cast("string").alias("store_id"),
+        (F.col("nation_id") + 1).cast("string").alias("store_id"),
         F.col("store_name"))
 
 
