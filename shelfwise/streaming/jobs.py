@@ -24,7 +24,8 @@ from ..sources.raw import RAW_ORDER, raw_transactions
 from ..sources.staging import number_rows
 from ..sources.star import Star
 from .buffer import merge_rows_by_key, rows_by_key
-from .runner import StreamRun, batch_partition_write, progress_rows, run_ranges
+from .runner import (StreamRun, batch_partition_write, progress_rows, run_ranges,
+                     run_staged)
 
 N_RANGES = 4
 
@@ -118,10 +119,14 @@ def start_enrichment(star: Star, source: str, fact_path: str, checkpoint: str,
     return start_paced(stream, enrich_sink(star, fact_path), checkpoint, interval)
 
 
-def run_enrich(star: Star, root: str, n_ranges: int = N_RANGES) -> tuple[StreamRun, str]:
+def run_enrich(star: Star, root: str, n_ranges: int = N_RANGES,
+               continuous: bool = False) -> tuple[StreamRun, str]:
+    """Enrichment over staged order lines: one availableNow run per range, or
+    (``continuous``) all ranges staged first and one run over them."""
     fact_path = f"{root}/fact"
-    run = run_ranges(star.spark, staged_time(star), "time_id", n_ranges, root,
-                     enrich_sink(star, fact_path))
+    runner = run_staged if continuous else run_ranges
+    run = runner(star.spark, staged_time(star), "time_id", n_ranges, root,
+                 enrich_sink(star, fact_path))
     return run, fact_path
 
 

@@ -88,3 +88,12 @@ def test_stream_fact_compat_audit(spark, star, scratch):
     assert len(audit) == 3
     assert sum(r.attempted for r in audit) == 1500
     assert all(r.loaded == r.read_back == r.attempted and r.rejected == 0 for r in audit)
+
+
+def test_continuous_run_equals_batch(spark, star, scratch):
+    from shelfwise.plans.fact import fact_load_line
+    run, path = S.run_enrich(star, scratch("cont"), n_ranges=4, continuous=True)
+    assert run.batches >= 2
+    stored = spark.read.parquet(path).drop("batch_id")
+    batch = fact_load_line(star)
+    assert stored.count() == batch.count() and stored.exceptAll(batch).count() == 0
