@@ -402,7 +402,4 @@ QUERIES["stream_enrich_fact"] = QUERIES["fact_load_line"]
 QUERIES["stream_dim_incremental"] = QUERIES["dim_customer"]
 QUERIES["stream_fact_compat"] = FACT_COMPAT
 
-QUERIES["stream_microbatch_ingest"] = STAR + """
-SELECT order_id, line_number, product_id, customer_id, qty, order_ts AS order_date
-FROM parsed_txn WHERE order_ts IS NOT NULL
-"""
+QUERIES["stream_microbatch_ingest"] = QUERIES["dim_time"]

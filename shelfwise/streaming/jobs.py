@@ -16,6 +16,7 @@ from pyspark.sql.utils import AnalysisException
 
 from ..functions import calendar_columns, clean_price, parse_order_date, to_int  # noqa: F401
 from ..operators.dedup import first_wins, new_keys_only
+from ..operators.surrogate import dense_key
 from ..plans.aggregates import AggregateTable
 from ..plans.fact import FACT_KEYS, compat_lookups, fact_rows_compat, fact_rows_line
 from ..plans.ingest import REASON_BAD, REASON_BAD_ID, REASON_EMPTY
@@ -63,26 +64,45 @@ def staged_raw(star: Star) -> DataFrame:
 
 
 def stream_microbatch_ingest(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
+    """Raw transactions as a stream: parse, split off rejects, and append the
+    good lines with a dense ``time_id`` that continues from the largest id
+    stored by earlier batches (AUTO_INCREMENT on a stream).  A replayed batch
+    sees only the batches before it, so it gets the same ids again."""
+    spark = star.spark
+    run_ranges(spark, staged_raw(star), "row_id", n_ranges, root, ingest_sink(star, root),
+               parse_stream)
+    return spark.read.parquet(f"{root}/lines").select(
+        "time_id", "order_id", "order_date", "hour", "minute", "day", "year", "quarter",
+        "month", "qty", "product_id", "customer_id")
+
+
+def ingest_sink(star: Star, root: str):
+    """foreachBatch body of the ingest stream (see ``stream_microbatch_ingest``)."""
     spark = star.spark
     good_path, bad_path = f"{root}/lines", f"{root}/rejects"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        stored = _read_or_none(spark, good_path)
+        offset = 0
+        if stored is not None:
+            offset = (stored.where(F.col("batch_id") < batch_id)
+                      .agg(F.max("time_id")).first()[0]) or 0  # one number
         cal = calendar_columns("order_date")
         good = batch.where(F.col("reason").isNull()).select(
-            "row_id", "order_id", "line_number", "order_date",
+            *RAW_ORDER, "row_id", "order_id", "line_number", "order_date",
             *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month")],
             "qty", "product_id", "customer_id")
-        batch_partition_write(good, good_path, batch_id, sort_by="product_id")
+        keyed = dense_key(good, RAW_ORDER, "time_id", path=f"{root}/keys/{batch_id}")
+        keyed = keyed.withColumn("time_id", F.col("time_id") + F.lit(offset)).drop(*RAW_ORDER)
+        batch_partition_write(keyed, good_path, batch_id, sort_by="product_id")
         batch_partition_write(batch.where(F.col("reason").isNotNull())
                               .select("row_id", "order_id", "line_number",
                                       "order_date_text", "reason"),
                               bad_path, batch_id)
         batch.unpersist()
 
-    run_ranges(spark, staged_raw(star), "row_id", n_ranges, root, sink, parse_stream)
-    return spark.read.parquet(good_path).select(
-        "order_id", "line_number", "product_id", "customer_id", "qty", "order_date")
+    return sink
 
 
 # ---- K4 / C6: enrichment of order lines into the fact ----------------------

@@ -97,3 +97,19 @@ def test_continuous_run_equals_batch(spark, star, scratch):
     stored = spark.read.parquet(path).drop("batch_id")
     batch = fact_load_line(star)
     assert stored.count() == batch.count() and stored.exceptAll(batch).count() == 0
+
+
+def test_replayed_ingest_batch_keeps_its_ids(spark, star, scratch):
+    root = scratch("ingest_replay")
+    S.stream_microbatch_ingest(star, root, n_ranges=3)
+    lines = f"{root}/lines"
+    before = sorted(spark.read.parquet(lines).select("time_id", "row_id").collect())
+    raw = S.parse_stream(S.staged_raw(star))
+    total = raw.agg(F.max("row_id")).first()[0]
+    lo = round(total / 3)
+    sink = S.ingest_sink(star, root)
+    sink(raw.where((F.col("row_id") > lo) & (F.col("row_id") <= round(2 * total / 3))), 1)
+    after = sorted(spark.read.parquet(lines).select("time_id", "row_id").collect())
+    assert after == before
+    ids = [r.time_id for r in after]
+    assert ids == list(range(1, len(ids) + 1))
