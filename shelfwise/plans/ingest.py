@@ -60,7 +60,7 @@ def parse_order_date_rows(star: Star) -> DataFrame:
 def _reject_reason():
     return (F.when(F.col("order_id").isNull() | F.col("product_id").isNull()
                    | F.col("qty").isNull(), F.lit(REASON_BAD_ID))
-            .when(F.trim(F.col("order_date_text")) == "", F.lit(REASON_EMPTY))
+            .when(F.coalesce(F.trim(F.col("order_date_text")), F.lit("")) == "", F.lit(REASON_EMPTY))
             .when(F.col("order_ts").isNull(), F.lit(REASON_BAD)))
 
 

@@ -250,7 +250,7 @@ SELECT order_id, line_number, product_id, order_date_text, order_ts FROM parsed_
 
 QUERIES["reject_bad_dates"] = STAR + """
 SELECT order_id, line_number, product_id, order_date_text,
-       CASE WHEN trim(order_date_text) = '' THEN 'empty order date'
+       CASE WHEN coalesce(trim(order_date_text), '') = '' THEN 'empty order date'
             ELSE 'unparsable order date' END AS reason
 FROM parsed_txn WHERE order_ts IS NULL
 """

@@ -83,3 +83,16 @@ SUPPLIER_CSV = T.StructType([
     T.StructField("supplier_name", T.StringType()),
     T.StructField("_corrupt", T.StringType()),
 ])
+
+
+# fixed values: header names of the reference's two input files, in file order
+MASTER_CSV_COLUMNS = ("productID", "productName", "productPrice", "supplierID",
+                      "supplierName", "storeID", "storeName")
+TRANSACTION_CSV_COLUMNS = ("Order ID", "Order Date", "ProductID", "CustomerID",
+                           "CustomerName", "Gender", "Quantity Ordered")
+
+
+def csv_strings(columns) -> T.StructType:
+    """All-string schema for a CSV file, plus the corrupt-record column."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns]
+                        + [T.StructField("_corrupt", T.StringType())])

@@ -22,7 +22,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read with ``schema``; if it has a ``_corrupt`` string field, short and
-    long rows keep their text there and their typed fields are NULL."""
+    long rows keep their text there.
+
+    The reader parses only the columns a query uses, and malformed-line
+    detection follows that set: use every column when ``_corrupt`` matters
+    (the CSV loader writes all of them to a staging table first)."""
     reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
     if CORRUPT in schema.fieldNames():
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)

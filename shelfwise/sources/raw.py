@@ -19,7 +19,7 @@ RAW_DATE_FORMAT = "M/d/yy HH:mm"
 HEADER_TEXT = "Order Date"
 
 
-def raw_master(star: Star) -> DataFrame:
+def raw_master(star: Star, conflicts: bool = True) -> DataFrame:
     """Master data rows: product, price text with '$', supplier, store.
 
     Suppliers of every 7th part carry the suffix ' Ltd', so one supplier id
@@ -40,6 +40,8 @@ def raw_master(star: Star) -> DataFrame:
     name = F.when(F.col("product_id") % params.CONFLICT_PART_EVERY == 0,
                   F.concat(F.col("supplier_name"), F.lit(" Ltd"))
                   ).otherwise(F.col("supplier_name"))
+    if not conflicts:
+        name = F.col("supplier_name")
     return base.select(
         F.col("product_id").alias("row_ord"),
         F.col("product_id").cast("string").alias("product_id"),
@@ -51,15 +53,19 @@ def raw_master(star: Star) -> DataFrame:
         F.col("store_name"))
 
 
-def order_date_text(order_date: str = "order_date", order_id: str = "order_id"):
+def order_date_text(order_date: str = "order_date", order_id: str = "order_id",
+                    bad_dates: bool = True):
     """Date text of a raw transaction; every 97th order key carries the header
     text and every 89th (otherwise) an empty string: unparsable rows."""
+    text = F.date_format(order_date, RAW_DATE_FORMAT)
+    if not bad_dates:
+        return text
     return (F.when(F.col(order_id) % params.RAW_DATE_HEADER_EVERY == 0, F.lit(HEADER_TEXT))
             .when(F.col(order_id) % params.RAW_DATE_EMPTY_EVERY == 0, F.lit(""))
-            .otherwise(F.date_format(order_date, RAW_DATE_FORMAT)))
+            .otherwise(text))
 
 
-def raw_transactions(star: Star) -> DataFrame:
+def raw_transactions(star: Star, bad_dates: bool = True) -> DataFrame:
     """Transaction rows as strings, plus the total-order columns as ordinal."""
     lines = star.lines_base()
     cust = star.t.customer.select(F.col("c_custkey").alias("customer_id"),
@@ -69,7 +75,7 @@ def raw_transactions(star: Star) -> DataFrame:
     return df.select(
         *[F.col(c).alias(f"ord_{c}") for c in LINE_ORDER],
         F.col("order_id").cast("string").alias("order_id_text"),
-        order_date_text().alias("order_date_text"),
+        order_date_text(bad_dates=bad_dates).alias("order_date_text"),
         F.col("product_id").cast("string").alias("product_id_text"),
         F.col("customer_id").cast("string").alias("customer_id_text"),
         "customer_name", "gender",
@@ -77,3 +83,21 @@ def raw_transactions(star: Star) -> DataFrame:
 
 
 RAW_ORDER = tuple(f"ord_{c}" for c in LINE_ORDER)
+
+
+def master_csv_rows(star: Star, conflicts: bool = True) -> DataFrame:
+    """Master data as the reference's file holds it (header names, '$' prices)."""
+    from ..schemas import MASTER_CSV_COLUMNS
+    m = raw_master(star, conflicts)
+    return m.select(*[F.col(c).alias(h) for c, h in zip(
+        ("product_id", "product_name", "product_price", "supplier_id", "supplier_name",
+         "store_id", "store_name"), MASTER_CSV_COLUMNS)])
+
+
+def transaction_csv_rows(star: Star, bad_dates: bool = True) -> DataFrame:
+    """Transactions as the reference's file holds them (header names, date text)."""
+    from ..schemas import TRANSACTION_CSV_COLUMNS
+    t = raw_transactions(star, bad_dates)
+    return t.select(*[F.col(c).alias(h) for c, h in zip(
+        ("order_id_text", "order_date_text", "product_id_text", "customer_id_text",
+         "customer_name", "gender", "quantity_text"), TRANSACTION_CSV_COLUMNS)])

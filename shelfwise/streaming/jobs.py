@@ -54,7 +54,7 @@ def parse_stream(raw: DataFrame) -> DataFrame:
         to_int("quantity_text", "int").alias("qty"))
     reason = (F.when(F.col("order_id").isNull() | F.col("product_id").isNull()
                      | F.col("qty").isNull(), F.lit(REASON_BAD_ID))
-              .when(F.trim(F.col("order_date_text")) == "", F.lit(REASON_EMPTY))
+              .when(F.coalesce(F.trim(F.col("order_date_text")), F.lit("")) == "", F.lit(REASON_EMPTY))
               .when(F.col("order_date").isNull(), F.lit(REASON_BAD)))
     return df.withColumn("reason", reason)
 
