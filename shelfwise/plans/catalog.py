@@ -13,6 +13,7 @@ from . import aggregates as A
 from . import dimensions as D
 from . import fact as FT
 from . import ingest as I
+from . import load as L
 from . import quality as QC
 from . import queries as Q
 
@@ -82,6 +83,7 @@ LOAD: dict[str, Runner] = {
     "fact_load_compat": _star(FT.fact_load_compat),
     "fact_load_line": _star(FT.fact_load_line),
     "fact_readback_semi": _scratch(FT.fact_readback_semi, "fact_readback"),
+    "csv_load_fact": _scratch(L.csv_load_fact, "csv_load"),
     "mv_refresh_full": _scratch(A.mv_refresh_full, "mv_full"),
     "mv_refresh_incremental": _scratch(A.mv_refresh_incremental, "mv_incremental"),
 }

@@ -159,3 +159,15 @@ def load_csv_warehouse(spark: SparkSession, master_path: str, transactions_path:
         "customer_id", "customer_name", "segment", "product_id"))
     write("sales_fact", fact_rows_line(wh), "year", "product_id")
     return counts
+
+
+def csv_load_fact(star, root: str) -> DataFrame:
+    """The given tables written as the reference's two CSV files (with its
+    unreadable dates), loaded into a warehouse; returns the loaded fact."""
+    from ..sources.csv import write_csv
+    from ..sources.raw import master_csv_rows, transaction_csv_rows
+    write_csv(master_csv_rows(star), f"{root}/in/master")
+    write_csv(transaction_csv_rows(star), f"{root}/in/transactions")
+    load_csv_warehouse(star.spark, f"{root}/in/master", f"{root}/in/transactions",
+                       f"{root}/warehouse")
+    return WarehouseStar(star.spark, f"{root}/warehouse").sales_fact.drop("year")

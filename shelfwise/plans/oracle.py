@@ -387,6 +387,16 @@ FROM time_dim td JOIN product p ON p.product_id = td.product_id
 LEFT JOIN product_store ps ON ps.product_id = td.product_id
 """
 
+QUERIES["csv_load_fact"] = STAR + """
+SELECT t.product_id, t.customer_id, t.time_id, COALESCE(ps.store_id, 0) AS store_id,
+       CAST(t.qty * p.price AS DECIMAL(10,2)) AS total_sale
+FROM (SELECT row_number() OVER (ORDER BY order_ts, order_id, product_id, customer_id, qty,
+                                         customer_name, gender) AS time_id, *
+      FROM parsed_txn WHERE order_ts IS NOT NULL) t
+JOIN master p ON p.product_id = t.product_id
+LEFT JOIN product_store ps ON ps.product_id = t.product_id
+"""
+
 QUERIES["stream_rows_by_key"] = STAR + """
 SELECT product_id, count(*) AS n_entries, min(customer_id) AS first_customer_id,
        max(customer_id) AS last_customer_id
