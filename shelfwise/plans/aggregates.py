@@ -28,10 +28,16 @@ from ..operators.olap import money
 
 @dataclass
 class AggregateTable:
+    """A stored aggregate (SUM measures by ``keys``) under ``root``.
+
+    ``compact_every``: fold the partials into a new base version once that
+    many batches have been written since the base, so reads never regroup an
+    ever-growing log."""
     spark: SparkSession
     root: str
     keys: list[str]
     measures: list[str]
+    compact_every: int | None = None
 
     # ---- layout ----------------------------------------------------------
     @property
@@ -78,6 +84,8 @@ class AggregateTable:
         (partial.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(self.partials))
+        if self.compact_every and batch_id - self.current()[1] >= self.compact_every:
+            self.compact()
 
     def _regroup(self, df: DataFrame) -> DataFrame:
         return df.groupBy(*self.keys).agg(

@@ -190,7 +190,8 @@ def stream_dim_incremental(star: Star, root: str, n_ranges: int = N_RANGES) -> D
 def stream_mv_refresh(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
     spark = star.spark
     table = AggregateTable(spark, f"{root}/supplier_month",
-                           ["supplier_id", "supplier_name", "month"], ["monthly_sales"])
+                           ["supplier_id", "supplier_name", "month"], ["monthly_sales"],
+                           compact_every=2)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         table.apply_batch(supplier_month(batch, star), batch_id)

@@ -117,3 +117,15 @@ def test_sf0001_runs(spark):
     star = build_star(spark, "/root/testdata/sf0.001")
     assert Q.q2_rollup_compat(star, "Supplier#000000002").count() > 0
     assert Q.q7_store_slice(star, "NATION_3").count() >= 0
+
+
+def test_auto_compaction_keeps_the_answer(spark, star, scratch):
+    t = AggregateTable(spark, scratch("mv"), ["supplier_id", "supplier_name", "month"],
+                       ["monthly_sales"], compact_every=2)
+    for i, lines in enumerate(order_slices(star)):
+        t.apply_batch(Q.supplier_month(lines, star), i)
+    path, upto = t.current()
+    assert path is not None and upto == 1
+    full = Q.q8_supplier_month_mv(star)
+    inc = t.read()
+    assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
