@@ -57,16 +57,18 @@ def parse_order_date_rows(star: Star) -> DataFrame:
         "order_id", "line_number", "product_id", "order_date_text", "order_ts")
 
 
-def _reject_reason():
+def reject_reason(parsed_date: str = "order_ts"):
+    """Why a parsed transaction is rejected; NULL for a good row."""
     return (F.when(F.col("order_id").isNull() | F.col("product_id").isNull()
                    | F.col("qty").isNull(), F.lit(REASON_BAD_ID))
-            .when(F.coalesce(F.trim(F.col("order_date_text")), F.lit("")) == "", F.lit(REASON_EMPTY))
-            .when(F.col("order_ts").isNull(), F.lit(REASON_BAD)))
+            .when(F.coalesce(F.trim(F.col("order_date_text")), F.lit("")) == "",
+                  F.lit(REASON_EMPTY))
+            .when(F.col(parsed_date).isNull(), F.lit(REASON_BAD)))
 
 
 def transactions_with_reason(star: Star) -> DataFrame:
     """Parsed transactions with ``reason`` (NULL for a good row)."""
-    return parsed_transactions(star).withColumn("reason", _reject_reason())
+    return parsed_transactions(star).withColumn("reason", reject_reason())
 
 
 def split_transactions(star: Star) -> tuple[DataFrame, DataFrame]:

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..functions import calendar_columns, clean_price, parse_order_date, to_int  # noqa: F401
+from ..functions import calendar_columns, parse_order_date, to_int
 from ..operators.dedup import first_wins, new_keys_only
 from ..operators.surrogate import dense_key
 from ..plans.aggregates import AggregateTable
 from ..plans.fact import FACT_KEYS, compat_lookups, fact_rows_compat, fact_rows_line
-from ..plans.ingest import REASON_BAD, REASON_BAD_ID, REASON_EMPTY
+from ..plans.ingest import reject_reason
 from ..plans.queries import supplier_month
 from ..sources.raw import RAW_ORDER, raw_transactions
 from ..sources.staging import number_rows
@@ -52,11 +52,7 @@ def parse_stream(raw: DataFrame) -> DataFrame:
         to_int("customer_id_text").alias("customer_id"),
         "customer_name", "gender",
         to_int("quantity_text", "int").alias("qty"))
-    reason = (F.when(F.col("order_id").isNull() | F.col("product_id").isNull()
-                     | F.col("qty").isNull(), F.lit(REASON_BAD_ID))
-              .when(F.coalesce(F.trim(F.col("order_date_text")), F.lit("")) == "", F.lit(REASON_EMPTY))
-              .when(F.col("order_date").isNull(), F.lit(REASON_BAD)))
-    return df.withColumn("reason", reason)
+    return df.withColumn("reason", reject_reason("order_date"))
 
 
 def staged_raw(star: Star) -> DataFrame:

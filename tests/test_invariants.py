@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from shelfwise.plans import fact, queries as Q
 from shelfwise.plans.aggregates import AggregateTable, order_slices
 from shelfwise.sources.star import build_star
-from tests.conftest import SF001
 
 
 def test_line_fact_total(star):
