@@ -199,8 +199,12 @@ def entity_month(star: Star, lines: DataFrame, grain: str) -> DataFrame:
 
 
 def q10_entity_month_mv_compat(star: Star) -> DataFrame:
+    """Q10 (compat): stores through their one product, customers through the
+    product of their first line (each customer takes that product's sales)."""
     return entity_month(star, star.lines, "compat")
 
 
 def q10_entity_month_mv_line(star: Star) -> DataFrame:
+    """Q10 at line grain: every line counts for its product's store and for
+    its own customer."""
     return entity_month(star, star.lines, "line")

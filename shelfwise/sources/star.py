@@ -142,8 +142,9 @@ class Star:
         """Compat customer dimension: the product of the customer's first line.
 
         First-wins is a ``min`` over a struct that starts with the total-order
-        columns: a partial (map-side) aggregate, no sort and no window, so a
-        customer with a third of all lines still costs one row per map task.
+        columns: an aggregate with a map-side partial step (sorted within each
+        task, no global sort, no window), so a customer with a third of all
+        lines still leaves each map task as one row.
         """
         from ..operators.dedup import first_wins
         lines = self.lines_base()
@@ -154,8 +155,9 @@ class Star:
     @cached_property
     def time_dim(self) -> DataFrame:
         """Order lines with the dense surrogate key ``time_id`` (1..n in the
-        total order) and the customer (added for line grain).  Materialised
-        through a reliable checkpoint by the surrogate-key operator."""
+        total order) and the customer (added for line grain).  The keyed rows
+        are written once to the shared checkpoint folder by the surrogate-key
+        operator, so every reader sees the same ids."""
         from ..operators.surrogate import dense_key
         keyed = dense_key(self.lines, LINE_ORDER, "time_id")
         return keyed
