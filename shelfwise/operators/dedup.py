@@ -37,8 +37,17 @@ def first_wins_by_id(df: DataFrame, keys: Sequence[str], id_col: str,
 
 def new_keys_only(candidates: DataFrame, stored: DataFrame,
                   keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is not yet in the stored dimension (``left_anti``)."""
-    return candidates.join(stored.select(*keys), list(keys), "left_anti")
+    """Rows whose key is not yet in the stored dimension.
+
+    Semi-join reduction: first the stored keys that this batch touches
+    (stored ``left_semi`` batch keys: the batch side is small and AQE can
+    broadcast it, so the stored dimension is scanned but not shuffled), then
+    ``left_anti`` against that small set.  A plain ``left_anti`` could only
+    broadcast the stored side and would shuffle all of it on every batch.
+    """
+    keys = list(keys)
+    seen = stored.select(*keys).join(candidates.select(*keys), keys, "left_semi")
+    return candidates.join(seen, keys, "left_anti")
 
 
 def conflicting_attributes(df: DataFrame, key: str, attr: str) -> DataFrame:

@@ -73,17 +73,22 @@ def stream_microbatch_ingest(star: Star, root: str, n_ranges: int = N_RANGES) ->
 
 
 def ingest_sink(star: Star, root: str):
-    """foreachBatch body of the ingest stream (see ``stream_microbatch_ingest``)."""
+    """foreachBatch body of the ingest stream (see ``stream_microbatch_ingest``).
+
+    The id offset of a batch comes from a high-water-mark table with one row
+    per batch (its largest id), so finding it costs the same on the thousandth
+    batch as on the first; only rows of earlier batches count, so a replayed
+    batch gets its ids again."""
     spark = star.spark
-    good_path, bad_path = f"{root}/lines", f"{root}/rejects"
+    good_path, bad_path, hwm_path = f"{root}/lines", f"{root}/rejects", f"{root}/hwm"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        stored = _read_or_none(spark, good_path)
+        marks = _read_or_none(spark, hwm_path)
         offset = 0
-        if stored is not None:
-            offset = (stored.where(F.col("batch_id") < batch_id)
-                      .agg(F.max("time_id")).first()[0]) or 0  # one number
+        if marks is not None:
+            offset = (marks.where(F.col("batch_id") < batch_id)
+                      .agg(F.max("max_time_id")).first()[0]) or 0  # one number
         cal = calendar_columns("order_date")
         good = batch.where(F.col("reason").isNull()).select(
             *RAW_ORDER, "row_id", "order_id", "line_number", "order_date",
@@ -92,6 +97,10 @@ def ingest_sink(star: Star, root: str):
         keyed = dense_key(good, RAW_ORDER, "time_id", path=f"{root}/keys/{batch_id}")
         keyed = keyed.withColumn("time_id", F.col("time_id") + F.lit(offset)).drop(*RAW_ORDER)
         batch_partition_write(keyed, good_path, batch_id, sort_by="product_id")
+        written = spark.read.parquet(good_path).where(F.col("batch_id") == batch_id)
+        batch_partition_write(
+            written.agg(F.coalesce(F.max("time_id"), F.lit(offset).cast("long"))
+                        .alias("max_time_id")), hwm_path, batch_id)
         batch_partition_write(batch.where(F.col("reason").isNotNull())
                               .select("row_id", "order_id", "line_number",
                                       "order_date_text", "reason"),
