@@ -21,9 +21,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.olap import money
+from ..sources.paths import read_parquet_if_exists
 
 
 @dataclass
@@ -49,10 +49,7 @@ class AggregateTable:
         return f"{self.root}/partials"
 
     def _read(self, path: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(path)
-        except AnalysisException:
-            return None
+        return read_parquet_if_exists(self.spark, path)
 
     def current(self) -> tuple[str | None, int]:
         """(base version path, last batch id folded into it)."""

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions import calendar_columns, parse_order_date, to_int
 from ..operators.dedup import first_wins, new_keys_only
@@ -21,6 +20,7 @@ from ..plans.aggregates import AggregateTable
 from ..plans.fact import FACT_KEYS, compat_lookups, fact_rows_compat, fact_rows_line
 from ..plans.ingest import reject_reason
 from ..plans.queries import supplier_month
+from ..sources.paths import read_parquet_if_exists
 from ..sources.raw import RAW_ORDER, raw_transactions
 from ..sources.staging import number_rows
 from ..sources.star import Star
@@ -32,10 +32,7 @@ N_RANGES = 4
 
 
 def _read_or_none(spark, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return read_parquet_if_exists(spark, path)
 
 
 # ---- K1: micro-batch ingest with cleansing and rejects ---------------------
