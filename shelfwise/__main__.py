@@ -3,6 +3,7 @@
     python -m shelfwise load  --master M.csv --transactions T.csv --warehouse DIR
     python -m shelfwise query q4_quarter_pivot --warehouse DIR [--show 20 | --out DIR]
     python -m shelfwise refresh q8_supplier_month_mv --warehouse DIR --table DIR
+    python -m shelfwise refresh-all --warehouse DIR --tables DIR
 
 ``--master``/``--transactions`` may be files or folders.  The session is the
 one ``spark-submit`` provides (or local[*] when run directly); set
@@ -18,7 +19,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .plans import queries as Q
-from .plans.aggregates import AggregateTable
+from .plans.aggregates import AggregateTable, refresh_all
 from .plans.load import load_csv_warehouse
 from .plans.warehouse import WarehouseStar
 from .session import DEFAULT_CONF, ensure_checkpoint_dir
@@ -64,6 +65,9 @@ def main(argv=None) -> int:
     rf.add_argument("name", choices=sorted(TABLES))
     rf.add_argument("--warehouse", required=True)
     rf.add_argument("--table", required=True)
+    ra = sub.add_parser("refresh-all", help="full refresh of the three stored aggregates")
+    ra.add_argument("--warehouse", required=True)
+    ra.add_argument("--tables", required=True)
     args = ap.parse_args(argv)
 
     spark = session()
@@ -76,6 +80,8 @@ def main(argv=None) -> int:
             df.write.mode("overwrite").parquet(args.out)
         else:
             df.show(args.show, truncate=False)
+    elif args.cmd == "refresh-all":
+        print(json.dumps(refresh_all(WarehouseStar(spark, args.warehouse), args.tables)))
     else:
         keys, measures = TABLES[args.name]
         table = AggregateTable(spark, args.table, keys, measures)

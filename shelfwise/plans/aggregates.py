@@ -112,6 +112,28 @@ class AggregateTable:
         return self.refresh_full(self.read(), upto)
 
 
+# the reference's three stored aggregates: name -> (query, group keys, measures)
+STORED = {
+    "store_analysis": ("q6_store_product_mv", ["store_id", "product_id"], ["store_total"]),
+    "supplier_performance": ("q8_supplier_month_mv",
+                             ["supplier_id", "supplier_name", "month"], ["monthly_sales"]),
+    "customer_store_sales": ("q10_entity_month_mv_compat",
+                             ["id", "entity_type", "entity_id", "month"], ["monthly_sales"]),
+}
+
+
+def refresh_all(star, root: str) -> dict[str, str]:
+    """Full refresh of the three stored aggregates (the body of the daily
+    events): each is recomputed, written as a new version and switched to.
+    Returns the new version path of each.  Scheduling is the caller's."""
+    from . import queries as Q
+    out = {}
+    for name, (query, keys, measures) in STORED.items():
+        table = AggregateTable(star.spark, f"{root}/{name}", keys, measures)
+        out[name] = table.refresh_full(getattr(Q, query)(star))
+    return out
+
+
 # ---- registered forms ------------------------------------------------------
 
 def mv_refresh_full(star, root: str) -> DataFrame:

@@ -16,5 +16,7 @@ def test_load_query_refresh(spark, star, scratch, capsys):
     assert spark.read.parquet(f"{root}/q4").count() > 0
     assert main(["refresh", "q8_supplier_month_mv", "--warehouse", f"{root}/wh",
                  "--table", f"{root}/mv"]) == 0
+    assert main(["refresh-all", "--warehouse", f"{root}/wh", "--tables", f"{root}/tables"]) == 0
     out = capsys.readouterr().out
+    assert "supplier_performance" in out
     assert '"time_dim": 58785' in out and "/mv/v=" in out

@@ -128,3 +128,13 @@ def test_auto_compaction_keeps_the_answer(spark, star, scratch):
     full = Q.q8_supplier_month_mv(star)
     inc = t.read()
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+
+
+def test_refresh_all_three_tables(spark, star, scratch):
+    from shelfwise.plans.aggregates import STORED, refresh_all
+    root = scratch("refresh_all")
+    paths = refresh_all(star, root)
+    assert sorted(paths) == sorted(STORED)
+    for name, (query, keys, measures) in STORED.items():
+        t = AggregateTable(spark, f"{root}/{name}", keys, measures)
+        assert t.read().count() == getattr(Q, query)(star).count()

@@ -113,3 +113,22 @@ def test_replayed_ingest_batch_keeps_its_ids(spark, star, scratch):
     assert after == before
     ids = [r.time_id for r in after]
     assert ids == list(range(1, len(ids) + 1))
+
+
+def test_paced_stream_and_console_echo(spark, star, scratch, capsys):
+    """K2 pacing (processingTime trigger) and A7 console echo of loaded rows."""
+    from shelfwise.streaming.runner import stage_ranges, start_paced
+    root = scratch("paced")
+    staged = S.staged_time(star)
+    stage_ranges(spark, staged, "time_id", 2, f"{root}/source")
+    stream = spark.readStream.schema(staged.schema).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{root}/source")
+    q = start_paced(stream, S.enrich_sink(star, f"{root}/fact", echo=3),
+                    f"{root}/checkpoint", "1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{root}/fact").count() == 60000
+    out = capsys.readouterr().out
+    assert "total_sale" in out and "only showing top 3 rows" in out
