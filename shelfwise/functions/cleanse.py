@@ -44,7 +44,8 @@ def parse_order_date(raw) -> Column:
     """
     text = F.trim(_c(raw))
     parts = F.split(text, "[/ :]")
-    m, d, yy, hh, mi = (parts.getItem(i).cast("int") for i in range(5))
+    # get() and try_cast give NULL, never an ANSI error, whatever the text
+    m, d, yy, hh, mi = (F.get(parts, i).try_cast("int") for i in range(5))
     year = yy + F.when(yy >= params.TWO_DIGIT_YEAR_PIVOT, F.lit(1900)).otherwise(F.lit(2000))
     ts = F.try_make_timestamp_ntz(year, m, d, hh, mi, F.lit(0))
     return F.when(text.rlike(params.ORDER_DATE_LAYOUT), ts)
