@@ -123,9 +123,10 @@ def main() -> None:
         staged = SJ.staged_time(s_star)
         n_files = stage_ranges(spark, staged, "time_id", 10, srun.source)
         t0 = time.perf_counter()
-        srun.progress.extend(run_available(
+        progress, _ = run_available(
             spark, staged.schema, srun.source, srun.checkpoint,
-            SJ.enrich_sink(s_star, f"{s_root}/fact"), max(1, math.ceil(n_files / 10))))
+            SJ.enrich_sink(s_star, f"{s_root}/fact"), max(1, math.ceil(n_files / 10)))
+        srun.progress.extend(progress)
         t_stream = time.perf_counter() - t0
         extra["stream_enrich_sec"] = round(t_stream, 3)
         extra["stream_enrich_batches"] = srun.batches

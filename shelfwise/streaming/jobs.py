@@ -158,10 +158,20 @@ def stream_enrich_fact(star: Star, root: str) -> DataFrame:
 
 
 def stream_rate_report(star: Star, root: str) -> DataFrame:
-    """Rows per micro-batch and the arrival / service rates Spark measured."""
-    run, _ = run_enrich(star, root)
-    rows = progress_rows(run.progress)
-    return star.spark.createDataFrame(
+    """Rows per micro-batch and the arrival / service rates Spark measured,
+    recorded by a ``StreamingQueryListener`` over the whole run."""
+    from .progress import attach, detach
+    spark = star.spark
+    rec = attach(spark)
+    try:
+        run, _ = run_enrich(star, root)
+        for rid in run.run_ids:
+            rec.wait_for(rid)
+    finally:
+        detach(spark, rec)
+    runs = set(run.run_ids)
+    rows = sorted((r[1], r[2], r[3], r[4]) for r in rec.rows if r[0] in runs)
+    return spark.createDataFrame(
         rows, "batch_id long, input_rows long, input_rows_per_second double, "
               "processed_rows_per_second double")
 

@@ -22,6 +22,7 @@ class StreamRun:
     source: str
     checkpoint: str
     progress: list = field(default_factory=list)
+    run_ids: list = field(default_factory=list)
 
     @property
     def batches(self) -> int:
@@ -72,6 +73,7 @@ def run_ranges(spark: SparkSession, staged: DataFrame, key: str, n_ranges: int |
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
         run.progress.extend(q.recentProgress)
+        run.run_ids.append(str(q.runId))
     return run
 
 
@@ -86,9 +88,11 @@ def stage_ranges(spark: SparkSession, staged: DataFrame, key: str, n: int,
 
 def run_available(spark: SparkSession, schema, source: str, checkpoint: str,
                   sink: Callable[[DataFrame, int], None], files_per_batch: int,
-                  transform: Callable[[DataFrame], DataFrame] | None = None) -> list:
+                  transform: Callable[[DataFrame], DataFrame] | None = None
+                  ) -> tuple[list, str]:
     """One ``availableNow`` query over everything in ``source``, at most
-    ``files_per_batch`` files per micro-batch; returns its progress reports."""
+    ``files_per_batch`` files per micro-batch; returns its progress reports
+    and its run id."""
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", files_per_batch).parquet(source))
     if transform is not None:
@@ -99,7 +103,7 @@ def run_available(spark: SparkSession, schema, source: str, checkpoint: str,
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return list(q.recentProgress)
+    return list(q.recentProgress), str(q.runId)
 
 
 def run_staged(spark: SparkSession, staged: DataFrame, key: str, n_batches: int,
@@ -111,8 +115,10 @@ def run_staged(spark: SparkSession, staged: DataFrame, key: str, n_batches: int,
     run = StreamRun(f"{root}/source", f"{root}/checkpoint")
     n_files = stage_ranges(spark, staged, key, n_batches, run.source)
     per_batch = max(1, math.ceil(n_files / n_batches))
-    run.progress.extend(run_available(spark, staged.schema, run.source, run.checkpoint,
-                                      sink, per_batch, transform))
+    progress, run_id = run_available(spark, staged.schema, run.source, run.checkpoint,
+                                     sink, per_batch, transform)
+    run.progress.extend(progress)
+    run.run_ids.append(run_id)
     return run
 
 
