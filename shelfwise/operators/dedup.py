@@ -50,6 +50,25 @@ def new_keys_only(candidates: DataFrame, stored: DataFrame,
     return candidates.join(seen, keys, "left_anti")
 
 
+def improving_rows(candidates: DataFrame, stored: DataFrame, keys: Sequence[str],
+                   order_cols: Sequence[str]) -> DataFrame:
+    """Candidates that are new, or come earlier in the order than every stored
+    row of their key.
+
+    Keeps a first-wins table right whatever order batches arrive in: a row is
+    written only if it can still win.  The stored side is first reduced to the
+    keys of the candidates (``left_semi``, the small side broadcastable), then
+    an anti-join on the key with an ordinal comparison drops the beaten ones.
+    """
+    keys = list(keys)
+    ordinal = F.struct(*[F.col(c) for c in order_cols])
+    seen = (stored.select(*keys, ordinal.alias("_stored_ord"))
+            .join(candidates.select(*keys), keys, "left_semi"))
+    cand = candidates.withColumn("_cand_ord", ordinal)
+    cond = [cand[k] == seen[k] for k in keys] + [seen["_stored_ord"] <= cand["_cand_ord"]]
+    return cand.join(seen, cond, "left_anti").drop("_cand_ord")
+
+
 def conflicting_attributes(df: DataFrame, key: str, attr: str) -> DataFrame:
     """Keys carrying more than one distinct value of ``attr``.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar_columns, parse_order_date, to_int
-from ..operators.dedup import first_wins, new_keys_only
+from ..operators.dedup import first_wins, improving_rows
 from ..operators.surrogate import dense_key
 from ..plans.aggregates import AggregateTable
 from ..plans.fact import FACT_KEYS, compat_lookups, fact_rows_compat, fact_rows_line
@@ -178,23 +178,45 @@ def stream_rate_report(star: Star, root: str) -> DataFrame:
 
 # ---- K6: first-wins dimension on a stream ----------------------------------
 
-def stream_dim_incremental(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
-    spark = star.spark
+DIM_VALUES = ["customer_name", "gender", "product_id"]
+
+
+def dim_sink(root: str):
+    """foreachBatch body of the first-wins customer dimension.
+
+    Each batch keeps its own winners (first in the total order), then writes
+    only those that are new or earlier than what earlier batches stored for the
+    key: the stored log holds every row that can still win, and reading takes
+    the earliest per key.  The result equals the batch first-wins whatever
+    order the files arrive in; a replayed batch compares only with earlier
+    batches and rewrites its own partition."""
     dim_path = f"{root}/customer_dim"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         cands = first_wins(batch.where(F.col("customer_id").isNotNull()), ["customer_id"],
-                           RAW_ORDER, ["customer_name", "gender", "product_id"])
+                           RAW_ORDER, DIM_VALUES, keep_order=True)
         stored = _read_or_none(spark, dim_path)
         if stored is not None:
-            # only earlier batches count as "seen": a replay of this batch
-            # must not hide its own rows
-            cands = new_keys_only(cands, stored.where(F.col("batch_id") < batch_id),
-                                  ["customer_id"])
+            cands = improving_rows(cands, stored.where(F.col("batch_id") < batch_id),
+                                   ["customer_id"], RAW_ORDER)
         batch_partition_write(cands, dim_path, batch_id)
+    return sink
 
-    run_ranges(spark, staged_raw(star), "row_id", n_ranges, root, sink, parse_stream)
-    return spark.read.parquet(dim_path).drop("batch_id")
+
+def read_dim(spark, root: str) -> DataFrame:
+    """The dimension: the earliest stored row of every key."""
+    log = spark.read.parquet(f"{root}/customer_dim")
+    return first_wins(log, ["customer_id"], RAW_ORDER, DIM_VALUES)
+
+
+def stream_dim_incremental(star: Star, root: str, n_ranges: int = N_RANGES,
+                           descending: bool = False) -> DataFrame:
+    """Raw transactions streamed into the first-wins customer dimension."""
+    spark = star.spark
+    run_ranges(spark, staged_raw(star), "row_id", n_ranges, root, dim_sink(root),
+               parse_stream, descending=descending)
+    return read_dim(spark, root)
 
 
 # ---- I5 on a stream: incremental aggregate refresh -------------------------

@@ -51,14 +51,15 @@ def run_ranges(spark: SparkSession, staged: DataFrame, key: str, n_ranges: int |
                root: str, sink: Callable[[DataFrame, int], None],
                transform: Callable[[DataFrame], DataFrame] | None = None,
                max_files_per_trigger: int | None = None,
-               rows_per_batch: int | None = None) -> StreamRun:
+               rows_per_batch: int | None = None, descending: bool = False) -> StreamRun:
     """Stage ``staged`` in ranges of the dense ``key`` under ``root`` (either
     ``n_ranges`` of them or ranges of ``rows_per_batch`` rows, the reference's
     batch size); after each, run the stream once (availableNow) with ``sink``
-    as foreachBatch."""
+    as foreachBatch.  ``descending`` stages the last range first (late data)."""
     run = StreamRun(f"{root}/source", f"{root}/checkpoint")
     schema = staged.schema
-    for lo, hi in range_bounds(staged, key, n_ranges, rows_per_batch):
+    bounds = range_bounds(staged, key, n_ranges, rows_per_batch)
+    for lo, hi in (reversed(bounds) if descending else bounds):
         write_range(staged, key, lo, hi, run.source)
         reader = spark.readStream.schema(schema)
         if max_files_per_trigger:

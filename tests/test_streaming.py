@@ -35,28 +35,23 @@ def test_replayed_enrich_batch_changes_nothing(spark, star, scratch):
     assert after.drop("batch_id").distinct().count() == 60000
 
 
-def test_replayed_dimension_batch_keeps_its_rows(spark, star, scratch):
+def test_dimension_ignores_arrival_order(spark, star, scratch):
+    """Ranges staged last-first: the dimension still equals batch first-wins."""
+    from shelfwise.plans.dimensions import dim_customer
+    got = S.stream_dim_incremental(star, scratch("dim_rev"), n_ranges=3, descending=True)
+    want = dim_customer(star)
+    assert got.count() == want.count() == 1500
+    assert got.exceptAll(want).count() == 0
+
+
+def test_replayed_dimension_batch_changes_nothing(spark, star, scratch):
     root = scratch("dim")
     got = S.stream_dim_incremental(star, root, n_ranges=2)
-    assert got.count() == 1500
-    # replay the last batch by hand: its rows must stay, none may double
-    dim_path = f"{root}/customer_dim"
-    stored = spark.read.parquet(dim_path)
-    last = stored.agg(F.max("batch_id")).first()[0]
-    n_last = stored.where(F.col("batch_id") == last).count()
+    before = sorted(got.collect())
     raw = S.parse_stream(S.staged_raw(star))
     total = raw.agg(F.max("row_id")).first()[0]
-    batch = raw.where(F.col("row_id") > total // 2)
-    from shelfwise.operators.dedup import first_wins, new_keys_only
-    from shelfwise.sources.raw import RAW_ORDER
-    from shelfwise.streaming.runner import batch_partition_write
-    cands = first_wins(batch, ["customer_id"], RAW_ORDER,
-                       ["customer_name", "gender", "product_id"])
-    cands = new_keys_only(cands, stored.where(F.col("batch_id") < last), ["customer_id"])
-    batch_partition_write(cands, dim_path, last)
-    again = spark.read.parquet(dim_path)
-    assert again.where(F.col("batch_id") == last).count() == n_last
-    assert again.count() == 1500
+    S.dim_sink(root)(raw.where(F.col("row_id") > total // 2), 1)  # batch 1 again
+    assert sorted(S.read_dim(spark, root).collect()) == before
 
 
 def test_rows_per_batch(spark, star, scratch):
