@@ -99,10 +99,14 @@ def fact_load_line(star: Star) -> DataFrame:
 def write_fact(fact: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Write fact rows; with ``partition_by`` the year partitions of a rerun are
     replaced (dynamic partition overwrite), so a retried load is idempotent."""
-    w = fact.sortWithinPartitions("product_id").write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
+    if not partition_by:
+        fact.sortWithinPartitions("product_id").write.mode("overwrite").parquet(path)
+        return
+    # partition column first, so the writer keeps this order instead of
+    # re-sorting on the partition column alone
+    (fact.sortWithinPartitions(partition_by, "product_id")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_by).parquet(path))
 
 
 def fact_readback_semi(star: Star, path: str) -> DataFrame:
