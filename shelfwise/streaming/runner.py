@@ -129,7 +129,7 @@ def batch_partition_write(df: DataFrame, path: str, batch_id: int,
     from pyspark.sql import functions as F
     out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
     if sort_by:
-        out = out.sortWithinPartitions(sort_by)
+        out = out.sortWithinPartitions("batch_id", sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch_id").parquet(path))
 
