@@ -10,6 +10,7 @@ from shelfwise.sources.star import build_star
 from tests.helpers import digest, plan_text
 
 HOT = 7
+HOT_CUSTOMER = 11
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +22,10 @@ def skewed(spark):
     hot = li.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(HOT))
                         .otherwise(F.col("l_partkey")))
     hot.write.parquet(f"{root}/lineitem.parquet")
-    for t in ("orders", "part", "supplier", "nation", "customer", "region", "events"):
+    orders = spark.read.parquet(f"{src}/orders.parquet")
+    orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 1, F.lit(HOT_CUSTOMER))
+                      .otherwise(F.col("o_custkey"))).write.parquet(f"{root}/orders.parquet")
+    for t in ("part", "supplier", "nation", "customer", "region", "events"):
         spark.read.parquet(f"{src}/{t}.parquet").write.parquet(f"{root}/{t}.parquet")
     from shelfwise.session import local_path
     return root, local_path(root)
@@ -37,13 +41,13 @@ def _duck(path):
 
 
 @pytest.mark.parametrize("name", ["q1_supplier_drilldown", "q3_weekend_top5",
-                                  "q5_sigma_anomaly", "q9_compat",
-                                  "q10_entity_month_mv_compat", "q6_line"])
-def test_hot_product_exact(spark, skewed, name):
+                                  "q5_sigma_anomaly", "q9_compat", "q9_line",
+                                  "q10_entity_month_mv_compat", "q10_entity_month_mv_line",
+                                  "q6_line", "dim_customer", "fact_load_compat"])
+def test_hot_keys_exact(spark, skewed, name):
     import __spark_entry__ as E
     root, local = skewed
-    star = build_star(spark, root)
-    df = getattr(Q, name)(star)
+    df = E.queries()[name](spark, root)
     rows = [tuple(r) for r in df.collect()]
     res = _duck(local).execute(E.oracle_sql()[name])
     assert digest(df.columns, rows) == digest([d[0] for d in res.description], res.fetchall())
@@ -54,6 +58,8 @@ def test_hot_key_share(spark, skewed):
     li = spark.read.parquet(f"{root}/lineitem.parquet")
     share = li.where(F.col("l_partkey") == HOT).count() / li.count()
     assert share > 0.3
+    o = spark.read.parquet(f"{root}/orders.parquet")
+    assert o.where(F.col("o_custkey") == HOT_CUSTOMER).count() / o.count() > 0.3
 
 
 def test_partial_aggregate_before_shuffle(spark, skewed):
