@@ -31,10 +31,11 @@ from .. import params
 from ..functions import calendar_columns, clean_price, parse_order_date, to_int, within_length
 from ..operators.dedup import first_wins, first_wins_by_id
 from ..operators.surrogate import dense_key
+from .. import schemas as S
 from ..schemas import MASTER_CSV_COLUMNS, TRANSACTION_CSV_COLUMNS, csv_strings
 from ..sources.csv import CORRUPT, read_csv
 from .fact import fact_rows_line
-from .warehouse import TIME_COLS, WarehouseStar
+from .warehouse import WarehouseStar
 
 MASTER_NAMES = ("product_id", "product_name", "product_price", "supplier_id",
                 "supplier_name", "store_id", "store_name")
@@ -127,16 +128,17 @@ def load_csv_warehouse(spark: SparkSession, master_path: str, transactions_path:
     write("rejects", rejects)
 
     good_m = master.where(F.col("reason").isNull())
-    write("supplier_dim", first_wins(good_m, ["supplier_id"], ["product_id"],
-                                     ["supplier_name"]))
-    write("product_dim", first_wins(good_m, ["product_id"], ["product_id"],
-                                    ["product_name", "supplier_id", "price"]))
+    write("supplier_dim", S.conform(first_wins(good_m, ["supplier_id"], ["product_id"],
+                                               ["supplier_name"]), S.SUPPLIER_DIM))
+    write("product_dim", S.conform(first_wins(good_m, ["product_id"], ["product_id"],
+                                              ["product_name", "supplier_id", "price"]),
+                                   S.PRODUCT_DIM))
     # line grain: the store each product is sold in, from its master row
-    write("product_store", first_wins(good_m, ["product_id"], ["product_id"],
-                                      ["store_id", "store_name"]))
+    write("product_store", S.conform(first_wins(good_m, ["product_id"], ["product_id"],
+                                                ["store_id", "store_name"]), S.PRODUCT_STORE))
     # compat: one product per store (the first master row of the store)
-    write("store_dim", first_wins(good_m, ["store_id"], ["product_id"],
-                                  ["store_name", "product_id"]))
+    write("store_dim", S.conform(first_wins(good_m, ["store_id"], ["product_id"],
+                                            ["store_name", "product_id"]), S.STORE_DIM))
 
     good_t = txn.where(F.col("reason").isNull())
     cal = calendar_columns("order_date")
@@ -146,18 +148,17 @@ def load_csv_warehouse(spark: SparkSession, master_path: str, transactions_path:
                                     "day_of_week")],
         "qty", "product_id", "customer_id", "customer_name", "gender")
     keyed = dense_key(lines, TXN_ORDER, "time_id", path=f"{root}/_keys")
-    write("time_dim", keyed.select(*TIME_COLS), "year", "product_id")
+    write("time_dim", S.conform(keyed, S.TIME_DIM), "year", "product_id")
 
     wh = WarehouseStar(spark, root)
     stored = wh.lines
-    write("customer", first_wins_by_id(
+    write("customer", S.conform(first_wins_by_id(
         keyed.select("customer_id", "time_id", "customer_name", "gender"),
         ["customer_id"], "time_id", ["customer_name", "gender"]
-    ).withColumnRenamed("gender", "segment"))
+    ).withColumnRenamed("gender", "segment"), S.CUSTOMER))
     firsts = first_wins_by_id(stored, ["customer_id"], "time_id", ["product_id"])
-    write("customer_dim", firsts.join(wh.customer, "customer_id").select(
-        "customer_id", "customer_name", "segment", "product_id"))
-    write("sales_fact", fact_rows_line(wh), "year", "product_id")
+    write("customer_dim", S.conform(firsts.join(wh.customer, "customer_id"), S.CUSTOMER_DIM))
+    write("sales_fact", S.conform(fact_rows_line(wh), S.SALES_FACT), "year", "product_id")
     return counts
 
 

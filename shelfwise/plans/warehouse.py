@@ -21,12 +21,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..operators.dedup import first_wins_by_id
 from ..sources.star import Star, year_range
 from .fact import fact_rows_line
 
-TIME_COLS = ("time_id", "order_id", "line_number", "order_date", "hour", "minute", "day",
-             "year", "quarter", "month", "day_of_week", "qty", "product_id", "customer_id")
+TIME_COLS = tuple(S.TIME_DIM.fieldNames())
 
 
 def load_warehouse(star: Star, root: str) -> dict[str, int]:
@@ -53,22 +53,22 @@ def load_warehouse(star: Star, root: str) -> dict[str, int]:
     # with the order date: each task holds a contiguous run of dates, so it
     # writes into one or two year folders without another shuffle, and no
     # product, however hot, lands in a single task
-    time_dim = star.time_dim.select(*TIME_COLS)
+    time_dim = S.conform(star.time_dim, S.TIME_DIM)
     write("time_dim", time_dim, "year", "product_id")
-    write("product_dim", star.product)
-    write("supplier_dim", star.supplier)
-    write("product_store", star.product_store)
-    write("store_dim", star.store_dim)
-    write("customer", star.customer)
+    write("product_dim", S.conform(star.product, S.PRODUCT_DIM))
+    write("supplier_dim", S.conform(star.supplier, S.SUPPLIER_DIM))
+    write("product_store", S.conform(star.product_store, S.PRODUCT_STORE))
+    write("store_dim", S.conform(star.store_dim, S.STORE_DIM))
+    write("customer", S.conform(star.customer, S.CUSTOMER))
     # first line of a customer = lowest time id: the dense key already encodes
     # the total order, so the stored lines give the compat dimension by a hash
     # aggregate instead of a struct-ordered one over the raw lines
     lines = WarehouseStar(star.spark, root).lines
     firsts = first_wins_by_id(lines, ["customer_id"], "time_id", ["product_id"])
-    write("customer_dim", firsts.join(star.customer, "customer_id").select(
-        "customer_id", "customer_name", "segment", "product_id"))
+    write("customer_dim", S.conform(firsts.join(star.customer, "customer_id"),
+                                    S.CUSTOMER_DIM))
     wh = WarehouseStar(star.spark, root)
-    write("sales_fact", fact_rows_line(wh), "year", "product_id")
+    write("sales_fact", S.conform(fact_rows_line(wh), S.SALES_FACT), "year", "product_id")
     return counts
 
 

@@ -6,28 +6,6 @@ PRICE = T.DecimalType(10, 2)
 # sums are widened to 38 digits so that a 100 TB fact cannot overflow them
 MONEY = T.DecimalType(38, 2)
 
-# raw master data: one row per product line of the master file, all strings
-RAW_MASTER = T.StructType([
-    T.StructField("product_id", T.StringType()),
-    T.StructField("product_name", T.StringType()),
-    T.StructField("product_price", T.StringType()),
-    T.StructField("supplier_id", T.StringType()),
-    T.StructField("supplier_name", T.StringType()),
-    T.StructField("store_id", T.StringType()),
-    T.StructField("store_name", T.StringType()),
-])
-
-# raw transactions: one row per order line, all strings
-RAW_TXN = T.StructType([
-    T.StructField("order_id", T.StringType()),
-    T.StructField("order_date", T.StringType()),
-    T.StructField("product_id", T.StringType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("customer_name", T.StringType()),
-    T.StructField("gender", T.StringType()),
-    T.StructField("quantity", T.StringType()),
-])
-
 SUPPLIER_DIM = T.StructType([
     T.StructField("supplier_id", T.LongType(), False),
     T.StructField("supplier_name", T.StringType()),
@@ -53,10 +31,23 @@ STORE_DIM = T.StructType([
     T.StructField("product_id", T.LongType()),
 ])
 
+CUSTOMER = T.StructType([
+    T.StructField("customer_id", T.LongType(), False),
+    T.StructField("customer_name", T.StringType()),
+    T.StructField("segment", T.StringType()),
+])
+
+PRODUCT_STORE = T.StructType([
+    T.StructField("product_id", T.LongType(), False),
+    T.StructField("store_id", T.IntegerType()),
+    T.StructField("store_name", T.StringType()),
+])
+
 # the reference's Time_Dimension is really the order-line table
 TIME_DIM = T.StructType([
     T.StructField("time_id", T.LongType(), False),
     T.StructField("order_id", T.LongType()),
+    T.StructField("line_number", T.IntegerType()),
     T.StructField("order_date", T.TimestampNTZType()),
     T.StructField("hour", T.IntegerType()),
     T.StructField("minute", T.IntegerType()),
@@ -64,6 +55,7 @@ TIME_DIM = T.StructType([
     T.StructField("year", T.IntegerType()),
     T.StructField("quarter", T.IntegerType()),
     T.StructField("month", T.IntegerType()),
+    T.StructField("day_of_week", T.IntegerType()),
     T.StructField("qty", T.IntegerType()),
     T.StructField("product_id", T.LongType()),
     T.StructField("customer_id", T.LongType()),
@@ -75,8 +67,16 @@ SALES_FACT = T.StructType([
     T.StructField("time_id", T.LongType(), False),
     T.StructField("store_id", T.IntegerType(), False),
     T.StructField("total_sale", PRICE),
+    T.StructField("year", T.IntegerType()),   # partition column
 ])
 
+
+def conform(df, schema: T.StructType):
+    """The declared columns of ``schema``, in its order and with its types
+    (the DDL of the reference's tables, applied at write time)."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
 # CSV round trip of the supplier dimension; short or long rows go to _corrupt
 SUPPLIER_CSV = T.StructType([
     T.StructField("supplier_id", T.LongType()),
