@@ -71,6 +71,20 @@ def summarise(plan: str) -> dict:
     }
 
 
+APPENDIX = ("q4_quarter_pivot", "q10_entity_month_mv_compat")
+
+
+def _trim(plan: str) -> str:
+    """Drop the long metadata of scans and exchanges, keep the tree."""
+    out = []
+    for line in plan.splitlines():
+        line = re.sub(r", Location: InMemoryFileIndex[^\]]*\]", "", line)
+        line = re.sub(r"DataFilters: \[[^\]]*\], Format: Parquet, ", "", line)
+        line = re.sub(r", \[plan_id=\d+\]", "", line)
+        out.append(line.rstrip())
+    return "\n".join(out)
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     import __spark_entry__ as E
@@ -96,6 +110,10 @@ def main(argv):
               f"{s['reused']} | {s['hash_agg']} | {s['sort_agg']} | {s['partial']} | "
               f"{s['window']} | {', '.join(s['tables'])} | {'; '.join(s['pushed']) or '-'} | "
               f"{', '.join(s['flags']) or '-'} |", flush=True)
+    for name in APPENDIX:
+        print(f"\n## Executed plan: `{name}`\n\n```")
+        print(_trim(final_plan(E.queries()[name](spark, sf_dir))))
+        print("```")
     spark.stop()
 
 
