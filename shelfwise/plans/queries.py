@@ -120,35 +120,46 @@ def q6_line(star: Star) -> DataFrame:
         money(F.sum("revenue")).alias("store_total"))
 
 
-def _q7(star: Star, stores: DataFrame, store_name: str) -> DataFrame:
+def _period(by_year: bool) -> list[str]:
+    """Months of different years are merged as in the reference, unless
+    ``by_year`` keeps them apart."""
+    return ["year", "month"] if by_year else ["month"]
+
+
+def _q7(star: Star, stores: DataFrame, store_name: str, by_year: bool) -> DataFrame:
     chosen = stores.where(F.col("store_name") == store_name)
-    df = _store_product_revenue(star, chosen, ["month"])
-    return (df.groupBy("month", "product_id", "product_name")
+    period = _period(by_year)
+    df = _store_product_revenue(star, chosen, period)
+    return (df.groupBy(*period, "product_id", "product_name")
             .agg(money(F.sum("revenue")).alias("total_sales"))
-            .orderBy("product_id", "month"))
+            .orderBy("product_id", *period))
 
 
-def q7_store_slice(star: Star, store_name: str = params.STORE_NAME) -> DataFrame:
+def q7_store_slice(star: Star, store_name: str = params.STORE_NAME,
+                   by_year: bool = False) -> DataFrame:
     """Q7 (compat): slice on one store, product sales by month."""
-    return _q7(star, star.store_dim, store_name)
+    return _q7(star, star.store_dim, store_name, by_year)
 
 
-def q7_line(star: Star, store_name: str = params.STORE_NAME) -> DataFrame:
+def q7_line(star: Star, store_name: str = params.STORE_NAME,
+            by_year: bool = False) -> DataFrame:
     """Q7 at line grain."""
-    return _q7(star, star.product_store, store_name)
+    return _q7(star, star.product_store, store_name, by_year)
 
 
-def supplier_month(lines: DataFrame, star: Star) -> DataFrame:
+def supplier_month(lines: DataFrame, star: Star, by_year: bool = False) -> DataFrame:
     """Q8 body: supplier x month sales of the given lines."""
-    rev = revenue_by_product(lines, star.product, ["month"], ["supplier_id"])
+    period = _period(by_year)
+    rev = revenue_by_product(lines, star.product, period, ["supplier_id"])
     return (rev.join(star.supplier, "supplier_id")
-            .groupBy("supplier_id", "supplier_name", "month")
+            .groupBy("supplier_id", "supplier_name", *period)
             .agg(money(F.sum("revenue")).alias("monthly_sales")))
 
 
-def q8_supplier_month_mv(star: Star) -> DataFrame:
-    """Q8: supplier x month aggregate table (months of all years merged)."""
-    return supplier_month(star.lines, star)
+def q8_supplier_month_mv(star: Star, by_year: bool = False) -> DataFrame:
+    """Q8: supplier x month aggregate table (months of all years merged
+    unless ``by_year``)."""
+    return supplier_month(star.lines, star, by_year)
 
 
 def q9_compat(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> DataFrame:
@@ -180,37 +191,39 @@ def q9_line(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> DataF
             .orderBy(F.col("total_sales").desc(), "customer_id"))
 
 
-def _entity_rows(df: DataFrame, id_col: str, tag: str) -> DataFrame:
-    return df.groupBy(id_col, "month").agg(
+def _entity_rows(df: DataFrame, id_col: str, tag: str, period: list[str]) -> DataFrame:
+    return df.groupBy(id_col, *period).agg(
         money(F.sum("revenue")).alias("monthly_sales")).select(
         F.col(id_col).cast("bigint").alias("id"), F.lit(tag).alias("entity_type"),
-        F.col(id_col).cast("bigint").alias("entity_id"), "month", "monthly_sales")
+        F.col(id_col).cast("bigint").alias("entity_id"), *period, "monthly_sales")
 
 
-def entity_month(star: Star, lines: DataFrame, grain: str) -> DataFrame:
+def entity_month(star: Star, lines: DataFrame, grain: str,
+                 by_year: bool = False) -> DataFrame:
     """Q10 body: store rows and customer rows by month, one table.
 
     UNION (distinct) of the reference equals a plain union here: the tag column
     separates the branches and each branch is unique on its group key.
     """
-    rev = revenue_by_product(lines, star.product, ["month"])
+    period = _period(by_year)
+    rev = revenue_by_product(lines, star.product, period)
     if grain == "compat":
         stores = rev.join(star.store_dim.select("store_id", "product_id"), "product_id")
         custs = rev.join(star.customer_dim.select("customer_id", "product_id"), "product_id")
     else:
         stores = rev.join(star.product_store.select("store_id", "product_id"), "product_id")
-        custs = revenue_by_product(lines, star.product, ["customer_id", "month"])
-    return (_entity_rows(stores, "store_id", "Store")
-            .unionByName(_entity_rows(custs, "customer_id", "Customer")))
+        custs = revenue_by_product(lines, star.product, ["customer_id", *period])
+    return (_entity_rows(stores, "store_id", "Store", period)
+            .unionByName(_entity_rows(custs, "customer_id", "Customer", period)))
 
 
-def q10_entity_month_mv_compat(star: Star) -> DataFrame:
+def q10_entity_month_mv_compat(star: Star, by_year: bool = False) -> DataFrame:
     """Q10 (compat): stores through their one product, customers through the
     product of their first line (each customer takes that product's sales)."""
-    return entity_month(star, star.lines, "compat")
+    return entity_month(star, star.lines, "compat", by_year)
 
 
-def q10_entity_month_mv_line(star: Star) -> DataFrame:
+def q10_entity_month_mv_line(star: Star, by_year: bool = False) -> DataFrame:
     """Q10 at line grain: every line counts for its product's store and for
     its own customer."""
-    return entity_month(star, star.lines, "line")
+    return entity_month(star, star.lines, "line", by_year)

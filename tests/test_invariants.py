@@ -2,6 +2,8 @@
 
 from decimal import Decimal
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shelfwise.plans import fact, queries as Q
@@ -138,3 +140,18 @@ def test_refresh_all_three_tables(spark, star, scratch):
     for name, (query, keys, measures) in STORED.items():
         t = AggregateTable(spark, f"{root}/{name}", keys, measures)
         assert t.read().count() == getattr(Q, query)(star).count()
+
+
+@pytest.mark.parametrize("fn, keys", [
+    (Q.q8_supplier_month_mv, ["supplier_id", "supplier_name", "month"]),
+    (Q.q7_line, ["month", "product_id", "product_name"]),
+    (Q.q10_entity_month_mv_line, ["id", "entity_type", "entity_id", "month"]),
+])
+def test_by_year_adds_up_to_merged_months(star, fn, keys):
+    merged = fn(star)
+    split = fn(star, by_year=True)
+    assert "year" in split.columns and "year" not in merged.columns
+    measure = [c for c in merged.columns if c not in keys][0]
+    regrouped = split.groupBy(*keys).agg(F.sum(measure).cast("decimal(38,2)").alias(measure))
+    assert regrouped.exceptAll(merged.select(*keys, measure)).count() == 0
+    assert regrouped.count() == merged.count()
