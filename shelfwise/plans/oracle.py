@@ -411,5 +411,6 @@ QUERIES["stream_mv_refresh"] = SUPPLIER_MONTH
 QUERIES["stream_enrich_fact"] = QUERIES["fact_load_line"]
 QUERIES["stream_dim_incremental"] = QUERIES["dim_customer"]
 QUERIES["stream_fact_compat"] = FACT_COMPAT
+QUERIES["stream_q9_line"] = QUERIES["q9_line"]
 
 QUERIES["stream_microbatch_ingest"] = QUERIES["dim_time"]

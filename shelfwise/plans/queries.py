@@ -177,11 +177,20 @@ def q9_compat(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> Dat
     return top_k(agg, [F.col("total_sales").desc(), F.col("customer_id")], k)
 
 
-def q9_line(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> DataFrame:
-    """Q9 at line grain: a customer's own lines and distinct products."""
-    lines = star.lines_in_year(year)
-    per_cp = revenue_by_product(lines, star.product, ["customer_id"])
-    agg = per_cp.groupBy("customer_id").agg(
+def customer_product_year(lines: DataFrame, star: Star) -> DataFrame:
+    """Revenue per distinct (customer, product, year).
+
+    The building block of Q9 that stays additive: SUM merges across batches,
+    and a customer's distinct products are the number of its rows, so
+    COUNT DISTINCT can be refreshed incrementally from this table."""
+    rev = revenue_by_product(lines, star.product, ["customer_id", "year"])
+    return rev.select("customer_id", "product_id", "year", money(F.col("revenue")).alias("revenue"))
+
+
+def q9_from_pairs(pairs: DataFrame, star: Star, year: int = params.YEAR,
+                  k: int = params.TOP_K) -> DataFrame:
+    """Q9 at line grain from the (customer, product, year) table."""
+    agg = pairs.where(F.col("year") == year).groupBy("customer_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("unique_products"),
         money(F.sum("revenue")).alias("total_sales"))
     best = top_k(agg, [F.col("total_sales").desc(), F.col("customer_id")], k)
@@ -191,6 +200,11 @@ def q9_line(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> DataF
             .orderBy(F.col("total_sales").desc(), "customer_id"))
 
 
+def q9_line(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> DataFrame:
+    """Q9 at line grain: a customer's own lines and distinct products."""
+    return q9_from_pairs(customer_product_year(star.lines_in_year(year), star), star, year, k)
+
+
 def _entity_rows(df: DataFrame, id_col: str, tag: str, period: list[str]) -> DataFrame:
     return df.groupBy(id_col, *period).agg(
         money(F.sum("revenue")).alias("monthly_sales")).select(
