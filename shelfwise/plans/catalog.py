@@ -94,6 +94,7 @@ STREAM: dict[str, Runner] = {
     "stream_dim_incremental": _scratch(S.stream_dim_incremental, "stream_dim"),
     "stream_mv_refresh": _scratch(S.stream_mv_refresh, "stream_mv"),
     "stream_q9_line": _scratch(S.stream_q9_line, "stream_q9"),
+    "stream_csv_ingest": _scratch(S.stream_csv_ingest, "stream_csv"),
     "stream_rows_by_key": _scratch(S.stream_rows_by_key, "stream_rows_by_key"),
     "stream_rate_report": _scratch(S.stream_rate_report, "stream_rate"),
     "stream_fact_compat": _scratch(S.stream_fact_compat, "stream_fact_compat"),

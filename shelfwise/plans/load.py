@@ -77,7 +77,17 @@ def typed_master_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def typed_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
-    raw = _read(spark, path, TRANSACTION_CSV_COLUMNS, TXN_NAMES)
+    return type_transactions(_read(spark, path, TRANSACTION_CSV_COLUMNS, TXN_NAMES))
+
+
+def rename_transactions(raw: DataFrame) -> DataFrame:
+    """Header names of the transaction file -> snake_case (and ``_corrupt``)."""
+    return raw.select(*[F.col(f"`{c}`").alias(n)
+                        for c, n in zip(TRANSACTION_CSV_COLUMNS, TXN_NAMES)], F.col(CORRUPT))
+
+
+def type_transactions(raw: DataFrame) -> DataFrame:
+    """Typed transaction columns and the reject reason (NULL when good)."""
     df = raw.select(
         to_int("order_id").alias("order_id"), "order_date_text",
         parse_order_date("order_date_text").alias("order_date"),

@@ -397,6 +397,18 @@ JOIN master p ON p.product_id = t.product_id
 LEFT JOIN product_store ps ON ps.product_id = t.product_id
 """
 
+QUERIES["stream_csv_ingest"] = STAR + """
+SELECT row_number() OVER (ORDER BY order_ts, order_id, product_id, customer_id, qty,
+                                   customer_name, gender) AS time_id,
+       order_id, CAST(NULL AS INTEGER) AS line_number, order_ts AS order_date,
+       CAST(hour(order_ts) AS INTEGER) AS hour, CAST(minute(order_ts) AS INTEGER) AS minute,
+       CAST(day(order_ts) AS INTEGER) AS day, CAST(year(order_ts) AS INTEGER) AS year,
+       CAST(quarter(order_ts) AS INTEGER) AS quarter, CAST(month(order_ts) AS INTEGER) AS month,
+       CAST(dayofweek(order_ts) + 1 AS INTEGER) AS day_of_week,
+       qty, product_id, customer_id
+FROM parsed_txn WHERE order_ts IS NOT NULL
+"""
+
 QUERIES["stream_rows_by_key"] = STAR + """
 SELECT product_id, count(*) AS n_entries, min(customer_id) AS first_customer_id,
        max(customer_id) AS last_customer_id

@@ -28,6 +28,7 @@ EXPECTED_ROWS = {
     "dim_product": 2000, "dim_store": 25, "stream_dim_incremental": 1500,
     "fact_readback_semi": 1500, "load_audit_counts": 5, "stream_fact_compat": 1500,
     "csv_load_fact": 58785, "stream_q9_line": 5,
+    "stream_csv_ingest": 58785,
 }
 
 

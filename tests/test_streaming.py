@@ -127,3 +127,26 @@ def test_paced_stream_and_console_echo(spark, star, scratch, capsys):
     assert spark.read.parquet(f"{root}/fact").count() == 60000
     out = capsys.readouterr().out
     assert "total_sale" in out and "only showing top 3 rows" in out
+
+
+def test_csv_stream_rejects_broken_lines(spark, star, scratch):
+    from shelfwise.session import local_path
+    from shelfwise.sources.csv import write_csv
+    from shelfwise.sources.raw import transaction_csv_rows
+    from tests.test_csv_load import BROKEN_TXN
+    root = scratch("csv_stream")
+    landing = f"{root}/landing"
+    write_csv(transaction_csv_rows(star), landing)
+    with open(local_path(landing) + "/zz-broken.csv", "w") as fh:
+        fh.write(BROKEN_TXN)
+    progress = S.ingest_csv_stream(spark, landing, root, files_per_batch=1)
+    assert sum(1 for p in progress if (p.numInputRows or 0) > 0) >= 2
+    lines = spark.read.parquet(f"{root}/lines")
+    rejects = spark.read.parquet(f"{root}/rejects")
+    assert lines.count() == 58785 + 0
+    reasons = sorted(r.reason for r in rejects.where(F.col("order_id").isin(1, 2, 3, 4)
+                                                      | F.col("order_id").isNull()).collect())
+    assert "malformed line" in reasons and "gender longer than 10" in reasons
+    assert rejects.count() == 1215 + 5
+    ids = sorted(r.time_id for r in lines.select("time_id").collect())
+    assert ids == list(range(1, len(ids) + 1))
