@@ -212,9 +212,15 @@ def q9_line(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> DataF
     return q9_from_pairs(customer_product_year(star.lines_in_year(year), star), star, year, k)
 
 
-def _entity_rows(df: DataFrame, id_col: str, tag: str, period: list[str]) -> DataFrame:
-    return df.groupBy(id_col, *period).agg(
-        money(F.sum("revenue")).alias("monthly_sales")).select(
+def _entity_rows(df: DataFrame, id_col: str, tag: str, period: list[str],
+                 unique: bool = False) -> DataFrame:
+    """Rows of one Q10 branch.  ``unique``: ``df`` already holds one row per
+    (id, period), so no aggregate (and no shuffle) is needed."""
+    if unique:
+        totals = df.select(id_col, *period, money(F.col("revenue")).alias("monthly_sales"))
+    else:
+        totals = df.groupBy(id_col, *period).agg(money(F.sum("revenue")).alias("monthly_sales"))
+    return totals.select(
         F.col(id_col).cast("bigint").alias("id"), F.lit(tag).alias("entity_type"),
         F.col(id_col).cast("bigint").alias("entity_id"), *period, "monthly_sales")
 
@@ -229,13 +235,17 @@ def entity_month(star: Star, lines: DataFrame, grain: str,
     period = _period(by_year)
     rev = revenue_by_product(lines, star.product, period)
     if grain == "compat":
+        # a compat store and a compat customer each map to exactly one product,
+        # so revenue per (product, period) is already one row per (id, period)
         stores = rev.join(star.store_dim.select("store_id", "product_id"), "product_id")
         custs = rev.join(star.customer_dim.select("customer_id", "product_id"), "product_id")
+        unique = True
     else:
         stores = rev.join(star.product_store.select("store_id", "product_id"), "product_id")
         custs = revenue_by_product(lines, star.product, ["customer_id", *period])
-    return (_entity_rows(stores, "store_id", "Store", period)
-            .unionByName(_entity_rows(custs, "customer_id", "Customer", period)))
+        unique = False
+    return (_entity_rows(stores, "store_id", "Store", period, unique)
+            .unionByName(_entity_rows(custs, "customer_id", "Customer", period, unique)))
 
 
 def q10_entity_month_mv_compat(star: Star, by_year: bool = False) -> DataFrame:
