@@ -73,3 +73,10 @@ def test_fact_total(csv_wh):
     from decimal import Decimal
     wh, _ = csv_wh
     assert wh.sales_fact.agg(F.sum("total_sale")).first()[0] == Decimal("1447849638.00")
+
+
+def test_loaded_mappings_are_unique(csv_wh):
+    wh, _ = csv_wh
+    for df, key in ((wh.store_dim, "store_id"), (wh.customer_dim, "customer_id"),
+                    (wh.product_store, "product_id")):
+        assert df.groupBy(key).count().where(F.col("count") > 1).count() == 0

@@ -155,3 +155,11 @@ def test_by_year_adds_up_to_merged_months(star, fn, keys):
     regrouped = split.groupBy(*keys).agg(F.sum(measure).cast("decimal(38,2)").alias(measure))
     assert regrouped.exceptAll(merged.select(*keys, measure)).count() == 0
     assert regrouped.count() == merged.count()
+
+
+def test_mapping_uniqueness_the_plans_rely_on(star):
+    """Q6, Q9 compat and Q10 compat skip a re-aggregation because each compat
+    store and customer maps to one product and each product to one store."""
+    for df, key in ((star.store_dim, "store_id"), (star.customer_dim, "customer_id"),
+                    (star.product_store, "product_id")):
+        assert df.groupBy(key).count().where(F.col("count") > 1).count() == 0
