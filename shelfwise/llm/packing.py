@@ -219,8 +219,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int
         encode, end = encoder(tokenizer).ids, np.array([end_id], "<u4").tobytes()
         for docs, texts in batches:
             rows = []
-            for doc, text in zip(docs, texts):
-                ids = encode(text) + end
+            for doc, ids in zip(docs, encode(texts)):
+                ids += end
                 for k in range(0, len(ids), step):
                     part = ids[k:k + step]
                     rows.append((doc, k // step, k // 4, len(part) // 4, zlib.crc32(part),

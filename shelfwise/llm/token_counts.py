@@ -63,11 +63,10 @@ def section_tokens(docs: DataFrame, tokenizer: str, sections: Callable[[str], li
     def count(batches: Iterator[list]) -> Iterator[list[tuple]]:
         enc = encoder(tokenizer)
         for ids, texts in batches:
-            rows = []
-            for doc, text in zip(ids, texts):
-                text = text or ""
+            rows, texts = [], [t or "" for t in texts]
+            for doc, text, spans in zip(ids, texts, enc.token_spans(texts)):
                 begin = np.array(sections(text), dtype=np.int64)
-                tokens, crossing = allocate(*enc.token_spans(text), begin, rule)
+                tokens, crossing = allocate(*spans, begin, rule)
                 sizes = np.diff(np.append(begin, len(text)))
                 rows += [(doc, k, *x) for k, x in enumerate(zip(
                     begin.tolist(), sizes.tolist(), tokens.tolist(), crossing.tolist()))]

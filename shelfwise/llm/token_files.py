@@ -59,8 +59,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str)
         end = np.array([end_id], kind).tobytes()
         for keys, texts in batches:
             shards = shard_of(keys, bounds).tolist()
-            yield [(k, s, np.frombuffer(enc.ids(t), "<u4").astype(kind).tobytes() + end)
-                   for k, s, t in zip(keys, shards, texts)]
+            yield [(k, s, np.frombuffer(ids, "<u4").astype(kind).tobytes() + end)
+                   for k, s, ids in zip(keys, shards, enc.ids(texts))]
 
     def write(batches: Iterator[list]) -> Iterator[list[tuple]]:
         files, path = open_folder(folder)

@@ -1,114 +1,138 @@
 """Encoding of whole texts with a ``tokenizers`` file, one distinct word at a time.
 
-The ids always come from the tokenizers library.  For a tokenizer whose
-pre-tokenizer never lets a token span white space and drops it (such as
-word_bpe_49k), encoding a text equals encoding its words one after another, so
-a worker keeps the ids of the words it has met.  The store is bounded and is
-emptied when full; it changes the time taken, never the ids.
+The ids always come from the tokenizers library.  For a tokenizer that lower-cases
+and whose pre-tokenizer drops white space, so that no token spans it (such as
+word_bpe_49k), encoding a text equals encoding its lower-cased words one after
+another.  So a group of texts is split in Arrow, its distinct words are looked up
+among those that the worker has met, and the tokens are gathered with numpy.  The
+store is bounded and is emptied when full; it changes the time taken, never the
+ids.
 """
 
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: All of these are white space for the tokenizer; other white space stays
-#: inside a "word" and is handled by the tokenizer itself.
-_SPACES = str.maketrans("\n\r\t\v\f", "     ")
-#: A word of plain Latin letters with punctuation behind it: both are always
-#: separate pre-tokens, and lower-casing maps its letters one to one.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:#%&*$|()-]*)\Z")
+_BLANK = b"\t\n\v\f\r"
+#: ASCII white space as a space; for Latin-1 also lower case, one to one.
+_SPACED = bytes(32 if c in _BLANK else c for c in range(256))
+_LATIN = bytes(c + 32 if 65 <= c <= 90 or 192 <= c <= 222 and c != 215 else _SPACED[c] for c in range(256))
+_LETTERS = frozenset(bytes([c]) for c in [*range(97, 123), *range(223, 247), *range(248, 256)])
+_STOPS = frozenset(bytes([c]) for c in b".,!?;:")
+#: A group of texts ends after so many characters.
+_GROUP = 4_000_000
 
 
 class WordEncoder:
     """Ids (and character spans) of texts; see the module's docstring."""
 
-    def __init__(self, path: str, max_words: int = 400_000, max_cores: int = 1_000_000):
+    def __init__(self, path: str, most: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.max_words, self.max_cores = max_words, max_cores
-        self.words: dict[str, bytes] = {}   # word -> its ids, little-endian uint32
-        self.cores: dict[str, bytes] = {}   # lower-cased letters or punctuation -> ids
-        self.spans: dict[str, bytes] = {}   # word -> (start, end) of its tokens, int32
-
-    def _plain(self, text: str) -> bool:
-        return not any(s in text for s in self.specials)
-
-    def _learn(self, missing: list[str]) -> None:
-        parts, wanted = {}, {}
-        for w in missing:
-            m = _PLAIN.match(w)
-            parts[w] = (m[1].lower(), m[2]) if m else (w, "")
-            for p in parts[w]:
-                if p and p not in self.cores:
-                    wanted[p] = None
-        if wanted:
-            if len(self.cores) + len(wanted) > self.max_cores:
-                self.cores = {}
-                wanted = dict.fromkeys(p for ps in parts.values() for p in ps if p)
-            self.cores |= self._encode_all(list(wanted))
-        self.cores[""] = b""
-        self.words |= {w: self.cores[a] + self.cores[b] for w, (a, b) in parts.items()}
-
-    def _encode_all(self, words: list[str]) -> dict[str, bytes]:
-        e = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        ids = np.array(e.ids, dtype="<u4").tobytes()
-        cut = np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(words) + 1))
-        cut = (4 * cut).tolist()
-        return {w: ids[cut[k]:cut[k + 1]] for k, w in enumerate(words)}
-
-    def ids(self, text: str | None) -> bytes:
-        """Ids of the whole text as little-endian uint32 (None: none)."""
-        if not text:
-            return b""
-        if not self._plain(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words = text.translate(_SPACES).split(" ")
-        known = self.words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > self.max_words:
-                self.words = {}
-            self._learn(list({w for w in words if w not in self.words}))
-            known = self.words
-            return b"".join([known[w] for w in words])
-
-    def token_spans(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Start and end (code points) of every token of the whole text."""
-        none = np.empty(0, np.int64)
-        if not text:
-            return none, none
-        if not self._plain(text):
-            spans = np.array(self.tokenizer.encode(text, add_special_tokens=False).offsets,
-                             dtype=np.int64).reshape(-1, 2)
-            return spans[:, 0], spans[:, 1]
-        words = text.translate(_SPACES).split(" ")
-        if len(self.spans) > self.max_words:
-            self.spans = {}
-        missing = list({w for w in words if w not in self.spans})
-        if missing:
-            self._learn_spans(missing)
-        at = np.zeros(len(words), dtype=np.int64)
-        np.cumsum([len(w) + 1 for w in words[:-1]], out=at[1:])
-        found = [self.spans[w] for w in words]
-        base = np.repeat(at, [len(s) >> 3 for s in found])
-        flat = np.frombuffer(b"".join(found), dtype=np.int32).reshape(-1, 2)
-        return flat[:, 0] + base, flat[:, 1] + base
-
-    def _learn_spans(self, words: list[str]) -> None:
-        e = self.tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        flat = np.array(e.offsets, dtype=np.int32).reshape(-1, 2)
-        cut = np.searchsorted(np.array(e.word_ids, dtype=np.int64),
-                              np.arange(len(words) + 1)).tolist()
-        for k, w in enumerate(words):
-            self.spans[w] = flat[cut[k]:cut[k + 1]].tobytes()
+        self.most = most
+        #: By what is asked for and the words' coding: word -> little-endian uint32
+        #: ids, or the int32 (start, end) of its tokens.
+        self.known: dict[tuple[str, str], dict[bytes, bytes]] = {}
+
+    def _look_up(self, words: list[bytes], what: str, coding: str) -> list[bytes]:
+        """Tokens of distinct words; a Latin word and the stop behind it are kept apart."""
+        known = self.known.setdefault((what, coding), {})
+        if len(known) > self.most:
+            known.clear()
+        cores = words if coding != "latin-1" else [
+            w[:-1] if w[-1:] in _STOPS and w[-2:-1] in _LETTERS else w for w in words]
+        found = list(map(known.get, cores))
+        if None in found or not known:
+            missing = {w for w, f in zip(cores, found) if f is None} | _STOPS - known.keys()
+            e = self.tokenizer.encode([w.decode(coding, "replace") for w in missing], is_pretokenized=True,
+                                      add_special_tokens=False)
+            cut = np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(missing) + 1))
+            flat, size = (np.array(e.ids, "<u4"), 4) if what == "ids" else (np.array(e.offsets, "<i4"), 8)
+            flat, cut = flat.tobytes(), (size * cut).tolist()
+            for k, w in enumerate(missing):
+                known[w] = flat[cut[k]:cut[k + 1]]
+            found = [known[w] if f is None else f for w, f in zip(cores, found)]
+        if coding != "latin-1":
+            return found
+        if what == "ids":
+            return [f if c is w else f + known[w[-1:]] for w, c, f in zip(words, cores, found)]
+        return [f if c is w else f + np.array([len(c), len(w)], "<i4").tobytes()
+                for w, c, f in zip(words, cores, found)]
+
+    def _gather(self, texts: list[bytes], what: str, coding: str):
+        """(tokens, their number by text, words' places by token) of spaced-out texts."""
+        words = pc.split_pattern(pa.array(texts, pa.binary()), b" ")
+        of_text = np.diff(words.offsets.to_numpy())
+        coded = words.values.dictionary_encode()
+        distinct, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = self._look_up(distinct, what, coding)
+        size = 4 if what == "ids" else 8
+        count = np.array([len(f) for f in found], dtype=np.int64) // size
+        begin, n = (np.cumsum(count) - count)[index], count[index]
+        before = np.cumsum(n) - n
+        at = np.repeat(begin - before, n) + np.arange(int(n.sum()))
+        tokens = np.frombuffer(b"".join(found), "<u4" if what == "ids" else "<i8")[at]
+        by_text = np.add.reduceat(np.append(n, 0), np.append(0, np.cumsum(of_text)[:-1])) if len(texts) else n
+        if what == "ids":
+            return tokens, by_text, None
+        wide = np.array([len(w.decode(coding, "replace")) for w in distinct], dtype=np.int64)[index] + 1
+        place = np.cumsum(wide) - wide
+        first = np.cumsum(of_text) - of_text
+        return tokens, by_text, np.repeat(place - np.repeat(place[first], of_text), n)
+
+    def _groups(self, texts: list[str]) -> Iterator[list[str]]:
+        group, size = [], 0
+        for t in texts:
+            group.append(t)
+            size += len(t)
+            if size >= _GROUP:
+                yield group
+                group, size = [], 0
+        if group:
+            yield group
+
+    def _each(self, texts: list[str], what: str) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        for group in self._groups(texts):
+            out, coded = [None] * len(group), {"latin-1": ([], []), "utf-8": ([], [])}
+            for k, t in enumerate(group):
+                if any(s in t for s in self.specials):  # encoded as it is
+                    e = self.tokenizer.encode(t, add_special_tokens=False)
+                    out[k] = ((np.array(e.ids, "<u4"), None) if what == "ids" else
+                              (np.array(e.offsets, "<i4").reshape(-1, 2).view("<i8")[:, 0], 0))
+                    continue
+                try:
+                    raw, coding = t.encode("latin-1").translate(_LATIN), "latin-1"
+                except UnicodeEncodeError:
+                    raw, coding = t.encode("utf-8", "replace").translate(_SPACED), "utf-8"
+                coded[coding][0].append(k)
+                coded[coding][1].append(raw)
+            for coding, (numbers, raw) in coded.items():
+                if raw:
+                    tokens, n, places = self._gather(raw, what, coding)
+                    end = np.cumsum(n).tolist()
+                    for k, a, b in zip(numbers, [0, *end], end):
+                        out[k] = tokens[a:b], None if places is None else places[a:b]
+            yield from out
+
+    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each whole text as little-endian uint32 (None: no ids)."""
+        for tokens, _ in self._each([t or "" for t in texts], "ids"):
+            yield tokens.tobytes()
+
+    def token_spans(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Start and end (code points) of every token of each whole text."""
+        for tokens, place in self._each(texts, "spans"):
+            pairs = np.ascontiguousarray(tokens).view("<i4").reshape(-1, 2).astype(np.int64)
+            yield pairs[:, 0] + place, pairs[:, 1] + place
 
 
 @lru_cache(maxsize=2)
