@@ -62,13 +62,22 @@ def admissible(size: int, threshold: float) -> range:
                  math.ceil(size * (2 - threshold) / threshold) + 1)
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct word bigrams of a normalised text."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), " ")
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-                       F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                       lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(pairs)
+def unit_words(text: Column) -> Column:
+    """Words of the normalised units of a text: the whole text (of several lines), then its lines."""
+    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")  # line ends stay
+    lines = F.split(plain, "\n")
+    whole = F.when(F.size(lines) > 1, F.regexp_replace(plain, r"[ \n]+", " "))
+    return F.transform(F.concat(F.array(whole), lines), lambda u: F.split(F.trim(u), " "))
+
+
+def bigrams(words: Column, most: int) -> Column:
+    """Distinct bigrams of a unit's words; NULL if there must be more than ``most``.
+
+    With d distinct words there are d - 1 distinct bigrams at least.
+    """
+    rest = F.greatest(F.size(words) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(words, 1, rest), F.slice(words, 2, rest), lambda a, b: F.concat_ws(" ", a, b))
+    return F.when(F.size(F.array_distinct(words)) - 1 <= most, F.array_distinct(pairs))
 
 
 def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES,
@@ -85,12 +94,9 @@ def license_matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES,
     # bounded by the number and sizes of the templates
     known = F.broadcast(spark.createDataFrame(
         listed, "n_bigrams int, license_id string, n_template int, template array<string>"))
-    lines = F.split("text", "\n")
-    units = F.when(F.size(lines) > 1, F.concat(F.array("text"), lines)).otherwise(
-        F.concat(F.array(F.lit(None).cast("string")), lines))
     most = max((n for n, *_ in listed), default=0)
-    found = (docs.select("doc_id", F.posexplode(units).alias("unit", "body")).where("body IS NOT NULL")
-             .select("doc_id", "unit", bigrams(F.col("body")).alias("own"))
+    own = F.transform(unit_words(F.col("text")), lambda words: bigrams(words, most))
+    found = (docs.select("doc_id", F.posexplode(own).alias("unit", "own"))
              .withColumn("n_bigrams", F.size("own")).where(F.col("n_bigrams").between(1, most))
              .join(known, "n_bigrams")
              .withColumn("n_shared", F.size(F.array_intersect("own", "template"))))
