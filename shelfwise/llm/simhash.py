@@ -182,7 +182,9 @@ def near_components(signatures: DataFrame, key: str, radius: int = 2) -> DataFra
     least = (member.join(nodes, member.node == nodes.fp)
              .groupBy("root").agg(F.min("own").alias("of_root")))
     placed = member.join(least, "root").select(F.col("node").alias("fp"), "of_root")
-    return nodes.join(placed, "fp", "left").select("fp", F.coalesce("of_root", "own").alias("least"))
+    # stored, so that a join with the rows has two plain sides and a hot fingerprint can be split
+    return stored(nodes.join(placed, "fp", "left").select("fp", F.coalesce("of_root", "own").alias("least")),
+                  "simhash_least")
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
