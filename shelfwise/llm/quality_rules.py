@@ -170,10 +170,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Trees:
         for b in batches:
             yield pd.DataFrame({"label": b["label"], "x": [statistics(t)[1] for t in b["text"]]})
 
-    sample = labelled_sample(docs, labels, rows).orderBy("doc_id")
+    sample = labelled_sample(docs, labels, rows)
     got = sample.mapInPandas(stats, "label int, x array<double>").toPandas()
     x = np.array(got["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
-    order = np.lexsort(x.T)  # the order of rows must not matter
+    order = np.lexsort([got["label"], *x.T])  # the order of rows must not matter
     monotone = np.array([MONOTONE.get(f, 0) for f in FEATURES])
     return grow_trees(x[order], got["label"].to_numpy(dtype=float)[order], monotone)
 
