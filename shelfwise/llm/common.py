@@ -53,21 +53,19 @@ def row_hash(*cols: str):
 def shard_bounds(ids: DataFrame, key: str, rows_per_shard: int) -> list[int | None]:
     """The smallest key of each shard when ``key`` is cut into ranges of rows.
 
-    Only the key column is shuffled.  The list has at most ``MAX_SHARDS``
-    entries; NULL keys sort first, so only the first entry may be None.
+    Only the key column is shuffled: each task sorts a range of keys and names
+    every ``rows_per_shard``-th one.  There are about ``MAX_SHARDS`` bounds at
+    most, the shards being larger beyond that.  NULL keys sort first, so only the
+    first bound may be None.
     """
     n = ids.count()
-    if not n:
-        return []
-    parts = max(1, min(MAX_SHARDS, -(-n // rows_per_shard)))
-    firsts = (ids.select(key).repartitionByRange(parts, F.col(key).asc_nulls_first())
-              .groupBy(F.spark_partition_id().alias("_p"))
-              .agg(F.min(key).alias("lo"), F.max(F.col(key).isNull()).alias("has_null")))
-    rows = firsts.select("lo", "has_null").collect()  # one row per shard
-    out: list[int | None] = sorted(r.lo for r in rows if r.lo is not None and not r.has_null)
-    if any(r.has_null for r in rows):
-        out = [None, *out]
-    return out
+    step = max(rows_per_shard, -(-n // MAX_SHARDS))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ascending = F.col(key).asc_nulls_first()
+    rows = (ids.select(key).repartitionByRange(ascending).sortWithinPartitions(ascending)
+            .withColumn("_place", place).where(F.col("_place") % step == 0).select(key).collect())
+    found = {r[0] for r in rows}
+    return [None] * (None in found) + sorted(found - {None})
 
 
 def shard_of(keys: Iterable, bounds: list[int | None]) -> np.ndarray:

@@ -104,7 +104,7 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - k] + after[:k]
 
 
-def with_next(docs: DataFrame, per_row, fields: str, rows_per_shard: int = 512) -> DataFrame:
+def with_next(docs: DataFrame, per_row, fields: str, rows_per_shard: int = 128) -> DataFrame:
     """Run ``per_row(doc_id, text, next_text)`` over all rows in ascending doc_id order.
 
     Rows are dealt to ranges of doc_id; the first row of each range also goes to

@@ -30,7 +30,7 @@ from ..session import new_scratch
 from .common import MAX_SHARDS, map_rows, shard_bounds, shard_of, stored
 from .tokenizing import encoder
 
-ROWS_PER_SHARD, BUCKET, _LEVELS = 1024, 4096, 64
+ROWS_PER_SHARD, BUCKET, _LEVELS = 4096, 4096, 64
 #: Fixed constants of the 64-bit murmur finaliser.
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
 
