@@ -1,8 +1,8 @@
 """DuckDB statements that answer the same questions on the same parquet
 tables (views ``lineitem``, ``orders``, ... are registered by the caller).
 
-They are written plainly, line grain joins and all, so that they check the
-pre-aggregated Spark plans rather than repeat them.  Column names and types
+They are written from the questions, by other steps than the Spark plans, so
+that they check them rather than repeat them.  Column names and types
 match the Spark results: money as DECIMAL(38,2), counts and unit sums as
 BIGINT, calendar parts as INTEGER.
 """
@@ -79,163 +79,149 @@ master AS (
 )
 """
 
-M = "CAST(sum(t.qty * p.price) AS DECIMAL(38,2))"
+# Each question is asked of one table of sales (a line with its revenue) or of a
+# small summary of it by product; names and owners are attached afterwards.
+SALES = STAR + """
+, sold AS (
+  SELECT product_id, customer_id, supplier_id, year, quarter, month, day_of_week, qty,
+         qty * price AS revenue
+  FROM lines JOIN product USING (product_id)
+),
+month_of_product AS (
+  SELECT product_id, month, sum(revenue) AS revenue FROM sold GROUP BY product_id, month
+),
+whole_product AS (
+  SELECT product_id, sum(revenue) AS revenue FROM month_of_product GROUP BY product_id
+)
+"""
+
 Y = params.YEAR
 SUP = params.SUPPLIER_NAME
 STORE = params.STORE_NAME
 
+
+def _money(value: str, name: str) -> str:
+    return f"CAST({value} AS DECIMAL(38,2)) AS {name}"
+
+
 QUERIES: dict[str, str] = {}
 
-QUERIES["q1_supplier_drilldown"] = STAR + f"""
-SELECT s.supplier_id, s.supplier_name, t.year, t.quarter, t.month, {M} AS total_sales
-FROM supplier_d s JOIN product p ON s.supplier_id = p.supplier_id
-JOIN lines t ON p.product_id = t.product_id
-GROUP BY s.supplier_id, s.supplier_name, t.quarter, t.month, t.year
-ORDER BY s.supplier_id, t.year, t.quarter, t.month
-"""
-
-QUERIES["q2_rollup_compat"] = STAR + f"""
-SELECT p.product_id, p.product_name, t.month, s.supplier_id, s.supplier_name,
-       {M} AS total_sales,
-       CAST(GROUPING(p.product_id, p.product_name, t.month, s.supplier_id, s.supplier_name) AS INTEGER) AS gid
-FROM product p JOIN supplier_d s ON p.supplier_id = s.supplier_id
-JOIN lines t ON p.product_id = t.product_id
-WHERE s.supplier_name = '{SUP}' AND t.year = {Y}
-GROUP BY ROLLUP (p.product_id, p.product_name, t.month, s.supplier_id, s.supplier_name)
-ORDER BY p.product_id NULLS FIRST, t.month NULLS FIRST
-"""
-
-QUERIES["q2_grouping_sets"] = STAR + f"""
-SELECT p.product_id, p.product_name, t.month, {M} AS total_sales,
-       CAST(GROUPING(p.product_id, p.product_name, t.month) AS INTEGER) AS gid
-FROM product p JOIN supplier_d s ON p.supplier_id = s.supplier_id
-JOIN lines t ON p.product_id = t.product_id
-WHERE s.supplier_name = '{SUP}' AND t.year = {Y}
-GROUP BY GROUPING SETS ((p.product_id, p.product_name, t.month),
-                        (p.product_id, p.product_name), ())
-ORDER BY p.product_id NULLS FIRST, t.month NULLS FIRST
-"""
-
-QUERIES["q3_weekend_top5"] = STAR + f"""
-SELECT p.product_id, p.product_name, CAST(sum(t.qty) AS BIGINT) AS total_quantity
-FROM product p JOIN lines t ON p.product_id = t.product_id
-WHERE t.day_of_week IN (1, 7)
-GROUP BY p.product_id, p.product_name
-ORDER BY total_quantity DESC, p.product_id
-LIMIT {params.TOP_K}
-"""
-
-QUERIES["q4_quarter_pivot"] = STAR + f"""
-SELECT p.product_id, p.product_name,
-       CAST(sum(CASE WHEN t.quarter = 1 THEN t.qty ELSE 0 END) AS BIGINT) AS q1,
-       CAST(sum(CASE WHEN t.quarter = 2 THEN t.qty ELSE 0 END) AS BIGINT) AS q2,
-       CAST(sum(CASE WHEN t.quarter = 3 THEN t.qty ELSE 0 END) AS BIGINT) AS q3,
-       CAST(sum(CASE WHEN t.quarter = 4 THEN t.qty ELSE 0 END) AS BIGINT) AS q4,
-       CAST(sum(t.qty) AS BIGINT) AS yearly_total
-FROM product p JOIN lines t ON p.product_id = t.product_id
-WHERE t.year = {Y}
-GROUP BY p.product_id, p.product_name
-ORDER BY p.product_id
-"""
-
-QUERIES["q5_sigma_anomaly"] = STAR + f"""
-SELECT product_id, product_name, total_sales FROM (
-  SELECT p.product_id, p.product_name, {M} AS total_sales,
-         avg(CAST({M} AS DOUBLE)) OVER () AS mean_total_sales,
-         stddev_samp(CAST({M} AS DOUBLE)) OVER () AS sd_total_sales
-  FROM product p JOIN lines t ON p.product_id = t.product_id
-  GROUP BY p.product_id, p.product_name
-) sub
-WHERE abs(CAST(total_sales AS DOUBLE) - mean_total_sales) > {params.SIGMA} * sd_total_sales
-ORDER BY product_id
-"""
-
-QUERIES["q6_store_product_mv"] = STAR + f"""
-SELECT s.store_id, p.product_id, {M} AS store_total
-FROM store_dim s JOIN product p ON s.product_id = p.product_id
-JOIN lines t ON p.product_id = t.product_id
-GROUP BY s.store_id, p.product_id
-"""
-
-QUERIES["q6_line"] = STAR + f"""
-SELECT s.store_id, p.product_id, {M} AS store_total
-FROM product_store s JOIN product p ON s.product_id = p.product_id
-JOIN lines t ON p.product_id = t.product_id
-GROUP BY s.store_id, p.product_id
-"""
-
-QUERIES["q7_store_slice"] = STAR + f"""
-SELECT t.month, p.product_id, p.product_name, {M} AS total_sales
-FROM store_dim s JOIN product p ON s.product_id = p.product_id
-JOIN lines t ON p.product_id = t.product_id
-WHERE s.store_name = '{STORE}'
-GROUP BY t.month, p.product_id, p.product_name
-"""
-
-QUERIES["q7_line"] = STAR + f"""
-SELECT t.month, p.product_id, p.product_name, {M} AS total_sales
-FROM product_store s JOIN product p ON s.product_id = p.product_id
-JOIN lines t ON p.product_id = t.product_id
-WHERE s.store_name = '{STORE}'
-GROUP BY t.month, p.product_id, p.product_name
-"""
-
-SUPPLIER_MONTH = STAR + f"""
-SELECT s.supplier_id, s.supplier_name, t.month, {M} AS monthly_sales
-FROM supplier_d s JOIN product p ON s.supplier_id = p.supplier_id
-JOIN lines t ON p.product_id = t.product_id
-GROUP BY s.supplier_id, s.supplier_name, t.month
+QUERIES["q1_supplier_drilldown"] = SALES + f"""
+, cell AS (SELECT supplier_id, year, quarter, month, sum(revenue) AS revenue FROM sold GROUP BY ALL)
+SELECT supplier_id, supplier_name, year, quarter, month, {_money("revenue", "total_sales")}
+FROM cell JOIN supplier_d USING (supplier_id)
+"""
+
+_OF_SUPPLIER = SALES + f"""
+, mine AS (
+  SELECT product_id, product_name, month, supplier_id, supplier_name, revenue
+  FROM (SELECT * FROM sold WHERE year = {Y}) JOIN product USING (product_id, supplier_id)
+       JOIN (SELECT * FROM supplier_d WHERE supplier_name = '{SUP}') USING (supplier_id)
+)
+"""
+
+
+def _levels(columns: list[str], kept: list[int]) -> str:
+    """One SELECT per level: the first k columns stay, the others are NULL and set their bit."""
+    parts = []
+    for k in kept:
+        shown = [c if n < k else f"NULL AS {c}" for n, c in enumerate(columns)]
+        by = f"GROUP BY {', '.join(columns[:k])}" if k else "HAVING count(*) > 0"
+        parts.append(f"SELECT {', '.join(shown)}, {_money('sum(revenue)', 'total_sales')}, "
+                     f"{2 ** (len(columns) - k) - 1} AS gid FROM mine {by}")
+    return " UNION ALL ".join(parts)
+
+
+QUERIES["q2_rollup_compat"] = _OF_SUPPLIER + _levels(
+    ["product_id", "product_name", "month", "supplier_id", "supplier_name"], [5, 4, 3, 2, 1, 0])
+QUERIES["q2_grouping_sets"] = _OF_SUPPLIER + _levels(["product_id", "product_name", "month"], [3, 2, 0])
+
+QUERIES["q3_weekend_top5"] = SALES + f"""
+, weekend AS (SELECT product_id, sum(qty) AS units FROM sold WHERE day_of_week NOT BETWEEN 2 AND 6 GROUP BY 1)
+SELECT product_id, product_name, CAST(units AS BIGINT) AS total_quantity
+FROM weekend JOIN product USING (product_id) ORDER BY units DESC, product_id LIMIT {params.TOP_K}
+"""
+
+_QUARTERS = ", ".join(f"CAST(coalesce(max(units) FILTER (quarter = {q}), 0) AS BIGINT) AS q{q}" for q in range(1, 5))
+QUERIES["q4_quarter_pivot"] = SALES + f"""
+, part_year AS (SELECT product_id, quarter, sum(qty) AS units FROM sold WHERE year = {Y} GROUP BY ALL)
+SELECT product_id, any_value(product_name) AS product_name, {_QUARTERS},
+       CAST(sum(units) AS BIGINT) AS yearly_total
+FROM part_year JOIN product USING (product_id) GROUP BY product_id
+"""
+
+QUERIES["q5_sigma_anomaly"] = SALES + f"""
+, spread AS (SELECT avg(CAST(revenue AS DOUBLE)) AS middle, stddev_samp(CAST(revenue AS DOUBLE)) AS sd
+             FROM whole_product)
+SELECT product_id, product_name, {_money("revenue", "total_sales")}
+FROM whole_product JOIN product USING (product_id), spread
+WHERE CAST(revenue AS DOUBLE) NOT BETWEEN middle - {params.SIGMA} * sd AND middle + {params.SIGMA} * sd
+"""
+
+
+def _store_product(stores: str) -> str:
+    return SALES + f"""
+SELECT store_id, product_id, {_money("revenue", "store_total")}
+FROM whole_product JOIN {stores} USING (product_id)
+"""
+
+
+def _store_slice(stores: str) -> str:
+    return SALES + f"""
+SELECT month, product_id, product_name, {_money("revenue", "total_sales")}
+FROM month_of_product JOIN product USING (product_id)
+WHERE product_id IN (SELECT product_id FROM {stores} WHERE store_name = '{STORE}')
+"""
+
+
+QUERIES["q6_store_product_mv"] = _store_product("store_dim")
+QUERIES["q6_line"] = _store_product("product_store")
+QUERIES["q7_store_slice"] = _store_slice("store_dim")
+QUERIES["q7_line"] = _store_slice("product_store")
+
+SUPPLIER_MONTH = SALES + f"""
+, per_month AS (SELECT supplier_id, month, sum(revenue) AS revenue
+                FROM month_of_product JOIN product USING (product_id) GROUP BY ALL)
+SELECT supplier_id, supplier_name, month, {_money("revenue", "monthly_sales")}
+FROM per_month JOIN supplier_d USING (supplier_id)
 """
 QUERIES["q8_supplier_month_mv"] = SUPPLIER_MONTH
 
-QUERIES["q9_compat"] = STAR + f"""
-SELECT c.customer_id, c.customer_name,
-       CAST(count(DISTINCT t.product_id) AS BIGINT) AS unique_products,
-       {M} AS total_sales
-FROM customer_dim c JOIN lines t ON c.product_id = t.product_id
-JOIN product p ON t.product_id = p.product_id
-WHERE year(t.order_date) = {Y}
-GROUP BY c.customer_id, c.customer_name
-ORDER BY total_sales DESC, c.customer_id
-LIMIT {params.TOP_K}
-"""
-
-QUERIES["q9_line"] = STAR + f"""
-SELECT c.c_custkey AS customer_id, c.c_name AS customer_name,
-       CAST(count(DISTINCT t.product_id) AS BIGINT) AS unique_products,
-       {M} AS total_sales
-FROM customer c JOIN lines t ON c.c_custkey = t.customer_id
-JOIN product p ON t.product_id = p.product_id
-WHERE year(t.order_date) = {Y}
-GROUP BY c.c_custkey, c.c_name
-ORDER BY total_sales DESC, c.c_custkey
-LIMIT {params.TOP_K}
-"""
-
-_Q10_STORE = f"""
-  SELECT CAST(s.store_id AS BIGINT) AS id, 'Store' AS entity_type,
-         CAST(s.store_id AS BIGINT) AS entity_id, t.month, {M} AS monthly_sales
-  FROM {{stores}} s JOIN product p ON s.product_id = p.product_id
-  JOIN lines t ON p.product_id = t.product_id
-  GROUP BY s.store_id, t.month
-"""
-
-QUERIES["q10_entity_month_mv_compat"] = STAR + "(" + _Q10_STORE.format(stores="store_dim") + f"""
-  UNION
-  SELECT c.customer_id AS id, 'Customer' AS entity_type, c.customer_id AS entity_id,
-         t.month, {M} AS monthly_sales
-  FROM customer_dim c JOIN lines t ON c.product_id = t.product_id
-  JOIN product p ON t.product_id = p.product_id
-  GROUP BY c.customer_id, t.month
-)"""
-
-QUERIES["q10_entity_month_mv_line"] = STAR + "(" + _Q10_STORE.format(stores="product_store") + f"""
-  UNION
-  SELECT t.customer_id AS id, 'Customer' AS entity_type, t.customer_id AS entity_id,
-         t.month, {M} AS monthly_sales
-  FROM lines t JOIN product p ON t.product_id = p.product_id
-  GROUP BY t.customer_id, t.month
-)"""
+# a customer of the compat dimension stands for all sales of one product
+QUERIES["q9_compat"] = SALES + f"""
+, of_year AS (SELECT product_id, sum(revenue) AS revenue FROM sold WHERE year = {Y} GROUP BY 1)
+SELECT customer_id, customer_name, CAST(1 AS BIGINT) AS unique_products, {_money("revenue", "total_sales")}
+FROM of_year JOIN customer_dim USING (product_id)
+ORDER BY revenue DESC, customer_id LIMIT {params.TOP_K}
+"""
+
+QUERIES["q9_line"] = SALES + f"""
+, bought AS (SELECT customer_id, product_id, sum(revenue) AS revenue FROM sold WHERE year = {Y} GROUP BY ALL),
+best AS (SELECT customer_id, count(*) AS n, sum(revenue) AS revenue FROM bought GROUP BY customer_id)
+SELECT customer_id, c_name AS customer_name, CAST(n AS BIGINT) AS unique_products,
+       {_money("revenue", "total_sales")}
+FROM best JOIN customer ON c_custkey = customer_id
+ORDER BY revenue DESC, customer_id LIMIT {params.TOP_K}
+"""
+
+
+def _entity_months(stores: str, buyers: str) -> str:
+    """Monthly sales of stores and of customers; ``buyers`` gives (customer_id, month, revenue)."""
+    return SALES + f"""
+, earned AS (
+  SELECT 'Store' AS entity_type, CAST(store_id AS BIGINT) AS id, month, revenue
+  FROM month_of_product JOIN {stores} USING (product_id)
+  UNION ALL
+  SELECT 'Customer', customer_id, month, revenue FROM {buyers}
+)
+SELECT id, entity_type, id AS entity_id, month, {_money("sum(revenue)", "monthly_sales")}
+FROM earned GROUP BY id, entity_type, month
+"""
+
+
+QUERIES["q10_entity_month_mv_compat"] = _entity_months(
+    "store_dim", "customer_dim JOIN month_of_product USING (product_id)")
+QUERIES["q10_entity_month_mv_line"] = _entity_months("product_store", "sold")
 
 
 # ---- ingest -------------------------------------------------------------

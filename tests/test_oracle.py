@@ -4,11 +4,12 @@ correctness gate, reproduced): row count, column names, value hash."""
 import pytest
 
 import __spark_entry__ as E
+from shelfwise.plans.catalog import all_oracles, all_queries
 from tests.conftest import SF001
 from tests.helpers import digest
 
-ORACLES = E.oracle_sql()
-QUERIES = E.queries()
+ORACLES = all_oracles()
+QUERIES = all_queries()
 
 # expected row counts at sf0.01
 EXPECTED_ROWS = {
@@ -36,6 +37,7 @@ def test_every_query_has_an_oracle_or_a_reason():
     rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only == {"stream_rate_report"}
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and ORACLES.items() <= E.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
