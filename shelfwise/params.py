@@ -23,9 +23,14 @@ TWO_DIGIT_YEAR_PIVOT = 70
 # fixed values: raw-string fixture rules (FIXTURES.md section 3)
 RAW_DATE_HEADER_EVERY = 97    # order key multiple whose date text is the header text
 RAW_DATE_EMPTY_EVERY = 89     # order key multiple whose date text is empty
-FK_CUSTOMER_DROP_EVERY = 10   # customers removed for the foreign-key check
+BAD_PRICE_EVERY = 53          # parts whose price text is unreadable (dirty files)
+BAD_PRICE_TEXT = "n/a"
+BAD_ID_EVERY = 83             # order key multiple whose customer id is unreadable (dirty files)
+BAD_ID_TEXT = "c-"
+UNKNOWN_PRODUCT_EVERY = 79    # order key multiple whose product is in no master row (dirty files)
+UNKNOWN_PRODUCT_SHIFT = 1_000_000_000
 CONFLICT_PART_EVERY = 7       # parts whose supplier name gets the ' Ltd' suffix
-STORED_CUSTOMER_EVERY = 3     # customers already in the stored dimension
+STORED_BEFORE = "1997-01-01"  # orders before this day made the stored dimension
 GENDER_MAX_LEN = 10           # VARCHAR(10) of the reference
 SEGMENT_MAX_LEN = 9           # length limit checked on c_mktsegment
 NAME_MAX_LEN = 255            # VARCHAR(255)

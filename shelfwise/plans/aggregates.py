@@ -6,15 +6,17 @@ A view that MySQL recomputes on every read becomes a parquet table here.
   one-row pointer table to it.  Readers never see a half-written table and
   a job never reads and overwrites the same path in one plan.
 * Incremental refresh: each batch of new order lines is aggregated on its own
-  and written to ``partials/batch_id=N`` (dynamic partition overwrite, so a
-  replayed batch replaces itself).  Reading regroups the base version and the
-  partials written after it; SUM is additive, so this equals a full rebuild.
-  ``compact`` folds the partials into a new base version.
+  and written to ``partials/stream=S/batch_id=N`` (dynamic partition overwrite,
+  so a replayed batch replaces itself, and two streams never replace each
+  other's).  Reading regroups the base version and the partials that it does not
+  cover; SUM is additive, so this equals a full rebuild.  ``compact`` folds the
+  partials into a new base version.
+* The pointer notes the last batch of every stream that a version covers: those
+  partials are no longer read, and a replay of such a batch changes nothing.
 """
 
 from __future__ import annotations
 
-import time
 import uuid
 from dataclasses import dataclass
 from functools import reduce
@@ -23,7 +25,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.olap import money
+from ..sources import pointer
 from ..sources.paths import read_parquet_if_exists
+from ..streaming.runner import batch_partition_write
 
 
 @dataclass
@@ -48,54 +52,61 @@ class AggregateTable:
     def partials(self) -> str:
         return f"{self.root}/partials"
 
-    def _read(self, path: str) -> DataFrame | None:
-        return read_parquet_if_exists(self.spark, path)
+    def current(self) -> tuple[str | None, dict[str, int]]:
+        """(base version path, last batch id that it covers of each stream)."""
+        row = pointer.current(self.spark, self.pointer)
+        return (None, {}) if row is None else (row.path, dict(row.marks))
 
-    def current(self) -> tuple[str | None, int]:
-        """(base version path, last batch id folded into it)."""
-        p = self._read(self.pointer)
-        if p is None:
-            return None, -1
-        row = p.orderBy(F.col("written_at").desc()).first()  # one row
-        return row["path"], row["upto_batch"]
-
-    def _switch(self, path: str, upto_batch: int) -> None:
-        """Append one row to the pointer log; the newest row is current.
-
-        Appending never removes the previous pointer, so a job that dies while
-        switching leaves the old version readable."""
-        ptr = self.spark.createDataFrame(
-            [(path, int(upto_batch), time.time_ns())],
-            "path string, upto_batch long, written_at long")
-        ptr.coalesce(1).write.mode("append").parquet(self.pointer)
+    def logged(self) -> dict[str, int]:
+        """Last batch id of each stream in the base version or the partials."""
+        _, marks = self.current()
+        log = read_parquet_if_exists(self.spark, self.partials)
+        if log is not None:  # one row per stream
+            for r in log.groupBy("stream").agg(F.max("batch_id").alias("last")).collect():
+                marks[r.stream] = max(r.last, marks.get(r.stream, r.last))
+        return marks
 
     # ---- full refresh ----------------------------------------------------
-    def refresh_full(self, df: DataFrame, upto_batch: int = -1) -> str:
+    def refresh_full(self, df: DataFrame, covers: dict[str, int] | None = None) -> str:
+        """Replace the table by ``df``, a rebuild from all lines.
+
+        ``covers``: last batch of each stream whose lines ``df`` holds; by default
+        every batch applied so far.  Later batches are added to it."""
+        covers = self.logged() if covers is None else covers
         path = f"{self.root}/v={uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
-        self._switch(path, upto_batch)
+        pointer.switch(self.spark, self.pointer, path, covers)
         return path
 
     # ---- incremental refresh ---------------------------------------------
-    def apply_batch(self, partial: DataFrame, batch_id: int) -> None:
-        (partial.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.partials))
-        if self.compact_every and batch_id - self.current()[1] >= self.compact_every:
+    def apply_batch(self, partial: DataFrame, batch_id: int, stream: str = "main") -> None:
+        """Add one batch of ``stream``; streams with checkpoints of their own
+        need names of their own."""
+        covered = self.current()[1].get(stream, -1)
+        if batch_id <= covered:
+            return  # a replay of a batch that the base version holds
+        batch_partition_write(partial, self.partials, batch_id, stream=stream)
+        if self.compact_every and batch_id - covered >= self.compact_every:
             self.compact()
 
     def _regroup(self, df: DataFrame) -> DataFrame:
         return df.groupBy(*self.keys).agg(
             *[money(F.sum(m)).alias(m) for m in self.measures])
 
-    def read(self) -> DataFrame:
-        base_path, upto = self.current()
-        parts = []
-        if base_path is not None:
-            parts.append(self.spark.read.parquet(base_path))
-        log = self._read(self.partials)
+    def read(self, upto: dict[str, int] | None = None) -> DataFrame:
+        """The table; ``upto`` leaves out later batches."""
+        base_path, marks = self.current()
+        parts = [] if base_path is None else [self.spark.read.parquet(base_path)]
+        log = read_parquet_if_exists(self.spark, self.partials)
         if log is not None:
-            parts.append(log.where(F.col("batch_id") > upto).drop("batch_id"))
+            for stream, last in marks.items():
+                log = log.where((F.col("stream") != stream) | (F.col("batch_id") > last))
+            if upto is not None:
+                wanted = F.lit(False)
+                for stream, last in upto.items():
+                    wanted |= (F.col("stream") == stream) & (F.col("batch_id") <= last)
+                log = log.where(wanted)
+            parts.append(log.drop("stream", "batch_id"))
         if not parts:
             raise ValueError(f"aggregate table at {self.root} is empty")
         if len(parts) == 1 and log is None:
@@ -104,12 +115,8 @@ class AggregateTable:
 
     def compact(self) -> str:
         """Fold base + partials into a new base version."""
-        log = self._read(self.partials)
-        upto = self.current()[1]
-        if log is not None:
-            m = log.agg(F.max("batch_id")).first()[0]  # one number
-            upto = max(upto, m if m is not None else -1)
-        return self.refresh_full(self.read(), upto)
+        upto = self.logged()
+        return self.refresh_full(self.read(upto), upto)
 
 
 # the reference's three stored aggregates: name -> (query, group keys, measures)
@@ -169,3 +176,18 @@ def mv_refresh_incremental(star, root: str) -> DataFrame:
         if i == 1:
             t.compact()
     return t.read()
+
+
+def mv_refresh_mixed(star, root: str) -> DataFrame:
+    """Q8's table by increments of two streams, a full rebuild over the lines so
+    far, and an increment and a replay after it."""
+    from .queries import supplier_month
+    t = AggregateTable(star.spark, root, ["supplier_id", "supplier_name", "month"],
+                       ["monthly_sales"])
+    first, second, third = order_slices(star)
+    t.apply_batch(supplier_month(first, star), 0, "early")
+    t.apply_batch(supplier_month(second, star), 0, "late")
+    t.refresh_full(supplier_month(first.unionByName(second), star))
+    t.apply_batch(supplier_month(second, star), 0, "late")   # replayed
+    t.apply_batch(supplier_month(third, star), 1, "late")
+    return t.read()

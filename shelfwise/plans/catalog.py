@@ -74,9 +74,10 @@ LOAD: dict[str, Runner] = {
     "dim_incremental_anti": _star(D.dim_incremental_anti),
     "surrogate_key": _star(D.surrogate_key),
     "check_primary_key": _star(QC.check_primary_key),
-    "check_foreign_key": _star(QC.check_foreign_key),
+    "check_foreign_key": _scratch(QC.check_foreign_key, "check_foreign_key"),
+    "check_constraints": _scratch(QC.check_constraints, "check_constraints"),
     "check_lengths": _star(QC.check_lengths),
-    "load_audit_counts": _star(QC.load_audit_counts),
+    "load_audit_counts": _scratch(QC.load_audit_counts, "load_audit"),
     "csv_roundtrip_scan": _scratch(I.csv_roundtrip_scan, "csv_roundtrip"),
     "lookup_time_first": _star(FT.lookup_time_first),
     "lookup_store_first": _star(FT.lookup_store_first),
@@ -84,7 +85,10 @@ LOAD: dict[str, Runner] = {
     "fact_load_line": _star(FT.fact_load_line),
     "fact_readback_semi": _scratch(FT.fact_readback_semi, "fact_readback"),
     "csv_load_fact": _scratch(L.csv_load_fact, "csv_load"),
+    "csv_load_rejects": _scratch(L.csv_load_rejects, "csv_load_rejects"),
+    "fact_line_rejects": _scratch(L.fact_line_rejects, "fact_line_rejects"),
     "mv_refresh_full": _scratch(A.mv_refresh_full, "mv_full"),
+    "mv_refresh_mixed": _scratch(A.mv_refresh_mixed, "mv_mixed"),
     "mv_refresh_incremental": _scratch(A.mv_refresh_incremental, "mv_incremental"),
 }
 

@@ -46,16 +46,13 @@ def dim_conflicts(star: Star) -> DataFrame:
     return conflicting_attributes(typed_master(star), "supplier_id", "supplier_name")
 
 
-def stored_customers(star: Star) -> DataFrame:
-    """Fixture: the part of the customer dimension already stored (every
-    third customer key)."""
-    return star.customer_dim.where(F.col("customer_id") % params.STORED_CUSTOMER_EVERY == 0)
-
-
 def dim_incremental_anti(star: Star) -> DataFrame:
-    """Customers first seen now: in-batch first-wins, then ``left_anti``
-    against the stored dimension."""
-    return new_keys_only(star.customer_dim, stored_customers(star), ["customer_id"])
+    """Customers first seen now: the orders before a day made the stored
+    dimension; of the later ones, in-batch first-wins, then ``left_anti``."""
+    day = F.lit(params.STORED_BEFORE + " 00:00:00").cast("timestamp_ntz")
+    stored = star.with_order_filter(F.col("order_date") < day).customer_dim
+    batch = star.with_order_filter(F.col("order_date") >= day).customer_dim
+    return new_keys_only(batch, stored, ["customer_id"])
 
 
 def surrogate_key(star: Star) -> DataFrame:

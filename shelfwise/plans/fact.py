@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..operators.joins import first_match, lookup_first, read_back
-from ..schemas import PRICE
+from ..schemas import SALE
 from ..sources.star import Star
 
 FACT_KEYS = ["product_id", "customer_id", "time_id", "store_id"]
@@ -38,58 +38,91 @@ def lookup_store_first(star: Star) -> DataFrame:
         "customer_id", "product_id", "store_id")
 
 
+REASON_NO_PRODUCT = "unknown product"
+REASON_NO_PRICE = "product without a price"
+REASON_NO_TIME = "no order line for the product"
+REASON_RANGE = "total sale out of range"
+
+
 def _total_sale(qty, price):
-    return (qty * price).cast(PRICE)
+    """quantity x price; NULL, not an error, beyond DECIMAL(18,2)."""
+    return (qty * price).try_cast(SALE)
 
 
-def compat_lookups(star: Star) -> dict[str, DataFrame]:
-    """The three lookup tables of the compat fact, one row per product each:
-    first order line (time id and its quantity), first store, price."""
-    return {
-        "first_time": first_match(star.time_dim.select("product_id", "time_id", "qty"),
-                                  "product_id", "time_id", ["qty"]),
-        "first_store": first_match(star.store_dim.select("product_id", "store_id"),
-                                   "product_id", "store_id"),
-        "price": star.product.select("product_id", "price"),
-    }
+def compat_lookup(star: Star) -> DataFrame:
+    """The compat fact's lookups prepared as one table, one row per product:
+    price, first order line (time id and its quantity) and first store."""
+    first_time = first_match(star.time_dim.select("product_id", "time_id", "qty"),
+                             "product_id", "time_id", ["qty"])
+    first_store = first_match(star.store_dim.select("product_id", "store_id"),
+                              "product_id", "store_id")
+    price = star.product.select("product_id", "price", F.lit(True).alias("known"))
+    return (price.join(first_time, "product_id", "full")
+            .join(first_store, "product_id", "left"))
 
 
 def fact_rows_compat(star: Star, outer: DataFrame | None = None,
-                     lookups: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(fact, rejects) at compat grain for the ``outer`` customer rows."""
+                     lookup: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(fact, rejects) at compat grain for the ``outer`` customer rows.
+
+    One join against the prepared lookup: both of its sides come straight from
+    a shuffle, so AQE can split a hot product."""
     if outer is None:
         outer = star.customer_dim.select("customer_id", "product_id")
-    lk = lookups or compat_lookups(star)
-    first_time, stores, price = lk["first_time"], lk["first_store"], lk["price"]
-    df = (outer.join(first_time, "product_id", "left")
-          .join(stores, "product_id", "left")
-          .join(price, "product_id", "left"))
-    df = df.withColumn("store_id", F.coalesce("store_id", F.lit(params.UNKNOWN_STORE)))
+    df = outer.join(lookup if lookup is not None else compat_lookup(star), "product_id", "left")
+    df = df.select(*outer.columns, "time_id", "qty", "price", "known",
+                   F.coalesce("store_id", F.lit(params.UNKNOWN_STORE)).alias("store_id"),
+                   _total_sale(F.col("qty"), F.col("price")).alias("total_sale"))
     # a missing time or product breaks a foreign key: reject, do not write 0
-    bad = F.col("time_id").isNull() | F.col("price").isNull()
-    fact = df.where(~bad).select(*FACT_KEYS, _total_sale(F.col("qty"), F.col("price"))
-                                 .alias("total_sale"))
-    rejects = df.where(bad).select("customer_id", "product_id",
-                                   F.lit("no time or product for the product id").alias("reason"))
-    return fact, rejects
+    reason = (F.when(F.col("known").isNull(), REASON_NO_PRODUCT)
+              .when(F.col("price").isNull(), REASON_NO_PRICE)
+              .when(F.col("time_id").isNull(), REASON_NO_TIME)
+              .when(F.col("total_sale").isNull(), REASON_RANGE))
+    df = df.withColumn("reason", reason)
+    return (df.where("reason IS NULL").select(*FACT_KEYS, "total_sale"),
+            df.where("reason IS NOT NULL").select("customer_id", "product_id", "reason"))
 
 
 def fact_load_compat(star: Star) -> DataFrame:
     return fact_rows_compat(star)[0]
 
 
-def fact_rows_line(star: Star, lines: DataFrame | None = None) -> DataFrame:
-    """Line-grain fact rows for keyed order lines (``time_dim`` columns)."""
+def product_lookup(star: Star) -> DataFrame:
+    """Price and store of every product, one row each (line grain)."""
+    return (star.product.select("product_id", "price", F.lit(True).alias("known"))
+            .join(star.product_store.select("product_id", "store_id"), "product_id", "left"))
+
+
+def judged_lines(star: Star, lines: DataFrame | None = None,
+                 lookup: DataFrame | None = None) -> DataFrame:
+    """Every keyed order line with store, total sale and ``reason`` (NULL: a fact
+    row).  No line is lost: a line whose product is unknown or has no price
+    keeps its reason.  Lines are joined once, to the prepared product lookup."""
     if lines is None:
         lines = star.time_dim
-    stores = star.product_store.select("product_id", "store_id")
-    price = star.product.select("product_id", "price")
-    df = lines.join(price, "product_id").join(stores, "product_id", "left")
+    df = lines.join(lookup if lookup is not None else product_lookup(star), "product_id", "left")
+    sale = _total_sale(F.col("qty"), F.col("price"))
+    reason = (F.when(F.col("known").isNull(), REASON_NO_PRODUCT)
+              .when(F.col("price").isNull(), REASON_NO_PRICE)
+              .when(sale.isNull(), REASON_RANGE))
     return df.select(
         "product_id", "customer_id", "time_id",
         F.coalesce("store_id", F.lit(params.UNKNOWN_STORE)).alias("store_id"),
-        _total_sale(F.col("qty"), F.col("price")).alias("total_sale"),
-        "year")
+        sale.alias("total_sale"), "year", "qty", reason.alias("reason"))
+
+
+FACT_LINE = [*FACT_KEYS, "total_sale", "year"]
+LINE_REJECT = ["time_id", "product_id", "customer_id", "qty", "reason"]
+
+
+def fact_rows_line(star: Star, lines: DataFrame | None = None) -> DataFrame:
+    """Line-grain fact rows for keyed order lines (``time_dim`` columns)."""
+    return judged_lines(star, lines).where("reason IS NULL").select(*FACT_LINE)
+
+
+def fact_rejects_line(star: Star, lines: DataFrame | None = None) -> DataFrame:
+    """Order lines that make no fact row, with the reason."""
+    return judged_lines(star, lines).where("reason IS NOT NULL").select(*LINE_REJECT)
 
 
 def fact_load_line(star: Star) -> DataFrame:

@@ -60,7 +60,8 @@ def parse_order_date_rows(star: Star) -> DataFrame:
 def reject_reason(parsed_date: str = "order_ts"):
     """Why a parsed transaction is rejected; NULL for a good row."""
     return (F.when(F.col("order_id").isNull() | F.col("product_id").isNull()
-                   | F.col("qty").isNull(), F.lit(REASON_BAD_ID))
+                   | F.col("customer_id").isNull() | F.col("qty").isNull(),
+                   F.lit(REASON_BAD_ID))
             .when(F.coalesce(F.trim(F.col("order_date_text")), F.lit("")) == "",
                   F.lit(REASON_EMPTY))
             .when(F.col(parsed_date).isNull(), F.lit(REASON_BAD)))

@@ -8,34 +8,41 @@ all-string schemas; malformed lines, unreadable ids, prices and dates go to
 ``rejects`` with a reason, the rest is typed, deduplicated first-wins, keyed
 and written as the warehouse that ``WarehouseStar`` queries.
 
-Each file is parsed once and written as a typed staging table that keeps
-every raw field, the corrupt-record text and the reject reason.  Spark's CSV
-reader only parses the columns a query needs, and then a short line may not be
-seen as malformed; writing all columns once makes the detection exact, and all
-later steps read columnar parquet instead of parsing text again.
-
-First-wins needs an order.  A distributed read does not keep the line order
-of a file, so the order is explicit: master rows by product id, transactions
-by (order date, order id, product id, customer id, quantity, customer name,
-gender).
+Columns are found by the names in the files' header.  Each file is parsed once
+and written as a typed staging table that keeps every raw field, the
+corrupt-record text and the reject reason.  Spark's CSV reader only parses the
+columns a query needs, and then a short line may not be seen as malformed;
+writing all columns once makes the detection exact, and all later steps read
+columnar parquet instead of parsing text again.
+
+Nothing is lost: a dimension takes every row whose own key can be read, whatever
+is wrong with the row's other fields, and every row or line with a fault is in
+``rejects`` with all its text.  Order lines whose product is unknown or has no
+price are in ``fact_rejects``.
+
+First-wins needs an order.  Master rows have their place in the file (file,
+start of the read block, place in the block); one winner per product feeds both
+the product and its store.  Transactions are ordered by (order date, order id,
+product id, customer id, quantity, customer name, gender), unreadable dates last.
+
+A load writes a new version folder and then switches the warehouse's pointer
+to it, so a reload neither keeps rows of the load before nor shows a half-written
+state.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import params
 from ..functions import calendar_columns, clean_price, parse_order_date, to_int, within_length
-from ..operators.dedup import first_wins, first_wins_by_id
+from ..operators.dedup import first_wins
 from ..operators.surrogate import dense_key
 from .. import schemas as S
-from ..schemas import MASTER_CSV_COLUMNS, TRANSACTION_CSV_COLUMNS, csv_strings
-from ..sources.csv import CORRUPT, read_csv
-from .fact import fact_rows_line
-from .warehouse import WarehouseStar
+from ..schemas import MASTER_CSV_COLUMNS, TRANSACTION_CSV_COLUMNS
+from ..sources.csv import CORRUPT, header_schema, read_csv
+from .warehouse import VersionWriter, WarehouseStar
 
 MASTER_NAMES = ("product_id", "product_name", "product_price", "supplier_id",
                 "supplier_name", "store_id", "store_name")
@@ -46,9 +53,11 @@ TXN_ORDER = ("order_date", "order_id", "product_id", "customer_id", "qty",
 
 
 def _read(spark: SparkSession, path: str, columns, names) -> DataFrame:
-    df = read_csv(spark, path, csv_strings(columns))
-    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)],
-                     F.col(CORRUPT))
+    df = read_csv(spark, path, header_schema(spark, path, columns))
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)], F.col(CORRUPT),
+                     F.struct(F.col("_metadata.file_path").alias("file"),
+                              F.col("_metadata.file_block_start").alias("block"),
+                              F.monotonically_increasing_id().alias("place")).alias("row_ord"))
 
 
 def _reason(*checks) -> F.Column:
@@ -58,13 +67,18 @@ def _reason(*checks) -> F.Column:
     return expr
 
 
+def _text(names) -> F.Column:
+    """All raw fields of a row, as JSON; of a malformed line, the line."""
+    return F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names))).alias("text")
+
+
 def typed_master_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = _read(spark, path, MASTER_CSV_COLUMNS, MASTER_NAMES)
     df = raw.select(
-        to_int("product_id").alias("product_id"), "product_name",
-        F.col("product_price").alias("price_text"), clean_price("product_price").alias("price"),
+        "row_ord", to_int("product_id").alias("product_id"), "product_name",
+        clean_price("product_price").alias("price"),
         to_int("supplier_id").alias("supplier_id"), "supplier_name",
-        to_int("store_id", "int").alias("store_id"), "store_name", CORRUPT)
+        to_int("store_id", "int").alias("store_id"), "store_name", CORRUPT, _text(MASTER_NAMES))
     reason = _reason(
         (F.col(CORRUPT).isNotNull(), "malformed line"),
         (F.col("product_id").isNull() | F.col("supplier_id").isNull()
@@ -92,93 +106,112 @@ def type_transactions(raw: DataFrame) -> DataFrame:
         to_int("order_id").alias("order_id"), "order_date_text",
         parse_order_date("order_date_text").alias("order_date"),
         to_int("product_id").alias("product_id"), to_int("customer_id").alias("customer_id"),
-        "customer_name", "gender", to_int("quantity", "int").alias("qty"), CORRUPT)
+        "customer_name", "gender", to_int("quantity", "int").alias("qty"), CORRUPT,
+        _text(TXN_NAMES))
     reason = _reason(
         (F.col(CORRUPT).isNotNull(), "malformed line"),
         (F.col("order_id").isNull() | F.col("product_id").isNull()
          | F.col("customer_id").isNull() | F.col("qty").isNull(), "non-numeric id or quantity"),
         (F.coalesce(F.trim(F.col("order_date_text")), F.lit("")) == "", "empty order date"),
         (F.col("order_date").isNull(), "unparsable order date"),
-        (~within_length("gender", params.GENDER_MAX_LEN), "gender longer than 10"))
+        (~within_length("gender", params.GENDER_MAX_LEN), "gender longer than 10"),
+        (~within_length("customer_name", params.NAME_MAX_LEN), "text too long"))
     return df.withColumn("reason", reason)
 
 
 def load_csv_warehouse(spark: SparkSession, master_path: str, transactions_path: str,
                        root: str) -> dict[str, int]:
-    """Read, cleanse, conform and write the warehouse under ``root``.
+    """Read, cleanse, conform and write a new version of the warehouse under ``root``.
 
     Returns the row count of every table written (observed while writing)."""
-    from pyspark.sql import Observation
-
-    counts: dict[str, int] = {}
-
-    def write(name: str, df: DataFrame, partition_by: str | None = None,
-              sort_by: str | None = None) -> None:
-        obs = Observation(name)
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if sort_by:
-            df = df.sortWithinPartitions(*[c for c in (partition_by, sort_by) if c])
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(f"{root}/{name}")
-        counts[name] = obs.get["rows"]
-
-    write("staging_master", typed_master_csv(spark, master_path))
-    write("staging_transactions", typed_transactions_csv(spark, transactions_path))
-    master = spark.read.parquet(f"{root}/staging_master")
-    txn = spark.read.parquet(f"{root}/staging_transactions")
-    rejects = reduce(DataFrame.unionByName, [
-        master.where(F.col("reason").isNotNull()).select(
-            F.lit("master").alias("source"), F.col("product_id").cast("string").alias("key"),
-            F.coalesce(F.col(CORRUPT), F.col("price_text")).alias("text"), "reason"),
-        txn.where(F.col("reason").isNotNull()).select(
-            F.lit("transactions").alias("source"), F.col("order_id").cast("string").alias("key"),
-            F.coalesce(F.col(CORRUPT), F.col("order_date_text")).alias("text"), "reason")])
-    write("rejects", rejects)
-
-    good_m = master.where(F.col("reason").isNull())
-    write("supplier_dim", S.conform(first_wins(good_m, ["supplier_id"], ["product_id"],
-                                               ["supplier_name"]), S.SUPPLIER_DIM))
-    write("product_dim", S.conform(first_wins(good_m, ["product_id"], ["product_id"],
-                                              ["product_name", "supplier_id", "price"]),
-                                   S.PRODUCT_DIM))
-    # line grain: the store each product is sold in, from its master row
-    write("product_store", S.conform(first_wins(good_m, ["product_id"], ["product_id"],
-                                                ["store_id", "store_name"]), S.PRODUCT_STORE))
+    out = VersionWriter(spark, root)
+    out.write("staging_master", typed_master_csv(spark, master_path))
+    out.write("staging_transactions", typed_transactions_csv(spark, transactions_path))
+    master, txn = out.read("staging_master"), out.read("staging_transactions")
+    rejects = [t.where("reason IS NOT NULL").select(
+        F.lit(source).alias("source"), F.col(key).cast("string").alias("key"), "text", "reason")
+        for source, key, t in (("master", "product_id", master), ("transactions", "order_id", txn))]
+    out.write("rejects", S.conform(rejects[0].union(rejects[1]), S.REJECTS))
+    n_txn = out.counts["staging_transactions"]
+
+    def members(df: DataFrame, name: str, *texts) -> DataFrame:
+        """Rows that can stand for a member of dimension ``name``: only its own
+        fields count."""
+        ok = F.col(CORRUPT).isNull() & F.col(f"{name}_id").isNotNull()
+        for text, limit in texts:
+            ok = ok & within_length(text, limit)
+        return out.intake(name, df, ok)
+
+    named = params.NAME_MAX_LEN
+    out.write("supplier_dim", S.conform(first_wins(
+        members(master, "supplier", ("supplier_name", named)),
+        ["supplier_id"], ["row_ord"], ["supplier_name"]), S.SUPPLIER_DIM))
+    # one winner per product: its product row and its store come from the same line
+    out.write("product_winner", first_wins(
+        members(master, "product", ("product_name", named)), ["product_id"], ["row_ord"],
+        ["product_name", "supplier_id", "price", "store_id", "store_name"]))
+    winner = out.read("product_winner")
+    out.write("product_dim", S.conform(winner, S.PRODUCT_DIM))
+    out.write("product_store", S.conform(winner.where("store_id IS NOT NULL"), S.PRODUCT_STORE))
     # compat: one product per store (the first master row of the store)
-    write("store_dim", S.conform(first_wins(good_m, ["store_id"], ["product_id"],
-                                            ["store_name", "product_id"]), S.STORE_DIM))
+    out.write("store_dim", S.conform(first_wins(
+        members(master, "store", ("store_name", named)), ["store_id"], ["row_ord"],
+        ["store_name", "product_id"]), S.STORE_DIM))
 
-    good_t = txn.where(F.col("reason").isNull())
     cal = calendar_columns("order_date")
-    lines = good_t.select(
+    lines = txn.where("reason IS NULL").select(
         "order_id", F.lit(None).cast("int").alias("line_number"), "order_date",
         *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month",
                                     "day_of_week")],
         "qty", "product_id", "customer_id", "customer_name", "gender")
-    keyed = dense_key(lines, TXN_ORDER, "time_id", path=f"{root}/_keys")
-    write("time_dim", S.conform(keyed, S.TIME_DIM), "year", "product_id")
+    keyed = dense_key(lines, TXN_ORDER, "time_id", path=f"{out.folder}/_keys")
+    out.write("time_dim", S.conform(keyed, S.TIME_DIM), "year", "product_id")
+
+    buyers = members(txn.withColumn("undated", F.col("order_date").isNull()), "customer",
+                     ("customer_name", named), ("gender", params.GENDER_MAX_LEN))
+    first = first_wins(buyers, ["customer_id"], ["undated", *TXN_ORDER],
+                       ["customer_name", "gender", "product_id"]
+                       ).withColumnRenamed("gender", "segment")
+    out.write("customer_dim", S.conform(first, S.CUSTOMER_DIM))
+    out.write("customer", S.conform(out.read("customer_dim"), S.CUSTOMER))
+    out.write_fact()
+    n_time = out.counts["time_dim"]
+    n_bad = out.read("rejects").where("source = 'transactions'").count()
+    out.write_audit([("time", n_txn, n_time, n_bad)])
+    out.publish()
+    return out.counts
+
+
+def write_csv_inputs(star, root: str, dirty: bool = False) -> tuple[str, str]:
+    """The given tables as the reference's two CSV files (with its unreadable
+    dates); ``dirty`` adds unreadable prices and ids and unknown products."""
+    from ..sources.csv import write_csv
+    from ..sources.raw import master_csv_rows, transaction_csv_rows
+    paths = f"{root}/in/master", f"{root}/in/transactions"
+    # other column orders than the declared ones: columns are found by name
+    master = master_csv_rows(star, dirty=dirty)
+    txn = transaction_csv_rows(star, dirty=dirty)
+    write_csv(master.select(*reversed(master.columns)), paths[0])
+    write_csv(txn.select(*reversed(txn.columns)), paths[1])
+    return paths
+
 
-    wh = WarehouseStar(spark, root)
-    stored = wh.lines
-    write("customer", S.conform(first_wins_by_id(
-        keyed.select("customer_id", "time_id", "customer_name", "gender"),
-        ["customer_id"], "time_id", ["customer_name", "gender"]
-    ).withColumnRenamed("gender", "segment"), S.CUSTOMER))
-    firsts = first_wins_by_id(stored, ["customer_id"], "time_id", ["product_id"])
-    write("customer_dim", S.conform(firsts.join(wh.customer, "customer_id"), S.CUSTOMER_DIM))
-    write("sales_fact", S.conform(fact_rows_line(wh), S.SALES_FACT), "year", "product_id")
-    return counts
+def loaded_csv(star, root: str, dirty: bool = False) -> WarehouseStar:
+    load_csv_warehouse(star.spark, *write_csv_inputs(star, root, dirty), f"{root}/warehouse")
+    return WarehouseStar(star.spark, f"{root}/warehouse")
 
 
 def csv_load_fact(star, root: str) -> DataFrame:
-    """The given tables written as the reference's two CSV files (with its
-    unreadable dates), loaded into a warehouse; returns the loaded fact."""
-    from ..sources.csv import write_csv
-    from ..sources.raw import master_csv_rows, transaction_csv_rows
-    write_csv(master_csv_rows(star), f"{root}/in/master")
-    write_csv(transaction_csv_rows(star), f"{root}/in/transactions")
-    load_csv_warehouse(star.spark, f"{root}/in/master", f"{root}/in/transactions",
-                       f"{root}/warehouse")
-    return WarehouseStar(star.spark, f"{root}/warehouse").sales_fact.drop("year")
+    """The given tables through CSV files into a warehouse: the loaded fact."""
+    return loaded_csv(star, root).sales_fact.drop("year")
+
+
+def csv_load_rejects(star, root: str) -> DataFrame:
+    """Rows of dirty CSV files that the load could not use: source, key, reason."""
+    return loaded_csv(star, root, dirty=True)._t("rejects").select("source", "key", "reason")
+
+
+def fact_line_rejects(star, root: str) -> DataFrame:
+    """Order lines of dirty CSV files that make no fact row, with the reason."""
+    return loaded_csv(star, root, dirty=True)._t("fact_rejects").select(
+        "product_id", "customer_id", "qty", "reason")

@@ -283,11 +283,9 @@ FROM master GROUP BY supplier_id HAVING count(DISTINCT supplier_name) > 1
 """
 
 QUERIES["dim_incremental_anti"] = STAR + f"""
-SELECT c.customer_id, c.customer_name, c.segment, c.product_id
-FROM customer_dim c
-WHERE NOT EXISTS (SELECT 1 FROM customer_dim s
-                  WHERE s.customer_id % {params.STORED_CUSTOMER_EVERY} = 0
-                    AND s.customer_id = c.customer_id)
+SELECT customer_id, customer_name, segment, product_id FROM customer_dim
+WHERE customer_id IN (SELECT customer_id FROM lines GROUP BY customer_id
+                      HAVING min(order_date) >= TIMESTAMP '{params.STORED_BEFORE}')
 """
 
 QUERIES["surrogate_key"] = STAR + f"""
@@ -301,13 +299,6 @@ SELECT l_orderkey AS order_id, l_linenumber AS line_number, count(*) AS n_rows
 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
 """
 
-QUERIES["check_foreign_key"] = STAR + f"""
-SELECT order_id, line_number, product_id, customer_id FROM lines l
-WHERE NOT EXISTS (SELECT 1 FROM customer c
-                  WHERE c.c_custkey % {params.FK_CUSTOMER_DROP_EVERY} <> 0
-                    AND c.c_custkey = l.customer_id)
-"""
-
 QUERIES["check_lengths"] = f"""
 SELECT c_custkey AS customer_id, 'segment' AS column_name, c_mktsegment AS value,
        CAST(length(c_mktsegment) AS INTEGER) AS length, {params.SEGMENT_MAX_LEN} AS max_length
@@ -316,7 +307,7 @@ FROM customer WHERE length(c_mktsegment) > {params.SEGMENT_MAX_LEN}
 
 QUERIES["load_audit_counts"] = STAR + """
 SELECT table_name, attempted, loaded, rejected,
-       greatest(attempted - loaded - rejected, 0) AS repeated FROM (
+       attempted - loaded - rejected AS repeated FROM (
   SELECT 'supplier' AS table_name, count(*) AS attempted,
          count(DISTINCT supplier_id) AS loaded, count(*) FILTER (WHERE supplier_id IS NULL) AS rejected
   FROM master
@@ -356,7 +347,7 @@ FROM customer_dim c LEFT JOIN {_FIRST_STORE} fs ON fs.product_id = c.product_id
 
 FACT_COMPAT = STAR + f"""
 SELECT c.product_id, c.customer_id, ft.time_id, COALESCE(fs.store_id, 0) AS store_id,
-       CAST(td.qty * p.price AS DECIMAL(10,2)) AS total_sale
+       CAST(td.qty * p.price AS DECIMAL(18,2)) AS total_sale
 FROM customer_dim c
 JOIN {_FIRST_TIME} ft ON ft.product_id = c.product_id
 JOIN time_dim td ON td.time_id = ft.time_id
@@ -368,14 +359,14 @@ QUERIES["fact_readback_semi"] = FACT_COMPAT
 
 QUERIES["fact_load_line"] = STAR + """
 SELECT td.product_id, td.customer_id, td.time_id, COALESCE(ps.store_id, 0) AS store_id,
-       CAST(td.qty * p.price AS DECIMAL(10,2)) AS total_sale
+       CAST(td.qty * p.price AS DECIMAL(18,2)) AS total_sale
 FROM time_dim td JOIN product p ON p.product_id = td.product_id
 LEFT JOIN product_store ps ON ps.product_id = td.product_id
 """
 
 QUERIES["csv_load_fact"] = STAR + """
 SELECT t.product_id, t.customer_id, t.time_id, COALESCE(ps.store_id, 0) AS store_id,
-       CAST(t.qty * p.price AS DECIMAL(10,2)) AS total_sale
+       CAST(t.qty * p.price AS DECIMAL(18,2)) AS total_sale
 FROM (SELECT row_number() OVER (ORDER BY order_ts, order_id, product_id, customer_id, qty,
                                          customer_name, gender) AS time_id, *
       FROM parsed_txn WHERE order_ts IS NOT NULL) t
@@ -383,6 +374,51 @@ JOIN master p ON p.product_id = t.product_id
 LEFT JOIN product_store ps ON ps.product_id = t.product_id
 """
 
+# dirty files: unreadable prices and customer ids, products in no master row
+_DIRTY = STAR + f"""
+, dirty AS (
+  SELECT *, order_id % {params.BAD_ID_EVERY} = 0 AS bad_id,
+         order_id % {params.UNKNOWN_PRODUCT_EVERY} = 0 AS unknown FROM parsed_txn
+)
+"""
+QUERIES["csv_load_rejects"] = _DIRTY + f"""
+SELECT 'master' AS source, CAST(product_id AS VARCHAR) AS key, 'unreadable price' AS reason
+FROM master WHERE product_id % {params.BAD_PRICE_EVERY} = 0
+UNION ALL
+SELECT 'transactions', CAST(order_id AS VARCHAR),
+       CASE WHEN bad_id THEN 'non-numeric id or quantity'
+            WHEN order_date_text = '' THEN 'empty order date' ELSE 'unparsable order date' END
+FROM dirty WHERE bad_id OR order_ts IS NULL
+"""
+QUERIES["fact_line_rejects"] = _DIRTY + f"""
+SELECT CASE WHEN unknown THEN product_id + {params.UNKNOWN_PRODUCT_SHIFT} ELSE product_id END AS product_id,
+       customer_id, qty,
+       CASE WHEN unknown THEN 'unknown product' ELSE 'product without a price' END AS reason
+FROM dirty WHERE NOT bad_id AND order_ts IS NOT NULL
+  AND (unknown OR product_id % {params.BAD_PRICE_EVERY} = 0)
+"""
+
+QUERIES["check_foreign_key"] = _DIRTY + f"""
+SELECT order_id, product_id + {params.UNKNOWN_PRODUCT_SHIFT} AS product_id, customer_id, qty
+FROM dirty WHERE unknown AND NOT bad_id AND order_ts IS NOT NULL
+"""
+
+# every master row and line is unique by its key, and only fact rows refer to others
+QUERIES["check_constraints"] = STAR + """
+, repeats AS (
+  SELECT (SELECT count(*) - count(DISTINCT product_id) FROM master) AS products,
+         (SELECT count(*) FROM master m WHERE NOT EXISTS
+            (SELECT 1 FROM supplier_d s WHERE s.supplier_id = m.supplier_id)) AS unsupplied
+)
+SELECT 'primary key ' || t AS "constraint", CASE WHEN t = 'product_dim' THEN products ELSE 0 END AS violations
+FROM repeats, (VALUES ('supplier_dim'), ('product_dim'), ('store_dim'), ('customer_dim'), ('time_dim'),
+               ('sales_fact')) v(t)
+UNION ALL
+SELECT 'foreign key ' || t, CASE WHEN t = 'product_dim.supplier_id' THEN unsupplied ELSE 0 END
+FROM repeats, (VALUES ('sales_fact.product_id'), ('sales_fact.customer_id'), ('sales_fact.time_id'),
+               ('product_dim.supplier_id')) v(t)
+"""
+
 QUERIES["stream_csv_ingest"] = STAR + """
 SELECT row_number() OVER (ORDER BY order_ts, order_id, product_id, customer_id, qty,
                                    customer_name, gender) AS time_id,
@@ -396,15 +432,21 @@ FROM parsed_txn WHERE order_ts IS NOT NULL
 """
 
 QUERIES["stream_rows_by_key"] = STAR + """
-SELECT product_id, count(*) AS n_entries, min(customer_id) AS first_customer_id,
-       max(customer_id) AS last_customer_id
-FROM customer_dim GROUP BY product_id
+SELECT product_id, row_number() OVER (ORDER BY customer_id) AS position, customer_id FROM customer_dim
+"""
+
+# four batches of as many lines each as rounding allows
+QUERIES["stream_rate_report"] = """
+SELECT CAST(b AS BIGINT) AS batch_id,
+       CAST(round_even(n * (b + 1) / 4.0, 0) - round_even(n * b / 4.0, 0) AS BIGINT) AS input_rows
+FROM (SELECT count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey), range(4) t(b)
 """
 
 # ---- aggregate tables and streams (the oracle is the batch statement) ----
 
 QUERIES["mv_refresh_full"] = SUPPLIER_MONTH
 QUERIES["mv_refresh_incremental"] = SUPPLIER_MONTH
+QUERIES["mv_refresh_mixed"] = SUPPLIER_MONTH
 QUERIES["stream_mv_refresh"] = SUPPLIER_MONTH
 QUERIES["stream_enrich_fact"] = QUERIES["fact_load_line"]
 QUERIES["stream_dim_incremental"] = QUERIES["dim_customer"]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..sources.star import Star
-from .ingest import transactions_with_reason, typed_master
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -38,11 +37,40 @@ def check_primary_key(star: Star) -> DataFrame:
     return duplicate_keys(li, ["order_id", "line_number"])
 
 
-def check_foreign_key(star: Star) -> DataFrame:
-    """Order lines against a customer table missing every 10th customer."""
-    cust = star.t.customer.where(F.col("c_custkey") % params.FK_CUSTOMER_DROP_EVERY != 0)
-    lines = star.lines_base().select("order_id", "line_number", "product_id", "customer_id")
-    return orphans(lines, cust, "customer_id", "c_custkey")
+def check_foreign_key(star: Star, root: str) -> DataFrame:
+    """Loaded order lines (of dirty files) whose product is in no product row."""
+    from .load import loaded_csv
+    wh = loaded_csv(star, root, dirty=True)
+    return orphans(wh.time_dim.select("order_id", "product_id", "customer_id", "qty"),
+                   wh.product, "product_id", "product_id")
+
+
+#: The six primary keys and the four foreign keys of the schema.
+PRIMARY_KEYS = {"supplier_dim": "supplier_id", "product_dim": "product_id", "store_dim": "store_id",
+                "customer_dim": "customer_id", "time_dim": "time_id", "sales_fact": "time_id"}
+FOREIGN_KEYS = {"sales_fact.product_id": "product_dim", "sales_fact.customer_id": "customer_dim",
+                "sales_fact.time_id": "time_dim", "product_dim.supplier_id": "supplier_dim"}
+
+
+def constraint_violations(wh) -> DataFrame:
+    """One row per key constraint of a loaded warehouse and the rows against it."""
+    n = F.count(F.lit(1)).alias("violations")
+    out = None
+    for table, key in PRIMARY_KEYS.items():
+        part = duplicate_keys(wh._t(table), [key]).agg(n).select(
+            F.lit(f"primary key {table}").alias("constraint"), "violations")
+        out = part if out is None else out.union(part)
+    for child, parent in FOREIGN_KEYS.items():
+        table, key = child.split(".")
+        bad = orphans(wh._t(table).select(key).where(F.col(key).isNotNull()), wh._t(parent), key, key)
+        out = out.union(bad.agg(n).select(F.lit(f"foreign key {child}").alias("constraint"), "violations"))
+    return out
+
+
+def check_constraints(star: Star, root: str) -> DataFrame:
+    """The ten key constraints on the warehouse loaded from dirty files."""
+    from .load import loaded_csv
+    return constraint_violations(loaded_csv(star, root, dirty=True))
 
 
 def check_lengths(star: Star) -> DataFrame:
@@ -51,45 +79,8 @@ def check_lengths(star: Star) -> DataFrame:
     return too_long(cust, "customer_id", "segment", params.SEGMENT_MAX_LEN)
 
 
-def load_audit_counts(star: Star) -> DataFrame:
-    """Rows attempted, loaded, rejected and skipped as repeats, per table.
-
-    Two passes in all: one aggregate over the master rows (supplier, product,
-    store) and one over the transactions (customer, time), each with a
-    partial step; the counts are then unpivoted into one row per table.
-    ``attempted`` counts raw rows, as the reference's counters do.
-    """
-    m = typed_master(star)
-    t = transactions_with_reason(star)
-    n = F.count(F.lit(1))
-
-    def nulls(c):
-        return F.count_if(F.col(c).isNull())
-
-    mc = m.agg(n.alias("m_rows"),
-               F.countDistinct("supplier_id").alias("supplier_loaded"),
-               nulls("supplier_id").alias("supplier_rejected"),
-               F.countDistinct("product_id").alias("product_loaded"),
-               nulls("product_id").alias("product_rejected"),
-               F.countDistinct("store_id").alias("store_loaded"),
-               nulls("store_id").alias("store_rejected"))
-    tc = t.agg(n.alias("t_rows"),
-               F.countDistinct("customer_id").alias("customer_loaded"),
-               nulls("customer_id").alias("customer_rejected"),
-               F.count_if(F.col("reason").isNull()).alias("time_loaded"),
-               F.count_if(F.col("reason").isNotNull()).alias("time_rejected"))
-    # two one-row aggregates side by side: the transaction counts enter as
-    # scalar subqueries of the master row
-    both = mc.select("*", *[tc.select(c).scalar().alias(c) for c in tc.columns])
-    rows = [(name, src) for name, src in (("supplier", "m_rows"), ("product", "m_rows"),
-                                          ("store", "m_rows"), ("customer", "t_rows"),
-                                          ("time", "t_rows"))]
-    stacked = both.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("table_name"),
-                 F.col(src).cast("bigint").alias("attempted"),
-                 F.col(f"{name}_loaded").cast("bigint").alias("loaded"),
-                 F.col(f"{name}_rejected").cast("bigint").alias("rejected"))
-        for name, src in rows])).alias("r")).select("r.*")
-    return stacked.withColumn(
-        "repeated", F.greatest(F.col("attempted") - F.col("loaded") - F.col("rejected"),
-                               F.lit(0).cast("bigint")))
+def load_audit_counts(star: Star, root: str) -> DataFrame:
+    """The load's own audit of CSV files: rows attempted, loaded, rejected and
+    skipped as repeats, per table, counted while they were written."""
+    from .load import loaded_csv
+    return loaded_csv(star, root)._t("load_audit")

@@ -7,7 +7,10 @@ analytic queries read them), done with Spark writers:
   sorted by ``product_id`` inside each file, so a year filter is partition
   pruning and product lookups can skip row groups by min/max;
 * dimensions are written as they are;
-* ``sales_fact`` (line grain) is written partitioned by ``year``.
+* ``sales_fact`` (line grain) is written partitioned by ``year``; lines that make
+  no fact row are in ``fact_rejects`` with the reason.
+
+Each load writes a version folder of its own and then switches a pointer.
 
 ``WarehouseStar`` offers the same views as ``Star``, so every query in
 ``plans.queries`` runs unchanged over either.
@@ -15,29 +18,34 @@ analytic queries read them), done with Spark writers:
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.dedup import first_wins_by_id
+from ..sources import pointer
 from ..sources.star import Star, year_range
-from .fact import fact_rows_line
+from .fact import fact_rejects_line, fact_rows_line
 
 TIME_COLS = tuple(S.TIME_DIM.fieldNames())
 
 
-def load_warehouse(star: Star, root: str) -> dict[str, int]:
-    """Write every table of the warehouse under ``root``; returns row counts
-    observed while writing (no second pass)."""
-    from pyspark.sql import Observation
+class VersionWriter:
+    """Writes the tables of one new version of a warehouse, then makes it current."""
 
-    counts: dict[str, int] = {}
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        self.folder = f"{root}/v={uuid.uuid4().hex}"
+        self.counts: dict[str, int] = {}
+        self.intakes: dict[str, Observation] = {}
 
-    def write(name: str, df: DataFrame, partition_by: str | None = None,
+    def write(self, name: str, df: DataFrame, partition_by: str | None = None,
               sort_by: str | None = None) -> None:
+        """Write a table and note its rows, observed on the way."""
         obs = Observation(name)
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         if sort_by:
@@ -46,30 +54,60 @@ def load_warehouse(star: Star, root: str) -> dict[str, int]:
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)
-        w.parquet(f"{root}/{name}")
-        counts[name] = obs.get["rows"]
+        w.parquet(f"{self.folder}/{name}")
+        self.counts[name] = obs.get["rows"]
+
+    def intake(self, name: str, rows: DataFrame, ok: Column) -> DataFrame:
+        """The rows that can stand in table ``name``; all and the unusable ones are
+        counted when the table is written."""
+        seen = Observation(f"{name}_intake")
+        self.intakes[name] = seen
+        return rows.observe(seen, F.count(F.lit(1)).alias("attempted"),
+                            F.count_if(~ok).alias("rejected")).where(ok)
+
+    def write_audit(self, more: list[tuple]) -> None:
+        """``load_audit``: attempted, loaded, rejected and repeated rows per table."""
+        rows = [(name, seen.get["attempted"], self.counts[f"{name}_dim"], seen.get["rejected"])
+                for name, seen in self.intakes.items()] + more
+        self.write("load_audit", self.spark.createDataFrame(
+            [(*r, r[1] - r[2] - r[3]) for r in rows],
+            "table_name string, attempted long, loaded long, rejected long, repeated long").coalesce(1))
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{name}")
+
+    def write_fact(self) -> None:
+        """The line fact and the lines that make no fact row: together all lines."""
+        star = WarehouseStar(self.spark, self.root, base=self.folder)
+        self.write("sales_fact", S.conform(fact_rows_line(star), S.SALES_FACT), "year", "product_id")
+        self.write("fact_rejects", fact_rejects_line(star))
+
+    def publish(self) -> None:
+        pointer.switch(self.spark, f"{self.root}/_current", self.folder)
+
 
+def load_warehouse(star: Star, root: str) -> dict[str, int]:
+    """Write a new version of every table of the warehouse under ``root``; returns
+    row counts observed while writing (no second pass)."""
+    out = VersionWriter(star.spark, root)
     # the keyed lines come range-partitioned on the total order, which starts
     # with the order date: each task holds a contiguous run of dates, so it
     # writes into one or two year folders without another shuffle, and no
     # product, however hot, lands in a single task
-    time_dim = S.conform(star.time_dim, S.TIME_DIM)
-    write("time_dim", time_dim, "year", "product_id")
-    write("product_dim", S.conform(star.product, S.PRODUCT_DIM))
-    write("supplier_dim", S.conform(star.supplier, S.SUPPLIER_DIM))
-    write("product_store", S.conform(star.product_store, S.PRODUCT_STORE))
-    write("store_dim", S.conform(star.store_dim, S.STORE_DIM))
-    write("customer", S.conform(star.customer, S.CUSTOMER))
+    out.write("time_dim", S.conform(star.time_dim, S.TIME_DIM), "year", "product_id")
+    out.write("product_dim", S.conform(star.product, S.PRODUCT_DIM))
+    out.write("supplier_dim", S.conform(star.supplier, S.SUPPLIER_DIM))
+    out.write("product_store", S.conform(star.product_store, S.PRODUCT_STORE))
+    out.write("store_dim", S.conform(star.store_dim, S.STORE_DIM))
+    out.write("customer", S.conform(star.customer, S.CUSTOMER))
     # first line of a customer = lowest time id: the dense key already encodes
     # the total order, so the stored lines give the compat dimension by a hash
     # aggregate instead of a struct-ordered one over the raw lines
-    lines = WarehouseStar(star.spark, root).lines
-    firsts = first_wins_by_id(lines, ["customer_id"], "time_id", ["product_id"])
-    write("customer_dim", S.conform(firsts.join(star.customer, "customer_id"),
-                                    S.CUSTOMER_DIM))
-    wh = WarehouseStar(star.spark, root)
-    write("sales_fact", S.conform(fact_rows_line(wh), S.SALES_FACT), "year", "product_id")
-    return counts
+    firsts = first_wins_by_id(out.read("time_dim"), ["customer_id"], "time_id", ["product_id"])
+    out.write("customer_dim", S.conform(firsts.join(star.customer, "customer_id"), S.CUSTOMER_DIM))
+    out.write_fact()
+    out.publish()
+    return out.counts
 
 
 @dataclass
@@ -77,9 +115,15 @@ class WarehouseStar:
     spark: SparkSession
     root: str
     order_filter: Column | None = None
+    base: str | None = None   # version folder; the current one of ``root`` by default
+
+    def __post_init__(self):
+        if self.base is None:
+            row = pointer.current(self.spark, f"{self.root}/_current")
+            self.base = row.path if row else self.root
 
     def _t(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return self.spark.read.parquet(f"{self.base}/{name}")
 
     @property
     def lines(self) -> DataFrame:

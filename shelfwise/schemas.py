@@ -3,6 +3,7 @@
 from pyspark.sql import types as T
 
 PRICE = T.DecimalType(10, 2)
+SALE = T.DecimalType(18, 2)
 # sums are widened to 38 digits so that a 100 TB fact cannot overflow them
 MONEY = T.DecimalType(38, 2)
 
@@ -66,11 +67,20 @@ SALES_FACT = T.StructType([
     T.StructField("customer_id", T.LongType(), False),
     T.StructField("time_id", T.LongType(), False),
     T.StructField("store_id", T.IntegerType(), False),
-    T.StructField("total_sale", PRICE),
+    T.StructField("total_sale", SALE),
     T.StructField("year", T.IntegerType()),   # partition column
 ])
 
 
+# what a load keeps of a row that it could not use, with all its fields as text
+REJECTS = T.StructType([
+    T.StructField("source", T.StringType()),   # file or table the row came from
+    T.StructField("key", T.StringType()),
+    T.StructField("text", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
+
+
 def conform(df, schema: T.StructType):
     """The declared columns of ``schema``, in its order and with its types
     (the DDL of the reference's tables, applied at write time)."""

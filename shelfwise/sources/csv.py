@@ -8,12 +8,14 @@ and use the same quote and escape character on both sides.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "enforceSchema": "false"}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -33,6 +35,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return reader.csv(path)
 
 
+def header_schema(spark: SparkSession, path: str, columns: Sequence[str]) -> T.StructType:
+    """All-string schema in the order of the header that the files have.
+
+    The header must name exactly ``columns``, in any order; anything else is an
+    error.  Reading with it checks every file's own header against it, so a
+    folder of files with different orders fails instead of mixing columns up."""
+    found = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    if sorted(found) != sorted(columns):
+        raise ValueError(f"header of {path} is {found}, expected {list(columns)} in any order")
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*found, CORRUPT]])
+
+
 def good_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 

@@ -1,0 +1,27 @@
+"""A pointer table: which version folder of a table is current.
+
+Switching appends one small file, so a job that dies half-way leaves the old
+version readable, and a reader never sees a half-written one."""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import Row, SparkSession
+from pyspark.sql import functions as F
+
+from .paths import read_parquet_if_exists
+
+SCHEMA = "path string, marks map<string,bigint>, written_at long"
+
+
+def current(spark: SparkSession, path: str) -> Row | None:
+    """The newest row of the pointer table at ``path``, if there is one."""
+    log = read_parquet_if_exists(spark, path)
+    return None if log is None else log.orderBy(F.col("written_at").desc()).first()
+
+
+def switch(spark: SparkSession, path: str, to: str, marks: dict[str, int] | None = None) -> None:
+    """Make ``to`` current; ``marks``: last batch of each stream that it covers."""
+    row = spark.createDataFrame([(to, marks or {}, time.time_ns())], SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(path)

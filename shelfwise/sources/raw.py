@@ -19,7 +19,7 @@ RAW_DATE_FORMAT = "M/d/yy HH:mm"
 HEADER_TEXT = "Order Date"
 
 
-def raw_master(star: Star, conflicts: bool = True) -> DataFrame:
+def raw_master(star: Star, conflicts: bool = True, dirty: bool = False) -> DataFrame:
     """Master data rows: product, price text with '$', supplier, store.
 
     Suppliers of every 7th part carry the suffix ' Ltd', so one supplier id
@@ -42,11 +42,15 @@ def raw_master(star: Star, conflicts: bool = True) -> DataFrame:
                   ).otherwise(F.col("supplier_name"))
     if not conflicts:
         name = F.col("supplier_name")
+    price = F.concat(F.col("p_price").cast("string"), F.lit("$"))
+    if dirty:
+        price = F.when(F.col("product_id") % params.BAD_PRICE_EVERY == 0,
+                       F.lit(params.BAD_PRICE_TEXT)).otherwise(price)
     return base.select(
         F.col("product_id").alias("row_ord"),
         F.col("product_id").cast("string").alias("product_id"),
         F.col("product_name"),
-        F.concat(F.col("p_price").cast("string"), F.lit("$")).alias("product_price"),
+        price.alias("product_price"),
         F.col("supplier_id").cast("string").alias("supplier_id"),
         name.alias("supplier_name"),
         (F.col("nation_id") + 1).cast("string").alias("store_id"),
@@ -65,19 +69,29 @@ def order_date_text(order_date: str = "order_date", order_id: str = "order_id",
             .otherwise(text))
 
 
-def raw_transactions(star: Star, bad_dates: bool = True) -> DataFrame:
-    """Transaction rows as strings, plus the total-order columns as ordinal."""
+def raw_transactions(star: Star, bad_dates: bool = True, dirty: bool = False) -> DataFrame:
+    """Transaction rows as strings, plus the total-order columns as ordinal.
+
+    ``dirty``: some customer ids are unreadable and some products are in no
+    master row."""
     lines = star.lines_base()
     cust = star.t.customer.select(F.col("c_custkey").alias("customer_id"),
                                   F.col("c_name").alias("customer_name"),
                                   F.col("c_mktsegment").alias("gender"))
     df = lines.join(cust, "customer_id")
+    product, customer = F.col("product_id"), F.col("customer_id").cast("string")
+    if dirty:
+        order = F.col("order_id")
+        product = F.when(order % params.UNKNOWN_PRODUCT_EVERY == 0,
+                         product + params.UNKNOWN_PRODUCT_SHIFT).otherwise(product)
+        customer = F.when(order % params.BAD_ID_EVERY == 0,
+                          F.concat(F.lit(params.BAD_ID_TEXT), customer)).otherwise(customer)
     return df.select(
         *[F.col(c).alias(f"ord_{c}") for c in LINE_ORDER],
         F.col("order_id").cast("string").alias("order_id_text"),
         order_date_text(bad_dates=bad_dates).alias("order_date_text"),
-        F.col("product_id").cast("string").alias("product_id_text"),
-        F.col("customer_id").cast("string").alias("customer_id_text"),
+        product.cast("string").alias("product_id_text"),
+        customer.alias("customer_id_text"),
         "customer_name", "gender",
         F.col("qty").cast("string").alias("quantity_text"))
 
@@ -85,19 +99,20 @@ def raw_transactions(star: Star, bad_dates: bool = True) -> DataFrame:
 RAW_ORDER = tuple(f"ord_{c}" for c in LINE_ORDER)
 
 
-def master_csv_rows(star: Star, conflicts: bool = True) -> DataFrame:
-    """Master data as the reference's file holds it (header names, '$' prices)."""
+def master_csv_rows(star: Star, conflicts: bool = True, dirty: bool = False) -> DataFrame:
+    """Master data as the reference's file holds it (header names, '$' prices),
+    in the order of its rows."""
     from ..schemas import MASTER_CSV_COLUMNS
-    m = raw_master(star, conflicts)
+    m = raw_master(star, conflicts, dirty).orderBy("row_ord")
     return m.select(*[F.col(c).alias(h) for c, h in zip(
         ("product_id", "product_name", "product_price", "supplier_id", "supplier_name",
          "store_id", "store_name"), MASTER_CSV_COLUMNS)])
 
 
-def transaction_csv_rows(star: Star, bad_dates: bool = True) -> DataFrame:
+def transaction_csv_rows(star: Star, bad_dates: bool = True, dirty: bool = False) -> DataFrame:
     """Transactions as the reference's file holds them (header names, date text)."""
     from ..schemas import TRANSACTION_CSV_COLUMNS
-    t = raw_transactions(star, bad_dates)
+    t = raw_transactions(star, bad_dates, dirty)
     return t.select(*[F.col(c).alias(h) for c, h in zip(
         ("order_id_text", "order_date_text", "product_id_text", "customer_id_text",
          "customer_name", "gender", "quantity_text"), TRANSACTION_CSV_COLUMNS)])

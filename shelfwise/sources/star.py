@@ -81,7 +81,9 @@ class Star:
             F.col("l_suppkey").alias("line_supplier_id"),
             F.col("l_shipdate").alias("ship_date"),
             F.col("l_extendedprice").alias("ext_price"),
-            F.col("l_quantity").cast("int").alias("qty"))
+            # a quantity that is not whole is no quantity: NULL, never cut
+            F.when(F.col("l_quantity") == F.floor("l_quantity"), F.col("l_quantity"))
+            .try_cast("int").alias("qty"))
         return li.join(o, "order_id")
 
     @property

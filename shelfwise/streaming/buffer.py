@@ -1,29 +1,25 @@
 """The keyed buffer of stream rows (C7 / K5).
 
-The reference keeps key -> list of stream rows and never reads it.  A list per
-key is unbounded (one product may carry a third of all rows), so the buffer
-is kept as a per-key summary that merges across batches: entries, first and
-last customer.  Each part is an aggregate with a partial step.
+The reference keeps key -> list of stream rows.  A list per key is unbounded (one
+product may carry a third of all rows), so the rows themselves are stored,
+clustered by key inside each batch, each with its position in the order of
+arrival: the rows of a key are a range of a sorted file, not one value.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from .runner import batch_partition_write
 
-def rows_by_key(rows: DataFrame, key: str = "product_id",
-                member: str = "customer_id") -> DataFrame:
-    return rows.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_entries"),
-        F.min(member).alias(f"first_{member}"),
-        F.max(member).alias(f"last_{member}"))
 
+def buffer_rows(batch: DataFrame, path: str, batch_id: int, key: str = "product_id",
+                member: str = "customer_id", position: str = "position",
+                stream: str = "main") -> None:
+    """Store the batch's (key, position, member) rows, sorted by key."""
+    batch_partition_write(batch.select(key, position, member), path, batch_id,
+                          sort_by=key, stream=stream)
 
-def merge_rows_by_key(parts: DataFrame, key: str = "product_id",
-                      member: str = "customer_id") -> DataFrame:
-    """Merge per-batch summaries: counts add, first is min, last is max."""
-    return parts.groupBy(key).agg(
-        F.sum("n_entries").cast("bigint").alias("n_entries"),
-        F.min(f"first_{member}").alias(f"first_{member}"),
-        F.max(f"last_{member}").alias(f"last_{member}"))
+
+def buffered(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("stream", "batch_id")

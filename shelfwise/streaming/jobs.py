@@ -3,9 +3,10 @@ ordinal ranges, runs one micro-batch per range and returns what it stored, so
 the stored result can be compared with the batch query.
 
 Inside ``foreachBatch`` the dimensions are re-read from their tables every
-batch (a stream-static join whose static side stays fresh) and every write
-replaces only its own ``batch_id`` partition, so a batch replayed after a
-failure leaves the same result.
+batch (a stream-static join whose static side stays fresh; only the compat
+lookups of ``stream_fact_compat`` are prepared once).  Every write replaces only
+its own (stream, batch id) partition, so a batch replayed after a failure leaves
+the same result, and streams with checkpoints of their own can share a table.
 """
 
 from __future__ import annotations
@@ -17,15 +18,17 @@ from ..functions import calendar_columns, parse_order_date, to_int
 from ..operators.dedup import first_wins, improving_rows
 from ..operators.surrogate import dense_key
 from ..plans.aggregates import AggregateTable
-from ..plans.fact import FACT_KEYS, compat_lookups, fact_rows_compat, fact_rows_line
+from ..plans.fact import (FACT_KEYS, FACT_LINE, LINE_REJECT, compat_lookup, fact_rows_compat,
+                          judged_lines)
 from ..plans.ingest import reject_reason
 from ..plans.queries import supplier_month
 from ..sources.paths import read_parquet_if_exists
 from ..sources.raw import RAW_ORDER, raw_transactions
 from ..sources.staging import number_rows
 from ..sources.star import Star
-from .buffer import merge_rows_by_key, rows_by_key
-from .runner import (StreamRun, batch_partition_write, progress_rows, run_ranges,
+from .buffer import buffer_rows, buffered
+from .progress import timed_sink
+from .runner import (StreamRun, batch_partition_write, before_batch, in_batch, run_ranges,
                      run_staged)
 
 N_RANGES = 4
@@ -69,40 +72,47 @@ def stream_microbatch_ingest(star: Star, root: str, n_ranges: int = N_RANGES) ->
         "month", "qty", "product_id", "customer_id")
 
 
-def ingest_sink(star: Star, root: str):
-    """foreachBatch body of the ingest stream (see ``stream_microbatch_ingest``).
+def key_and_store(good: DataFrame, rejects: DataFrame, order_cols, root: str, batch_id: int,
+                  stream: str, shape) -> None:
+    """Append good lines with dense ids that continue from earlier batches, and rejects.
 
     The id offset of a batch comes from a high-water-mark table with one row
     per batch (its largest id), so finding it costs the same on the thousandth
-    batch as on the first; only rows of earlier batches count, so a replayed
-    batch gets its ids again."""
-    spark = star.spark
-    good_path, bad_path, hwm_path = f"{root}/lines", f"{root}/rejects", f"{root}/hwm"
-
+    batch as on the first; this batch and later ones of its stream do not count,
+    so a replayed batch gets its ids again."""
+    spark = good.sparkSession
+    good_path, hwm_path = f"{root}/lines", f"{root}/hwm"
+    marks = _read_or_none(spark, hwm_path)
+    offset = 0
+    if marks is not None:
+        offset = (marks.where(before_batch(stream, batch_id))
+                  .agg(F.max("max_time_id")).first()[0]) or 0  # one number
+    keyed = dense_key(good, order_cols, "time_id", path=f"{root}/keys/{stream}/{batch_id}")
+    keyed = shape(keyed.withColumn("time_id", F.col("time_id") + F.lit(offset)))
+    batch_partition_write(keyed, good_path, batch_id, sort_by="product_id", stream=stream)
+    written = spark.read.parquet(good_path).where(in_batch(stream, batch_id))
+    batch_partition_write(
+        written.agg(F.coalesce(F.max("time_id"), F.lit(offset).cast("long"))
+                    .alias("max_time_id")), hwm_path, batch_id, stream=stream)
+    batch_partition_write(rejects, f"{root}/rejects", batch_id, stream=stream)
+
+
+def ingest_sink(star: Star, root: str, stream: str = "main"):
+    """foreachBatch body of the ingest stream (see ``stream_microbatch_ingest``)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        marks = _read_or_none(spark, hwm_path)
-        offset = 0
-        if marks is not None:
-            offset = (marks.where(F.col("batch_id") < batch_id)
-                      .agg(F.max("max_time_id")).first()[0]) or 0  # one number
-        cal = calendar_columns("order_date")
-        good = batch.where(F.col("reason").isNull()).select(
-            *RAW_ORDER, "row_id", "order_id", "line_number", "order_date",
-            *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month")],
-            "qty", "product_id", "customer_id")
-        keyed = dense_key(good, RAW_ORDER, "time_id", path=f"{root}/keys/{batch_id}")
-        keyed = keyed.withColumn("time_id", F.col("time_id") + F.lit(offset)).drop(*RAW_ORDER)
-        batch_partition_write(keyed, good_path, batch_id, sort_by="product_id")
-        written = spark.read.parquet(good_path).where(F.col("batch_id") == batch_id)
-        batch_partition_write(
-            written.agg(F.coalesce(F.max("time_id"), F.lit(offset).cast("long"))
-                        .alias("max_time_id")), hwm_path, batch_id)
-        batch_partition_write(batch.where(F.col("reason").isNotNull())
-                              .select("row_id", "order_id", "line_number",
-                                      "order_date_text", "reason"),
-                              bad_path, batch_id)
-        batch.unpersist()
+        try:
+            cal = calendar_columns("order_date")
+            good = batch.where(F.col("reason").isNull()).select(
+                *RAW_ORDER, "row_id", "order_id", "line_number", "order_date",
+                *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month")],
+                "qty", "product_id", "customer_id")
+            bad = batch.where(F.col("reason").isNotNull()).select(
+                "row_id", "order_id", "line_number", "order_date_text", "reason")
+            key_and_store(good, bad, RAW_ORDER, root, batch_id, stream,
+                          lambda keyed: keyed.drop(*RAW_ORDER))
+        finally:
+            batch.unpersist()
 
     return sink
 
@@ -114,18 +124,25 @@ def staged_time(star: Star) -> DataFrame:
                                 "qty", "product_id", "customer_id")
 
 
-def enrich_sink(star: Star, fact_path: str, echo: int = 0):
-    """foreachBatch body: order lines -> fact rows of this batch.
+def enrich_sink(star: Star, fact_path: str, echo: int = 0, stream: str = "main"):
+    """foreachBatch body: order lines -> fact rows of this batch, and beside them
+    (``<fact_path>_rejects``) the lines that make none, with the reason.
 
     With ``echo`` > 0 the rows just written are read back by their batch
     partition and the first ``echo`` are printed (the reference prints every
     loaded row; off by default)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         fresh = star.refreshed()  # dimensions re-read every batch
-        fact = fact_rows_line(fresh, batch).drop("year")
-        batch_partition_write(fact, fact_path, batch_id, sort_by="product_id")
+        judged = judged_lines(fresh, batch).persist()
+        try:
+            batch_partition_write(judged.where("reason IS NULL").select(*FACT_LINE).drop("year"),
+                                  fact_path, batch_id, sort_by="product_id", stream=stream)
+            batch_partition_write(judged.where("reason IS NOT NULL").select(*LINE_REJECT),
+                                  f"{fact_path}_rejects", batch_id, stream=stream)
+        finally:
+            judged.unpersist()
         if echo:
-            (star.spark.read.parquet(fact_path).where(F.col("batch_id") == batch_id)
+            (star.spark.read.parquet(fact_path).where(in_batch(stream, batch_id))
              .show(echo, truncate=False))
     return sink
 
@@ -142,38 +159,27 @@ def start_enrichment(star: Star, source: str, fact_path: str, checkpoint: str,
 
 
 def run_enrich(star: Star, root: str, n_ranges: int = N_RANGES,
-               continuous: bool = False) -> tuple[StreamRun, str]:
+               continuous: bool = False, sink=None) -> tuple[StreamRun, str]:
     """Enrichment over staged order lines: one availableNow run per range, or
     (``continuous``) all ranges staged first and one run over them."""
     fact_path = f"{root}/fact"
     runner = run_staged if continuous else run_ranges
     run = runner(star.spark, staged_time(star), "time_id", n_ranges, root,
-                 enrich_sink(star, fact_path))
+                 sink or enrich_sink(star, fact_path))
     return run, fact_path
 
 
 def stream_enrich_fact(star: Star, root: str) -> DataFrame:
     run, fact_path = run_enrich(star, root)
-    return star.spark.read.parquet(fact_path).drop("batch_id")
+    return star.spark.read.parquet(fact_path).drop("stream", "batch_id")
 
 
 def stream_rate_report(star: Star, root: str) -> DataFrame:
-    """Rows per micro-batch and the arrival / service rates Spark measured,
-    recorded by a ``StreamingQueryListener`` over the whole run."""
-    from .progress import attach, detach
-    spark = star.spark
-    rec = attach(spark)
-    try:
-        run, _ = run_enrich(star, root)
-        for rid in run.run_ids:
-            rec.wait_for(rid)
-    finally:
-        detach(spark, rec)
-    runs = set(run.run_ids)
-    rows = sorted((r[1], r[2], r[3], r[4]) for r in rec.rows if r[0] in runs)
-    return spark.createDataFrame(
-        rows, "batch_id long, input_rows long, input_rows_per_second double, "
-              "processed_rows_per_second double")
+    """Batches and their input rows from the stored table of rates (seconds and
+    rows per second are there too, and differ from run to run)."""
+    rates = f"{root}/rates"
+    run_enrich(star, root, sink=timed_sink(enrich_sink(star, f"{root}/fact"), rates))
+    return star.spark.read.parquet(rates).select("batch_id", "input_rows")
 
 
 # ---- K6: first-wins dimension on a stream ----------------------------------
@@ -181,7 +187,7 @@ def stream_rate_report(star: Star, root: str) -> DataFrame:
 DIM_VALUES = ["customer_name", "gender", "product_id"]
 
 
-def dim_sink(root: str):
+def dim_sink(root: str, name: str = "main"):
     """foreachBatch body of the first-wins customer dimension.
 
     Each batch keeps its own winners (first in the total order), then writes
@@ -198,9 +204,9 @@ def dim_sink(root: str):
                            RAW_ORDER, DIM_VALUES, keep_order=True)
         stored = _read_or_none(spark, dim_path)
         if stored is not None:
-            cands = improving_rows(cands, stored.where(F.col("batch_id") < batch_id),
+            cands = improving_rows(cands, stored.where(before_batch(name, batch_id)),
                                    ["customer_id"], RAW_ORDER)
-        batch_partition_write(cands, dim_path, batch_id)
+        batch_partition_write(cands, dim_path, batch_id, stream=name)
     return sink
 
 
@@ -228,7 +234,7 @@ def stream_mv_refresh(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFr
                            compact_every=2)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.apply_batch(supplier_month(batch, star), batch_id)
+        table.apply_batch(supplier_month(batch, star.refreshed()), batch_id)
 
     run_ranges(spark, staged_time(star), "time_id", n_ranges, root, sink)
     return table.read()
@@ -247,7 +253,7 @@ def stream_q9_line(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame
                            compact_every=2)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        table.apply_batch(customer_product_year(batch, star), batch_id)
+        table.apply_batch(customer_product_year(batch, star.refreshed()), batch_id)
 
     run_ranges(spark, staged_time(star), "time_id", n_ranges, root, sink)
     return q9_from_pairs(table.read(), star)
@@ -256,114 +262,101 @@ def stream_q9_line(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame
 # ---- K5 / C7: keyed buffer of the outer relation ---------------------------
 
 def stream_rows_by_key(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
-    """The outer relation (customer dimension rows) streamed in batches; the
-    per-key summary of each batch is appended and merged on read."""
-    spark = star.spark
+    """The outer relation (customer dimension rows) streamed in batches into the
+    keyed buffer: every row under its key, with its place in the stream."""
     path = f"{root}/rows_by_key"
     outer = number_rows(star.customer_dim.select("customer_id", "product_id"),
-                        ["customer_id"], "row_id")
+                        ["customer_id"], "position")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch_partition_write(rows_by_key(batch), path, batch_id)
+        buffer_rows(batch, path, batch_id)
 
-    run_ranges(spark, outer, "row_id", n_ranges, root, sink)
-    return merge_rows_by_key(spark.read.parquet(path).drop("batch_id"))
+    run_ranges(star.spark, outer, "position", n_ranges, root, sink)
+    return buffered(star.spark, path)
 
 
 # ---- C6 + A5 + A6 + A8: the reference's own pipeline -----------------------
 
 def stream_fact_compat(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
     """The outer relation (customer dimension rows) streamed in batches into the
-    compat fact.  The lookup tables (first line and first store of a product,
-    price) are written once and re-read by every batch; each batch writes its
+    compat fact.  The lookup (price, first line and first store of a product) is
+    written once as one table and re-read by every batch; each batch writes its
     fact rows, reads them back by the 4-part key and appends its counts
     (attempted, loaded, rejected, read back) to an audit table."""
     spark = star.spark
     fact_path, audit_path = f"{root}/fact", f"{root}/audit"
-    for name, df in compat_lookups(star).items():
-        df.write.mode("overwrite").parquet(f"{root}/lookup_{name}")
+    compat_lookup(star).write.mode("overwrite").parquet(f"{root}/lookup")
     outer = number_rows(star.customer_dim.select("customer_id", "product_id"),
                         ["customer_id"], "row_id")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        lookups = {n: spark.read.parquet(f"{root}/lookup_{n}")
-                   for n in ("first_time", "first_store", "price")}
         rows = batch.select("customer_id", "product_id").persist()
-        fact, rejects = fact_rows_compat(star, rows, lookups)
-        batch_partition_write(fact, fact_path, batch_id, sort_by="product_id")
-        written = spark.read.parquet(fact_path).where(F.col("batch_id") == batch_id)
-        back = written.join(fact.select(*FACT_KEYS), FACT_KEYS, "left_semi")
-        n = F.count(F.lit(1))
-        audit = rows.agg(n.alias("attempted")).select(
-            "attempted",
-            written.select(n).scalar().alias("loaded"),
-            rejects.select(n).scalar().alias("rejected"),
-            back.select(n).scalar().alias("read_back"))
-        batch_partition_write(audit, audit_path, batch_id)
-        rows.unpersist()
+        try:
+            fact, rejects = fact_rows_compat(star, rows, spark.read.parquet(f"{root}/lookup"))
+            batch_partition_write(fact, fact_path, batch_id, sort_by="product_id")
+            written = spark.read.parquet(fact_path).where(in_batch("main", batch_id))
+            back = written.join(fact.select(*FACT_KEYS), FACT_KEYS, "left_semi")
+            n = F.count(F.lit(1))
+            audit = rows.agg(n.alias("attempted")).select(
+                "attempted",
+                written.select(n).scalar().alias("loaded"),
+                rejects.select(n).scalar().alias("rejected"),
+                back.select(n).scalar().alias("read_back"))
+            batch_partition_write(audit, audit_path, batch_id)
+        finally:
+            rows.unpersist()
 
     run_ranges(spark, outer, "row_id", n_ranges, root, sink)
-    return spark.read.parquet(fact_path).drop("batch_id")
+    return spark.read.parquet(fact_path).drop("stream", "batch_id")
 
 
 # ---- K1 on the reference's own file format ----------------------------------
 
-def csv_ingest_sink(root: str):
+def csv_ingest_sink(root: str, stream: str = "main"):
     """foreachBatch body for transaction CSV files: type and check every line
     (all columns of the batch are materialised, so malformed-line detection
     sees the whole line), append good lines with dense ids that continue from
-    earlier batches (per-batch high-water marks), keep rejects with a reason."""
+    earlier batches (per-batch high-water marks), keep rejects with all their
+    text and a reason."""
     from .. import schemas as SC
     from ..plans.load import TXN_ORDER, rename_transactions, type_transactions
-    good_path, bad_path, hwm_path = f"{root}/lines", f"{root}/rejects", f"{root}/hwm"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         typed = type_transactions(rename_transactions(batch)).persist()
-        marks = _read_or_none(spark, hwm_path)
-        offset = 0
-        if marks is not None:
-            offset = (marks.where(F.col("batch_id") < batch_id)
-                      .agg(F.max("max_time_id")).first()[0]) or 0  # one number
-        cal = calendar_columns("order_date")
-        good = typed.where(F.col("reason").isNull()).select(
-            "order_id", F.lit(None).cast("int").alias("line_number"), "order_date",
-            *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month",
-                                        "day_of_week")],
-            "qty", "product_id", "customer_id", "customer_name", "gender")
-        keyed = dense_key(good, TXN_ORDER, "time_id", path=f"{root}/keys/{batch_id}")
-        keyed = keyed.withColumn("time_id", F.col("time_id") + F.lit(offset))
-        batch_partition_write(SC.conform(keyed, SC.TIME_DIM), good_path, batch_id,
-                              sort_by="product_id")
-        written = spark.read.parquet(good_path).where(F.col("batch_id") == batch_id)
-        batch_partition_write(
-            written.agg(F.coalesce(F.max("time_id"), F.lit(offset).cast("long"))
-                        .alias("max_time_id")), hwm_path, batch_id)
-        batch_partition_write(
-            typed.where(F.col("reason").isNotNull()).select(
-                "order_id", "order_date_text", F.col("_corrupt"), "reason"),
-            bad_path, batch_id)
-        typed.unpersist()
+        try:
+            cal = calendar_columns("order_date")
+            good = typed.where(F.col("reason").isNull()).select(
+                "order_id", F.lit(None).cast("int").alias("line_number"), "order_date",
+                *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month",
+                                            "day_of_week")],
+                "qty", "product_id", "customer_id", "customer_name", "gender")
+            bad = typed.where(F.col("reason").isNotNull()).select(
+                "order_id", "order_date_text", "text", "reason")
+            key_and_store(good, bad, TXN_ORDER, root, batch_id, stream,
+                          lambda keyed: SC.conform(keyed, SC.TIME_DIM))
+        finally:
+            typed.unpersist()
     return sink
 
 
-def ingest_csv_stream(spark, landing: str, root: str, files_per_batch: int = 1):
+def ingest_csv_stream(spark, landing: str, root: str, files_per_batch: int = 1,
+                      stream: str = "main"):
     """Transaction CSV files landing in ``landing`` (header, the reference's
-    column names), taken ``files_per_batch`` files per micro-batch, until the
-    folder is drained (availableNow).  Returns the progress reports."""
-    from ..schemas import TRANSACTION_CSV_COLUMNS, csv_strings
-    from ..sources.csv import CORRUPT, CSV_OPTIONS
-    stream = (spark.readStream.schema(csv_strings(TRANSACTION_CSV_COLUMNS))
+    column names in any order, the same in all files), taken ``files_per_batch``
+    files per micro-batch, until the folder is drained (availableNow).  Each
+    ``stream`` name has a checkpoint of its own under ``root``."""
+    from ..schemas import TRANSACTION_CSV_COLUMNS
+    from ..sources.csv import CORRUPT, CSV_OPTIONS, header_schema
+    source = (spark.readStream.schema(header_schema(spark, landing, TRANSACTION_CSV_COLUMNS))
               .options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT)
               .option("maxFilesPerTrigger", files_per_batch).csv(landing))
-    q = (stream.writeStream.foreachBatch(csv_ingest_sink(root))
-         .option("checkpointLocation", f"{root}/checkpoint")
+    q = (source.writeStream.foreachBatch(csv_ingest_sink(root, stream))
+         .option("checkpointLocation", f"{root}/checkpoint/{stream}")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return list(q.recentProgress)
 
 
 # fixed values: order-date bounds of the three landing files of the CSV stream test
@@ -392,4 +385,4 @@ def stream_csv_ingest(star: Star, root: str, n_files_per_range: int | None = Non
         part.write.mode("append").options(**CSV_OPTIONS).csv(landing)
     n_files = len(spark.read.text(landing).inputFiles())
     ingest_csv_stream(spark, landing, root, max(1, math.ceil(n_files / 3)))
-    return spark.read.parquet(f"{root}/lines").drop("batch_id")
+    return spark.read.parquet(f"{root}/lines").drop("stream", "batch_id")

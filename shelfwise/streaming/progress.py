@@ -1,61 +1,32 @@
-"""Arrival and service rates of streaming queries (K3), from a
-``StreamingQueryListener``.
+"""Arrival and service rates of a stream (K3), kept in a stored table.
 
-``query.recentProgress`` keeps only the last few updates; a listener sees
-every micro-batch of a long-running query.  Events reach the listener
-asynchronously but in order, so once a query's termination event has arrived
-all of its progress events have too.
+The sink notes each batch's input rows, observed while it writes, and the time
+it took; a long backlog needs no memory in the driver and loses no batch.
 """
 
 from __future__ import annotations
 
-import threading
+import time
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from .runner import batch_partition_write
 
-class RateRecorder(StreamingQueryListener):
-    """Per micro-batch: run id, batch id, input rows, input and processed
-    rows per second.  Keyed by run id: a query restarted from its checkpoint
-    keeps its id but gets a new run id."""
+RATES = "input_rows long, seconds double, rows_per_second double"
 
-    def __init__(self) -> None:
-        self.rows: list[tuple] = []
-        self._done: dict[str, threading.Event] = {}
-        self._lock = threading.Lock()
 
-    def _event(self, qid: str) -> threading.Event:
-        with self._lock:
-            return self._done.setdefault(qid, threading.Event())
-
-    def onQueryStarted(self, event) -> None:
-        self._event(str(event.runId))
-
-    def onQueryProgress(self, event) -> None:
-        p = event.progress
-        if (p.numInputRows or 0) > 0:
-            with self._lock:
-                self.rows.append((str(p.runId), int(p.batchId), int(p.numInputRows),
-                                  float(p.inputRowsPerSecond or 0.0),
-                                  float(p.processedRowsPerSecond or 0.0)))
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        self._event(str(event.runId)).set()
-
-    def wait_for(self, run_id: str, timeout: float = 60.0) -> bool:
-        """Block until the termination event of run ``run_id`` was delivered."""
-        return self._event(run_id).wait(timeout)
-
-
-def attach(spark: SparkSession) -> RateRecorder:
-    rec = RateRecorder()
-    spark.streams.addListener(rec)
-    return rec
-
-
-def detach(spark: SparkSession, rec: RateRecorder) -> None:
-    spark.streams.removeListener(rec)
+def timed_sink(sink: Callable[[DataFrame, int], None], path: str,
+               stream: str = "main") -> Callable[[DataFrame, int], None]:
+    """``sink``, with one row (input_rows, seconds, rows_per_second) per batch at
+    ``path``.  The sink must read its batch in full, once or more."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        began = time.perf_counter()
+        sink(batch.observe(seen, F.count(F.lit(1)).alias("rows")), batch_id)
+        took = max(time.perf_counter() - began, 1e-9)
+        rows = seen.get["rows"]
+        batch_partition_write(batch.sparkSession.createDataFrame(
+            [(rows, took, rows / took)], RATES).coalesce(1), path, batch_id, stream=stream)
+    return run

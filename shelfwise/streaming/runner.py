@@ -124,14 +124,29 @@ def run_staged(spark: SparkSession, staged: DataFrame, key: str, n_batches: int,
 
 
 def batch_partition_write(df: DataFrame, path: str, batch_id: int,
-                          sort_by: str | None = None) -> None:
-    """Idempotent per-batch write: replaces only ``batch_id=<id>``."""
+                          sort_by: str | None = None, stream: str = "main") -> None:
+    """Idempotent per-batch write: replaces only this batch of this stream.
+
+    Batch ids count from 0 in every checkpoint, so streams that write to one
+    table need names of their own."""
     from pyspark.sql import functions as F
-    out = df.withColumn("batch_id", F.lit(int(batch_id)).cast("long"))
+    out = df.withColumns({"stream": F.lit(stream), "batch_id": F.lit(int(batch_id)).cast("long")})
     if sort_by:
-        out = out.sortWithinPartitions("batch_id", sort_by)
+        out = out.sortWithinPartitions("stream", "batch_id", sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+     .partitionBy("stream", "batch_id").parquet(path))
+
+
+def in_batch(stream: str, batch_id: int):
+    """Condition: the row was written by this batch."""
+    from pyspark.sql import functions as F
+    return (F.col("stream") == stream) & (F.col("batch_id") == batch_id)
+
+
+def before_batch(stream: str, batch_id: int):
+    """Condition: the row was not written by this batch or a later one of its stream."""
+    from pyspark.sql import functions as F
+    return (F.col("stream") != stream) | (F.col("batch_id") < batch_id)
 
 
 def start_paced(stream: DataFrame, sink: Callable[[DataFrame, int], None],

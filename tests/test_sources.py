@@ -31,5 +31,5 @@ def test_stream_batches_and_replay(spark, star, scratch):
     assert stored.select("batch_id").distinct().count() == 3
     from shelfwise.plans.fact import fact_load_line
     batch = fact_load_line(star)
-    assert stored.drop("batch_id").exceptAll(batch).count() == 0
+    assert stored.drop("stream", "batch_id").exceptAll(batch).count() == 0
     assert stored.count() == batch.count()
