@@ -210,14 +210,13 @@ def near_dedup(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     The row with the smallest doc_id stays (NULL doc_ids last, then the smaller
     hash of the text); of repeated rows one stays.
     """
-    h, p = fresh(docs, "_h", "_p")
-    keyed = docs.withColumn(h, F.xxhash64("text"))
-    pick = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"),
-                    F.col(h).alias("h"))
+    key = fresh(docs, "_id", "_null", "_hash")
+    keyed = docs.withColumns(dict(zip(key, (F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(),
+                                            F.xxhash64("text")))))
+    pick = F.struct(F.col(key[1]).alias("missing"), F.col(key[0]).alias("id"), F.col(key[2]).alias("hash"))
     sig = stored(keyed.select(pick.alias("pick"), fingerprints(F.col("text"), shingle).alias("fp")),
                  "simhash_signatures")
     keep = (near_components(sig, "pick", radius).select("least").distinct()
-            .select(F.col("least.id").alias(p), F.col("least.h").alias(p + "h")))
-    return (keyed.join(keep, F.col("doc_id").eqNullSafe(F.col(p)) & (F.col(h) == F.col(p + "h")),
-                       "left_semi")
-            .dropDuplicates(["doc_id", h]).select(*docs.columns))
+            .select(*[F.col(f"least.{c}").alias(k) for c, k in zip(("id", "missing", "hash"), key)]))
+    # one shuffle of the texts serves the join and the removal of repeated rows
+    return keyed.join(keep, key, "left_semi").dropDuplicates(key).select(*docs.columns)
