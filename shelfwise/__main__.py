@@ -1,7 +1,10 @@
 """Command line: load the reference's CSV files, run a query, refresh a table.
 
     python -m shelfwise load  --master M.csv --transactions T.csv --warehouse DIR
-    python -m shelfwise query q4_quarter_pivot --warehouse DIR [--show 20 | --out DIR]
+    python -m shelfwise query q4_quarter_pivot --warehouse DIR [--year 2019] [--show 20 | --out DIR]
+    python -m shelfwise query q2_rollup_compat --warehouse DIR --supplier NAME --year 2019
+    python -m shelfwise query q7_line --warehouse DIR --store NAME [--by-year]
+    python -m shelfwise query q9_line --warehouse DIR --year 2019 --k 5
     python -m shelfwise refresh q8_supplier_month_mv --warehouse DIR --table DIR
     python -m shelfwise refresh-all --warehouse DIR --tables DIR
 
@@ -13,6 +16,7 @@ one ``spark-submit`` provides (or local[*] when run directly); set
 from __future__ import annotations
 
 import argparse
+import inspect
 import json
 import sys
 
@@ -20,11 +24,15 @@ from pyspark.sql import SparkSession
 
 from .plans import queries as Q
 from .plans.aggregates import AggregateTable, refresh_all
+from .plans.catalog import OLAP
 from .plans.load import load_csv_warehouse
 from .plans.warehouse import WarehouseStar
 from .session import DEFAULT_CONF, ensure_checkpoint_dir
 
-QUERY_NAMES = [n for n in dir(Q) if n.startswith("q") and n[1].isdigit()]
+QUERY_NAMES = list(OLAP)
+# command line option -> parameter of the query
+QUERY_OPTIONS = {"year": "year", "supplier": "supplier_name", "store": "store_name", "k": "k",
+                 "by_year": "by_year"}
 # stored aggregate tables: query -> (group keys, measures)
 TABLES = {
     "q6_store_product_mv": (["store_id", "product_id"], ["store_total"]),
@@ -49,6 +57,20 @@ def session() -> SparkSession:
     return spark
 
 
+def query_options(parser: argparse.ArgumentParser, args) -> dict:
+    """The options given on the command line, as parameters of the query."""
+    known = inspect.signature(getattr(Q, args.name)).parameters
+    out = {}
+    for option, name in QUERY_OPTIONS.items():
+        value = getattr(args, option)
+        if value is None:
+            continue
+        if name not in known:
+            parser.error(f"{args.name} has no --{option.replace('_', '-')}")
+        out[name] = int(value) if option == "k" and args.name != "q5_sigma_anomaly" else value
+    return out
+
+
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="shelfwise")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -59,6 +81,12 @@ def main(argv=None) -> int:
     qy = sub.add_parser("query", help="run one OLAP query over a warehouse")
     qy.add_argument("name", choices=QUERY_NAMES)
     qy.add_argument("--warehouse", required=True)
+    qy.add_argument("--year", type=int)
+    qy.add_argument("--supplier", help="supplier name")
+    qy.add_argument("--store", help="store name")
+    qy.add_argument("--k", type=float, help="rows of a top-k, or deviations of Q5")
+    qy.add_argument("--by-year", action="store_true", default=None,
+                    help="keep months of different years apart")
     qy.add_argument("--show", type=int, default=20)
     qy.add_argument("--out", help="write the result as parquet instead of printing")
     rf = sub.add_parser("refresh", help="full refresh of a stored aggregate table")
@@ -69,13 +97,14 @@ def main(argv=None) -> int:
     ra.add_argument("--warehouse", required=True)
     ra.add_argument("--tables", required=True)
     args = ap.parse_args(argv)
+    options = query_options(ap, args) if args.cmd == "query" else {}
 
     spark = session()
     if args.cmd == "load":
         counts = load_csv_warehouse(spark, args.master, args.transactions, args.warehouse)
         print(json.dumps(counts))
     elif args.cmd == "query":
-        df = getattr(Q, args.name)(WarehouseStar(spark, args.warehouse))
+        df = getattr(Q, args.name)(WarehouseStar(spark, args.warehouse), **options)
         if args.out:
             df.write.mode("overwrite").parquet(args.out)
         else:

@@ -30,11 +30,15 @@ def q1_supplier_drilldown(star: Star, depth: int = 3) -> DataFrame:
     return out.orderBy("supplier_id", *CALENDAR[:depth])
 
 
+def lines_of(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """Order lines of the chosen products only, reduced before any aggregate."""
+    return lines.join(products.select("product_id"), "product_id", "left_semi")
+
+
 def _q2_input(star: Star, supplier_name: str, year: int) -> DataFrame:
-    lines = star.lines_in_year(year)
     sup = star.supplier.where(F.col("supplier_name") == supplier_name)
     prod = star.product.join(sup, "supplier_id")
-    return revenue_by_product(lines, prod, ["month"],
+    return revenue_by_product(lines_of(star.lines_in_year(year), prod), prod, ["month"],
                               ["product_name", "supplier_id", "supplier_name"])
 
 
@@ -101,25 +105,28 @@ def q5_sigma_anomaly(star: Star, k: float = params.SIGMA) -> DataFrame:
     return sigma_outliers(totals, "total_sales", k).orderBy("product_id")
 
 
-def _store_product_revenue(star: Star, stores: DataFrame, group_cols=()) -> DataFrame:
-    rev = revenue_by_product(star.lines, star.product, group_cols, ["product_name"])
+def _store_product_revenue(star: Star, stores: DataFrame, group_cols=(),
+                           few: bool = False) -> DataFrame:
+    """``few``: the stores sell few of the products, so lines are reduced to those first."""
+    lines = lines_of(star.lines, stores) if few else star.lines
+    rev = revenue_by_product(lines, star.product, group_cols, ["product_name"])
     return rev.join(stores.select("store_id", "store_name", "product_id"), "product_id")
 
 
-def _store_totals(star: Star, stores: DataFrame) -> DataFrame:
+def _store_totals(star: Star, stores: DataFrame, few: bool = False) -> DataFrame:
     """Revenue per product, joined to its (store, product) pairs.
 
     Both store mappings hold each (store, product) pair once by construction
     (one store per product; one product per compat store), so the revenue
     already aggregated per product is the store x product total: no second
     aggregate, no second shuffle."""
-    df = _store_product_revenue(star, stores)
+    df = _store_product_revenue(star, stores, few=few)
     return df.select("store_id", "product_id", money(F.col("revenue")).alias("store_total"))
 
 
 def q6_store_product_mv(star: Star) -> DataFrame:
     """Q6 (compat): store x product totals, one product per store."""
-    return _store_totals(star, star.store_dim)
+    return _store_totals(star, star.store_dim, few=True)
 
 
 def q6_line(star: Star) -> DataFrame:
@@ -136,7 +143,7 @@ def _period(by_year: bool) -> list[str]:
 def _q7(star: Star, stores: DataFrame, store_name: str, by_year: bool) -> DataFrame:
     chosen = stores.where(F.col("store_name") == store_name)
     period = _period(by_year)
-    df = _store_product_revenue(star, chosen, period)
+    df = _store_product_revenue(star, chosen, period, few=True)
     return (df.groupBy(*period, "product_id", "product_name")
             .agg(money(F.sum("revenue")).alias("total_sales"))
             .orderBy("product_id", *period))

@@ -20,3 +20,11 @@ def test_load_query_refresh(spark, star, scratch, capsys):
     out = capsys.readouterr().out
     assert "supplier_performance" in out
     assert '"time_dim": 58785' in out and "/mv/v=" in out
+
+
+def test_query_options():
+    import pytest
+    from shelfwise.__main__ import QUERY_NAMES, main
+    assert "q9_from_pairs" not in QUERY_NAMES
+    with pytest.raises(SystemExit):
+        main(["query", "q4_quarter_pivot", "--warehouse", "x", "--supplier", "S"])

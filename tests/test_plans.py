@@ -42,3 +42,12 @@ def test_first_wins_has_partial_step(spark):
     plan = plan_text(E.queries()["dim_customer"](spark, SF001))
     assert "Window" not in plan
     assert plan.count("SortAggregate") + plan.count("HashAggregate") >= 2
+
+
+@pytest.mark.parametrize("name", ["q2_rollup_compat", "q2_grouping_sets", "q6_store_product_mv",
+                                  "q7_store_slice", "q7_line"])
+def test_lines_are_reduced_below_the_first_aggregate(spark, name):
+    """The semi-join with the chosen products stands under the partial sum of lines."""
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(qty" in plan and "Join LeftSemi" in plan
+    assert plan.index("sum(qty") < plan.index("Join LeftSemi")
