@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import new_scratch
 from ..sources.star import build_star
 from ..streaming import jobs as S
+from ..streaming import warehouse as SW
 from . import aggregates as A
 from . import dimensions as D
 from . import fact as FT
@@ -101,6 +102,8 @@ STREAM: dict[str, Runner] = {
     "stream_csv_ingest": _scratch(S.stream_csv_ingest, "stream_csv"),
     "stream_rows_by_key": _scratch(S.stream_rows_by_key, "stream_rows_by_key"),
     "stream_rate_report": _scratch(S.stream_rate_report, "stream_rate"),
+    "stream_then_q4": _scratch(SW.stream_then_q4, "stream_then_q4"),
+    "stream_then_q9": _scratch(SW.stream_then_q9, "stream_then_q9"),
     "stream_fact_compat": _scratch(S.stream_fact_compat, "stream_fact_compat"),
 }
 

@@ -454,3 +454,8 @@ QUERIES["stream_fact_compat"] = FACT_COMPAT
 QUERIES["stream_q9_line"] = QUERIES["q9_line"]
 
 QUERIES["stream_microbatch_ingest"] = QUERIES["dim_time"]
+
+# lines that came through the files: those with a readable date
+_READABLE = "(SELECT * FROM parsed_txn WHERE order_ts IS NOT NULL)"
+for _key, _of in (("stream_then_q4", "q4_quarter_pivot"), ("stream_then_q9", "q9_line")):
+    QUERIES[_key] = QUERIES[_of].replace("FROM lines JOIN product", f"FROM {_READABLE} JOIN product")

@@ -11,6 +11,8 @@ analytic queries read them), done with Spark writers:
   no fact row are in ``fact_rejects`` with the reason.
 
 Each load writes a version folder of its own and then switches a pointer.
+Streams (``streaming.warehouse``) add lines, facts and customers to the current
+version, each batch in partitions of its own.
 
 ``WarehouseStar`` offers the same views as ``Star``, so every query in
 ``plans.queries`` runs unchanged over either.
@@ -29,9 +31,26 @@ from .. import schemas as S
 from ..operators.dedup import first_wins_by_id
 from ..sources import pointer
 from ..sources.star import Star, year_range
+from ..streaming.runner import batch_partition_write
 from .fact import fact_rejects_line, fact_rows_line
 
 TIME_COLS = tuple(S.TIME_DIM.fieldNames())
+#: Tables that streams add to, and the stream name of a load.
+GROWING = {"time_dim": S.TIME_DIM, "sales_fact": S.SALES_FACT, "fact_rejects": S.FACT_REJECTS,
+           "rejects": S.REJECTS, "customer": S.CUSTOMER, "customer_dim": S.CUSTOMER_DIM}
+LOAD = "load"
+
+
+def read_batches(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A growing table with its stream and batch; it may have no file yet."""
+    return spark.read.schema(S.by_batch(GROWING[name])).parquet(f"{base}/{name}")
+
+
+def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """A table without the columns that only lay out its files."""
+    if name in GROWING:
+        return read_batches(spark, base, name).drop("stream", "batch_id")
+    return spark.read.parquet(f"{base}/{name}")
 
 
 class VersionWriter:
@@ -45,16 +64,16 @@ class VersionWriter:
 
     def write(self, name: str, df: DataFrame, partition_by: str | None = None,
               sort_by: str | None = None) -> None:
-        """Write a table and note its rows, observed on the way."""
+        """Write a table and note its rows, observed on the way.  Tables that
+        streams add to are laid out by stream and batch, this load being one."""
         obs = Observation(name)
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if sort_by:
-            # partition column first: the writer then needs no sort of its own
-            df = df.sortWithinPartitions(*[c for c in (partition_by, sort_by) if c])
-        w = df.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(f"{self.folder}/{name}")
+        if name in GROWING:
+            # partition columns first: the writer then needs no sort of its own
+            batch_partition_write(S.conform(df, GROWING[name]), f"{self.folder}/{name}", 0, sort_by, LOAD,
+                                  (partition_by,) if partition_by else ())
+        else:
+            df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         self.counts[name] = obs.get["rows"]
 
     def intake(self, name: str, rows: DataFrame, ok: Column) -> DataFrame:
@@ -74,7 +93,7 @@ class VersionWriter:
             "table_name string, attempted long, loaded long, rejected long, repeated long").coalesce(1))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        return read_table(self.spark, self.folder, name)
 
     def write_fact(self) -> None:
         """The line fact and the lines that make no fact row: together all lines."""
@@ -83,6 +102,9 @@ class VersionWriter:
         self.write("fact_rejects", fact_rejects_line(star))
 
     def publish(self) -> None:
+        """Note the largest line id, from which streams go on, and switch to this version."""
+        last = self.read("time_dim").agg(F.coalesce(F.max("time_id"), F.lit(0)).alias("max_time_id"))
+        batch_partition_write(last, f"{self.folder}/hwm", 0, stream=LOAD)
         pointer.switch(self.spark, f"{self.root}/_current", self.folder)
 
 
@@ -123,7 +145,7 @@ class WarehouseStar:
             self.base = row.path if row else self.root
 
     def _t(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{name}")
+        return read_table(self.spark, self.base, name)
 
     @property
     def lines(self) -> DataFrame:

@@ -81,6 +81,21 @@ REJECTS = T.StructType([
 ])
 
 
+FACT_REJECTS = T.StructType([
+    T.StructField("time_id", T.LongType()),
+    T.StructField("product_id", T.LongType()),
+    T.StructField("customer_id", T.LongType()),
+    T.StructField("qty", T.IntegerType()),
+    T.StructField("reason", T.StringType()),
+])
+
+
+def by_batch(schema: T.StructType) -> T.StructType:
+    """``schema`` and the columns that lay out a table by stream and batch."""
+    return T.StructType([*schema, T.StructField("stream", T.StringType()),
+                         T.StructField("batch_id", T.LongType())])
+
+
 def conform(df, schema: T.StructType):
     """The declared columns of ``schema``, in its order and with its types
     (the DDL of the reference's tables, applied at write time)."""

@@ -22,6 +22,7 @@ from ..plans.fact import (FACT_KEYS, FACT_LINE, LINE_REJECT, compat_lookup, fact
                           judged_lines)
 from ..plans.ingest import reject_reason
 from ..plans.queries import supplier_month
+from ..schemas import by_batch
 from ..sources.paths import read_parquet_if_exists
 from ..sources.raw import RAW_ORDER, raw_transactions
 from ..sources.staging import number_rows
@@ -73,15 +74,15 @@ def stream_microbatch_ingest(star: Star, root: str, n_ranges: int = N_RANGES) ->
 
 
 def key_and_store(good: DataFrame, rejects: DataFrame, order_cols, root: str, batch_id: int,
-                  stream: str, shape) -> None:
+                  stream: str, shape, lines: str = "lines", first: tuple[str, ...] = ()) -> DataFrame:
     """Append good lines with dense ids that continue from earlier batches, and rejects.
 
     The id offset of a batch comes from a high-water-mark table with one row
     per batch (its largest id), so finding it costs the same on the thousandth
     batch as on the first; this batch and later ones of its stream do not count,
-    so a replayed batch gets its ids again."""
+    so a replayed batch gets its ids again.  Returns the lines as written."""
     spark = good.sparkSession
-    good_path, hwm_path = f"{root}/lines", f"{root}/hwm"
+    good_path, hwm_path = f"{root}/{lines}", f"{root}/hwm"
     marks = _read_or_none(spark, hwm_path)
     offset = 0
     if marks is not None:
@@ -89,12 +90,15 @@ def key_and_store(good: DataFrame, rejects: DataFrame, order_cols, root: str, ba
                   .agg(F.max("max_time_id")).first()[0]) or 0  # one number
     keyed = dense_key(good, order_cols, "time_id", path=f"{root}/keys/{stream}/{batch_id}")
     keyed = shape(keyed.withColumn("time_id", F.col("time_id") + F.lit(offset)))
-    batch_partition_write(keyed, good_path, batch_id, sort_by="product_id", stream=stream)
-    written = spark.read.parquet(good_path).where(in_batch(stream, batch_id))
+    batch_partition_write(keyed, good_path, batch_id, "product_id", stream, first)
+    # with the schema at hand, as the first batch may hold no good line
+    written = (spark.read.schema(by_batch(keyed.schema)).parquet(good_path)
+               .where(in_batch(stream, batch_id)))
     batch_partition_write(
         written.agg(F.coalesce(F.max("time_id"), F.lit(offset).cast("long"))
                     .alias("max_time_id")), hwm_path, batch_id, stream=stream)
     batch_partition_write(rejects, f"{root}/rejects", batch_id, stream=stream)
+    return written.drop("stream", "batch_id")
 
 
 def ingest_sink(star: Star, root: str, stream: str = "main"):
@@ -340,7 +344,7 @@ def csv_ingest_sink(root: str, stream: str = "main"):
 
 
 def ingest_csv_stream(spark, landing: str, root: str, files_per_batch: int = 1,
-                      stream: str = "main"):
+                      stream: str = "main", sink=None):
     """Transaction CSV files landing in ``landing`` (header, the reference's
     column names in any order, the same in all files), taken ``files_per_batch``
     files per micro-batch, until the folder is drained (availableNow).  Each
@@ -351,7 +355,7 @@ def ingest_csv_stream(spark, landing: str, root: str, files_per_batch: int = 1,
               .options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT)
               .option("maxFilesPerTrigger", files_per_batch).csv(landing))
-    q = (source.writeStream.foreachBatch(csv_ingest_sink(root, stream))
+    q = (source.writeStream.foreachBatch(sink or csv_ingest_sink(root, stream))
          .option("checkpointLocation", f"{root}/checkpoint/{stream}")
          .trigger(availableNow=True).start())
     q.awaitTermination()

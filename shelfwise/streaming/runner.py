@@ -124,17 +124,19 @@ def run_staged(spark: SparkSession, staged: DataFrame, key: str, n_batches: int,
 
 
 def batch_partition_write(df: DataFrame, path: str, batch_id: int,
-                          sort_by: str | None = None, stream: str = "main") -> None:
+                          sort_by: str | None = None, stream: str = "main",
+                          first: tuple[str, ...] = ()) -> None:
     """Idempotent per-batch write: replaces only this batch of this stream.
+    ``first``: partition columns above the stream and the batch.
 
     Batch ids count from 0 in every checkpoint, so streams that write to one
     table need names of their own."""
     from pyspark.sql import functions as F
     out = df.withColumns({"stream": F.lit(stream), "batch_id": F.lit(int(batch_id)).cast("long")})
     if sort_by:
-        out = out.sortWithinPartitions("stream", "batch_id", sort_by)
+        out = out.sortWithinPartitions(*first, "stream", "batch_id", sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("stream", "batch_id").parquet(path))
+     .partitionBy(*first, "stream", "batch_id").parquet(path))
 
 
 def in_batch(stream: str, batch_id: int):

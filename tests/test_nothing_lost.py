@@ -174,3 +174,30 @@ def test_hot_product_join_is_split(spark, star, scratch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_loaded_and_streamed_warehouse_adds_up(spark, star, scratch):
+    from shelfwise.streaming.warehouse import loaded_and_streamed, warehouse_sink
+    wh = loaded_and_streamed(star, scratch("both"))
+    lines = wh.lines.count()
+    assert lines == wh.sales_fact.count() + wh._t("fact_rejects").count() == 58785
+    assert lines + wh._t("rejects").count() == 60000
+    ids = wh.lines.agg(F.min("time_id"), F.max("time_id"), F.countDistinct("time_id")).first()
+    assert tuple(ids) == (1, lines, lines)
+    assert wh.customer.count() == wh.customer.select("customer_id").distinct().count() == 1500
+    # a batch that is run again changes nothing
+    raw = spark.read.parquet(f"{wh.base}/time_dim").where("stream = 'second' AND batch_id = 1")
+    before = sorted(raw.select("time_id", "order_id").collect())
+    from shelfwise.schemas import TRANSACTION_CSV_COLUMNS
+    from shelfwise.sources.csv import CORRUPT, header_schema, read_csv
+    folder = wh.root.rsplit("/", 1)[0] + "/in/second"
+    files = sorted(read_csv(spark, folder, header_schema(spark, folder, TRANSACTION_CSV_COLUMNS)).inputFiles())
+    assert len(files) == 2 and before
+    for f in files:
+        again = read_csv(spark, f, header_schema(spark, folder, TRANSACTION_CSV_COLUMNS))
+        if again.where(F.col("`Order ID`") == str(before[0].order_id)).count():
+            warehouse_sink(spark, wh.root, "second")(again, 1)
+            break
+    raw = spark.read.parquet(f"{wh.base}/time_dim").where("stream = 'second' AND batch_id = 1")
+    assert sorted(raw.select("time_id", "order_id").collect()) == before
+    assert WarehouseStar(spark, wh.root).lines.count() == lines
