@@ -167,3 +167,13 @@ def test_no_python_on_the_native_paths(spark, awkward):
     for frame in (licenses.license_matches(awkward), mixing.mixed_words(awkward), mixing.mixed(awkward)):
         plan = frame._jdf.queryExecution().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_license_matches_equal_the_sql(spark, duck):
+    from tests.helpers import digest
+
+    from shelfwise.llm.queries import ORACLES, QUERIES
+    df = QUERIES["op4_license_scan"](spark, "/root/testdata/sf0.01")
+    rows = [tuple(r) for r in df.collect()]
+    res = duck.execute(ORACLES["op4_license_scan"])
+    assert rows and digest(df.columns, rows) == digest([d[0] for d in res.description], res.fetchall())
