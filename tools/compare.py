@@ -42,7 +42,7 @@ def digest(cols, rows):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     only = set(argv[2:])
-    import __spark_entry__ as E
+    from shelfwise.plans.catalog import all_oracles, all_queries
     from shelfwise.session import build_session
     spark = build_session()
     con = duckdb.connect()
@@ -50,7 +50,7 @@ def main(argv):
         p = f"{sf_dir}/{v}.parquet"
         if os.path.exists(p):
             con.execute(f"CREATE VIEW {v} AS SELECT * FROM read_parquet('{p}')")
-    qs, ors = E.queries(), E.oracle_sql()
+    qs, ors = all_queries(), all_oracles()
     report = {}
     for name, fn in qs.items():
         if only and name not in only:

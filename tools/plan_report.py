@@ -87,7 +87,7 @@ def _trim(plan: str) -> str:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from shelfwise.plans.catalog import all_queries
     from shelfwise.session import build_session
     spark = build_session()
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
@@ -100,7 +100,8 @@ def main(argv):
     print("| key | BHJ | SMJ | SHJ | shuffles | reused | hash agg | sort agg | partial "
           "| window | scans | pushed filters | flags |")
     print("|---|---|---|---|---|---|---|---|---|---|---|---|---|")
-    for name, fn in E.queries().items():
+    queries = all_queries()
+    for name, fn in queries.items():
         try:
             s = summarise(final_plan(fn(spark, sf_dir)))
         except Exception as e:  # noqa: BLE001
@@ -112,7 +113,7 @@ def main(argv):
               f"{', '.join(s['flags']) or '-'} |", flush=True)
     for name in APPENDIX:
         print(f"\n## Executed plan: `{name}`\n\n```")
-        print(_trim(final_plan(E.queries()[name](spark, sf_dir))))
+        print(_trim(final_plan(queries[name](spark, sf_dir))))
         print("```")
     spark.stop()
 
