@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .labelled import labelled_sample
+from .labelled import labelled_sample, one_row_each
 
 #: Bounds of the sample that the model is fitted on.
 SAMPLE, SAMPLE_LINES = 4_000, 256
@@ -194,7 +194,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, rows: int = SAMPLE,
         lines: int = SAMPLE_LINES) -> LineModel:
     """Fit on at most ``rows`` labelled documents, ``lines`` lines of each at most.
 
-    ``keep`` is a filter on the labels (a fold).  Without labels all texts score high.
+    ``keep`` is a filter on the labels (a fold).  Of rows that repeat a doc_id one is
+    used.  Without labels all texts score high.
     """
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -203,9 +204,9 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, rows: int = SAMPLE,
                                 "buckets": [x[:lines].tobytes() for x, _ in both],
                                 "sizes": [s[:lines].tobytes() for _, s in both]})
 
-    got = (labelled_sample(docs, labels, rows, keep)
-           .mapInPandas(measured, "doc_id long, label int, buckets binary, sizes binary").toPandas()
-           .sort_values(["doc_id", "buckets"], kind="stable"))
+    sample = labelled_sample(docs, labels, rows, keep)
+    got = (one_row_each(sample.mapInPandas(measured, "doc_id long, label int, buckets binary, sizes binary"))
+           .toPandas().sort_values("doc_id"))
     return fit_lines([np.frombuffer(b, dtype=np.uint8).reshape(-1, _N) for b in got["buckets"]],
                      [np.frombuffer(b, dtype=float) for b in got["sizes"]], got["label"].to_numpy())
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm import line_crf, quality_rules
-from shelfwise.llm.labelled import labelled_sample
+from shelfwise.llm.labelled import labelled_sample, one_row_each
 
 from .conftest import collected
 
@@ -85,6 +85,15 @@ def test_labelled_sample_is_bounded(awkward, labels):
     assert labelled_sample(awkward, labels, 10 ** 6).where("doc_id IS NULL OR label IS NULL").count() == 0
 
 
+def test_repeated_ids_stay_within_the_sample(spark, labels):
+    rows = [(2, f"text {k}") for k in range(300)] + [(3, "other"), (3, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = one_row_each(labelled_sample(docs, labels, 10 ** 6)).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(2, "text 0"), (3, "other")]
+    assert np.isfinite(quality_rules.fit(docs, labels).score(np.zeros((1, len(quality_rules.FEATURES))))).all()
+    assert np.isfinite(line_crf.fit(docs, labels).score(["text 1", ""])).all()
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(4)
     lengths = np.array([3, 0, 5, 1])
