@@ -18,16 +18,17 @@ A view that MySQL recomputes on every read becomes a parquet table here.
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.dedup import first_wins, improving_rows
 from ..operators.olap import money
 from ..sources import pointer
 from ..sources.paths import read_parquet_if_exists
-from ..streaming.runner import batch_partition_write
+from ..streaming.runner import batch_partition_write, before_batch
 
 
 @dataclass
@@ -93,32 +94,66 @@ class AggregateTable:
         return df.groupBy(*self.keys).agg(
             *[money(F.sum(m)).alias(m) for m in self.measures])
 
-    def read(self, upto: dict[str, int] | None = None) -> DataFrame:
-        """The table; ``upto`` leaves out later batches."""
+    def _stored(self, wanted=None) -> tuple[DataFrame | None, DataFrame | None]:
+        """(base version, the partials that it does not cover); ``wanted`` filters
+        the partials by stream and batch_id."""
         base_path, marks = self.current()
-        parts = [] if base_path is None else [self.spark.read.parquet(base_path)]
+        base = None if base_path is None else self.spark.read.parquet(base_path)
         log = read_parquet_if_exists(self.spark, self.partials)
         if log is not None:
             for stream, last in marks.items():
                 log = log.where((F.col("stream") != stream) | (F.col("batch_id") > last))
-            if upto is not None:
-                wanted = F.lit(False)
-                for stream, last in upto.items():
-                    wanted |= (F.col("stream") == stream) & (F.col("batch_id") <= last)
+            if wanted is not None:
                 log = log.where(wanted)
-            parts.append(log.drop("stream", "batch_id"))
-        if not parts:
+            log = log.drop("stream", "batch_id")
+        return base, log
+
+    def rows(self, wanted=None) -> DataFrame | None:
+        """All stored rows that count, not yet regrouped; None where there is no table."""
+        parts = [p for p in self._stored(wanted) if p is not None]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
+    def read(self, upto: dict[str, int] | None = None) -> DataFrame:
+        """The table; ``upto`` leaves out later batches."""
+        wanted = None
+        if upto is not None:
+            wanted = F.lit(False)
+            for stream, last in upto.items():
+                wanted |= (F.col("stream") == stream) & (F.col("batch_id") <= last)
+        base, log = self._stored(wanted)
+        if base is None and log is None:
             raise ValueError(f"aggregate table at {self.root} is empty")
-        if len(parts) == 1 and log is None:
-            return parts[0]
-        return self._regroup(reduce(DataFrame.unionByName, parts))
+        if log is None:
+            return base
+        return self._regroup(log if base is None else base.unionByName(log))
 
-    def compact(self) -> str:
-        """Fold base + partials into a new base version."""
+    def compact(self) -> str | None:
+        """Fold base + partials into a new base version, if there are any partials."""
         upto = self.logged()
+        if not upto:
+            return None
         return self.refresh_full(self.read(upto), upto)
 
 
+@dataclass
+class FirstWinsTable(AggregateTable):
+    """A stored first-wins dimension: per key the values (``measures``) of the row
+    that comes first in ``order``, whichever batch brought it."""
+    order: list[str] = field(default_factory=list)
+
+    def _regroup(self, df: DataFrame) -> DataFrame:
+        return first_wins(df, self.keys, self.order, self.measures, keep_order=True)
+
+    def offer(self, candidates: DataFrame, batch_id: int, stream: str = "main") -> None:
+        """Store the rows of a batch that can still win: new keys, and rows earlier
+        than all that other batches have stored for their key."""
+        own = self._regroup(candidates)
+        stored = self.rows(before_batch(stream, batch_id))
+        if stored is not None:
+            own = improving_rows(own, stored, self.keys, self.order)
+        self.apply_batch(own, batch_id, stream)
+
+
 # the reference's three stored aggregates: name -> (query, group keys, measures)
 STORED = {
     "store_analysis": ("q6_store_product_mv", ["store_id", "product_id"], ["store_total"]),

@@ -14,5 +14,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def holds_data(spark: SparkSession, path: str) -> bool:
+    """True if the folder holds more than markers: a write of no rows by partition
+    leaves only those, and no schema to read."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(s.getPath().getName()[:1] not in ("_", ".") for s in fs.listStatus(p))
+
+
 def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if exists(spark, path) else None
+    return spark.read.parquet(path) if exists(spark, path) and holds_data(spark, path) else None

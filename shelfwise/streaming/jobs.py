@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import calendar_columns, parse_order_date, to_int
-from ..operators.dedup import first_wins, improving_rows
 from ..operators.surrogate import dense_key
-from ..plans.aggregates import AggregateTable
+from ..plans.aggregates import AggregateTable, FirstWinsTable
 from ..plans.fact import (FACT_KEYS, FACT_LINE, LINE_REJECT, compat_lookup, fact_rows_compat,
                           judged_lines)
 from ..plans.ingest import reject_reason
@@ -191,40 +190,37 @@ def stream_rate_report(star: Star, root: str) -> DataFrame:
 DIM_VALUES = ["customer_name", "gender", "product_id"]
 
 
-def dim_sink(root: str, name: str = "main"):
+def dim_table(spark, root: str, compact_every: int | None = None) -> FirstWinsTable:
+    return FirstWinsTable(spark, f"{root}/customer_dim", ["customer_id"], DIM_VALUES,
+                          compact_every, RAW_ORDER)
+
+
+def dim_sink(root: str, name: str = "main", compact_every: int | None = None):
     """foreachBatch body of the first-wins customer dimension.
 
     Each batch keeps its own winners (first in the total order), then writes
     only those that are new or earlier than what earlier batches stored for the
-    key: the stored log holds every row that can still win, and reading takes
+    key: the stored table holds every row that can still win, and reading takes
     the earliest per key.  The result equals the batch first-wins whatever
     order the files arrive in; a replayed batch compares only with earlier
-    batches and rewrites its own partition."""
-    dim_path = f"{root}/customer_dim"
-
+    batches and rewrites its own partition, or changes nothing once
+    ``compact_every`` batches have been folded with it."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cands = first_wins(batch.where(F.col("customer_id").isNotNull()), ["customer_id"],
-                           RAW_ORDER, DIM_VALUES, keep_order=True)
-        stored = _read_or_none(spark, dim_path)
-        if stored is not None:
-            cands = improving_rows(cands, stored.where(before_batch(name, batch_id)),
-                                   ["customer_id"], RAW_ORDER)
-        batch_partition_write(cands, dim_path, batch_id, stream=name)
+        dim_table(batch.sparkSession, root, compact_every).offer(
+            batch.where(F.col("customer_id").isNotNull()), batch_id, name)
     return sink
 
 
 def read_dim(spark, root: str) -> DataFrame:
     """The dimension: the earliest stored row of every key."""
-    log = spark.read.parquet(f"{root}/customer_dim")
-    return first_wins(log, ["customer_id"], RAW_ORDER, DIM_VALUES)
+    return dim_table(spark, root).read().select("customer_id", *DIM_VALUES)
 
 
 def stream_dim_incremental(star: Star, root: str, n_ranges: int = N_RANGES,
                            descending: bool = False) -> DataFrame:
     """Raw transactions streamed into the first-wins customer dimension."""
     spark = star.spark
-    run_ranges(spark, staged_raw(star), "row_id", n_ranges, root, dim_sink(root),
+    run_ranges(spark, staged_raw(star), "row_id", n_ranges, root, dim_sink(root, compact_every=2),
                parse_stream, descending=descending)
     return read_dim(spark, root)
 

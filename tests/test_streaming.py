@@ -54,6 +54,41 @@ def test_replayed_dimension_batch_changes_nothing(spark, star, scratch):
     assert sorted(S.read_dim(spark, root).collect()) == before
 
 
+def test_dimension_log_is_folded(spark, star, scratch):
+    """A fold leaves the dimension as it is, also when later files arrive first
+    and when a folded batch is replayed."""
+    from shelfwise.plans.dimensions import dim_customer
+    root = scratch("dim_fold")
+    raw = S.parse_stream(S.staged_raw(star)).persist()
+    total = raw.agg(F.max("row_id")).first()[0]
+    bounds = [total * k // 5 for k in range(6)]
+    parts = [raw.where((F.col("row_id") > a) & (F.col("row_id") <= b)) for a, b in zip(bounds, bounds[1:])]
+    sink = S.dim_sink(root, compact_every=2)
+    for batch_id, part in enumerate(reversed(parts)):
+        sink(part, batch_id)
+    table = S.dim_table(spark, root)
+    assert table.current()[1] == {"main": 3}
+    assert table.rows().count() < spark.read.parquet(table.partials).count()
+    want = sorted(dim_customer(star).collect())
+    assert sorted(S.read_dim(spark, root).collect()) == want
+    for batch_id in (1, 4):
+        sink(parts[4 - batch_id], batch_id)
+        assert sorted(S.read_dim(spark, root).collect()) == want
+    raw.unpersist()
+
+
+def test_first_batches_without_rows(spark, scratch):
+    """Batches that hold no row at all leave a table that later batches fill."""
+    from shelfwise.plans.aggregates import AggregateTable
+    t = AggregateTable(spark, scratch("empty"), ["k"], ["v"], compact_every=2)
+    row = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v long").selectExpr(
+        "k", "cast(v AS decimal(38,2)) AS v")
+    for batch_id in range(3):
+        t.apply_batch(row.where("k = 'none'"), batch_id)
+    t.apply_batch(row, 3)
+    assert [tuple(r) for r in t.read().selectExpr("k", "int(v)").collect()] == [("a", 3)]
+
+
 def test_rows_per_batch(spark, star, scratch):
     root = scratch("rpb")
     outer = S.number_rows(star.customer_dim.select("customer_id", "product_id"),
