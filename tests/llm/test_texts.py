@@ -177,3 +177,33 @@ def test_license_matches_equal_the_sql(spark, duck):
     rows = [tuple(r) for r in df.collect()]
     res = duck.execute(ORACLES["op4_license_scan"])
     assert rows and digest(df.columns, rows) == digest([d[0] for d in res.description], res.fetchall())
+
+
+def wrapped(text, words=10):
+    said = text.split()
+    return "\n".join(" * " + " ".join(said[k:k + words]) for k in range(0, len(said), words))
+
+
+def test_license_passages_inside_longer_texts(spark):
+    mit, gpl = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["GPL-3.0-notice"]
+    long = prose(5, 2000)
+    rows = [(1, f"{long}\n{wrapped(gpl)}\n{long}"), (2, f"This project was written in a week for fun. {mit}"),
+            (3, f"{long}\nFun. {wrapped(gpl)}\n{long}\n{mit} {long}\n{mit}"), (4, long), (5, f"{long}\n{mit}")]
+    got = licenses.license_matches(spark.createDataFrame(rows, "doc_id long, text string"))
+    n, size, small = long.count("\n") + 1, len(licenses._bigrams(gpl)), len(licenses._bigrams(mit))
+    after = n + 1 + gpl.count(" ") // 10 + 1 + n
+    assert [r for r in collected(got) if r[2] in ("MIT", "GPL-3.0-notice")] == sorted([
+        (1, -(n + 1), "GPL-3.0-notice", size, size, 1.0), (2, -1, "MIT", small, small, 1.0),
+        (3, -(n + 1), "GPL-3.0-notice", size, size, 1.0), (3, -after, "MIT", small, small, 1.0),
+        (3, after + n, "MIT", small, small, 1.0), (5, n + 1, "MIT", small, small, 1.0)], key=repr)
+
+
+def test_every_match_holds_a_mark_and_enough_bigrams():
+    owns = {k: licenses._bigrams(v) for k, v in licenses.TEMPLATES.items()}
+    marks = set(licenses.marks(list(owns.values()), licenses.THRESHOLD))
+    for own in owns.values():
+        need = licenses.needed(len(own), licenses.THRESHOLD)
+        assert sum(not marks & set(g.split()) for g in own) < need
+    for n in range(1, 300):
+        need = licenses.needed(n, 0.8)
+        assert 2.0 * need / (need + n) >= 0.8 and 2.0 * (need - 1) / (need - 1 + n) < 0.8
