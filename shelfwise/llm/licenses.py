@@ -20,9 +20,11 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .license_texts import TEXTS
+
 THRESHOLD = 0.8
 
-#: Notices as their publishers word them.
+#: One-sentence notices, and the titles, notices and texts of the licences.
 TEMPLATES = {
     "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -48,7 +50,7 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
-}
+} | TEXTS
 
 
 def _bigrams(text: str) -> list[str]:

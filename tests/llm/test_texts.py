@@ -207,3 +207,16 @@ def test_every_match_holds_a_mark_and_enough_bigrams():
     for n in range(1, 300):
         need = licenses.needed(n, 0.8)
         assert 2.0 * need / (need + n) >= 0.8 and 2.0 * (need - 1) / (need - 1 + n) < 0.8
+
+
+def test_license_texts_are_found(spark):
+    t = licenses.TEMPLATES
+    rows = [(1, f"{prose(5, 500)}\nMIT License\n\nCopyright (c) 2020 A. Person\n\n{wrapped(t['MIT-text'])}\n{prose(6, 500)}"),
+            (2, f"{prose(7, 300)}\n{wrapped(t['MIT-permission'])}"), (3, wrapped(t["BSD-3-Clause-conditions"], 12)),
+            (4, f"{wrapped(t['Apache-2.0-notice'], 9)}\n{prose(8, 900)}"),
+            (5, f"{prose(9, 300)}\n{wrapped(t['ISC-text'])}"), (6, prose(5, 500))]
+    got = licenses.license_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sure = {(r.doc_id, r.license_id) for r in got if r.dice > 0.95}
+    assert {(1, "MIT-title"), (1, "MIT-text"), (1, "MIT-permission"), (2, "MIT-permission"),
+            (3, "BSD-3-Clause-conditions"), (4, "Apache-2.0-notice"), (5, "ISC-text")} <= sure
+    assert 6 not in {r.doc_id for r in got}
