@@ -3,13 +3,15 @@
 A text is the multiset of its paragraphs (lines, cut at sentence ends and
 every ``MOST_WORDS`` words).  Each paragraph is hashed to a wide vector and the
 vectors are summed: ``EXACT`` lanes of uniform numbers modulo 2**64 for
-equality, and ``LIKE`` lanes of plus or minus the paragraph's weight modulo
-2**16 for likeness.  Sums do not depend on order, and a paragraph is inserted or
-deleted by adding or subtracting its vector, without the rest of the text.
-
-The inner product of two likeness vectors estimates the weight of the
-paragraphs they share, so ``2 a.b / (a.a + b.b)`` is 1 for equal texts and near
-0 for unrelated ones.
+equality, and ``LIKE`` lanes modulo 2**16 for likeness, a sketch of signed counts
+of the paragraphs' overlapping windows of ``WINDOW`` bytes.  Sums do not depend on
+order, and a paragraph is inserted or deleted by adding or subtracting its vector,
+without the rest of the text.
+
+A window falls into one lane with one sign, so the inner product of two likeness
+vectors estimates the windows they share: ``2 a.b / (a.a + b.b)`` is 1 for equal
+texts and near 0 for unrelated ones.  Lanes count up to ``MOST_PULL`` times their
+median size only, so that one often repeated paragraph does not outweigh the rest.
 """
 
 from __future__ import annotations
@@ -27,7 +29,10 @@ from pyspark.sql import functions as F
 from .common import map_rows, shard_bounds, shard_of
 
 EXACT, LIKE, MOST_WORDS = 4, 512, 24
-_WORDS = EXACT + LIKE // 64
+#: About three words; and lanes' bound in medians of their sizes.
+WINDOW, MOST_PULL = 16, 2.0
+#: Before each paragraph, so that its first bytes have windows too; not a byte of UTF-8.
+_PAD = b"\xff" * (WINDOW - 1)
 _BLOCK = 2048
 #: Fixed constants of the splitmix64 finaliser.
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -46,15 +51,32 @@ def paragraphs(text: str) -> list[str]:
     return out
 
 
-def _vectors(seeds: np.ndarray) -> np.ndarray:
-    """(paragraphs, _WORDS) uniform 64-bit numbers from the paragraphs' hashes."""
+def _mixed(z: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        z = seeds[:, None] + _MIX[0] * np.arange(1, _WORDS + 1, dtype=np.uint64)
         z = (z ^ (z >> np.uint64(30))) * _MIX[1]
         z = (z ^ (z >> np.uint64(27))) * _MIX[2]
         return z ^ (z >> np.uint64(31))
 
 
+def _vectors(seeds: np.ndarray) -> np.ndarray:
+    """(paragraphs, EXACT) uniform 64-bit numbers from the paragraphs' hashes."""
+    with np.errstate(over="ignore"):
+        return _mixed(seeds[:, None] + _MIX[0] * np.arange(1, EXACT + 1, dtype=np.uint64))
+
+
+def _windows(raw: list[bytes]) -> np.ndarray:
+    """Hashes of the windows that end at each byte, or the end, of each paragraph."""
+    joined = b"".join(_PAD + r + b"\n" for r in raw)
+    eights = np.empty(len(joined) - 7, dtype=np.uint64)
+    for k in range(8):
+        part = eights[k::8]
+        part[:] = np.frombuffer(joined, "<u8", len(part), k)
+    inside = np.frombuffer(joined, np.uint8)[WINDOW - 1:] != 0xFF
+    first, last = eights[:-8][inside], eights[8:][inside]
+    with np.errstate(over="ignore"):
+        return _mixed(_mixed(first + _MIX[0]) + last)
+
+
 def multiset_hash(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(exact, like) lanes of a multiset of paragraphs; both add up over multisets."""
     import xxhash
@@ -64,11 +86,11 @@ def multiset_hash(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         part = pieces[k:k + _BLOCK]
         raw = [p.encode("utf-8", "replace") for p in part]
         z = _vectors(np.array([xxhash.xxh3_64_intdigest(r) for r in raw], dtype=np.uint64))
-        weight = np.sqrt(np.array([1 + r.count(b" ") for r in raw], dtype=float)).round()
         with np.errstate(over="ignore"):
-            exact += z[:, :EXACT].sum(axis=0, dtype=np.uint64)
-        bits = np.unpackbits(np.ascontiguousarray(z[:, EXACT:]).view(np.uint8), axis=1)
-        like += (2 * (weight.astype(np.float64) @ bits) - weight.sum()).astype(np.int64)
+            exact += z.sum(axis=0, dtype=np.uint64)
+        w = _windows(raw)
+        sign = (w & np.uint64(1)).astype(np.float64) * 2 - 1
+        like += np.bincount((w >> np.uint64(55)).astype(np.int64), sign, LIKE).astype(np.int64)
     return exact, like.astype(np.uint16)
 
 
@@ -81,8 +103,12 @@ def add(a: tuple, b: tuple, sign: int = 1) -> tuple[np.ndarray, np.ndarray]:
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """0 to 1 from two likeness vectors; two empty ones are equal."""
     x, y = (v.astype(np.int16).astype(np.float64) for v in (a, b))
-    size = x @ x + y @ y
-    return float(np.clip(2 * (x @ y) / size, 0, 1)) if size else 1.0
+    sizes = np.abs(np.concatenate([x, y]))
+    if not sizes.any():
+        return 1.0
+    most = MOST_PULL * np.median(sizes[sizes > 0])
+    x, y = np.clip(x, -most, most), np.clip(y, -most, most)
+    return float(np.clip(2 * (x @ y) / (x @ x + y @ y), 0, 1))
 
 
 def to_bytes(h: tuple) -> bytes:

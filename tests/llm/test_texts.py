@@ -220,3 +220,19 @@ def test_license_texts_are_found(spark):
     assert {(1, "MIT-title"), (1, "MIT-text"), (1, "MIT-permission"), (2, "MIT-permission"),
             (3, "BSD-3-Clause-conditions"), (4, "Apache-2.0-notice"), (5, "ISC-text")} <= sure
     assert 6 not in {r.doc_id for r in got}
+
+
+def near(a, b):
+    return fingerprints.likeness(*(fingerprints.multiset_hash(fingerprints.paragraphs(t))[1] for t in (a, b)))
+
+
+def test_each_edited_text_stays_near():
+    others = [prose(100 + k, 2000) for k in range(8)]
+    texts = ["a short text", "one piece of a few words", prose(1, 11), "x" * 30]                 # single pieces
+    texts += [prose(2, 60) + "\n" + "the same line again and again\n" * 70,                       # one line repeated
+              "the same line again and again\n" * 70 + prose(3, 300), "\n" * 200 + prose(4, 100)]
+    texts += [prose(5 + k, 5 + 40 * k) for k in range(30)]
+    for text in texts:
+        for after in others:
+            assert near(text, fingerprints.edited(text, after)) > 0.4
+            assert near(text, after) < 0.4
