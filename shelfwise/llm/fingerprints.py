@@ -3,10 +3,10 @@
 A text is the multiset of its paragraphs (lines, cut at sentence ends and
 every ``MOST_WORDS`` words).  Each paragraph is hashed to a wide vector and the
 vectors are summed: ``EXACT`` lanes of uniform numbers modulo 2**64 for
-equality, and ``LIKE`` lanes modulo 2**16 for likeness, a sketch of signed counts
+equality, and ``LIKE`` lanes modulo 2**32 for likeness, a sketch of signed counts
 of the paragraphs' overlapping windows of ``WINDOW`` bytes.  Sums do not depend on
 order, and a paragraph is inserted or deleted by adding or subtracting its vector,
-without the rest of the text.
+without the rest of the text.  A lane cannot wrap in a text under 2**31 bytes.
 
 A window falls into one lane with one sign, so the inner product of two likeness
 vectors estimates the windows they share: ``2 a.b / (a.a + b.b)`` is 1 for equal
@@ -91,7 +91,7 @@ def multiset_hash(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         w = _windows(raw)
         sign = (w & np.uint64(1)).astype(np.float64) * 2 - 1
         like += np.bincount((w >> np.uint64(55)).astype(np.int64), sign, LIKE).astype(np.int64)
-    return exact, like.astype(np.uint16)
+    return exact, like.astype(np.uint32)
 
 
 def add(a: tuple, b: tuple, sign: int = 1) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +102,7 @@ def add(a: tuple, b: tuple, sign: int = 1) -> tuple[np.ndarray, np.ndarray]:
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
     """0 to 1 from two likeness vectors; two empty ones are equal."""
-    x, y = (v.astype(np.int16).astype(np.float64) for v in (a, b))
+    x, y = (v.astype(np.int32).astype(np.float64) for v in (a, b))
     sizes = np.abs(np.concatenate([x, y]))
     if not sizes.any():
         return 1.0
@@ -112,7 +112,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def to_bytes(h: tuple) -> bytes:
-    return h[0].astype("<u8").tobytes() + h[1].astype("<u2").tobytes()
+    return h[0].astype("<u8").tobytes() + h[1].astype("<u4").tobytes()
 
 
 def fingerprint_column(text):

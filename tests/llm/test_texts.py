@@ -236,3 +236,12 @@ def test_each_edited_text_stays_near():
         for after in others:
             assert near(text, fingerprints.edited(text, after)) > 0.4
             assert near(text, after) < 0.4
+
+
+def test_likeness_of_very_long_repetitive_texts():
+    line = "the same line again\n"
+    assert near(line * 40_000, line * 30_000) == pytest.approx(0.96, abs=0.01)
+    assert near(line * 100_000, line * 100_000) == near("\n" * 32_768, "\n" * 32_768) == 1.0
+    assert near("\n" * 40_000, "\n" * 30_000) == pytest.approx(0.96, abs=0.01)
+    text = "\n" * 65_536 + prose(1, 500)
+    assert near(text, "\n" * 32_768 + prose(1, 500)) > 0.9
