@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .labelled import labelled_sample, one_row_each
 
 #: Bounds of the sample that the model is fitted on.
-SAMPLE, SAMPLE_LINES = 4_000, 256
+SAMPLE = 4_000
 
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123))
@@ -190,9 +190,8 @@ def fit_lines(buckets: list[np.ndarray], sizes: list[np.ndarray], labels: np.nda
     return LineModel(w, chain, (float(a), float(max(b, 0.0))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, keep=None, rows: int = SAMPLE,
-        lines: int = SAMPLE_LINES) -> LineModel:
-    """Fit on at most ``rows`` labelled documents, ``lines`` lines of each at most.
+def fit(docs: DataFrame, labels: DataFrame, keep=None, rows: int = SAMPLE) -> LineModel:
+    """Fit on all lines of at most ``rows`` labelled documents.
 
     ``keep`` is a filter on the labels (a fold).  Of rows that repeat a doc_id one is
     used.  Without labels all texts score high.
@@ -201,8 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep=None, rows: int = SAMPLE,
         for b in batches:
             both = [line_features(t) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"],
-                                "buckets": [x[:lines].tobytes() for x, _ in both],
-                                "sizes": [s[:lines].tobytes() for _, s in both]})
+                                "buckets": [x.tobytes() for x, _ in both],
+                                "sizes": [s.tobytes() for _, s in both]})
 
     sample = labelled_sample(docs, labels, rows, keep)
     got = (one_row_each(sample.mapInPandas(measured, "doc_id long, label int, buckets binary, sizes binary"))

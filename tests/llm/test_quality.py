@@ -147,3 +147,13 @@ def test_classifier_over_awkward_rows(awkward, clashing, nothing, labels, awkwar
         assert not any(r.held_out for r in rows if r.doc_id is None)
     assert line_crf.classified(nothing, labels).collect() == []
     assert {r.predicted for r in line_crf.classified(awkward, labels.limit(0)).collect()} == {1}
+
+
+def test_the_fit_sees_every_line(spark, monkeypatch):
+    seen = []
+    fitted = line_crf.fit_lines
+    monkeypatch.setattr(line_crf, "fit_lines", lambda b, s, y: seen.extend(map(len, b)) or fitted(b, s, y))
+    docs = spark.createDataFrame([(k, "\n".join(f"line {j}" for j in range(n))) for k, n in enumerate((3, 700))],
+                                 "doc_id long, text string")
+    line_crf.fit(docs, spark.createDataFrame([(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int"))
+    assert seen == [3, 700]
