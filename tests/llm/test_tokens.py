@@ -190,3 +190,14 @@ def test_unknown_keys_are_not_found(spark, awkward, word_bpe):
                                   "doc_id long, ordinal int")
     got = token_files.locate(asked, index, buckets).collect()
     assert len(got) == 402 and sum(r.shard >= 0 for r in got) == 1
+
+
+def test_more_shards_than_the_step_allows_for(spark, word_bpe, monkeypatch):
+    from shelfwise.llm import common
+    for module in (common, token_files):
+        monkeypatch.setattr(module, "MAX_SHARDS", 2, raising=False)
+    monkeypatch.setattr(token_files, "ROWS_PER_SHARD", 1)
+    monkeypatch.setattr(token_files, "shard_bounds", lambda *_: list(range(0, 40, 8)))  # of five range partitions
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(40)], "doc_id long, text string")
+    got = token_files.token_files_round_trip(docs, word_bpe).select("doc_id").collect()
+    assert sorted(r.doc_id for r in got) == list(range(40))
