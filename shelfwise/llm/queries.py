@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprints, licenses, line_crf, mixing, packing, quality_rules, simhash, token_counts, token_files
+from . import (chat, fingerprints, importance, licenses, line_crf, mixing, packing, periodic_runs, quality_rules,
+               simhash, token_counts, token_files)
 from .common import ship_package, table
 
 
@@ -65,6 +66,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resampling_weights(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -76,6 +85,6 @@ def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_simhash_near_dedup, op2_source_mixing, op3_quality_rules, op4_license_scan, op5_token_counts,
     op6_best_fit_packing, op7_chat_formatting, op8_document_fingerprints, op9_token_files,
-    op10_quality_classifier)}
+    op10_quality_classifier, op12_periodic_runs, op13_importance_resampling)}
 
 ORACLES = {"op4_license_scan": licenses.oracle()}
