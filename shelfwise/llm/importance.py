@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -175,9 +176,7 @@ def weighted(docs: DataFrame, gains: np.ndarray, into: str = "importance", grams
     ones too; a text is hashed whole, in one task.
     """
     @F.pandas_udf("n_words long, n_features long, weight long")
-    def weigh(batches: Iterator) -> Iterator:
-        import pandas as pd
-
+    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             parts = []
             for _, n, words, (text, bucket) in text_buckets(texts.tolist(), len(gains), grams):
