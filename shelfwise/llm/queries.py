@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat, fingerprints, importance, licenses, line_crf, mixing, packing, periodic_runs, quality_rules,
-               simhash, token_counts, token_files)
+from . import (attention_lm, chat, fingerprints, importance, licenses, line_crf, mixing, packing, periodic_runs,
+               quality_rules, simhash, token_counts, token_files)
 from .common import ship_package, table
 
 
@@ -66,6 +66,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.fold_scores(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                    end_id=50256)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
@@ -85,6 +90,6 @@ def _shipped(query: Callable) -> Callable[[SparkSession, str], DataFrame]:
 QUERIES = {q.__name__: _shipped(q) for q in (
     op1_simhash_near_dedup, op2_source_mixing, op3_quality_rules, op4_license_scan, op5_token_counts,
     op6_best_fit_packing, op7_chat_formatting, op8_document_fingerprints, op9_token_files,
-    op10_quality_classifier, op12_periodic_runs, op13_importance_resampling)}
+    op10_quality_classifier, op11_attention_scores, op12_periodic_runs, op13_importance_resampling)}
 
 ORACLES = {"op4_license_scan": licenses.oracle()}
