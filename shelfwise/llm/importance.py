@@ -198,33 +198,42 @@ def _noise(key, seed: int):
     return F.floor(F.lit(-1000.0) * F.log(-F.log((h + 0.5) / F.lit(4294967296.0)))).cast("long")
 
 
-def resampled(docs: DataFrame, target: DataFrame, percent: int = 5, least_words: int = 20, seed: int = 42,
-              buckets: int = BUCKETS, grams: int = GRAMS, rank: str = "rank", score: str = "score",
-              into: str = "importance") -> DataFrame:
-    """``docs`` with ``into`` (n_words, n_features, weight), ``score`` and ``rank`` (1, 2, 3, ...; NULL: not drawn).
-
-    Of the N documents with at least ``least_words`` words the floor(percent * N / 100)
-    with the highest weight + noise are drawn, ties to the smaller doc_id.  The noise
-    is a hash of (seed, doc_id), so reruns agree; rows that repeat a doc_id share it
-    and rank one after another; a NULL doc_id counts as an empty one and ranks first among
-    ties.  An empty target gives gains towards rare buckets, empty ``docs`` no rows.
-    Columns of ``docs`` keep their names; a clashing helper column gets another one.
-    """
+def scored(docs: DataFrame, target: DataFrame, seed: int = 42, buckets: int = BUCKETS, grams: int = GRAMS,
+           score: str = "score", into: str = "importance") -> DataFrame:
+    """``docs`` with ``into`` (n_words, n_features, weight) and ``score``, the weight with noise.
+
+    The noise is a hash of (seed, doc_id), so reruns agree; a NULL doc_id counts as an empty one.
+    An empty target gives gains towards rare buckets."""
     gains = bucket_gains(bucket_counts(docs, buckets, grams), bucket_counts(target, buckets, grams))
-    rank, score, into, row = (fresh(docs, x)[0] for x in (rank, score, into, "row"))
-    scored = (weighted(docs, gains, into, grams)
-              .withColumn(score, F.col(into)["weight"] + _noise(F.col("doc_id"), seed))
-              .withColumn(row, F.monotonically_increasing_id()))
+    return weighted(docs, gains, into, grams).withColumn(score, F.col(into)["weight"] + _noise(F.col("doc_id"), seed))
+
+
+def ranked(rows: DataFrame, percent: int = 5, least_words: int = 20, rank: str = "rank", score: str = "score",
+           into: str = "importance") -> DataFrame:
+    """:func:`scored` rows, whichever columns are left of them, with ``rank`` (1, 2, 3, ...; NULL: not drawn).
+
+    Of the N rows with at least ``least_words`` words the floor(percent * N / 100) with the highest
+    score are drawn, ties to the smaller doc_id (NULL first).  Rows that repeat a doc_id
+    rank one after another."""
+    [row] = fresh(rows, "row")
     # written once: row numbers then name rows, whatever is computed again
-    scored = stored(scored, "importance_scored")
-    able = scored.where(F.col(into)["n_words"] >= least_words).select(
+    rows = stored(rows.withColumn(row, F.monotonically_increasing_id()), "importance_scored")
+    able = rows.where(F.col(into)["n_words"] >= least_words).select(
         (-F.col(score)).alias("worse"), F.col("doc_id").alias("id"), F.col(row).alias("drawn_row"))
     drawn = dense_key(able, ["worse", "id", "drawn_row"], "place").where(
         F.col("place") <= F.lit(able.count() * percent // 100)).select("drawn_row", F.col("place").alias(rank))
-    return scored.join(drawn, F.col(row) == F.col("drawn_row"), "left").drop("drawn_row", row)
+    return rows.join(drawn, F.col(row) == F.col("drawn_row"), "left").drop("drawn_row", row)
+
+
+def resampled(docs: DataFrame, target: DataFrame, percent: int = 5, least_words: int = 20, seed: int = 42) -> DataFrame:
+    """``docs`` with importance (n_words, n_features, weight), score and rank: see :func:`scored` and
+    :func:`ranked`.  Columns of ``docs`` keep their names; a new one that clashes gets another name.
+    Empty ``docs`` give no rows."""
+    rank, score, into = (fresh(docs, x)[0] for x in ("rank", "score", "importance"))
+    return ranked(scored(docs, target, seed, score=score, into=into), percent, least_words, rank, score, into)
 
 
 def resampling_weights(docs: DataFrame, target: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_features, weight, score, rank (see :func:`resampled`)."""
-    out = resampled(docs.select("doc_id", "text"), target)
-    return out.select("doc_id", "importance.n_features", "importance.weight", "score", "rank")
+    rows = scored(docs.select("doc_id", "text"), target).drop("text")  # texts need not be written for this
+    return ranked(rows).select("doc_id", "importance.n_features", "importance.weight", "score", "rank")
