@@ -5,10 +5,14 @@
     python -m shelfwise query q2_rollup_compat --warehouse DIR --supplier NAME --year 2019
     python -m shelfwise query q7_line --warehouse DIR --store NAME [--by-year]
     python -m shelfwise query q9_line --warehouse DIR --year 2019 --k 5
+    python -m shelfwise stream --landing DIR --warehouse DIR [--stream NAME] [--files-per-batch 10]
+    python -m shelfwise stream-master --landing DIR --warehouse DIR [--multiline]
     python -m shelfwise refresh q8_supplier_month_mv --warehouse DIR --table DIR
     python -m shelfwise refresh-all --warehouse DIR --tables DIR
 
-``--master``/``--transactions`` may be files or folders.  The session is the
+``--master``/``--transactions`` may be files or folders.  ``stream`` drains a folder of
+transaction files into a loaded warehouse, ``stream-master`` one of master files; run
+them again when more files have landed or after a reload.  The session is the
 one ``spark-submit`` provides (or local[*] when run directly); set
 ``spark.checkpoint.dir`` to a shared folder on a cluster.
 """
@@ -28,6 +32,7 @@ from .plans.catalog import OLAP
 from .plans.load import load_csv_warehouse
 from .plans.warehouse import WarehouseStar
 from .session import DEFAULT_CONF, ensure_checkpoint_dir
+from .streaming.warehouse import audit_totals, stream_into_warehouse, stream_master_into_warehouse
 
 QUERY_NAMES = list(OLAP)
 # command line option -> parameter of the query
@@ -78,6 +83,15 @@ def main(argv=None) -> int:
     ld.add_argument("--master", required=True)
     ld.add_argument("--transactions", required=True)
     ld.add_argument("--warehouse", required=True)
+    ld.add_argument("--multiline", action="store_true", help="quoted master fields may hold line breaks")
+    for name, of in (("stream", "transaction"), ("stream-master", "master")):
+        st = sub.add_parser(name, help=f"drain a folder of {of} files into a warehouse")
+        st.add_argument("--landing", required=True)
+        st.add_argument("--warehouse", required=True)
+        st.add_argument("--stream", default="landing" if name == "stream" else "master",
+                        help="name of the stream; each has checkpoints of its own")
+        st.add_argument("--files-per-batch", type=int, default=10)
+    st.add_argument("--multiline", action="store_true", help="quoted fields may hold line breaks")
     qy = sub.add_parser("query", help="run one OLAP query over a warehouse")
     qy.add_argument("name", choices=QUERY_NAMES)
     qy.add_argument("--warehouse", required=True)
@@ -101,8 +115,13 @@ def main(argv=None) -> int:
 
     spark = session()
     if args.cmd == "load":
-        counts = load_csv_warehouse(spark, args.master, args.transactions, args.warehouse)
+        counts = load_csv_warehouse(spark, args.master, args.transactions, args.warehouse, args.multiline)
         print(json.dumps(counts))
+    elif args.cmd in ("stream", "stream-master"):
+        into, more = ((stream_into_warehouse, {}) if args.cmd == "stream" else
+                      (stream_master_into_warehouse, {"multiline": args.multiline}))
+        into(spark, args.landing, args.warehouse, args.files_per_batch, args.stream, **more)
+        print(json.dumps(audit_totals(spark, args.warehouse, args.stream)))
     elif args.cmd == "query":
         df = getattr(Q, args.name)(WarehouseStar(spark, args.warehouse), **options)
         if args.out:

@@ -90,6 +90,7 @@ LOAD: dict[str, Runner] = {
     "fact_line_rejects": _scratch(L.fact_line_rejects, "fact_line_rejects"),
     "mv_refresh_full": _scratch(A.mv_refresh_full, "mv_full"),
     "mv_refresh_mixed": _scratch(A.mv_refresh_mixed, "mv_mixed"),
+    "refresh_all": _scratch(A.refresh_set, "refresh_all"),
     "mv_refresh_incremental": _scratch(A.mv_refresh_incremental, "mv_incremental"),
 }
 
@@ -99,11 +100,18 @@ STREAM: dict[str, Runner] = {
     "stream_dim_incremental": _scratch(S.stream_dim_incremental, "stream_dim"),
     "stream_mv_refresh": _scratch(S.stream_mv_refresh, "stream_mv"),
     "stream_q9_line": _scratch(S.stream_q9_line, "stream_q9"),
+    "stream_q9_sketch": _scratch(S.stream_q9_sketch, "stream_q9_sketch"),
+    "stream_q5_sigma": _scratch(S.stream_q5_sigma, "stream_q5_sigma"),
+    "stream_controlled": _scratch(S.stream_controlled, "stream_controlled"),
     "stream_csv_ingest": _scratch(S.stream_csv_ingest, "stream_csv"),
     "stream_rows_by_key": _scratch(S.stream_rows_by_key, "stream_rows_by_key"),
     "stream_rate_report": _scratch(S.stream_rate_report, "stream_rate"),
     "stream_then_q4": _scratch(SW.stream_then_q4, "stream_then_q4"),
     "stream_then_q9": _scratch(SW.stream_then_q9, "stream_then_q9"),
+    "reload_then_stream": _scratch(SW.reload_then_stream, "reload_then_stream"),
+    "late_products": _scratch(SW.late_products, "late_products"),
+    "stream_master_dims": _scratch(SW.stream_master_dims, "stream_master_dims"),
+    "stream_constraints": _scratch(SW.stream_constraints, "stream_constraints"),
     "stream_fact_compat": _scratch(S.stream_fact_compat, "stream_fact_compat"),
 }
 

@@ -89,6 +89,9 @@ def fact_load_compat(star: Star) -> DataFrame:
 
 def product_lookup(star: Star) -> DataFrame:
     """Price and store of every product, one row each (line grain)."""
+    stored = getattr(star, "priced_products", None)  # a warehouse stores them together
+    if stored is not None:
+        return stored
     return (star.product.select("product_id", "price", F.lit(True).alias("known"))
             .join(star.product_store.select("product_id", "store_id"), "product_id", "left"))
 
@@ -112,7 +115,7 @@ def judged_lines(star: Star, lines: DataFrame | None = None,
 
 
 FACT_LINE = [*FACT_KEYS, "total_sale", "year"]
-LINE_REJECT = ["time_id", "product_id", "customer_id", "qty", "reason"]
+LINE_REJECT = ["time_id", "product_id", "customer_id", "qty", "year", "reason"]
 
 
 def fact_rows_line(star: Star, lines: DataFrame | None = None) -> DataFrame:

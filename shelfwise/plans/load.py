@@ -42,7 +42,7 @@ from ..operators.surrogate import dense_key
 from .. import schemas as S
 from ..schemas import MASTER_CSV_COLUMNS, TRANSACTION_CSV_COLUMNS
 from ..sources.csv import CORRUPT, header_schema, read_csv
-from .warehouse import VersionWriter, WarehouseStar
+from .warehouse import DIMENSIONS, VersionWriter, WarehouseStar
 
 MASTER_NAMES = ("product_id", "product_name", "product_price", "supplier_id",
                 "supplier_name", "store_id", "store_name")
@@ -52,12 +52,15 @@ TXN_ORDER = ("order_date", "order_id", "product_id", "customer_id", "qty",
              "customer_name", "gender")
 
 
-def _read(spark: SparkSession, path: str, columns, names) -> DataFrame:
-    df = read_csv(spark, path, header_schema(spark, path, columns))
-    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)], F.col(CORRUPT),
-                     F.struct(F.col("_metadata.file_path").alias("file"),
-                              F.col("_metadata.file_block_start").alias("block"),
-                              F.monotonically_increasing_id().alias("place")).alias("row_ord"))
+#: Where a row lies; the read block and the place in it are added to the file's name.
+def row_place(file: str = "_metadata.file_path", block: str = "_metadata.file_block_start") -> F.Column:
+    return F.struct(F.col(file).alias("file"), F.col(block).alias("block"),
+                    F.monotonically_increasing_id().alias("place")).alias("row_ord")
+
+
+def _read(spark: SparkSession, path: str, columns, names, multiline: bool = False) -> DataFrame:
+    df = read_csv(spark, path, header_schema(spark, path, columns, multiline), multiline)
+    return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(columns, names)], F.col(CORRUPT), row_place())
 
 
 def _reason(*checks) -> F.Column:
@@ -72,8 +75,18 @@ def _text(names) -> F.Column:
     return F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names))).alias("text")
 
 
-def typed_master_csv(spark: SparkSession, path: str) -> DataFrame:
-    raw = _read(spark, path, MASTER_CSV_COLUMNS, MASTER_NAMES)
+def typed_master_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    return type_master(_read(spark, path, MASTER_CSV_COLUMNS, MASTER_NAMES, multiline))
+
+
+def rename_master(raw: DataFrame) -> DataFrame:
+    """Header names of the master file -> snake_case (and ``_corrupt``, ``row_ord``)."""
+    return raw.select(*[F.col(f"`{c}`").alias(n)
+                        for c, n in zip(MASTER_CSV_COLUMNS, MASTER_NAMES)], CORRUPT, "row_ord")
+
+
+def type_master(raw: DataFrame) -> DataFrame:
+    """Typed master columns and the reject reason (NULL when good)."""
     df = raw.select(
         "row_ord", to_int("product_id").alias("product_id"), "product_name",
         clean_price("product_price").alias("price"),
@@ -96,8 +109,8 @@ def typed_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def rename_transactions(raw: DataFrame) -> DataFrame:
     """Header names of the transaction file -> snake_case (and ``_corrupt``)."""
-    return raw.select(*[F.col(f"`{c}`").alias(n)
-                        for c, n in zip(TRANSACTION_CSV_COLUMNS, TXN_NAMES)], F.col(CORRUPT))
+    return raw.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(TRANSACTION_CSV_COLUMNS, TXN_NAMES)],
+                      F.col(CORRUPT), *[c for c in ("file",) if c in raw.columns])
 
 
 def type_transactions(raw: DataFrame) -> DataFrame:
@@ -107,7 +120,7 @@ def type_transactions(raw: DataFrame) -> DataFrame:
         parse_order_date("order_date_text").alias("order_date"),
         to_int("product_id").alias("product_id"), to_int("customer_id").alias("customer_id"),
         "customer_name", "gender", to_int("quantity", "int").alias("qty"), CORRUPT,
-        _text(TXN_NAMES))
+        *[c for c in ("row_ord", "file") if c in raw.columns], _text(TXN_NAMES))
     reason = _reason(
         (F.col(CORRUPT).isNotNull(), "malformed line"),
         (F.col("order_id").isNull() | F.col("product_id").isNull()
@@ -119,61 +132,68 @@ def type_transactions(raw: DataFrame) -> DataFrame:
     return df.withColumn("reason", reason)
 
 
+NAMED = params.NAME_MAX_LEN
+#: The text columns of a dimension's own fields and their limits.
+OWN_TEXTS = {"supplier": [("supplier_name", NAMED)], "product": [("product_name", NAMED)],
+             "store": [("store_name", NAMED)],
+             "customer": [("customer_name", NAMED), ("gender", params.GENDER_MAX_LEN)]}
+
+
+def member_rows(name: str) -> F.Column:
+    """Rows that can stand for a member of dimension ``name``: only its own fields count."""
+    ok = F.col(CORRUPT).isNull() & F.col(f"{name}_id").isNotNull()
+    for text, limit in OWN_TEXTS[name]:
+        ok = ok & within_length(text, limit)
+    return ok
+
+
+def winners(name: str, rows: DataFrame) -> DataFrame:
+    """The first row of each member of dimension ``name``, with what it won by."""
+    _, key, values, order = DIMENSIONS[name]
+    if name == "customer":
+        rows = rows.withColumns({"undated": F.col("order_date").isNull(), "bought": F.lit(True)})
+    return first_wins(rows, [key], order, values, keep_order=True)
+
+
+def line_columns(typed: DataFrame) -> DataFrame:
+    """Good transactions as unkeyed order lines with their calendar parts."""
+    cal = calendar_columns("order_date")
+    return typed.where("reason IS NULL").select(
+        "order_id", F.lit(None).cast("int").alias("line_number"), "order_date",
+        *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month", "day_of_week")],
+        "qty", "product_id", "customer_id", "customer_name", "gender")
+
+
+def rejected_rows(source: str, key: str, typed: DataFrame) -> DataFrame:
+    return S.conform(typed.where("reason IS NOT NULL").select(
+        F.lit(source).alias("source"), F.col(key).cast("string").alias("key"), "text", "reason"), S.REJECTS)
+
+
 def load_csv_warehouse(spark: SparkSession, master_path: str, transactions_path: str,
-                       root: str) -> dict[str, int]:
+                       root: str, multiline_master: bool = False) -> dict[str, int]:
     """Read, cleanse, conform and write a new version of the warehouse under ``root``.
 
-    Returns the row count of every table written (observed while writing)."""
+    ``multiline_master``: quoted fields of the master files may hold line breaks (a file
+    is then read by one task).  Returns the row count of every table written (observed
+    while writing)."""
     out = VersionWriter(spark, root)
-    out.write("staging_master", typed_master_csv(spark, master_path))
+    out.write("staging_master", typed_master_csv(spark, master_path, multiline_master))
     out.write("staging_transactions", typed_transactions_csv(spark, transactions_path))
     master, txn = out.read("staging_master"), out.read("staging_transactions")
-    rejects = [t.where("reason IS NOT NULL").select(
-        F.lit(source).alias("source"), F.col(key).cast("string").alias("key"), "text", "reason")
-        for source, key, t in (("master", "product_id", master), ("transactions", "order_id", txn))]
-    out.write("rejects", S.conform(rejects[0].union(rejects[1]), S.REJECTS))
+    out.write("rejects", rejected_rows("master", "product_id", master).union(
+        rejected_rows("transactions", "order_id", txn)))
+    # a stream into this version must not bring these files again
+    out.write("landed", txn.select(F.col("row_ord.file").alias("file")).distinct())
     n_txn = out.counts["staging_transactions"]
 
-    def members(df: DataFrame, name: str, *texts) -> DataFrame:
-        """Rows that can stand for a member of dimension ``name``: only its own
-        fields count."""
-        ok = F.col(CORRUPT).isNull() & F.col(f"{name}_id").isNotNull()
-        for text, limit in texts:
-            ok = ok & within_length(text, limit)
-        return out.intake(name, df, ok)
-
-    named = params.NAME_MAX_LEN
-    out.write("supplier_dim", S.conform(first_wins(
-        members(master, "supplier", ("supplier_name", named)),
-        ["supplier_id"], ["row_ord"], ["supplier_name"]), S.SUPPLIER_DIM))
-    # one winner per product: its product row and its store come from the same line
-    out.write("product_winner", first_wins(
-        members(master, "product", ("product_name", named)), ["product_id"], ["row_ord"],
-        ["product_name", "supplier_id", "price", "store_id", "store_name"]))
-    winner = out.read("product_winner")
-    out.write("product_dim", S.conform(winner, S.PRODUCT_DIM))
-    out.write("product_store", S.conform(winner.where("store_id IS NOT NULL"), S.PRODUCT_STORE))
+    # one winner per product: its product row and its store come from the same line;
     # compat: one product per store (the first master row of the store)
-    out.write("store_dim", S.conform(first_wins(
-        members(master, "store", ("store_name", named)), ["store_id"], ["row_ord"],
-        ["store_name", "product_id"]), S.STORE_DIM))
+    for name in ("supplier", "product", "store"):
+        out.write_dimension(name, winners(name, out.intake(name, master, member_rows(name))))
 
-    cal = calendar_columns("order_date")
-    lines = txn.where("reason IS NULL").select(
-        "order_id", F.lit(None).cast("int").alias("line_number"), "order_date",
-        *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month",
-                                    "day_of_week")],
-        "qty", "product_id", "customer_id", "customer_name", "gender")
-    keyed = dense_key(lines, TXN_ORDER, "time_id", path=f"{out.folder}/_keys")
+    keyed = dense_key(line_columns(txn), TXN_ORDER, "time_id", path=f"{out.folder}/_keys")
     out.write("time_dim", S.conform(keyed, S.TIME_DIM), "year", "product_id")
-
-    buyers = members(txn.withColumn("undated", F.col("order_date").isNull()), "customer",
-                     ("customer_name", named), ("gender", params.GENDER_MAX_LEN))
-    first = first_wins(buyers, ["customer_id"], ["undated", *TXN_ORDER],
-                       ["customer_name", "gender", "product_id"]
-                       ).withColumnRenamed("gender", "segment")
-    out.write("customer_dim", S.conform(first, S.CUSTOMER_DIM))
-    out.write("customer", S.conform(out.read("customer_dim"), S.CUSTOMER))
+    out.write_dimension("customer", winners("customer", out.intake("customer", txn, member_rows("customer"))))
     out.write_fact()
     n_time = out.counts["time_dim"]
     n_bad = out.read("rejects").where("source = 'transactions'").count()

@@ -453,9 +453,56 @@ QUERIES["stream_dim_incremental"] = QUERIES["dim_customer"]
 QUERIES["stream_fact_compat"] = FACT_COMPAT
 QUERIES["stream_q9_line"] = QUERIES["q9_line"]
 
+QUERIES["stream_q9_sketch"] = QUERIES["q9_line"]
+QUERIES["stream_q5_sigma"] = QUERIES["q5_sigma_anomaly"]
+QUERIES["stream_controlled"] = QUERIES["fact_load_line"]
 QUERIES["stream_microbatch_ingest"] = QUERIES["dim_time"]
 
 # lines that came through the files: those with a readable date
 _READABLE = "(SELECT * FROM parsed_txn WHERE order_ts IS NOT NULL)"
 for _key, _of in (("stream_then_q4", "q4_quarter_pivot"), ("stream_then_q9", "q9_line")):
     QUERIES[_key] = QUERIES[_of].replace("FROM lines JOIN product", f"FROM {_READABLE} JOIN product")
+
+# a warehouse that loads and streams have filled holds the fact of every readable line once
+QUERIES["reload_then_stream"] = QUERIES["late_products"] = STAR + """
+SELECT t.product_id, t.customer_id, s.store_id, CAST(t.qty * p.price AS DECIMAL(18,2)) AS total_sale,
+       CAST(year(t.order_ts) AS INTEGER) AS year
+FROM parsed_txn t JOIN product p USING (product_id) JOIN product_store s USING (product_id)
+WHERE t.order_ts IS NOT NULL
+"""
+
+# of the master files, the one with even products comes first by name
+QUERIES["stream_master_dims"] = STAR + """
+, placed AS (SELECT *, (product_id % 2) * 1000000000000 + product_id AS place FROM master)
+SELECT 'supplier' AS dimension, supplier_id AS id, arg_min(supplier_name, place) AS name,
+       CAST(NULL AS BIGINT) AS supplier_id FROM placed GROUP BY supplier_id
+UNION ALL
+SELECT 'product', product_id, product_name, supplier_id FROM placed
+UNION ALL
+SELECT 'store', CAST(store_id AS BIGINT), arg_min(store_name, place), NULL FROM placed GROUP BY store_id
+"""
+
+QUERIES["refresh_all"] = f"""
+SELECT 'store_analysis' AS table_name, concat_ws('/', store_id, product_id) AS cell, store_total AS sales
+FROM ({QUERIES["q6_store_product_mv"]})
+UNION ALL
+SELECT 'supplier_performance', concat_ws('/', supplier_id, supplier_name, month), monthly_sales
+FROM ({QUERIES["q8_supplier_month_mv"]})
+UNION ALL
+SELECT 'customer_store_sales', concat_ws('/', id, entity_type, entity_id, month), monthly_sales
+FROM ({QUERIES["q10_entity_month_mv_compat"]})
+"""
+
+# lines of every 40th order of the middle range land twice; lines of a file never repeat each other but
+# where an order has the same product and quantity twice
+QUERIES["stream_constraints"] = STAR + """
+, streamed AS (SELECT * FROM parsed_txn WHERE order_ts IS NOT NULL AND order_date >= TIMESTAMP '1997-01-01'),
+same AS (
+  SELECT order_id, product_id, customer_id, order_ts, qty, count(*) AS n, min(order_date) AS day
+  FROM streamed GROUP BY ALL
+)
+SELECT 'repeated line' AS "constraint", count(*) AS violations FROM same
+WHERE n > 1 OR (day < TIMESTAMP '1999-01-01' AND order_id % 40 = 0)
+UNION ALL
+SELECT 'product of a line', count(DISTINCT product_id) FROM streamed WHERE product_id % 2 = 0
+"""

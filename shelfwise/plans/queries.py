@@ -97,12 +97,15 @@ def q4_quarter_pivot(star: Star, year: int = params.YEAR,
     return df.select("product_id", "product_name", *out).orderBy("product_id")
 
 
+def product_totals(lines: DataFrame, star: Star) -> DataFrame:
+    """Total sales of every product that ``lines`` hold."""
+    rev = revenue_by_product(lines, star.product, (), ["product_name"])
+    return rev.select("product_id", "product_name", money(F.col("revenue")).alias("total_sales"))
+
+
 def q5_sigma_anomaly(star: Star, k: float = params.SIGMA) -> DataFrame:
     """Q5: products whose total sales lie beyond k sample deviations."""
-    rev = revenue_by_product(star.lines, star.product, (), ["product_name"])
-    totals = rev.select("product_id", "product_name",
-                        money(F.col("revenue")).alias("total_sales"))
-    return sigma_outliers(totals, "total_sales", k).orderBy("product_id")
+    return sigma_outliers(product_totals(star.lines, star), "total_sales", k).orderBy("product_id")
 
 
 def _store_product_revenue(star: Star, stores: DataFrame, group_cols=(),
@@ -210,6 +213,11 @@ def q9_from_pairs(pairs: DataFrame, star: Star, year: int = params.YEAR,
     agg = pairs.where(F.col("year") == year).groupBy("customer_id").agg(
         F.count(F.lit(1)).cast("bigint").alias("unique_products"),
         money(F.sum("revenue")).alias("total_sales"))
+    return q9_ranked(agg, star, k)
+
+
+def q9_ranked(agg: DataFrame, star: Star, k: int = params.TOP_K) -> DataFrame:
+    """The ``k`` customers of ``agg`` (customer_id, unique_products, total_sales) with the highest sales."""
     best = top_k(agg, [F.col("total_sales").desc(), F.col("customer_id")], k)
     names = star.customer.select("customer_id", "customer_name")
     return (best.join(names, "customer_id")
@@ -222,17 +230,11 @@ def q9_line(star: Star, year: int = params.YEAR, k: int = params.TOP_K) -> DataF
     return q9_from_pairs(customer_product_year(star.lines_in_year(year), star), star, year, k)
 
 
-def _entity_rows(df: DataFrame, id_col: str, tag: str, period: list[str],
-                 unique: bool = False) -> DataFrame:
-    """Rows of one Q10 branch.  ``unique``: ``df`` already holds one row per
-    (id, period), so no aggregate (and no shuffle) is needed."""
-    if unique:
-        totals = df.select(id_col, *period, money(F.col("revenue")).alias("monthly_sales"))
-    else:
-        totals = df.groupBy(id_col, *period).agg(money(F.sum("revenue")).alias("monthly_sales"))
-    return totals.select(
+def _entity_rows(df: DataFrame, id_col: str, tag: str, period: list[str]) -> DataFrame:
+    """Rows of one Q10 branch; ``df`` holds one row per (id, period)."""
+    return df.select(
         F.col(id_col).cast("bigint").alias("id"), F.lit(tag).alias("entity_type"),
-        F.col(id_col).cast("bigint").alias("entity_id"), *period, "monthly_sales")
+        F.col(id_col).cast("bigint").alias("entity_id"), *period, money(F.col("revenue")).alias("monthly_sales"))
 
 
 def entity_month(star: Star, lines: DataFrame, grain: str,
@@ -243,19 +245,27 @@ def entity_month(star: Star, lines: DataFrame, grain: str,
     separates the branches and each branch is unique on its group key.
     """
     period = _period(by_year)
+    if grain == "line":
+        # lines are read once: each meets its product's price and store, and one aggregate
+        # (map-side first) gives the groups of both branches
+        from .fact import product_lookup
+        priced = (lines.select("product_id", "customer_id", "qty", *period)
+                  .join(product_lookup(star).drop("known"), "product_id"))
+        store = F.grouping("customer_id") == 1
+        cells = (priced.groupingSets([["store_id", *period], ["customer_id", *period]],
+                                     "store_id", "customer_id", *period)
+                 .agg(money(F.sum(F.col("qty") * F.col("price"))).alias("monthly_sales"), store.alias("store")))
+        ident = F.when(F.col("store"), F.col("store_id")).otherwise(F.col("customer_id")).cast("bigint")
+        return (cells.where("NOT store OR store_id IS NOT NULL")
+                .select(ident.alias("id"), F.when(F.col("store"), "Store").otherwise("Customer").alias("entity_type"),
+                        ident.alias("entity_id"), *period, "monthly_sales"))
+    # a compat store and a compat customer each map to exactly one product,
+    # so revenue per (product, period) is already one row per (id, period)
     rev = revenue_by_product(lines, star.product, period)
-    if grain == "compat":
-        # a compat store and a compat customer each map to exactly one product,
-        # so revenue per (product, period) is already one row per (id, period)
-        stores = rev.join(star.store_dim.select("store_id", "product_id"), "product_id")
-        custs = rev.join(star.customer_dim.select("customer_id", "product_id"), "product_id")
-        unique = True
-    else:
-        stores = rev.join(star.product_store.select("store_id", "product_id"), "product_id")
-        custs = revenue_by_product(lines, star.product, ["customer_id", *period])
-        unique = False
-    return (_entity_rows(stores, "store_id", "Store", period, unique)
-            .unionByName(_entity_rows(custs, "customer_id", "Customer", period, unique)))
+    stores = rev.join(star.store_dim.select("store_id", "product_id"), "product_id")
+    custs = rev.join(star.customer_dim.select("customer_id", "product_id"), "product_id")
+    return (_entity_rows(stores, "store_id", "Store", period)
+            .unionByName(_entity_rows(custs, "customer_id", "Customer", period)))
 
 
 def q10_entity_month_mv_compat(star: Star, by_year: bool = False) -> DataFrame:

@@ -6,13 +6,18 @@ analytic queries read them), done with Spark writers:
 * ``time_dim`` (the order-line table) is written partitioned by ``year`` and
   sorted by ``product_id`` inside each file, so a year filter is partition
   pruning and product lookups can skip row groups by min/max;
-* dimensions are written as they are;
+* a dimension is a first-wins log (``aggregates.FirstWinsTable``): the load writes its
+  winners as the base version, streams add rows that can still win, and reading takes
+  the first row per key.  Without streams that is a plain scan of the base;
 * ``sales_fact`` (line grain) is written partitioned by ``year``; lines that make
-  no fact row are in ``fact_rejects`` with the reason.
+  no fact row are in ``fact_rejects`` with the reason.  A line whose product comes
+  later is written to ``fact_late`` then: it is read as a fact row and no longer as a
+  reject.
 
-Each load writes a version folder of its own and then switches a pointer.
-Streams (``streaming.warehouse``) add lines, facts and customers to the current
-version, each batch in partitions of its own.
+Each load writes a version folder of its own and then names it in the warehouse's
+journal.  Streams (``streaming.warehouse``) add to one version, each batch in
+partitions of its own, and keep their checkpoints in it, so that a new version is
+filled from the landed files anew.
 
 ``WarehouseStar`` offers the same views as ``Star``, so every query in
 ``plans.queries`` runs unchanged over either.
@@ -29,28 +34,89 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators.dedup import first_wins_by_id
-from ..sources import pointer
+from ..sources.journal import Journal
+from ..sources.paths import holds_batches
 from ..sources.star import Star, year_range
+from ..streaming.claims import reserve_ids
 from ..streaming.runner import batch_partition_write
+from .aggregates import FirstWinsTable
 from .fact import fact_rejects_line, fact_rows_line
 
 TIME_COLS = tuple(S.TIME_DIM.fieldNames())
 #: Tables that streams add to, and the stream name of a load.
 GROWING = {"time_dim": S.TIME_DIM, "sales_fact": S.SALES_FACT, "fact_rejects": S.FACT_REJECTS,
-           "rejects": S.REJECTS, "customer": S.CUSTOMER, "customer_dim": S.CUSTOMER_DIM}
+           "fact_late": S.SALES_FACT, "rejects": S.REJECTS, "load_audit": S.LOAD_AUDIT, "landed": S.LANDED,
+           "violations": S.VIOLATIONS}
 LOAD = "load"
 
+#: Dimensions: stored columns, key, values and the order in which the first row wins.
+DIMENSIONS = {
+    "supplier": (S.SUPPLIER_LOG, "supplier_id", ["supplier_name"], ["row_ord"]),
+    "product": (S.PRODUCT_LOG, "product_id", ["product_name", "supplier_id", "price", "store_id", "store_name"],
+                ["row_ord"]),
+    "store": (S.STORE_LOG, "store_id", ["store_name", "product_id"], ["row_ord"]),
+    "customer": (S.CUSTOMER_LOG, "customer_id", ["customer_name", "gender", "product_id", "bought"],
+                 ["undated", "order_date", "order_id", "product_id", "qty", "customer_name", "gender"]),
+}
+#: Tables that are read from a dimension: its name, the columns and the rows.
+VIEWS = {
+    "supplier_dim": ("supplier", S.SUPPLIER_DIM, None),
+    "product_dim": ("product", S.PRODUCT_DIM, None),
+    "product_store": ("product", S.PRODUCT_STORE, "store_id IS NOT NULL"),
+    "store_dim": ("store", S.STORE_DIM, None),
+    "customer_dim": ("customer", S.CUSTOMER_DIM, "bought"),
+    "customer": ("customer", S.CUSTOMER, None),
+}
+#: Batches of a stream after which a dimension's log is folded, and journal entries kept.
+FOLD_EVERY, KEEP = 20, 2
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """Folder of the warehouse's newest version; ``root`` itself before the first one."""
+    entry = Journal(spark, f"{root}/_versions").last()
+    return entry["path"] if entry else root
+
+
+def dimension(spark: SparkSession, base: str, name: str) -> FirstWinsTable:
+    """The first-wins log of a dimension in one version."""
+    schema, key, values, order = DIMENSIONS[name]
+    return FirstWinsTable(spark, f"{base}/{name}", [key], values, FOLD_EVERY, KEEP, schema=schema, order=order)
+
 
 def read_batches(spark: SparkSession, base: str, name: str) -> DataFrame:
     """A growing table with its stream and batch; it may have no file yet."""
-    return spark.read.schema(S.by_batch(GROWING[name])).parquet(f"{base}/{name}")
+    schema = S.by_batch(GROWING[name])
+    if not holds_batches(spark, f"{base}/{name}"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{base}/{name}")
+
+
+def late_lines(spark: SparkSession, base: str) -> DataFrame | None:
+    """Fact rows of lines whose product came after them, one per line; None without any."""
+    if not holds_batches(spark, f"{base}/fact_late"):
+        return None
+    # a replayed batch may have found the product itself, and two batches that run at the
+    # same time may both have found it: a line counts once, and only while it is a reject
+    rejects = read_batches(spark, base, "fact_rejects").select("time_id")
+    return (read_batches(spark, base, "fact_late").drop("stream", "batch_id")
+            .join(rejects, "time_id", "left_semi").dropDuplicates(["time_id"]))
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A table without the columns that only lay out its files."""
-    if name in GROWING:
-        return read_batches(spark, base, name).drop("stream", "batch_id")
-    return spark.read.parquet(f"{base}/{name}")
+    """A table as the queries see it, without the columns that only lay out its files."""
+    if name in VIEWS:
+        source, schema, rows = VIEWS[name]
+        df = dimension(spark, base, source).read()
+        if "segment" in schema.fieldNames():
+            df = df.withColumnRenamed("gender", "segment")
+        return S.conform(df.where(rows) if rows else df, schema)
+    if name not in GROWING:
+        return spark.read.parquet(f"{base}/{name}")
+    df = read_batches(spark, base, name).drop("stream", "batch_id")
+    late = late_lines(spark, base) if name in ("sales_fact", "fact_rejects") else None
+    if late is None:
+        return df
+    return df.unionByName(late) if name == "sales_fact" else df.join(late.select("time_id"), "time_id", "left_anti")
 
 
 class VersionWriter:
@@ -76,6 +142,18 @@ class VersionWriter:
             df.write.mode("overwrite").parquet(f"{self.folder}/{name}")
         self.counts[name] = obs.get["rows"]
 
+    def write_dimension(self, name: str, df: DataFrame) -> None:
+        """Write the winners of a dimension as its base version; a column of what they won
+        by that ``df`` lacks is NULL, which comes before everything that streams bring."""
+        schema = DIMENSIONS[name][0]
+        obs = Observation(f"{name}_dim")
+        # a dimension holds the rows that its table shows; customers without a line are no members of theirs
+        shown = F.count_if("bought") if name == "customer" else F.count(F.lit(1))
+        df = df.withColumns({f.name: F.lit(None) for f in schema if f.name not in df.columns})
+        dimension(self.spark, self.folder, name).refresh_full(
+            S.conform(df, schema).observe(obs, shown.alias("rows")), {})
+        self.counts[f"{name}_dim"] = obs.get["rows"]
+
     def intake(self, name: str, rows: DataFrame, ok: Column) -> DataFrame:
         """The rows that can stand in table ``name``; all and the unusable ones are
         counted when the table is written."""
@@ -89,8 +167,7 @@ class VersionWriter:
         rows = [(name, seen.get["attempted"], self.counts[f"{name}_dim"], seen.get["rejected"])
                 for name, seen in self.intakes.items()] + more
         self.write("load_audit", self.spark.createDataFrame(
-            [(*r, r[1] - r[2] - r[3]) for r in rows],
-            "table_name string, attempted long, loaded long, rejected long, repeated long").coalesce(1))
+            [(*r, r[1] - r[2] - r[3]) for r in rows], S.LOAD_AUDIT).coalesce(1))
 
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
@@ -102,10 +179,10 @@ class VersionWriter:
         self.write("fact_rejects", fact_rejects_line(star))
 
     def publish(self) -> None:
-        """Note the largest line id, from which streams go on, and switch to this version."""
-        last = self.read("time_dim").agg(F.coalesce(F.max("time_id"), F.lit(0)).alias("max_time_id"))
-        batch_partition_write(last, f"{self.folder}/hwm", 0, stream=LOAD)
-        pointer.switch(self.spark, f"{self.root}/_current", self.folder)
+        """Claim the ids of the loaded lines, from which streams go on, and switch to this version."""
+        last = self.read("time_dim").agg(F.coalesce(F.max("time_id"), F.lit(0))).first()[0]
+        reserve_ids(self.spark, f"{self.folder}/ids", LOAD, 0, last)
+        Journal(self.spark, f"{self.root}/_versions").append(lambda _: {"path": self.folder})
 
 
 def load_warehouse(star: Star, root: str) -> dict[str, int]:
@@ -117,16 +194,16 @@ def load_warehouse(star: Star, root: str) -> dict[str, int]:
     # writes into one or two year folders without another shuffle, and no
     # product, however hot, lands in a single task
     out.write("time_dim", S.conform(star.time_dim, S.TIME_DIM), "year", "product_id")
-    out.write("product_dim", S.conform(star.product, S.PRODUCT_DIM))
-    out.write("supplier_dim", S.conform(star.supplier, S.SUPPLIER_DIM))
-    out.write("product_store", S.conform(star.product_store, S.PRODUCT_STORE))
-    out.write("store_dim", S.conform(star.store_dim, S.STORE_DIM))
-    out.write("customer", S.conform(star.customer, S.CUSTOMER))
+    out.write_dimension("product", star.product.join(star.product_store, "product_id", "left"))
+    out.write_dimension("supplier", star.supplier)
+    out.write_dimension("store", star.store_dim)
     # first line of a customer = lowest time id: the dense key already encodes
     # the total order, so the stored lines give the compat dimension by a hash
     # aggregate instead of a struct-ordered one over the raw lines
     firsts = first_wins_by_id(out.read("time_dim"), ["customer_id"], "time_id", ["product_id"])
-    out.write("customer_dim", S.conform(firsts.join(star.customer, "customer_id"), S.CUSTOMER_DIM))
+    out.write_dimension("customer", star.customer.withColumnRenamed("segment", "gender").join(
+        firsts.withColumn("bought", F.lit(True)), "customer_id", "left")
+        .withColumn("bought", F.coalesce("bought", F.lit(False))))
     out.write_fact()
     out.publish()
     return out.counts
@@ -141,8 +218,7 @@ class WarehouseStar:
 
     def __post_init__(self):
         if self.base is None:
-            row = pointer.current(self.spark, f"{self.root}/_current")
-            self.base = row.path if row else self.root
+            self.base = current_version(self.spark, self.root)
 
     def _t(self, name: str) -> DataFrame:
         return read_table(self.spark, self.base, name)
@@ -169,6 +245,12 @@ class WarehouseStar:
     def product(self) -> DataFrame:
         return self._t("product_dim")
 
+    @property
+    def priced_products(self) -> DataFrame:
+        """Price and store of every product, from one scan of the stored dimension."""
+        return dimension(self.spark, self.base, "product").read().select(
+            "product_id", "price", F.lit(True).alias("known"), "store_id")
+
     @property
     def supplier(self) -> DataFrame:
         return self._t("supplier_dim")

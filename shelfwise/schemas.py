@@ -86,9 +86,51 @@ FACT_REJECTS = T.StructType([
     T.StructField("product_id", T.LongType()),
     T.StructField("customer_id", T.LongType()),
     T.StructField("qty", T.IntegerType()),
+    T.StructField("year", T.IntegerType()),
     T.StructField("reason", T.StringType()),
 ])
 
+# place of a row of master data: file, start of the read block, place in the block
+ROW_ORD = T.StructType([
+    T.StructField("file", T.StringType()),
+    T.StructField("block", T.LongType()),
+    T.StructField("place", T.LongType()),
+])
+
+# dimensions as a warehouse stores them: the winning row of each key, with what it won by
+SUPPLIER_LOG = T.StructType([*SUPPLIER_DIM, T.StructField("row_ord", ROW_ORD)])
+PRODUCT_LOG = T.StructType([
+    *PRODUCT_DIM, *PRODUCT_STORE.fields[1:], T.StructField("row_ord", ROW_ORD)])
+STORE_LOG = T.StructType([*STORE_DIM, T.StructField("row_ord", ROW_ORD)])
+CUSTOMER_LOG = T.StructType([
+    T.StructField("customer_id", T.LongType(), False),
+    T.StructField("customer_name", T.StringType()),
+    T.StructField("gender", T.StringType()),
+    T.StructField("product_id", T.LongType()),
+    T.StructField("bought", T.BooleanType()),   # has a line of its own
+    T.StructField("undated", T.BooleanType()),
+    T.StructField("order_date", T.TimestampNTZType()),
+    T.StructField("order_id", T.LongType()),
+    T.StructField("qty", T.IntegerType()),
+])
+
+LOAD_AUDIT = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("attempted", T.LongType()),
+    T.StructField("loaded", T.LongType()),
+    T.StructField("rejected", T.LongType()),
+    T.StructField("repeated", T.LongType()),
+])
+
+# what the incremental checks of streamed lines have found
+VIOLATIONS = T.StructType([
+    T.StructField("constraint", T.StringType()),
+    T.StructField("key", T.StringType()),
+])
+
+# the files whose lines a version holds
+LANDED = T.StructType([T.StructField("file", T.StringType())])
+
 
 def by_batch(schema: T.StructType) -> T.StructType:
     """``schema`` and the columns that lay out a table by stream and batch."""

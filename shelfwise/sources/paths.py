@@ -23,5 +23,37 @@ def holds_data(spark: SparkSession, path: str) -> bool:
     return any(s.getPath().getName()[:1] not in ("_", ".") for s in fs.listStatus(p))
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def file_names(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files right below ``path``; none if there is no such folder."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return set()
+    return {s.getPath().getName() for s in fs.listStatus(p) if s.isFile()}
+
+
+def holds_batches(spark: SparkSession, path: str) -> bool:
+    """True if a table laid out in folders by partition has any."""
+    return any("=" in name for name in subfolders(spark, path))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library has written and no reader needs any more."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_parquet_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path) if exists(spark, path) and holds_data(spark, path) else None

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import params
 from ..functions import calendar_columns, parse_order_date, to_int
 from ..operators.surrogate import dense_key
 from ..plans.aggregates import AggregateTable, FirstWinsTable
@@ -27,9 +28,9 @@ from ..sources.raw import RAW_ORDER, raw_transactions
 from ..sources.staging import number_rows
 from ..sources.star import Star
 from .buffer import buffer_rows, buffered
+from .claims import reserve_ids
 from .progress import timed_sink
-from .runner import (StreamRun, batch_partition_write, before_batch, in_batch, run_ranges,
-                     run_staged)
+from .runner import StreamRun, batch_partition_write, in_batch, run_ranges, run_staged
 
 N_RANGES = 4
 
@@ -76,26 +77,19 @@ def key_and_store(good: DataFrame, rejects: DataFrame, order_cols, root: str, ba
                   stream: str, shape, lines: str = "lines", first: tuple[str, ...] = ()) -> DataFrame:
     """Append good lines with dense ids that continue from earlier batches, and rejects.
 
-    The id offset of a batch comes from a high-water-mark table with one row
-    per batch (its largest id), so finding it costs the same on the thousandth
-    batch as on the first; this batch and later ones of its stream do not count,
-    so a replayed batch gets its ids again.  Returns the lines as written."""
+    The batch claims its range of ids in the journal ``<root>/ids`` before it writes a
+    line, so ids are unique whatever streams share the table, and a replayed batch gets
+    its ids again (see ``claims.reserve_ids``).  Returns the lines as written."""
     spark = good.sparkSession
-    good_path, hwm_path = f"{root}/{lines}", f"{root}/hwm"
-    marks = _read_or_none(spark, hwm_path)
-    offset = 0
-    if marks is not None:
-        offset = (marks.where(before_batch(stream, batch_id))
-                  .agg(F.max("max_time_id")).first()[0]) or 0  # one number
-    keyed = dense_key(good, order_cols, "time_id", path=f"{root}/keys/{stream}/{batch_id}")
-    keyed = shape(keyed.withColumn("time_id", F.col("time_id") + F.lit(offset)))
+    good_path, keys_path = f"{root}/{lines}", f"{root}/keys/{stream}/{batch_id}"
+    keyed = dense_key(good, order_cols, "time_id", path=keys_path)
+    n = spark.read.parquet(keys_path).count()  # from the files' footers
+    before = reserve_ids(spark, f"{root}/ids", stream, batch_id, n) - 1
+    keyed = shape(keyed.withColumn("time_id", F.col("time_id") + F.lit(before)))
     batch_partition_write(keyed, good_path, batch_id, "product_id", stream, first)
     # with the schema at hand, as the first batch may hold no good line
     written = (spark.read.schema(by_batch(keyed.schema)).parquet(good_path)
                .where(in_batch(stream, batch_id)))
-    batch_partition_write(
-        written.agg(F.coalesce(F.max("time_id"), F.lit(offset).cast("long"))
-                    .alias("max_time_id")), hwm_path, batch_id, stream=stream)
     batch_partition_write(rejects, f"{root}/rejects", batch_id, stream=stream)
     return written.drop("stream", "batch_id")
 
@@ -192,7 +186,7 @@ DIM_VALUES = ["customer_name", "gender", "product_id"]
 
 def dim_table(spark, root: str, compact_every: int | None = None) -> FirstWinsTable:
     return FirstWinsTable(spark, f"{root}/customer_dim", ["customer_id"], DIM_VALUES,
-                          compact_every, RAW_ORDER)
+                          compact_every, order=RAW_ORDER)
 
 
 def dim_sink(root: str, name: str = "main", compact_every: int | None = None):
@@ -259,6 +253,51 @@ def stream_q9_line(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame
     return q9_from_pairs(table.read(), star)
 
 
+def stream_q9_sketch(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
+    """Q9 from a table of one row per (customer, year): sales, and a sketch of the products.
+
+    The exact form (``stream_q9_line``) stores a row per (customer, product, year); this one's size does
+    not depend on how many products a customer buys.  Counts up to some hundreds come out
+    exact, larger ones within the sketch's error (``SketchTable.error``)."""
+    from ..plans.measures import SketchTable
+    from ..plans.queries import customer_product_year, q9_ranked
+    spark = star.spark
+    table = SketchTable(spark, f"{root}/customer_year", ["customer_id", "year"], ["revenue"], compact_every=2)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        table.apply_batch(table.sketched(customer_product_year(batch, star.refreshed()), "product_id"), batch_id)
+
+    run_ranges(spark, staged_time(star), "time_id", n_ranges, root, sink)
+    totals = table.estimates("unique_products").where(F.col("year") == params.YEAR)
+    return q9_ranked(totals.select("customer_id", "unique_products", F.col("revenue").alias("total_sales")), star)
+
+
+def stream_q5_sigma(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
+    """Q5 refreshed batch by batch: product totals, and the moments of all totals kept beside them."""
+    from ..plans.measures import MomentTable
+    from ..plans.queries import product_totals
+    spark = star.spark
+    table = MomentTable(spark, f"{root}/product_totals", ["product_id", "product_name"], "total_sales")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        table.apply_batch(product_totals(batch, star.refreshed()), batch_id)
+
+    run_ranges(spark, staged_time(star), "time_id", n_ranges, root, sink)
+    return table.outliers(params.SIGMA).orderBy("product_id")
+
+
+def stream_controlled(star: Star, root: str, n_files: int = 24) -> DataFrame:
+    """The fact from a stream whose batch size follows its rates: all lines, whatever sizes came out."""
+    from .control import RateControl, file_source, run_controlled
+    from .runner import stage_ranges
+    staged = staged_time(star)
+    stage_ranges(star.spark, staged, "time_id", n_files // N_RANGES, f"{root}/source")
+    run_controlled(star.spark, file_source(star.spark, staged.schema, f"{root}/source"),
+                   enrich_sink(star, f"{root}/fact"), f"{root}/checkpoint", f"{root}/rates",
+                   RateControl(seconds=5.0, most=n_files, limit=4))
+    return star.spark.read.parquet(f"{root}/fact").drop("stream", "batch_id")
+
+
 # ---- K5 / C7: keyed buffer of the outer relation ---------------------------
 
 def stream_rows_by_key(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
@@ -316,23 +355,16 @@ def csv_ingest_sink(root: str, stream: str = "main"):
     """foreachBatch body for transaction CSV files: type and check every line
     (all columns of the batch are materialised, so malformed-line detection
     sees the whole line), append good lines with dense ids that continue from
-    earlier batches (per-batch high-water marks), keep rejects with all their
-    text and a reason."""
+    earlier batches, keep rejects with all their text and a reason."""
     from .. import schemas as SC
-    from ..plans.load import TXN_ORDER, rename_transactions, type_transactions
+    from ..plans.load import TXN_ORDER, line_columns, rename_transactions, type_transactions
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         typed = type_transactions(rename_transactions(batch)).persist()
         try:
-            cal = calendar_columns("order_date")
-            good = typed.where(F.col("reason").isNull()).select(
-                "order_id", F.lit(None).cast("int").alias("line_number"), "order_date",
-                *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month",
-                                            "day_of_week")],
-                "qty", "product_id", "customer_id", "customer_name", "gender")
             bad = typed.where(F.col("reason").isNotNull()).select(
                 "order_id", "order_date_text", "text", "reason")
-            key_and_store(good, bad, TXN_ORDER, root, batch_id, stream,
+            key_and_store(line_columns(typed), bad, TXN_ORDER, root, batch_id, stream,
                           lambda keyed: SC.conform(keyed, SC.TIME_DIM))
         finally:
             typed.unpersist()
@@ -340,17 +372,21 @@ def csv_ingest_sink(root: str, stream: str = "main"):
 
 
 def ingest_csv_stream(spark, landing: str, root: str, files_per_batch: int = 1,
-                      stream: str = "main", sink=None):
+                      stream: str = "main", sink=None, columns=None, multiline: bool = False):
     """Transaction CSV files landing in ``landing`` (header, the reference's
     column names in any order, the same in all files), taken ``files_per_batch``
     files per micro-batch, until the folder is drained (availableNow).  Each
-    ``stream`` name has a checkpoint of its own under ``root``."""
+    ``stream`` name has a checkpoint of its own under ``root``.  A batch also has the columns
+    ``file`` and ``block`` (where a row was read); ``columns``: other header names."""
     from ..schemas import TRANSACTION_CSV_COLUMNS
     from ..sources.csv import CORRUPT, CSV_OPTIONS, header_schema
-    source = (spark.readStream.schema(header_schema(spark, landing, TRANSACTION_CSV_COLUMNS))
-              .options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
+    schema = header_schema(spark, landing, columns or TRANSACTION_CSV_COLUMNS, multiline)
+    source = (spark.readStream.schema(schema)
+              .options(**CSV_OPTIONS).option("mode", "PERMISSIVE").option("multiLine", multiline)
               .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("maxFilesPerTrigger", files_per_batch).csv(landing))
+              .option("maxFilesPerTrigger", files_per_batch).csv(landing)
+              .select("*", F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_block_start").alias("block")))
     q = (source.writeStream.foreachBatch(sink or csv_ingest_sink(root, stream))
          .option("checkpointLocation", f"{root}/checkpoint/{stream}")
          .trigger(availableNow=True).start())

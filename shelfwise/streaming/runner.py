@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.paths import file_names, remove_folder, subfolders
 from ..sources.staging import range_bounds, write_range
 
 
@@ -26,7 +27,9 @@ class StreamRun:
 
     @property
     def batches(self) -> int:
-        return sum(1 for p in self.progress if _get(p, "numInputRows", 0) > 0)
+        """Batches that held rows.  Reports of a long run are trimmed to its latest ones, but a file
+        source counts its batches from 0 and makes none without files."""
+        return 1 + max((b for b, *_ in progress_rows(self.progress)), default=-1)
 
 
 def _get(p, name, default=None):
@@ -123,6 +126,16 @@ def run_staged(spark: SparkSession, staged: DataFrame, key: str, n_batches: int,
     return run
 
 
+def _batch_folders(spark: SparkSession, path: str, stream: str, batch_id: int, depth: int) -> dict[str, set[str]]:
+    """Folders of one batch of a stream below ``path`` and the files in each; ``depth``: partition
+    columns above the stream."""
+    above = [path]
+    for _ in range(depth):
+        above = [f"{p}/{name}" for p in above for name in subfolders(spark, p) if "=" in name]
+    own = f"stream={stream}/batch_id={int(batch_id)}"
+    return {f"{p}/{own}": files for p in above if (files := file_names(spark, f"{p}/{own}"))}
+
+
 def batch_partition_write(df: DataFrame, path: str, batch_id: int,
                           sort_by: str | None = None, stream: str = "main",
                           first: tuple[str, ...] = ()) -> None:
@@ -130,13 +143,19 @@ def batch_partition_write(df: DataFrame, path: str, batch_id: int,
     ``first``: partition columns above the stream and the batch.
 
     Batch ids count from 0 in every checkpoint, so streams that write to one
-    table need names of their own."""
+    table need names of their own.  A batch that is written again with fewer rows, or
+    none, leaves nothing of what it wrote before."""
     from pyspark.sql import functions as F
+    spark = df.sparkSession
+    before = _batch_folders(spark, path, stream, batch_id, len(first))
     out = df.withColumns({"stream": F.lit(stream), "batch_id": F.lit(int(batch_id)).cast("long")})
     if sort_by:
         out = out.sortWithinPartitions(*first, "stream", "batch_id", sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*first, "stream", "batch_id").parquet(path))
+    for folder, files in before.items():
+        if file_names(spark, folder) & files:  # no row came here this time, so it was not replaced
+            remove_folder(spark, folder)
 
 
 def in_batch(stream: str, batch_id: int):
