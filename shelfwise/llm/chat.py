@@ -10,10 +10,8 @@ no text can pass for a control string and the output can be parsed back.  The
 rendered text is encoded once with offsets, and each assistant text's character
 span is intersected with the sorted token spans by binary search.
 
-Turns stream through a task in order and a long conversation is cut into parts
-at turn boundaries (every ``PART_TURNS`` turn numbers, or ``PART_CHARS``
-characters), so no task ever holds a whole hot conversation and the parts of
-one are dealt to many tasks.
+A conversation is one unit, however long: it is rendered, encoded and masked whole, in one
+task, whose memory and time grow with it.
 """
 
 from __future__ import annotations
@@ -26,11 +24,9 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import map_rows
 
-PART_TURNS, PART_CHARS = 256, 1 << 20
 _BODY = r"([^\\<>]*(?:\\.[^\\<>]*)*)"
 _TURN = re.compile(rf"<turn {_BODY}>\n{_BODY}</turn>\n", re.S)
 
@@ -78,96 +74,105 @@ def _tokenizer(path: str):
     return t
 
 
+def _byte_signs() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be
+    seen, else the next free one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in seen]
+    return {**{chr(b): b for b in seen}, **{chr(256 + k): b for k, b in enumerate(rest)}}
+
+
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of every token of a byte-level tokenizer, by id; special tokens are their text."""
+    t, signs = _tokenizer(path), _byte_signs()
+    out = [b""] * t.get_vocab_size()
+    for token, i in t.get_vocab().items():
+        out[i] = bytes(signs[c] for c in token) if all(c in signs for c in token) else token.encode("utf-8")
+    return out
+
+
 def align(spans: list[tuple[int, int]], offsets: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(first token, past last token, start, end) of each span.
+    """(first token, past last token, lead, trail) of each span.
 
-    The tokens are those that share a character with the span; start and end
-    are what they cover of it.
+    The tokens are those that share a character with the span; ``lead`` and ``trail`` are the
+    characters of theirs before and behind it.
     """
     out = []
     for a, b in spans:
         lo = int(np.searchsorted(offsets[:, 1], a, "right"))
         hi = max(lo, int(np.searchsorted(offsets[:, 0], b, "left")))
-        covered = (max(a, int(offsets[lo, 0])), min(b, int(offsets[hi - 1, 1]))) if lo < hi else (a, a)
-        out.append((lo, hi, *covered))
+        around = (max(0, a - int(offsets[lo, 0])), max(0, int(offsets[hi - 1, 1]) - b)) if lo < hi else (0, 0)
+        out.append((lo, hi, *around))
     return out
 
 
 def formatted(conversations: DataFrame, tokenizer: str) -> DataFrame:
-    """Parts of formatted conversations, in order of (part, sub).
+    """Formatted conversations, one row each.
 
-    conv_id, part, sub, n_turns, text, ids, and per assistant turn loss_first,
-    loss_last (tokens) and loss_start, loss_end (characters).  Turns are in
+    conv_id, n_turns, text, ids, and per assistant turn loss_first, loss_last (tokens) and
+    loss_lead, loss_trail (characters of these tokens outside of the turn's text).  Turns are in
     order of turn (NULLs first), equal ones by role and text; NULL roles and
     texts are empty.  Rows without a conv_id make up one conversation.
     """
     def run(batches: Iterator[list]) -> Iterator[list[tuple]]:
-        tok, key, sub, turns, size = _tokenizer(tokenizer), None, 0, [], 0
+        tok, key, turns = _tokenizer(tokenizer), None, []
 
         def flush() -> tuple:
             text, spans = render(turns)
             e = tok.encode(text, add_special_tokens=False)
             loss = align(spans, np.array(e.offsets, dtype=np.int64).reshape(-1, 2))
-            lo, hi, a, b = ([x[k] for x in loss] for k in range(4))
-            return (*key, sub, len(turns), text, e.ids, lo, hi, a, b)
+            return (key, len(turns), text, e.ids, *([x[k] for x in loss] for k in range(4)))
 
-        for ids, parts, roles, texts in batches:
+        for ids, roles, texts in batches:
             rows = []
-            for conv, part, role, text in zip(ids, parts, roles, texts):
-                if turns and ((conv, part) != key or size > PART_CHARS):
+            for conv, role, text in zip(ids, roles, texts):
+                if turns and conv != key:
                     rows.append(flush())
-                    sub, turns, size = (sub + 1 if (conv, part) == key else 0), [], 0
-                key = (conv, part)
+                    turns = []
+                key = conv
                 turns.append((role or "", text or ""))
-                size += len(text or "")
             yield rows
         if turns:
             yield [flush()]
 
-    part = F.coalesce(F.floor(F.col("turn") / PART_TURNS), F.lit(-(1 << 62)))
-    dealt = (conversations.select("conv_id", part.cast("long").alias("part"), "turn", "role", "text")
-             .repartition("conv_id", "part")
-             .sortWithinPartitions("conv_id", "part", "turn", "role", "text"))
-    return map_rows(dealt.select("conv_id", "part", "role", "text"), run,
-                    "conv_id long, part long, sub int, n_turns int, text string, ids array<int>, "
-                    "loss_first array<int>, loss_last array<int>, loss_start array<long>, "
-                    "loss_end array<long>")
+    dealt = (conversations.select("conv_id", "turn", "role", "text").repartition("conv_id")
+             .sortWithinPartitions("conv_id", "turn", "role", "text"))
+    return map_rows(dealt.select("conv_id", "role", "text"), run,
+                    "conv_id long, n_turns int, text string, ids array<int>, loss_first array<int>, "
+                    "loss_last array<int>, loss_lead array<int>, loss_trail array<int>")
 
 
-def conversation_digests(parts: DataFrame) -> DataFrame:
-    """What the formatted parts say when they are read back, one row per conversation.
+def masked_texts(ids: list[int], first: list[int], last: list[int], lead: list[int], trail: list[int],
+                 pieces: list[bytes]) -> Iterator[str]:
+    """The texts under a loss mask, read from the tokens alone."""
+    for lo, hi, a, b in zip(first, last, lead, trail):
+        covered = b"".join(pieces[i] for i in ids[lo:hi]).decode("utf-8")
+        yield unescape(covered[a:len(covered) - b])
 
-    conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
-    The digests are running ones, so a conversation is never held as a whole.
-    """
-    def run(batches: Iterator[list]) -> Iterator[list[tuple]]:
-        key, seen = None, None
 
-        def row() -> tuple:
-            return (key, seen["n"], seen["turns"].hexdigest(), seen["loss"],
-                    seen["masked"].hexdigest(), seen["chars"])
+def conversation_digests(conversations: DataFrame, tokenizer: str) -> DataFrame:
+    """What formatted conversations say when they are read back from their ids.
 
-        for ids, texts, starts, ends in batches:
+    conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.  The turns are
+    parsed from the decoded ids, and the text under the loss mask is that of the masked tokens.
+    """
+    def run(batches: Iterator[list]) -> Iterator[list[tuple]]:
+        pieces = token_bytes(tokenizer)
+        for conversation in batches:
             rows = []
-            for conv, text, a, b in zip(ids, texts, starts, ends):
-                if seen is None or conv != key:
-                    if seen is not None:
-                        rows.append(row())
-                    key, seen = conv, {"n": 0, "loss": 0, "chars": 0, "turns": hashlib.sha256(),
-                                       "masked": hashlib.sha256()}
-                for role, body in parse(text):
-                    seen["n"] += 1
-                    seen["turns"].update(f"{role}\n{body}\n".encode("utf-8", "replace"))
-                for x, y in zip(a, b):
-                    masked = unescape(text[x:y])
-                    seen["loss"] += len(masked)
-                    seen["masked"].update(masked.encode("utf-8", "replace"))
-                seen["chars"] += len(text)
+            for conv, ids, *mask in zip(*conversation):
+                text = b"".join(pieces[i] for i in ids).decode("utf-8")
+                said = parse(text)
+                turns, loss, chars = hashlib.sha256(), hashlib.sha256(), 0
+                for role, body in said:
+                    turns.update(f"{role}\n{body}\n".encode("utf-8"))
+                for masked in masked_texts(ids, *mask, pieces):
+                    chars += len(masked)
+                    loss.update(masked.encode("utf-8"))
+                rows.append((conv, len(said), turns.hexdigest(), chars, loss.hexdigest(), len(text)))
             yield rows
-        if seen is not None:
-            yield [row()]
 
-    dealt = parts.repartition("conv_id").sortWithinPartitions("conv_id", "part", "sub")
-    return map_rows(dealt.select("conv_id", "text", "loss_start", "loss_end"), run,
+    return map_rows(conversations.select("conv_id", "ids", "loss_first", "loss_last", "loss_lead", "loss_trail"), run,
                     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, "
                     "loss_sha256 string, formatted_chars long")

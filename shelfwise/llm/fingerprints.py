@@ -6,7 +6,9 @@ vectors are summed: ``EXACT`` lanes of uniform numbers modulo 2**64 for
 equality, and ``LIKE`` lanes modulo 2**32 for likeness, a sketch of signed counts
 of the paragraphs' overlapping windows of ``WINDOW`` bytes.  Sums do not depend on
 order, and a paragraph is inserted or deleted by adding or subtracting its vector,
-without the rest of the text.  A lane cannot wrap in a text under 2**31 bytes.
+without the rest of the text.  A lane cannot wrap in a text under 2**31 bytes.  A
+fingerprint is the lanes themselves, as bytes or hex digits, so that it can be edited and
+compared later.
 
 A window falls into one lane with one sign, so the inner product of two likeness
 vectors estimates the windows they share: ``2 a.b / (a.a + b.b)`` is 1 for equal
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, shard_bounds, shard_of
 
-EXACT, LIKE, MOST_WORDS = 4, 512, 24
+EXACT, LIKE, MOST_WORDS = 4, 256, 24
 #: About three words; and lanes' bound in medians of their sizes.
 WINDOW, MOST_PULL = 16, 2.0
 #: Before each paragraph, so that its first bytes have windows too; not a byte of UTF-8.
@@ -90,7 +92,7 @@ def multiset_hash(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
             exact += z.sum(axis=0, dtype=np.uint64)
         w = _windows(raw)
         sign = (w & np.uint64(1)).astype(np.float64) * 2 - 1
-        like += np.bincount((w >> np.uint64(55)).astype(np.int64), sign, LIKE).astype(np.int64)
+        like += np.bincount((w >> np.uint64(64 - LIKE.bit_length() + 1)).astype(np.int64), sign, LIKE).astype(np.int64)
     return exact, like.astype(np.uint32)
 
 
@@ -115,6 +117,18 @@ def to_bytes(h: tuple) -> bytes:
     return h[0].astype("<u8").tobytes() + h[1].astype("<u4").tobytes()
 
 
+def from_bytes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return (np.frombuffer(raw, "<u8", EXACT).astype(np.uint64),
+            np.frombuffer(raw, "<u4", LIKE, 8 * EXACT).astype(np.uint32))
+
+
+def replaced(h: tuple, before: list[str], after: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of the paragraphs ``after`` from ``h``, that of ``before``: what differs behind
+    their common beginning is deleted and inserted."""
+    k = next((k for k, (x, y) in enumerate(zip(before, after)) if x != y), min(len(before), len(after)))
+    return add(add(h, multiset_hash(before[k:]), -1), multiset_hash(after[k:]))
+
+
 def fingerprint_column(text):
     """Binary column: the lanes of whole texts (NULL: empty), EXACT then LIKE."""
     @F.pandas_udf("binary")
@@ -130,12 +144,13 @@ def edited(text: str, after: str) -> str:
     return text[:len(text) - k] + after[:k]
 
 
-def with_next(docs: DataFrame, per_row, fields: str, rows_per_shard: int = 128) -> DataFrame:
-    """Run ``per_row(doc_id, text, next_text)`` over all rows in ascending doc_id order.
+def with_next(docs: DataFrame, prepare, per_row, fields: str, rows_per_shard: int = 128) -> DataFrame:
+    """Run ``per_row(doc_id, own, next)`` over all rows in ascending doc_id order.
 
-    Rows are dealt to ranges of doc_id; the first row of each range also goes to
-    the range before it (the very first one to the last), so a task sees every
-    row's successor without a window over the table.  NULL doc_ids come first;
+    ``own`` and ``next`` are what ``prepare(text)`` has made of the row's text and of its
+    successor's, once for each row.  Rows are dealt to ranges of doc_id; the first row of each
+    range also goes to the range before it (the very first one to the last), so a task sees
+    every row's successor without a window over the table.  NULL doc_ids come first;
     rows of equal doc_id are ordered by text.  Only one row is held at a time.
     """
     ids = docs.select("doc_id")
@@ -152,13 +167,14 @@ def with_next(docs: DataFrame, per_row, fields: str, rows_per_shard: int = 128)
                          for k, s in zip(keys, shard_of(keys, bounds))], pa.list_(pa.int64()))
 
     def walk(batches: Iterator[list]) -> Iterator[list[tuple]]:
-        held = None  # (shard, doc_id, text): waits for its successor
+        held = None  # (shard, doc_id, own): waits for its successor
         for codes, docs, texts in batches:
             out = []
             for code, doc, text in zip(codes, docs, texts):
+                own = prepare(text or "")
                 if held is not None and held[0] == code >> 1:
-                    out.append(per_row(held[1], held[2], text or ""))
-                held = None if code & 1 else (code >> 1, doc, text or "")
+                    out.append(per_row(held[1], held[2], own))
+                held = None if code & 1 else (code >> 1, doc, own)
             yield out
 
     dealt = (docs.select("doc_id", "text").withColumn("code", F.explode(route("doc_id")))
@@ -171,16 +187,23 @@ def with_next(docs: DataFrame, per_row, fields: str, rows_per_shard: int = 128)
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Per row: fingerprints of the text and of its edited text, and likenesses.
 
-    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex digests
-    of the lanes), near_edited, near_next.  NULL texts are empty.
+    doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint (hex digits of the
+    lanes), near_edited, near_next.  A text is hashed once, for itself and as the next one of
+    the row before; the edited text's hash comes from it by deleting and inserting the
+    paragraphs that differ.  NULL texts are empty; rows that repeat a doc_id are
+    ordered by text and each is the next one of the row before it; they lie in one shard, which
+    one task walks.  Time and memory of a row grow with its text and the next one's.
     """
-    def per_row(doc, text, after):
+    def prepare(text: str) -> tuple:
+        pieces = paragraphs(text)
+        return text, pieces, multiset_hash(pieces)
+
+    def per_row(doc, own, following):
+        (text, pieces, h), (after, _, next_h) = own, following
         new = edited(text, after)
-        own, other, following = (multiset_hash(paragraphs(t)) for t in (text, new, after))
-        return (doc, len(text), hashlib.sha256(new.encode("utf-8", "replace")).hexdigest(),
-                hashlib.blake2b(to_bytes(own), digest_size=16).hexdigest(),
-                hashlib.blake2b(to_bytes(other), digest_size=16).hexdigest(),
-                likeness(own[1], other[1]), likeness(own[1], following[1]))
+        other = replaced(h, pieces, paragraphs(new))
+        return (doc, len(text), hashlib.sha256(new.encode("utf-8", "replace")).hexdigest(), to_bytes(h).hex(),
+                to_bytes(other).hex(), likeness(h[1], other[1]), likeness(h[1], next_h[1]))
 
-    return with_next(docs, per_row, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+    return with_next(docs, prepare, per_row, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                      "edited_fingerprint string, near_edited double, near_next double")

@@ -39,7 +39,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.section_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return token_counts.field_tokens(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"),
+                                     ("lang", "source", "text"))
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +51,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
-    return chat.conversation_digests(chat.formatted(rows.union(probe), tokenizer_path("byte_bpe_50k.json")))
+    path = tokenizer_path("byte_bpe_50k.json")
+    return chat.conversation_digests(chat.formatted(rows.union(probe), path), path)
 
 
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

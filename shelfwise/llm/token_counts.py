@@ -1,6 +1,7 @@
 """Token counts by offset-mapped attribution.
 
-A whole document is encoded once.  Its tokens' character spans are joined to
+A document is its fields joined by line ends, and each field is cut into sections, by default
+its paragraphs.  The whole document is encoded once.  Its tokens' character spans are joined to
 the sections' spans by binary search on the section starts; a token inside one
 section counts there, and one that crosses a boundary is allocated by a rule:
 
@@ -12,16 +13,24 @@ section counts there, and one that crosses a boundary is allocated by a rule:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import map_rows
 from .tokenizing import encoder
 
 RULES = ("majority", "start", "split")
 SECTION_CHARS = 1000
+_LINE = re.compile(r"\n+(?=.)", re.S)
+
+
+def paragraphs(text: str) -> list[int]:
+    """Starts of a text's paragraphs: its lines; blank ones belong to the line before them."""
+    return [0, *(m.end() for m in _LINE.finditer(text))]
 
 
 def even_sections(text: str, size: int = SECTION_CHARS) -> list[int]:
@@ -49,28 +58,36 @@ def allocate(starts: np.ndarray, ends: np.ndarray, sections: np.ndarray,
     return tokens, np.bincount(first[across], minlength=len(sections))
 
 
-def section_tokens(docs: DataFrame, tokenizer: str, sections: Callable[[str], list[int]] = even_sections,
-                   rule: str = "majority") -> DataFrame:
-    """One row per section: doc_id, section, start, n_chars, n_tokens, n_crossing.
+def field_tokens(docs: DataFrame, tokenizer: str, fields: Sequence[str] = ("text",),
+                 sections: Callable[[str], list[int]] = paragraphs, rule: str = "majority") -> DataFrame:
+    """One row per section: doc_id, field, section, start, n_chars, n_tokens, n_crossing.
 
-    ``sections`` gives the ascending starts of a text's sections, the first one
-    0.  NULL texts are empty and have one section without tokens.  Every row of
-    ``docs`` is counted, repeated ones too.
+    ``sections`` gives the ascending starts of a field's sections, the first one 0; ``start`` is
+    a section's place in its field, and the line end behind a field belongs to its last section.
+    NULL fields are empty; an empty field has one section.  Every row of ``docs`` is
+    counted, repeated ones and those without an id too.  A document is encoded whole, in
+    one task, in time and memory that grow with it.
     """
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}")
 
     def count(batches: Iterator[list]) -> Iterator[list[tuple]]:
         enc = encoder(tokenizer)
-        for ids, texts in batches:
-            rows, texts = [], [t or "" for t in texts]
-            for doc, text, spans in zip(ids, texts, enc.token_spans(texts)):
-                begin = np.array(sections(text), dtype=np.int64)
-                tokens, crossing = allocate(*spans, begin, rule)
-                sizes = np.diff(np.append(begin, len(text)))
-                rows += [(doc, k, *x) for k, x in enumerate(zip(
-                    begin.tolist(), sizes.tolist(), tokens.tolist(), crossing.tolist()))]
+        for ids, *columns in batches:
+            values = [[v or "" for v in c] for c in columns]
+            rows, texts = [], list(map("\n".join, zip(*values)))
+            for doc, parts, spans in zip(ids, zip(*values), enc.token_spans(texts)):
+                at, begin, named = 0, [], []
+                for field, part in zip(fields, parts):
+                    starts = sections(part)
+                    begin += [at + s for s in starts]
+                    ends = [*starts[1:], len(part)]
+                    named += [(field, k, s, e - s) for k, (s, e) in enumerate(zip(starts, ends))]
+                    at += len(part) + 1
+                tokens, crossing = allocate(*spans, np.array(begin, dtype=np.int64), rule)
+                rows += [(doc, *n, t, c) for n, t, c in zip(named, tokens.tolist(), crossing.tolist())]
             yield rows
 
-    return map_rows(docs.select("doc_id", "text"), count, "doc_id long, section int, start long, "
-                    "n_chars long, n_tokens double, n_crossing long")
+    return map_rows(docs.select(F.col("doc_id").cast("long"), *[F.col(f).cast("string") for f in fields]), count,
+                    "doc_id long, field string, section int, start long, n_chars long, n_tokens double, "
+                    "n_crossing long")

@@ -3,7 +3,8 @@
 The ids always come from the tokenizers library.  For a tokenizer that lower-cases
 and whose pre-tokenizer drops white space, so that no token spans it (such as
 word_bpe_49k), encoding a text equals encoding its lower-cased words one after
-another.  So a group of texts is split in Arrow, its distinct words are looked up
+another.  Whether a tokenizer is one of these is looked up in what its normaliser and
+pre-tokenizer do; with any other one whole texts are encoded one by one.  For these, a group of texts is split in Arrow, its distinct words are looked up
 among those that the worker has met, and the tokens are gathered with numpy.  The
 store is bounded and is emptied when full; it changes the time taken, never the
 ids.
@@ -29,6 +30,27 @@ _STOPS = frozenset(bytes([c]) for c in b".,!?;:")
 _GROUP = 4_000_000
 
 
+def word_wise(tokenizer) -> bool:
+    """Whether a text's ids are those of its lower-cased words one after another.
+
+    The normaliser must lower-case and act within words, and the pre-tokenizer must drop
+    ASCII white space, so that no token holds or spans it."""
+    if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
+        return False
+
+    def pieces(text: str) -> list[str]:
+        return [p for p, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(text))]
+
+    for blank in (" ", "\t", "\n", "\v", "\f", "\r", " \n ", "  "):
+        for a, b in (("AbC", "dE."), ("12", "x3"), ("\u00c9t\u00e9", "\u0301a"), ("it's", "'s")):
+            if pieces(f"{blank}{a}{blank}{b}{blank}") != pieces(a.lower()) + pieces(b.lower()):
+                return False
+            both = tokenizer.encode(f"{a}{blank}{b}", add_special_tokens=False).ids
+            if both != [i for w in (a.lower(), b.lower()) for i in tokenizer.encode(w, add_special_tokens=False).ids]:
+                return False
+    return True
+
+
 class WordEncoder:
     """Ids (and character spans) of texts; see the module's docstring."""
 
@@ -38,6 +60,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.word_wise = word_wise(self.tokenizer)
         self.most = most
         #: By what is asked for and the words' coding: word -> little-endian uint32
         #: ids, or the int32 (start, end) of its tokens.
@@ -104,7 +127,7 @@ class WordEncoder:
         for group in self._groups(texts):
             out, coded = [None] * len(group), {"latin-1": ([], []), "utf-8": ([], [])}
             for k, t in enumerate(group):
-                if any(s in t for s in self.specials):  # encoded as it is
+                if not self.word_wise or any(s in t for s in self.specials):  # encoded as it is
                     e = self.tokenizer.encode(t, add_special_tokens=False)
                     out[k] = ((np.array(e.ids, "<u4"), None) if what == "ids" else
                               (np.array(e.offsets, "<i4").reshape(-1, 2).view("<i8")[:, 0], 0))

@@ -56,25 +56,50 @@ def test_digests_equal_the_turns(spark, byte_bpe, monkeypatch):
     want = plain_digests(rows)
     convs = spark.createDataFrame(rows, SCHEMA)
     for frame in (convs, convs.withColumns({"part": F.lit("x"), "sub": F.lit(1), "ids": F.lit(2)})):
-        assert collected(chat.conversation_digests(chat.formatted(frame, byte_bpe))) == want
+        assert collected(chat.conversation_digests(chat.formatted(frame, byte_bpe), byte_bpe)) == want
     empty = chat.formatted(convs.limit(0), byte_bpe)
-    assert empty.collect() == [] and chat.conversation_digests(empty).collect() == []
+    assert empty.collect() == [] and chat.conversation_digests(empty, byte_bpe).collect() == []
 
 
 def test_masks_cover_the_assistant_tokens(spark, byte_bpe):
-    parts = chat.formatted(spark.createDataFrame(awkward_turns(), SCHEMA), byte_bpe).collect()
     tok = chat._tokenizer(byte_bpe)
-    for r in parts:
-        offsets = tok.encode(r.text, add_special_tokens=False).offsets
-        assert len(offsets) == len(r.ids)
-        for lo, hi, a, b in zip(r.loss_first, r.loss_last, r.loss_start, r.loss_end):
-            inside = [k for k, (x, y) in enumerate(offsets) if y > a and x < b]
+    for r in chat.formatted(spark.createDataFrame(awkward_turns(), SCHEMA), byte_bpe).collect():
+        e = tok.encode(r.text, add_special_tokens=False)
+        assert r.ids == e.ids
+        spans = chat.render(chat.parse(r.text))[1]
+        assert len(spans) == len(r.loss_first)
+        for (a, b), lo, hi, lead, trail in zip(spans, r.loss_first, r.loss_last, r.loss_lead, r.loss_trail):
+            inside = [k for k, (x, y) in enumerate(e.offsets) if y > a and x < b]
             assert inside == list(range(lo, hi)) or a == b
+            if lo < hi:
+                assert (e.offsets[lo][0] + lead, e.offsets[hi - 1][1] - trail) == (a, b)
 
 
-def test_long_conversations_are_cut_into_parts(spark, byte_bpe):
-    parts = chat.formatted(spark.createDataFrame(awkward_turns(), SCHEMA), byte_bpe)
-    assert parts.where("conv_id = 1").count() == 3
+def test_a_long_conversation_is_encoded_whole(spark, byte_bpe):
+    rows = [(1, k, "assistant" if k % 2 else "user", prose(k % 50, 5 + k % 90) + " \n" * (k % 3)) for k in range(2000)]
+    [row] = chat.formatted(spark.createDataFrame(rows, SCHEMA).repartition(7), byte_bpe).collect()
+    text, _ = chat.render([(r[2], r[3]) for r in rows])
+    assert row.n_turns == 2000 and row.text == text
+    assert row.ids == chat._tokenizer(byte_bpe).encode(text, add_special_tokens=False).ids
+    got = collected(chat.conversation_digests(spark.createDataFrame([row]), byte_bpe))
+    assert got == plain_digests(rows)
+
+
+@pytest.mark.parametrize("column", ["loss_first", "loss_last", "loss_lead", "loss_trail"])
+def test_a_shifted_mask_changes_the_loss_digest(spark, byte_bpe, column):
+    from pyspark.sql import functions as F
+    convs = spark.createDataFrame([r for r in awkward_turns() if r[0] == 1], SCHEMA)
+    done = chat.formatted(convs, byte_bpe)
+    shifted = done.withColumn(column, F.transform(column, lambda x: x + 1))
+    one, other = (chat.conversation_digests(x, byte_bpe).first() for x in (done, shifted))
+    assert one.turns_sha256 == other.turns_sha256 and one.loss_sha256 != other.loss_sha256
+
+
+def test_token_bytes_spell_every_text(byte_bpe):
+    tok, pieces = chat._tokenizer(byte_bpe), chat.token_bytes(byte_bpe)
+    for text in ("plain", " \t\n\x00\x7f\x80\xa0\xad\xff", "\U0001f600é日本 <|endoftext|>", prose(3, 200)):
+        ids = tok.encode(text, add_special_tokens=False).ids
+        assert b"".join(pieces[i] for i in ids).decode() == text
 
 
 def test_multiset_hash_is_homomorphic():
@@ -116,11 +141,46 @@ def test_edited_fingerprints(spark, awkward, clashing, nothing, awkward_rows):
     assert len(one) == 1 and one[0].near_next == 1.0
 
 
+def test_likeness_comes_from_the_returned_fingerprints(spark, awkward, awkward_rows):
+    """The fingerprints are the lanes: likeness, insertion and deletion work on what is returned."""
+    lanes = lambda x: fingerprints.from_bytes(bytes.fromhex(x))
+    order = sorted(awkward_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    rows = sorted(fingerprints.edited_fingerprints(awkward).collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
+    known = [r for r in rows if r.doc_id not in (None, 300)]  # ids of one row each
+    texts = {r[0]: (r[1] or "", order[(k + 1) % len(order)][1] or "") for k, r in enumerate(order)}
+    for r in known:
+        text, after = texts[r.doc_id]
+        own, other = lanes(r.fingerprint), lanes(r.edited_fingerprint)
+        following = fingerprints.multiset_hash(fingerprints.paragraphs(after))
+        assert r.near_edited == fingerprints.likeness(own[1], other[1])
+        assert r.near_next == fingerprints.likeness(own[1], following[1])
+        new = fingerprints.edited(text, after)
+        for whole, got in ((text, own), (new, other)):
+            assert fingerprints.to_bytes(fingerprints.multiset_hash(fingerprints.paragraphs(whole))) == \
+                fingerprints.to_bytes(got)
+        # delete the last paragraph from the returned fingerprint
+        pieces = fingerprints.paragraphs(text)
+        less = fingerprints.add(own, fingerprints.multiset_hash(pieces[-1:]), -1)
+        assert fingerprints.to_bytes(less) == fingerprints.to_bytes(fingerprints.multiset_hash(pieces[:-1]))
+    assert len(known) > 60
+
+
+def test_each_text_is_hashed_once(monkeypatch, spark):
+    pieces = [[f"p{k} some words" for k in range(n)] for n in (40, 10)]
+    hashed = []
+    plain = fingerprints.multiset_hash
+    monkeypatch.setattr(fingerprints, "multiset_hash", lambda x: hashed.append(len(x)) or plain(x))
+    h = plain(pieces[0])
+    got = fingerprints.replaced(h, pieces[0], pieces[0][:30] + pieces[1])
+    assert fingerprints.to_bytes(got) == fingerprints.to_bytes(plain(pieces[0][:30] + pieces[1]))
+    assert hashed == [10, 10]
+
+
 def test_every_range_of_ids_meets_its_successor(spark):
     rows = [(k * 3 - 500, f"text {k}") for k in range(400)] + [(None, "none")]
     random.Random(1).shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(9)
-    got = fingerprints.with_next(docs, lambda d, t, n: (d, t, n), "doc_id long, text string, after string", 5)
+    got = fingerprints.with_next(docs, lambda t: t, lambda d, t, n: (d, t, n), "doc_id long, text string, after string", 5)
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
     want = [(i, t, order[(k + 1) % len(order)][1]) for k, (i, t) in enumerate(order)]
     assert collected(got) == sorted(want, key=repr)

@@ -61,20 +61,50 @@ def test_allocation_equals_brute_force(rule):
         assert np.allclose(got, want) and (crossing == cross).all()
 
 
-def test_section_tokens_add_up(awkward, clashing, nothing, awkward_rows, word_bpe, encoder):
+@pytest.mark.parametrize("sections", [token_counts.paragraphs, token_counts.even_sections])
+def test_field_tokens_add_up(awkward, clashing, nothing, awkward_rows, word_bpe, encoder, sections):
+    fields = ("source", "text")
     for docs in (awkward, clashing):
-        rows = token_counts.section_tokens(docs, word_bpe).collect()
+        rows = token_counts.field_tokens(docs, word_bpe, fields, sections).collect()
         total = defaultdict(float)
         for r in rows:
-            total[r.doc_id] += r.n_tokens
+            total[r.doc_id, r.field] += r.n_tokens
         want = defaultdict(int)
         for r in awkward_rows:
-            want[r[0]] += len(encoder.tokenizer.encode(r[1] or "", add_special_tokens=False).ids)
+            for field, value in zip(fields, (r[3], r[1])):  # a line end parts the fields: no token crosses it
+                want[r[0], field] += len(encoder.tokenizer.encode(value or "", add_special_tokens=False).ids)
         assert total == want
-        assert sum(r.n_chars for r in rows) == sum(len(r[1] or "") for r in awkward_rows)
-    assert token_counts.section_tokens(nothing, word_bpe).collect() == []
+        assert sum(r.n_chars for r in rows if r.field == "text") == sum(len(r[1] or "") for r in awkward_rows)
+    assert token_counts.field_tokens(nothing, word_bpe).collect() == []
     with pytest.raises(ValueError):
-        token_counts.section_tokens(nothing, word_bpe, rule="any")
+        token_counts.field_tokens(nothing, word_bpe, rule="any")
+
+
+def test_paragraphs_hold_their_own_lines(spark, word_bpe, encoder):
+    text = "# Heading one\n\nfirst paragraph here\n\n\nsecond one.\nthird\n"
+    docs = spark.createDataFrame([(1, "en", text)], "doc_id long, lang string, text string")
+    rows = token_counts.field_tokens(docs, word_bpe, ("lang", "text")).collect()
+    parts = {(r.field, r.section): (("en" if r.field == "lang" else text)[r.start:r.start + r.n_chars], r.n_tokens) for r in rows}
+    assert [p[0] for k, p in sorted(parts.items()) if k[0] == "text"] == [
+        "# Heading one\n\n", "first paragraph here\n\n\n", "second one.\n", "third\n"]
+    for said, n in parts.values():
+        assert n == len(encoder.tokenizer.encode(said, add_special_tokens=False).ids)
+
+
+def test_a_tokenizer_that_keeps_white_space_encodes_whole_texts(spark, awkward):
+    """byte_bpe joins white space to words: ids and spans must still be those of the library."""
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    enc = WordEncoder(path)
+    assert not enc.word_wise and WordEncoder(public_tokenizers.path("word_bpe_49k.json")).word_wise
+    texts = ODD + [prose(k, 100) for k in range(5)]
+    want = enc.tokenizer.encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.ids(texts)] == [e.ids for e in want]
+    assert [list(zip(a.tolist(), b.tolist())) for a, b in enc.token_spans(texts)] == [e.offsets for e in want]
+    crossing = 0
+    for r in token_counts.field_tokens(awkward, path, ("source", "text"), token_counts.even_sections, "split").collect():
+        crossing += r.n_crossing
+    assert crossing > 0
 
 
 def unpack(plan):
