@@ -10,10 +10,13 @@ The words taken are kept at each meeting, so a source ends within one unit of
 its target.
 
 The meetings form a reduction tree: units of a source are dealt by hash into
-blocks of about ``FAN``, a block is folded by ``reduce`` over its array, and
-the one residual of each block goes on to the next level.  A hot source is
-only more blocks.  Large units meet first, so what is left at the end is small.  Everything is DataFrame functions; the random numbers are
-hashes of the units' keys, so reruns agree.
+blocks of about ``FAN``, a block is folded by ``reduce`` over its array, large units
+first, and the one residual of each block goes on to the next level.  A hot source is
+only more blocks.  Which unit is left at the end is chance, and it may be a large one; so
+a source then settles towards its target: units that make up for what is over (or
+missing) give their further copy back (or get one), and ``SETTLE`` times the unit
+whose size is nearest to the rest does, if that helps.  Everything is DataFrame functions; the random numbers are hashes of the units'
+keys, so reruns agree.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2.0
 _EDGE = 1e-9
+#: Rounds in which one unit of a source may change sides at the end.
+SETTLE = 3
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -92,13 +97,14 @@ _MEETING = f"""
         named_struct('r', acc.cur.r, 'id', acc.cur.id, 'h', acc.cur.h, 'size', acc.cur.size,
                      'base', acc.cur.base, 'p', r.p)),
     'done', concat(acc.done, array(IF(r.fix,
-        named_struct('id', acc.cur.id, 'h', acc.cur.h, 'copies', acc.cur.base + r.val),
-        named_struct('id', x.id, 'h', x.h, 'copies', x.base + r.val)))))), 1)
+        named_struct('id', acc.cur.id, 'h', acc.cur.h, 'size', acc.cur.size, 'base', acc.cur.base,
+                     'copies', acc.cur.base + r.val),
+        named_struct('id', x.id, 'h', x.h, 'size', x.size, 'base', x.base, 'copies', x.base + r.val)))))), 1)
 """
 
 
 def pivotal_copies(units: DataFrame, most_units: int) -> DataFrame:
-    """(id, h, copies) of units (source, n, id, h, size, base, p) by the reduction tree.
+    """(source, id, h, size, base, copies) of units (source, n, id, h, size, base, p) by the reduction tree.
 
     ``n`` is the number of units of the source, ``most_units`` the largest n.
     """
@@ -113,27 +119,60 @@ def pivotal_copies(units: DataFrame, most_units: int) -> DataFrame:
                       .alias("units")))
         folded = stored(dealt.select("source", "n", F.expr(
             "reduce(slice(units, 2, size(units)), named_struct('cur', units[0], 'done', "
-            "cast(array() AS array<struct<id: bigint, h: bigint, copies: int>>)), "
+            "cast(array() AS array<struct<id: bigint, h: bigint, size: double, base: int, copies: int>>)), "
             f"{_MEETING})").alias("f")), "mix_level")
-        decided.append(folded.select(F.explode("f.done").alias("d")).select("d.*"))
+        decided.append(folded.select("source", F.explode("f.done").alias("d")).select("source", "d.*"))
         units = folded.select("source", "n", "f.cur.id", "f.cur.h", "f.cur.size", "f.cur.base", "f.cur.p")
         most_units = -(-most_units // FAN)
         if most_units <= 1:
             break
-    out = units.select("id", "h", (F.col("base") + (uniform("id", "h", F.lit("last")) < F.col("p"))
-                                   .cast("int")).alias("copies"))
+    out = units.select("source", "id", "h", "size", "base", (
+        F.col("base") + (uniform("id", "h", F.lit("last")) < F.col("p")).cast("int")).alias("copies"))
     for d in decided:
         out = out.union(d)
     return out
 
 
+def settled(decisions: DataFrame, sources: DataFrame, rounds: int = SETTLE) -> DataFrame:
+    """``decisions`` (source, id, h, size, base, copies, moving) nearer to the targets.
+
+    First, of a source's moving units that are no larger than its error and can change sides, as many do, chosen
+    by hash, as make up for it on average.  Then, in each round, the one unit whose size is
+    nearest to the error left changes sides, if that makes the error smaller."""
+    named = sources.select(F.col("source").alias("of"), "target")
+    for k in range(rounds + 1):
+        errors = (decisions.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"))
+                  .join(named, F.col("source").eqNullSafe(F.col("of")))
+                  .select("of", (F.col("taken") - F.col("target")).alias("over")))
+        can = F.when(F.col("over") > 0, F.col("copies") > F.col("base")).otherwise(F.col("copies") == F.col("base"))
+        able = (decisions.where("moving").join(errors, F.col("source").eqNullSafe(F.col("of"))).where(can)
+                .select("of", "over", "id", "h", "size"))
+        if k == 0:
+            small = able.where(F.col("size") <= F.abs("over"))
+            room = small.groupBy(F.col("of").alias("in")).agg(F.sum("size").alias("room"))
+            turned = (small.join(room, F.col("of").eqNullSafe(F.col("in")))
+                      .where(uniform("id", "h", F.lit("settle")) < F.abs("over") / F.col("room")))
+        else:
+            left = F.abs(F.abs("over") - F.col("size"))
+            turned = (able.where(left < F.abs("over")).groupBy("of")
+                      .agg(F.min(F.struct(left, "id", "h")).alias("m")).select("of", "m.id", "m.h"))
+        turned = turned.select("of", F.col("id").alias("turned_id"), F.col("h").alias("turned_h"))
+        same = (F.col("source").eqNullSafe(F.col("of")) & F.col("id").eqNullSafe(F.col("turned_id"))
+                & (F.col("h") == F.col("turned_h")))
+        decisions = stored(decisions.join(turned, same, "left").withColumn("copies", F.when(
+            F.col("turned_h").isNull(), F.col("copies")).otherwise(2 * F.col("base") + 1 - F.col("copies")))
+            .drop("of", "turned_id", "turned_h"), "mix_settled")
+    return decisions
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
         most: float = MOST) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sizes, sources, decisions) for the rows of ``docs`` (doc_id, source, text).
 
     decisions has one row (id, h, copies) per distinct (doc_id, text, source),
     ``h`` being their row_hash: repeated rows are one unit and share its copies.
-    A text without words, or NULL, has size 0 and is copied by its own draw.
+    A text without words, or NULL, has size 0 and is copied by its own draw.  Only a text's size is
+    looked at, so a very long one costs one pass over it; it may be most of what its source is off by.
     """
     sizes = stored(docs.select("doc_id", "source", row_hash("text", "source").alias("h"),
                                F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0))
@@ -147,15 +186,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
                            "h", "size", F.floor(factor).cast("int").alias("base"),
                            (factor - F.floor(factor)).alias("p")), "mix_units")
     moving = (F.col("size") > 0) & (F.col("p") > _EDGE) & (F.col("p") < 1 - _EDGE)
-    alone = units.where(~moving).select("id", "h", (
+    alone = units.where(~moving).select("source", "id", "h", "size", "base", (
         F.col("base") + (uniform("id", "h", F.lit("alone")) < F.col("p")).cast("int")).alias("copies"))
     most_units = sources.agg(F.max("units")).first()[0] or 0
-    decisions = alone.union(pivotal_copies(units.where(moving), most_units))
-    return sizes, sources, decisions
+    decided = pivotal_copies(units.where(moving), most_units)
+    decisions = settled(alone.withColumn("moving", F.lit(False)).union(decided.withColumn("moving", F.lit(True))),
+                        sources)
+    return sizes, sources, decisions.select("id", "h", "copies")
 
 
 def mixed_words(docs: DataFrame, **options) -> DataFrame:
-    """Per row of ``docs``: doc_id, size, source_size, target, copies and taken words."""
+    """Per row of ``docs``: doc_id, size, source_size, target, copies and taken words.
+
+    NULL texts have size 0, a NULL source is a source of its own, and rows equal in doc_id, text and source
+    have the same copies (see :func:`mix`).  Empty ``docs`` give no rows; other columns are not read."""
     sizes, sources, decisions = mix(docs, **options)
     named = sources.withColumnRenamed("source", "of").drop("units")
     decided = decisions.select("id", F.col("h").alias("dh"), "copies")

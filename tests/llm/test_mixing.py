@@ -50,6 +50,22 @@ def test_taken_words_come_near_targets_across_levels(spark, monkeypatch):
         assert abs(r.taken - r.target) <= r.most
 
 
+def test_sources_of_fifty_texts_come_within_a_percent(spark):
+    """Also beside a text that is a fifth of its source."""
+    rows = []
+    for s in range(8):
+        for k in range(50):
+            n = 20 + (37 * k + 11 * s) % 120
+            rows.append((100 * s + k, "w " * (1500 if k == 7 and s % 2 else n), f"s{s}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed_words(docs).join(docs.select("doc_id", "source"), "doc_id")
+    per = got.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(per) == 8
+    for r in per:
+        assert abs(r.taken - r.target) <= 0.01 * r.target
+    assert all(r.taken <= 2 * r["size"] for r in got.collect())
+
+
 def test_reruns_agree(awkward):
     cols = ("doc_id", "size", "copies")
     assert collected(mixing.mixed_words(awkward), *cols) == collected(
