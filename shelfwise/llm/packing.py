@@ -233,5 +233,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int
 
 def packed_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = CAPACITY,
                      with_ids: bool = False) -> DataFrame:
-    """Pieces of :func:`token_pieces` with their sequence and the place in it."""
+    """Pieces of :func:`token_pieces` with their sequence and the place in it.
+
+    Every row is packed, repeated ones and those without an id too; a NULL or empty text is its end id
+    alone, and a long one fills as many pieces as it needs, encoded whole in one task.  Which of equally
+    long pieces lies where is settled by their ids; empty ``docs`` give no rows."""
     return pack(stored(token_pieces(docs, tokenizer, end_id, capacity, with_ids), "pack_pieces"), capacity)

@@ -189,7 +189,8 @@ def locate(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
 def read_back(located: DataFrame, shards: list[tuple[str, int]], folder: str, width: int) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 read from the files at the located places.
 
-    ``shards``: file and first global position of every shard number.
+    ``shards``: file and first global position of every shard number.  A row that was not
+    found (shard -1) is an error: leave keys out that may be unknown.
     """
     def read(batches: Iterator[list]) -> Iterator[list[tuple]]:
         files, path = open_folder(folder)
@@ -198,6 +199,8 @@ def read_back(located: DataFrame, shards: list[tuple[str, int]], folder: str, wi
             for ids, numbers, starts, counts in batches:
                 rows = []
                 for doc, s, start, n in zip(ids, numbers, starts, counts):
+                    if s < 0:
+                        raise KeyError(f"document {doc} is not in the index")
                     if s != shard:
                         if source is not None:
                             source.close()
@@ -210,13 +213,16 @@ def read_back(located: DataFrame, shards: list[tuple[str, int]], folder: str, wi
             if source is not None:
                 source.close()
 
-    dealt = (located.where("shard >= 0").repartition("shard").sortWithinPartitions("shard", "start")
+    dealt = (located.repartition("shard").sortWithinPartitions("shard", "start")
              .select("doc_id", "shard", "start", "n"))
     return map_rows(dealt, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files_round_trip(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
-    """Write, index, look up every document by key, and read it back from the files."""
+    """Write, index, look up every document by key, and read it back from the files.
+
+    Every row is written and read, repeated ones and those without an id too; a NULL text is empty and
+    holds the end alone.  A text is encoded and read whole, in memory that grows with it."""
     folder = new_scratch(docs.sparkSession, "token_files")
     entries = write_token_files(docs, tokenizer, end_id, folder)
     index, buckets = build_index(entries)
