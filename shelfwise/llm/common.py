@@ -22,14 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     This cuts the lineage: what was computed survives a lost executor and is
     not computed again by each consumer.
     """
     path = new_scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -72,9 +72,10 @@ def shard_of(keys: Iterable, bounds: list[int | None]) -> np.ndarray:
     """Number of the shard that holds each key (NULL: the first shard)."""
     offset = 1 if bounds and bounds[0] is None else 0
     known = np.array(bounds[offset:], dtype=np.int64)
-    out = [0 if k is None else max(0, int(np.searchsorted(known, k, "right")) - 1 + offset)
-           for k in keys]
-    return np.array(out, dtype=np.int32)
+    keys = list(keys)
+    given = np.array([0 if k is None else k for k in keys], dtype=np.int64)
+    place = np.maximum(0, np.searchsorted(known, given, "right") - 1 + offset)
+    return np.where(np.array([k is None for k in keys], dtype=bool), 0, place).astype(np.int32)
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
