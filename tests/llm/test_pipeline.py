@@ -17,7 +17,7 @@ def test_stages():
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert set(entry.oracle_sql()) <= names
 
 
