@@ -74,7 +74,10 @@ class AggregateTable:
     def current(self) -> tuple[str | None, dict[str, int]]:
         """(base version path, last batch id that it covers of each stream)."""
         state = (self.journal.last() or {}).get(self.name)
-        return (None, {}) if state is None else (state["path"], dict(state["marks"]))
+        if state is None and self.versions is None:  # a table of a set, opened by its folder alone
+            folder, _, name = self.root.rstrip("/").rpartition("/")
+            state = (Journal(self.spark, f"{folder}/_versions").last() or {}).get(name)
+        return (None, {}) if state is None or "marks" not in state else (state["path"], dict(state["marks"]))
 
     def written(self) -> list[tuple[str, int]]:
         """(stream, batch id) of every partial, from the folder names."""
