@@ -275,6 +275,34 @@ def test_a_slow_sink_lowers_and_a_fast_one_raises_the_limit(spark, scratch, slow
     assert sum(seen) == 22 and not math.isnan(again.served)
 
 
+def test_batches_of_empty_files_change_no_limit_and_lose_no_row(spark, scratch):
+    from shelfwise.streaming.control import file_source, run_controlled
+    from shelfwise.streaming.progress import timed_sink
+    root, rows = scratch("empty_files"), spark.range(30).select("id", (F.col("id") % 3).alias("k"))
+    for low in (0, 10, 20):
+        for part in ("id < 0", f"id >= {low} AND id < {low + 10}"):
+            rows.coalesce(1).where(part).write.mode("append").parquet(f"{root}/in")
+    names = spark.range(3).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+
+    def sink(batch, batch_id):
+        found = batch.join(names, "k", "left").persist()  # a shuffled join: Spark drops its sides when one is empty
+        found.where("name IS NOT NULL").select("id").write.mode("append").parquet(f"{root}/out")
+        found.where("name IS NULL").select("id").write.mode("append").parquet(f"{root}/rest")
+        found.unpersist()
+
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        run_controlled(spark, file_source(spark, rows.schema, f"{root}/in"), timed_sink(sink, f"{root}/times"),
+                       f"{root}/cp", f"{root}/rates", RateControl(seconds=60.0, most=1, limit=1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/out").collect()) == list(range(30))
+    rates = spark.read.parquet(f"{root}/rates").orderBy("batch_id").collect()
+    assert [r.input_rows for r in rates] == [0, 10] * 3 and all(r.next_limit == 1 and r.seconds < 30 for r in rates)
+    assert [r.input_rows for r in spark.read.parquet(f"{root}/times").orderBy("batch_id").collect()] == [0, 10] * 3
+
+
 def test_slices_of_the_moment_table_equal_q5(star, spark, scratch):
     t = MomentTable(spark, scratch("q5"), ["product_id", "product_name"], "total_sales")
     for b, lines in enumerate(order_slices(star)):
