@@ -36,16 +36,20 @@ def parse_order_date(raw) -> Column:
 
     The layout is checked by one regular expression (one- or two-digit month,
     day, hour and minute, a two-digit year, no trailing text), the fields are
-    split out and the value is built with ``try_make_timestamp_ntz``, which
+    cut out at their separators (no second regular expression: a field is wanted once a line and
+    a split would be made anew for each of them) and the value is built with ``try_make_timestamp_ntz``, which
     gives NULL for impossible dates (month 13, April 31, hour 24).  No time
     zone is involved, so a session zone with daylight-saving gaps cannot move
     a wall-clock time.  Years 70-99 are 1970-1999, 00-69 are 2000-2069, as in
     the reference.
     """
     text = F.trim(_c(raw))
-    parts = F.split(text, "[/ :]")
-    # get() and try_cast give NULL, never an ANSI error, whatever the text
-    m, d, yy, hh, mi = (F.get(parts, i).try_cast("int") for i in range(5))
+    last = F.substring_index(text, "/", -1)
+    # try_cast gives NULL, never an ANSI error, whatever the text
+    m, d, yy, hh, mi = (c.try_cast("int") for c in (
+        F.substring_index(text, "/", 1), F.substring_index(F.substring_index(text, "/", 2), "/", -1),
+        F.substring_index(last, " ", 1), F.substring_index(F.substring_index(text, " ", -1), ":", 1),
+        F.substring_index(text, ":", -1)))
     year = yy + F.when(yy >= params.TWO_DIGIT_YEAR_PIVOT, F.lit(1900)).otherwise(F.lit(2000))
     ts = F.try_make_timestamp_ntz(year, m, d, hh, mi, F.lit(0))
     return F.when(text.rlike(params.ORDER_DATE_LAYOUT), ts)

@@ -27,12 +27,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import new_scratch
+from ..sources.paths import remove_folder
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], key: str,
-              num_partitions: int | None = None, path: str | None = None) -> DataFrame:
-    spark = df.sparkSession
+              num_partitions: int | None = None, path: str | None = None, staged: bool = False,
+              where: str | None = None) -> DataFrame:
+    """``df`` with the column ``key``: 1..n in the order of ``order_cols``.
+
+    Range bounds come from a sample, for which Spark runs the plan of ``df`` once more.
+    ``staged``: write ``df`` first, for plans (joins, parsing) that cost more than a write and a read;
+    what is staged is deleted once the keyed rows are there.  ``where``: the rows that are wanted, chosen
+    behind the staging, so that the condition is not put in front of what computes its columns."""
+    spark, columns = df.sparkSession, df.columns
     path = path or new_scratch(spark, "dense_key")
+    if staged:
+        at, schema = new_scratch(spark, "dense_key_input"), df.schema
+        df.write.parquet(at)
+        df = spark.read.schema(schema).parquet(at)
+    df = df.where(where) if where else df
     cols = [F.col(c) for c in order_cols]
     ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
               else df.repartitionByRange(*cols))
@@ -42,6 +55,8 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key: str,
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(pid.cast("bigint"), 33)))
     tagged.write.mode("overwrite").parquet(path)
+    if staged:
+        remove_folder(spark, at)
     stored = spark.read.parquet(path)
     counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
@@ -52,4 +67,4 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key: str,
     # one row per partition: bounded by the partition count, safe to broadcast
     out = stored.join(F.broadcast(offsets), "_pid")
     return out.select((F.col("_off") + F.col("_pos") + 1).alias(key),
-                      *[c for c in df.columns])
+                      *columns)

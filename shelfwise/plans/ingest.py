@@ -95,15 +95,13 @@ def calendar_parts(events: DataFrame) -> DataFrame:
 def dim_time(star: Star) -> DataFrame:
     """dim_time: the order-line table from raw strings (B7): good rows only,
     calendar parts, and ``time_id`` dense 1..n in the total order (B8)."""
-    good, _ = split_transactions(star)
-    cal = calendar_columns("order_ts")
-    rows = good.select(*RAW_ORDER, "order_id", F.col("order_ts").alias("order_date"),
-                       *[cal[k].alias(k) for k in ("hour", "minute", "day", "year",
-                                                   "quarter", "month")],
-                       "qty", "product_id", "customer_id")
-    keyed = dense_key(rows, RAW_ORDER, "time_id")
-    return keyed.select("time_id", "order_id", "order_date", "hour", "minute", "day",
-                        "year", "quarter", "month", "qty", "product_id", "customer_id")
+    cal = calendar_columns("order_date")
+    rows = transactions_with_reason(star).select(
+        *RAW_ORDER, "order_id", F.col("order_ts").alias("order_date"), "qty", "product_id", "customer_id", "reason")
+    keyed = dense_key(rows, RAW_ORDER, "time_id", staged=True, where="reason IS NULL")
+    return keyed.select("time_id", "order_id", "order_date",
+                        *[cal[k].alias(k) for k in ("hour", "minute", "day", "year", "quarter", "month")],
+                        "qty", "product_id", "customer_id")
 
 
 # fixed values: suffix that puts a comma and quotes into every supplier name

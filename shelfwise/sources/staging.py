@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from ..operators.surrogate import dense_key
 
 
-def number_rows(df: DataFrame, order_cols: Sequence[str], key: str = "row_id") -> DataFrame:
+def number_rows(df: DataFrame, order_cols: Sequence[str], key: str = "row_id", staged: bool = False) -> DataFrame:
     """Dense ordinal 1..n (checkpointed, see ``operators.surrogate``)."""
-    return dense_key(df, order_cols, key)
+    return dense_key(df, order_cols, key, staged=staged)
 
 
 def range_bounds(df: DataFrame, key: str, n: int | None,
