@@ -24,7 +24,7 @@ FACT_KEYS = ["product_id", "customer_id", "time_id", "store_id"]
 
 def lookup_time_first(star: Star) -> DataFrame:
     """lookup_time_first: first time id (lowest) of each customer's product."""
-    outer = star.customer_dim.select("customer_id", "product_id")
+    outer = star.first_products
     return lookup_first(outer, star.time_dim.select("product_id", "time_id"),
                         "product_id", "time_id").select(
         "customer_id", "product_id", "time_id")
@@ -68,7 +68,7 @@ def fact_rows_compat(star: Star, outer: DataFrame | None = None,
     One join against the prepared lookup: both of its sides come straight from
     a shuffle, so AQE can split a hot product."""
     if outer is None:
-        outer = star.customer_dim.select("customer_id", "product_id")
+        outer = star.first_products
     df = outer.join(lookup if lookup is not None else compat_lookup(star), "product_id", "left")
     df = df.select(*outer.columns, "time_id", "qty", "price", "known",
                    F.coalesce("store_id", F.lit(params.UNKNOWN_STORE)).alias("store_id"),
@@ -147,8 +147,11 @@ def write_fact(fact: DataFrame, path: str, partition_by: str | None = None) -> N
 
 def fact_readback_semi(star: Star, path: str) -> DataFrame:
     """Write the compat fact, read it back, keep rows whose 4-part key is in
-    the batch just written (the reference's SELECT after each INSERT)."""
+    the batch just written (the reference's SELECT after each INSERT).  The batch is computed
+    once and kept beside the fact."""
     fact = fact_load_compat(star)
-    write_fact(fact, path)
+    fact.write.mode("overwrite").parquet(f"{path}_batch")
+    batch = star.spark.read.schema(fact.schema).parquet(f"{path}_batch")
+    write_fact(batch, path)
     stored = star.spark.read.parquet(path)
-    return read_back(stored, fact, FACT_KEYS)
+    return read_back(stored, batch, FACT_KEYS)

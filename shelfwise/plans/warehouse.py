@@ -271,6 +271,10 @@ class WarehouseStar:
     def customer_dim(self) -> DataFrame:
         return self._t("customer_dim")
 
+    @property
+    def first_products(self) -> DataFrame:
+        return self.customer_dim.select("customer_id", "product_id")
+
     @cached_property
     def time_dim(self) -> DataFrame:
         return self.lines

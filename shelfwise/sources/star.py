@@ -68,13 +68,18 @@ class Star:
     # ---- order lines -----------------------------------------------------
     def lines_base(self) -> DataFrame:
         """lineitem ⋈ orders with the columns of the total order."""
+        return self._lineitem().join(self._orders(), "order_id")
+
+    def _orders(self) -> DataFrame:
         o = self.t.orders.select(
             F.col("o_orderkey").alias("order_id"),
             F.col("o_orderdate").alias("order_date"),
             F.col("o_custkey").alias("customer_id"))
-        if self.order_filter is not None:
-            o = o.where(self.order_filter)  # reaches the scan through the alias
-        li = self.t.lineitem.select(
+        # reaches the scan through the alias
+        return o if self.order_filter is None else o.where(self.order_filter)
+
+    def _lineitem(self) -> DataFrame:
+        return self.t.lineitem.select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_number"),
             F.col("l_partkey").alias("product_id"),
@@ -84,7 +89,6 @@ class Star:
             # a quantity that is not whole is no quantity: NULL, never cut
             F.when(F.col("l_quantity") == F.floor("l_quantity"), F.col("l_quantity"))
             .try_cast("int").alias("qty"))
-        return li.join(o, "order_id")
 
     @property
     def lines(self) -> DataFrame:
@@ -146,14 +150,25 @@ class Star:
         First-wins is a ``min`` over a struct that starts with the total-order
         columns: an aggregate with a map-side partial step (sorted within each
         task, no global sort, no window), so a customer with a third of all
-        lines still leaves each map task as one row.
+        lines still leaves each map task as one row.  The total order starts with
+        an order's own columns, so an order's first line is found before the join,
+        and one row per order is shuffled instead of all its lines.
         """
         from ..operators.dedup import first_wins
-        lines = self.lines_base()
-        first = first_wins(lines, ["customer_id"], LINE_ORDER, ["product_id"])
+        within = [c for c in LINE_ORDER if c not in ("order_date", "order_id")]
+        of_order = first_wins(self._lineitem(), ["order_id"], within, within)
+        first = first_wins(of_order.join(self._orders(), "order_id"), ["customer_id"], LINE_ORDER, ["product_id"])
         return (first.join(self.customer, "customer_id")
                 .select("customer_id", "customer_name", "segment", "product_id"))
 
+    @property
+    def first_products(self) -> DataFrame:
+        """The customer and product columns of ``customer_dim``, from the keyed lines: the lowest
+        ``time_id`` of a customer is its first line, and no second join of the order lines is needed."""
+        from ..operators.dedup import first_wins_by_id
+        firsts = first_wins_by_id(self.time_dim, ["customer_id"], "time_id", ["product_id"])
+        return firsts.join(self.customer.select("customer_id"), "customer_id").select("customer_id", "product_id")
+
     @cached_property
     def time_dim(self) -> DataFrame:
         """Order lines with the dense surrogate key ``time_id`` (1..n in the
