@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import first_wins, improving_rows
-from ..operators.olap import money
+from ..operators.olap import money, qty_by_product
 from ..sources.journal import Journal
 from ..sources.paths import remove_folder, subfolders
 from ..streaming.runner import batch_partition_write, before_batch
@@ -252,6 +252,16 @@ STORED = {
 }
 
 
+class MonthlyLines:
+    """A star whose order lines are sums by product and month (``qty``); all else is as in the star."""
+
+    def __init__(self, star, lines: DataFrame):
+        self._star, self.lines = star, lines
+
+    def __getattr__(self, name: str):
+        return getattr(self._star, name)
+
+
 class TableSet:
     """Stored aggregates under ``root`` that are switched together.
 
@@ -272,13 +282,20 @@ class TableSet:
                               versions=f"{self.root}/_versions", name=name)
 
     def refresh(self, star) -> dict[str, str]:
-        """Recompute every table; returns the new version path of each."""
+        """Recompute every table; returns the new version path of each.
+
+        The quantities by product and month, from which all tables of ``STORED`` follow, are summed once for
+        them, after the marks of what they cover were taken."""
         from . import queries as Q
-        fresh = {}
+        fresh, monthly = {}, f"{self.root}/_monthly/{uuid.uuid4().hex}"
+        covers = {name: self.table(name).logged() for name in self.tables}
+        if self.tables is STORED:
+            sums = qty_by_product(star.lines, ["month"]).withColumnRenamed("sum_qty", "qty")
+            sums.write.mode("overwrite").parquet(monthly)
+            star = MonthlyLines(star, self.spark.read.schema(sums.schema).parquet(monthly))
         for name, (query, _, _) in self.tables.items():
-            table = self.table(name)
-            covers = table.logged()
-            fresh[name] = {"path": table.write_version(getattr(Q, query)(star)), "marks": covers}
+            fresh[name] = {"path": self.table(name).write_version(getattr(Q, query)(star)), "marks": covers[name]}
+        remove_folder(self.spark, monthly)
         self.journal.append(lambda last: {**(last or {}), **fresh})
         return {name: state["path"] for name, state in fresh.items()}
 

@@ -57,7 +57,7 @@ def parse_stream(raw: DataFrame) -> DataFrame:
 
 
 def staged_raw(star: Star) -> DataFrame:
-    return number_rows(raw_transactions(star), RAW_ORDER, "row_id")
+    return number_rows(raw_transactions(star), RAW_ORDER, "row_id", staged=True)
 
 
 def stream_microbatch_ingest(star: Star, root: str, n_ranges: int = N_RANGES) -> DataFrame:
