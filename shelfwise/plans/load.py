@@ -9,8 +9,8 @@ all-string schemas; malformed lines, unreadable ids, prices and dates go to
 and written as the warehouse that ``WarehouseStar`` queries.
 
 Columns are found by the names in the files' header.  Each file is parsed once
-and written as a typed staging table that keeps every raw field, the
-corrupt-record text and the reject reason.  Spark's CSV reader only parses the
+and written as a typed staging table that keeps the corrupt-record text, the reject
+reason and, of every row that has one, all raw fields as text.  Spark's CSV reader only parses the
 columns a query needs, and then a short line may not be seen as malformed;
 writing all columns once makes the detection exact, and all later steps read
 columnar parquet instead of parsing text again.
@@ -70,9 +70,13 @@ def _reason(*checks) -> F.Column:
     return expr
 
 
-def _text(names) -> F.Column:
-    """All raw fields of a row, as JSON; of a malformed line, the line."""
-    return F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*names))).alias("text")
+def _with_text(df: DataFrame, reason: F.Column) -> DataFrame:
+    """``reason``, and of a row that has one ``text``: all its raw fields, as JSON, or the malformed line.
+
+    A good row has its fields in columns of their own; writing them out once more would be most of the
+    work and the bytes of a load.  The raw fields are read as ``_raw``, which is dropped."""
+    text = F.coalesce(F.col(CORRUPT), F.to_json("_raw"))
+    return df.withColumn("reason", reason).withColumn("text", F.when(F.col("reason").isNotNull(), text)).drop("_raw")
 
 
 def typed_master_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
@@ -91,7 +95,7 @@ def type_master(raw: DataFrame) -> DataFrame:
         "row_ord", to_int("product_id").alias("product_id"), "product_name",
         clean_price("product_price").alias("price"),
         to_int("supplier_id").alias("supplier_id"), "supplier_name",
-        to_int("store_id", "int").alias("store_id"), "store_name", CORRUPT, _text(MASTER_NAMES))
+        to_int("store_id", "int").alias("store_id"), "store_name", CORRUPT, F.struct(*MASTER_NAMES).alias("_raw"))
     reason = _reason(
         (F.col(CORRUPT).isNotNull(), "malformed line"),
         (F.col("product_id").isNull() | F.col("supplier_id").isNull()
@@ -100,7 +104,7 @@ def type_master(raw: DataFrame) -> DataFrame:
         (~within_length("product_name", params.NAME_MAX_LEN)
          | ~within_length("supplier_name", params.NAME_MAX_LEN)
          | ~within_length("store_name", params.NAME_MAX_LEN), "text too long"))
-    return df.withColumn("reason", reason)
+    return _with_text(df, reason)
 
 
 def typed_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -120,7 +124,7 @@ def type_transactions(raw: DataFrame) -> DataFrame:
         parse_order_date("order_date_text").alias("order_date"),
         to_int("product_id").alias("product_id"), to_int("customer_id").alias("customer_id"),
         "customer_name", "gender", to_int("quantity", "int").alias("qty"), CORRUPT,
-        *[c for c in ("row_ord", "file") if c in raw.columns], _text(TXN_NAMES))
+        *[c for c in ("row_ord", "file") if c in raw.columns], F.struct(*TXN_NAMES).alias("_raw"))
     reason = _reason(
         (F.col(CORRUPT).isNotNull(), "malformed line"),
         (F.col("order_id").isNull() | F.col("product_id").isNull()
@@ -129,7 +133,7 @@ def type_transactions(raw: DataFrame) -> DataFrame:
         (F.col("order_date").isNull(), "unparsable order date"),
         (~within_length("gender", params.GENDER_MAX_LEN), "gender longer than 10"),
         (~within_length("customer_name", params.NAME_MAX_LEN), "text too long"))
-    return df.withColumn("reason", reason)
+    return _with_text(df, reason)
 
 
 NAMED = params.NAME_MAX_LEN

@@ -43,6 +43,13 @@ def file_names(spark: SparkSession, path: str) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(p) if s.isFile()}
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def holds_batches(spark: SparkSession, path: str) -> bool:
     """True if a table laid out in folders by partition has any."""
     return any("=" in name for name in subfolders(spark, path))

@@ -8,7 +8,7 @@ and carry the explicit ordinal that stands in for the file's row order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
@@ -109,10 +109,13 @@ def master_csv_rows(star: Star, conflicts: bool = True, dirty: bool = False) ->
          "store_id", "store_name"), MASTER_CSV_COLUMNS)])
 
 
-def transaction_csv_rows(star: Star, bad_dates: bool = True, dirty: bool = False) -> DataFrame:
-    """Transactions as the reference's file holds them (header names, date text)."""
+def transaction_csv_rows(star: Star, bad_dates: bool = True, dirty: bool = False,
+                         more: dict[str, Column] | None = None) -> DataFrame:
+    """Transactions as the reference's file holds them (header names, date text); ``more``: further columns,
+    of ``raw_transactions``."""
     from ..schemas import TRANSACTION_CSV_COLUMNS
     t = raw_transactions(star, bad_dates, dirty)
     return t.select(*[F.col(c).alias(h) for c, h in zip(
         ("order_id_text", "order_date_text", "product_id_text", "customer_id_text",
-         "customer_name", "gender", "quantity_text"), TRANSACTION_CSV_COLUMNS)])
+         "customer_name", "gender", "quantity_text"), TRANSACTION_CSV_COLUMNS)],
+        *[c.alias(n) for n, c in (more or {}).items()])

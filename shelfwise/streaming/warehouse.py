@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -27,7 +27,7 @@ from ..plans.load import (TXN_ORDER, line_columns, load_csv_warehouse, member_ro
                           rename_transactions, row_place, type_master, type_transactions, winners)
 from ..plans.warehouse import (DIMENSIONS, LOAD, WarehouseStar, current_version, dimension, late_lines, read_batches)
 from ..sources.csv import write_csv
-from ..sources.paths import read_parquet_if_exists
+from ..sources.paths import exists, folder_bytes, read_parquet_if_exists, remove_folder
 from ..sources.raw import master_csv_rows, transaction_csv_rows
 from .claims import claim_files
 from .constraints import check_batch, seed_filter
@@ -220,25 +220,47 @@ def audit_totals(spark: SparkSession, root: str, stream: str | None = None) -> d
 
 # ---- registered forms --------------------------------------------------------
 
-def _landing_slices(star, root: str) -> None:
-    """The given tables as CSV files: all master rows, and transactions in three ranges of dates."""
+#: Bytes of a slice's staged lines for each of its landing files; there are two files at least.
+FILE_BYTES = 4_000_000
+
+
+def _landing_slices(star, root: str, again: Column | None = None) -> dict[str, int]:
+    """The given tables as CSV files: all master rows, and transactions in three ranges of dates; the number of
+    files by slice.  ``again``: lines of the second range that land once more, in a folder of their own.
+
+    Lines are joined and put into text once, and a slice has as many files as its size asks for, so that they
+    are written and read side by side."""
+    spark = star.spark
     write_csv(master_csv_rows(star), f"{root}/in/master")
     lo, hi = (F.lit(b + " 00:00:00").cast("timestamp_ntz") for b in LANDING_BOUNDS)
-    day = F.col("order_date")
-    for name, wanted in (("load", day < lo), ("first", (day >= lo) & (day < hi)), ("second", day >= hi)):
-        rows = transaction_csv_rows(star.with_order_filter(wanted))
-        write_csv(rows.repartition(2, "Order ID"), f"{root}/in/{name}")  # an order is in one file
+    day = F.col("ord_order_date")
+    named = F.when(day < lo, "load").when(day < hi, "first").when(day >= hi, "second")
+    names = [named] if again is None else [named, F.when((named == "first") & again, "again")]
+    rows = transaction_csv_rows(star, more={"slice": F.explode(F.array_compact(F.array(*names)))})
+    staged, schema, files = f"{root}/slices", rows.drop("slice").schema, {}
+    rows.write.mode("overwrite").partitionBy("slice").parquet(staged)
+    for name in ("load", "first", "second", "again")[:len(names) + 2]:
+        path = f"{staged}/slice={name}"
+        there = exists(spark, path)  # a slice may have no line
+        lines = spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+        files[name] = max(2, folder_bytes(spark, path) // FILE_BYTES if there else 0)
+        write_csv(lines.repartition(files[name], "Order ID"), f"{root}/in/{name}")  # an order is in one file
+    remove_folder(spark, staged)
+    return files
 
 
 def loaded_and_streamed(star, root: str) -> WarehouseStar:
     """The given tables through CSV files: the earliest orders by a load, two
-    later ranges by a stream in batches of a file."""
-    spark = star.spark
-    _landing_slices(star, root)
-    load_csv_warehouse(spark, f"{root}/in/master", f"{root}/in/load", f"{root}/warehouse")
+    later ranges by a stream in two batches each."""
+    return _load_and_stream(star.spark, root, _landing_slices(star, root))
+
+
+def _load_and_stream(spark: SparkSession, root: str, files: dict[str, int]) -> WarehouseStar:
+    wh = f"{root}/warehouse"
+    load_csv_warehouse(spark, f"{root}/in/master", f"{root}/in/load", wh)
     for name in ("first", "second"):
-        stream_into_warehouse(spark, f"{root}/in/{name}", f"{root}/warehouse", 1, name)
-    return WarehouseStar(spark, f"{root}/warehouse")
+        stream_into_warehouse(spark, f"{root}/in/{name}", wh, -(-files[name] // 2), name)
+    return WarehouseStar(spark, wh)
 
 
 def stream_then_q4(star, root: str) -> DataFrame:
@@ -253,12 +275,9 @@ def stream_then_q9(star, root: str) -> DataFrame:
 
 def reload_then_stream(star, root: str) -> DataFrame:
     """A load, two streams, a reload and the same streams again: every line's fact once."""
-    spark, wh = star.spark, f"{root}/warehouse"
-    loaded_and_streamed(star, root)
-    load_csv_warehouse(spark, f"{root}/in/master", f"{root}/in/load", wh)
-    for name in ("first", "second"):
-        stream_into_warehouse(spark, f"{root}/in/{name}", wh, 1, name)
-    return WarehouseStar(spark, wh).sales_fact.select("product_id", "customer_id", "store_id", "total_sale", "year")
+    files = _landing_slices(star, root)
+    _load_and_stream(star.spark, root, files)
+    return _load_and_stream(star.spark, root, files).sales_fact.select("product_id", "customer_id", "store_id", "total_sale", "year")
 
 
 def _master_in_parts(star, root: str) -> None:
@@ -274,12 +293,12 @@ def late_products(star, root: str) -> DataFrame:
     """A load that lacks half of the products, a stream of lines, then a stream of the other
     products: the facts of all lines."""
     spark, wh = star.spark, f"{root}/warehouse"
-    _landing_slices(star, root)
+    files = _landing_slices(star, root)
     _master_in_parts(star, root)
     load_csv_warehouse(spark, f"{root}/in/some", f"{root}/in/load", wh)
-    stream_into_warehouse(spark, f"{root}/in/first", wh, 2, "first")
+    stream_into_warehouse(spark, f"{root}/in/first", wh, files["first"], "first")
     stream_master_into_warehouse(spark, f"{root}/in/others", wh, 1)
-    stream_into_warehouse(spark, f"{root}/in/second", wh, 2, "second")
+    stream_into_warehouse(spark, f"{root}/in/second", wh, files["second"], "second")
     return WarehouseStar(spark, wh).sales_fact.select("product_id", "customer_id", "store_id", "total_sale", "year")
 
 
@@ -305,14 +324,10 @@ def stream_constraints(star, root: str) -> DataFrame:
     """Checked streams into a warehouse that lacks half of the products, with some lines landing
     twice: violating keys by constraint."""
     spark, wh = star.spark, f"{root}/warehouse"
-    _landing_slices(star, root)
+    files = _landing_slices(star, root, again=F.col("ord_order_id") % 40 == 0)
     _master_in_parts(star, root)
-    lo, hi = (F.lit(b + " 00:00:00").cast("timestamp_ntz") for b in LANDING_BOUNDS)
-    day = F.col("order_date")
-    again = transaction_csv_rows(star.with_order_filter((day >= lo) & (day < hi) & (F.col("order_id") % 40 == 0)))
-    write_csv(again.repartition(2, "Order ID"), f"{root}/in/again")
     load_csv_warehouse(spark, f"{root}/in/some", f"{root}/in/load", wh)
     for name in ("first", "second", "again"):
-        stream_into_warehouse(spark, f"{root}/in/{name}", wh, 1, name, checked=True)
+        stream_into_warehouse(spark, f"{root}/in/{name}", wh, -(-files[name] // 2), name, checked=True)
     found = read_batches(spark, current_version(spark, wh), "violations")
     return found.groupBy("constraint").agg(F.countDistinct("key").alias("violations"))

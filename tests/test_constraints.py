@@ -19,7 +19,7 @@ def shop(spark, scratch):
 
 def violations(shop):
     rows = read_batches(shop.spark, current_version(shop.spark, shop.wh), "violations").collect()
-    return sorted((r.stream, r.batch_id, r.constraint, json.loads(r.key)) for r in rows)
+    return [(s, b, c, json.loads(k)) for s, b, c, k in sorted((r.stream, r.batch_id, r.constraint, r.key) for r in rows)]
 
 
 def test_repeated_lines_and_orphans_are_reported(shop):

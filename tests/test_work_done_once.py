@@ -69,3 +69,36 @@ def test_the_set_of_aggregates_sums_the_lines_once(star, spark, scratch):
     assert Counted.asked == 1
     for name, (query, _, _) in A.STORED.items():
         assert same(tables.read(name), getattr(Q, query)(star))
+
+
+def test_landing_slices_hold_every_line_once_in_files_by_size(star, spark, scratch, monkeypatch):
+    from shelfwise.sources.csv import CSV_OPTIONS
+    from shelfwise.sources.raw import transaction_csv_rows
+    from shelfwise.streaming import warehouse as SW
+    monkeypatch.setattr(SW, "FILE_BYTES", 20_000)
+    root = scratch("slices")
+    files = SW._landing_slices(star, root, again=F.col("ord_order_id") % 40 == 0)
+    read = {n: spark.read.options(**CSV_OPTIONS).csv(f"{root}/in/{n}").withColumn("file", F.input_file_name())
+            for n in files}
+    assert list(files) == ["load", "first", "second", "again"] and files["load"] > 3 and files["again"] == 2
+    for name, df in read.items():
+        assert df.select("file").distinct().count() == files[name]
+        assert df.groupBy("Order ID").agg(F.count_distinct("file").alias("n")).where("n > 1").count() == 0
+    rows = [df.drop("file") for df in read.values()]
+    want = transaction_csv_rows(star).fillna("")
+    assert same(rows[0].union(rows[1]).union(rows[2]).fillna(""), want)
+    assert same(rows[3], rows[1].where("`Order ID` % 40 = 0"))
+
+
+def test_only_rows_with_a_fault_are_written_out_as_text(spark, scratch):
+    from shelfwise.plans.load import typed_transactions_csv
+    path = scratch("faults")
+    spark.createDataFrame([("Order ID,Order Date,ProductID,CustomerID,CustomerName,Gender,Quantity Ordered",),
+                           ("1,4/7/97 10:00,1,5,Ann,F,2",), ("x,4/7/97 10:00,1,5,Ann,F,2",), ("1,4/7/97",)],
+                          "value string").coalesce(1).write.text(path)
+    typed = typed_transactions_csv(spark, path)
+    typed.write.parquet(f"{path}_typed")
+    rows = {r.reason: r.text for r in spark.read.parquet(f"{path}_typed").collect()}
+    assert rows == {None: None, "malformed line": "1,4/7/97", "non-numeric id or quantity":
+                    '{"order_id":"x","order_date_text":"4/7/97 10:00","product_id":"1","customer_id":"5",'
+                    '"customer_name":"Ann","gender":"F","quantity":"2"}'}
