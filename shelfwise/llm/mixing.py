@@ -215,6 +215,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     h, i, n = fresh(docs, "_h", "_id", "_copies")
     decided = decisions.select(F.col("id").alias(i), F.col("h").alias(i + "h"),
                                F.col("copies").alias(n)).where(F.col(n) > 0)
+    # shuffled at any size: a broadcast of a row per document is one for small inputs only
     return (docs.withColumn(h, row_hash("text", "source"))
-            .join(decided, F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(h) == F.col(i + "h")))
+            .join(decided.hint("merge"), F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(h) == F.col(i + "h")))
             .withColumn(n, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*docs.columns))
