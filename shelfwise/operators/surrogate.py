@@ -32,14 +32,15 @@ from ..sources.paths import remove_folder
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], key: str,
               num_partitions: int | None = None, path: str | None = None, staged: bool = False,
-              where: str | None = None) -> DataFrame:
+              where: str | None = None, keep: Sequence[str] | None = None) -> DataFrame:
     """``df`` with the column ``key``: 1..n in the order of ``order_cols``.
 
     Range bounds come from a sample, for which Spark runs the plan of ``df`` once more.
     ``staged``: write ``df`` first, for plans (joins, parsing) that cost more than a write and a read;
     what is staged is deleted once the keyed rows are there.  ``where``: the rows that are wanted, chosen
-    behind the staging, so that the condition is not put in front of what computes its columns."""
-    spark, columns = df.sparkSession, df.columns
+    behind the staging, so that the condition is not put in front of what computes its columns.  ``keep``:
+    the columns that are wanted beside the key; others only order the rows and are not written."""
+    spark, columns = df.sparkSession, list(keep or df.columns)
     path = path or new_scratch(spark, "dense_key")
     if staged:
         at, schema = new_scratch(spark, "dense_key_input"), df.schema
@@ -51,6 +52,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key: str,
               else df.repartitionByRange(*cols))
     pid = F.spark_partition_id()
     tagged = (ranged.sortWithinPartitions(*cols)
+              .select(*columns)
               .withColumn("_pid", pid)
               .withColumn("_pos", F.monotonically_increasing_id()
                           - F.shiftleft(pid.cast("bigint"), 33)))

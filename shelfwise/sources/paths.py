@@ -43,6 +43,18 @@ def file_names(spark: SparkSession, path: str) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(p) if s.isFile()}
 
 
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Path, length and time of change of every file at or below ``path``: equal as long as nothing is written there."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path``."""
     jvm = spark.sparkContext._jvm

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..operators.surrogate import dense_key
 
+ROW_GROUP = 4 << 20  # bytes: several tasks can share a landed file, so a batch of few files keeps all cores busy
+
 
 def number_rows(df: DataFrame, order_cols: Sequence[str], key: str = "row_id", staged: bool = False) -> DataFrame:
     """Dense ordinal 1..n (checkpointed, see ``operators.surrogate``)."""
@@ -35,4 +37,4 @@ def range_bounds(df: DataFrame, key: str, n: int | None,
 
 def write_range(df: DataFrame, key: str, lo: int, hi: int, path: str) -> None:
     (df.where((F.col(key) > lo) & (F.col(key) <= hi))
-     .write.mode("append").parquet(path))
+     .write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path))

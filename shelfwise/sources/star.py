@@ -66,9 +66,10 @@ class Star:
             F.col("c_mktsegment").alias("segment"))
 
     # ---- order lines -----------------------------------------------------
-    def lines_base(self) -> DataFrame:
-        """lineitem ⋈ orders with the columns of the total order."""
-        return self._lineitem().join(self._orders(), "order_id")
+    def lines_base(self, hint: str | None = None) -> DataFrame:
+        """lineitem ⋈ orders with the columns of the total order.  ``hint``: how to join the orders."""
+        orders = self._orders()
+        return self._lineitem().join(orders.hint(hint) if hint else orders, "order_id")
 
     def _orders(self) -> DataFrame:
         o = self.t.orders.select(
@@ -179,6 +180,18 @@ class Star:
         keyed = dense_key(self.lines, LINE_ORDER, "time_id")
         return keyed
 
+    @cached_property
+    def landed_lines(self) -> DataFrame:
+        """The columns of ``time_dim`` that streams of keyed lines bring, with the same ids: only these are
+        written, and the calendar is worked out from the date behind it.  The key samples its input, so the join
+        runs twice: it is hashed, as its rows are sorted anew anyway."""
+        from ..operators.surrogate import dense_key
+        cal = calendar_columns("order_date")
+        keyed = dense_key(self.lines_base("shuffle_hash"), LINE_ORDER, "time_id",
+                          keep=["order_id", "order_date", "qty", "product_id", "customer_id"])
+        return keyed.select("time_id", "order_id", "order_date", cal["year"].alias("year"), cal["month"].alias("month"),
+                            "qty", "product_id", "customer_id")
+
 
 def build_star(spark, sf_dir: str) -> Star:
     """Star views over the raw tables in ``sf_dir``."""

@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .paths import file_states
+
 TABLE_NAMES = ("region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events")
 
@@ -28,6 +30,10 @@ class Tables:
             self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
+    def states(self, *names: str) -> list[tuple[str, int, int]]:
+        """Files of these tables as they lie there now (see ``paths.file_states``)."""
+        return [f for name in names for f in file_states(self.spark, f"{self.sf_dir}/{name}.parquet")]
+
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     return Tables(spark, sf_dir.rstrip("/"))

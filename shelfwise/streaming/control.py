@@ -2,15 +2,18 @@
 
 A listener hears how long each batch took, the rates are stored with the files that the
 batch took and those that had arrived since the batch before, and a controller sets the next
-batch's file limit from them: as many files as are served in the wanted time, within
+batch's file limit from them: as many files as the sink serves in the wanted time, within
 bounds, and never more than doubled or less than halved at once.  Each batch is one
 short run of the query on the same checkpoint, because a source's limit is fixed while
-its query runs; state and offsets live in the checkpoint.
+its query runs; state and offsets live in the checkpoint.  The time that such a run takes around
+its sink (start, listing, logs) is the same for any limit: it is part of the batch's seconds and not of the
+rate, as it would only make batches smaller, and more of them.
 """
 
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -27,7 +30,11 @@ RATES = ("input_rows long, files long, seconds double, served_per_second double,
 
 @dataclass
 class RateControl:
-    """The file limit that lets a batch take about ``seconds``.
+    """The file limit that lets the sink take about ``seconds`` a batch.
+
+    A sink has a fixed part too (planning, lookups), which the line through its latest batches shows.  Files get
+    the time beside it, and as much as it takes at least: batches below that would serve fewer files a second, and
+    if it takes longer than ``seconds``, no limit would ever be small enough.
 
     ``smooth``: weight of the newest batch in the rates."""
     seconds: float
@@ -37,6 +44,9 @@ class RateControl:
     smooth: float = 0.6
     served: float | None = field(default=None, init=False)   # files a second
     arrived: float | None = field(default=None, init=False)
+    fixed: float = field(default=0.0, init=False)            # seconds of a batch that its rows do not ask for
+    beside: float | None = field(default=None, init=False)   # files a second, without the fixed part
+    past: deque = field(default_factory=lambda: deque(maxlen=8), init=False)
 
     def __post_init__(self):
         self.limit = min(max(self.limit, self.least), self.most)
@@ -44,11 +54,25 @@ class RateControl:
     def _mixed(self, old: float | None, new: float) -> float:
         return new if old is None else self.smooth * new + (1 - self.smooth) * old
 
-    def heard(self, files: int, seconds: float, arrived: float) -> int:
-        """Note a batch (its files, its time, files that arrived a second) and return the next limit."""
+    def _fixed_part(self, rows: int, seconds: float) -> float:
+        """Least squares over the latest batches; what was known before, where these are all of one size."""
+        self.past.append((rows, seconds))
+        n, x, y = len(self.past), [r for r, _ in self.past], [s for _, s in self.past]
+        spread = n * sum(r * r for r in x) - sum(x) ** 2
+        if n < 3 or not spread:
+            return self.fixed
+        slope = (n * sum(r * s for r, s in self.past) - sum(x) * sum(y)) / spread
+        return min(max((sum(y) - slope * sum(x)) / n, 0.0), min(y)) if slope > 0 else 0.0
+
+    def heard(self, files: int, seconds: float, arrived: float, rows: int | None = None) -> int:
+        """Note a batch (its files, its sink's time, files that arrived a second, its rows) and return the next
+        limit; without ``rows`` no part of the time counts as fixed."""
         self.served = self._mixed(self.served, files / max(seconds, 1e-6))
         self.arrived = self._mixed(self.arrived, arrived)
-        wanted = int(self.served * self.seconds)
+        if rows:
+            self.fixed = self._fixed_part(rows, seconds)
+        self.beside = self._mixed(self.beside, files / max(seconds - self.fixed, seconds / 10, 1e-6))
+        wanted = int(self.beside * max(self.seconds - self.fixed, self.fixed) + 1e-9)  # 6 files stay 6 files
         if files < self.limit:  # the batch was not full: it says nothing about larger ones
             wanted = min(wanted, self.limit)
         wanted = min(max(wanted, -(-self.limit // 2)), 2 * self.limit)
@@ -66,6 +90,7 @@ class RateControl:
         last = rates and (rates.where(F.col("stream") == stream).orderBy(F.col("batch_id").desc()).first())
         if last:
             self.served, self.arrived = last.served_per_second, last.arrived_per_second
+            self.beside = self.served
             self.limit = min(max(last.next_limit, self.least), self.most)
         return self
 
@@ -132,13 +157,18 @@ def run_controlled(spark: SparkSession, source: Callable[[int], DataFrame], sink
         arrived_at = time.time()
         while True:
             taken: dict[int, Row] = {}
-
-            def seen(batch: DataFrame, batch_id: int, taken=taken) -> None:
-                # at most as many names as the batch may have files; a pass of its own over names and
-                # times: metrics observed in the sink's plan are lost where Spark finds an empty batch
-                taken[batch_id] = batch.agg(F.count(F.lit(1)).alias("rows"), F.size(F.collect_set("file")).alias("files"),
-                                            F.max("landed_at").alias("newest"), F.min("landed_at").alias("oldest")).first()
+            served_in: dict[int, float] = {}
+
+            def seen(batch: DataFrame, batch_id: int, taken=taken, served_in=served_in) -> None:
+                # one row per file first; a pass of its own over names and times: metrics
+                # observed in the sink's plan are lost where Spark finds an empty batch
+                by_file = batch.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.max("landed_at").alias("newest"),
+                                                    F.min("landed_at").alias("oldest"))
+                taken[batch_id] = by_file.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.count("file").alias("files"),
+                                              F.max("newest").alias("newest"), F.min("oldest").alias("oldest")).first()
+                began = time.perf_counter()
                 sink(batch, batch_id)
+                served_in[batch_id] = time.perf_counter() - began
 
             limit = control.limit
             run = _one_batch(source(limit), seen, checkpoint)
@@ -149,10 +179,12 @@ def run_controlled(spark: SparkSession, source: Callable[[int], DataFrame], sink
             if got.rows:
                 spread = (got.newest - got.oldest).total_seconds()
                 arrived = got.files / max(spread, 1e-3) if got.files > 1 else control.arrived or 0.0
-                following = control.heard(got.files, seconds, arrived)
-            batch_partition_write(spark.createDataFrame(
-                [(got.rows, got.files, seconds, control.served, control.arrived, limit, following)],
-                RATES).coalesce(1), rates, batch_id, stream=stream)
+                following = control.heard(got.files, served_in[batch_id], arrived, got.rows)
+            row = (got.rows, got.files, seconds, control.served, control.arrived, limit, following)
+            # made of literals: rows from Python would be unpickled by a task
+            batch_partition_write(spark.range(1).coalesce(1).select(
+                *[F.lit(v).cast(f.split()[1]).alias(f.split()[0]) for v, f in zip(row, RATES.split(", "))]),
+                rates, batch_id, stream=stream)
             batches, arrived_at = batches + 1, time.time()
     finally:
         spark.streams.removeListener(times)

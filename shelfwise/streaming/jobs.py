@@ -3,8 +3,8 @@ ordinal ranges, runs one micro-batch per range and returns what it stored, so
 the stored result can be compared with the batch query.
 
 Inside ``foreachBatch`` the dimensions are re-read from their tables every
-batch (a stream-static join whose static side stays fresh; only the compat
-lookups of ``stream_fact_compat`` are prepared once).  Every write replaces only
+batch (a stream-static join whose static side stays fresh; the enrichment prepares its
+lookup again only when their files changed, ``stream_fact_compat`` prepares its own once).  Every write replaces only
 its own (stream, batch id) partition, so a batch replayed after a failure leaves
 the same result, and streams with checkpoints of their own can share a table.
 """
@@ -19,18 +19,19 @@ from ..functions import calendar_columns, parse_order_date, to_int
 from ..operators.surrogate import dense_key
 from ..plans.aggregates import AggregateTable, FirstWinsTable
 from ..plans.fact import (FACT_KEYS, FACT_LINE, LINE_REJECT, compat_lookup, fact_rows_compat,
-                          judged_lines)
+                          judged_lines, product_lookup)
 from ..plans.ingest import reject_reason
 from ..plans.queries import supplier_month
 from ..schemas import by_batch
-from ..sources.paths import read_parquet_if_exists
+from ..session import new_scratch
+from ..sources.paths import read_parquet_if_exists, remove_folder
 from ..sources.raw import RAW_ORDER, raw_transactions
 from ..sources.staging import number_rows
 from ..sources.star import Star
 from .buffer import buffer_rows, buffered
 from .claims import reserve_ids
 from .progress import timed_sink
-from .runner import StreamRun, batch_partition_write, in_batch, run_ranges, run_staged
+from .runner import StreamRun, batch_partition_write, in_batch, persist_by_size, run_ranges, run_staged
 
 N_RANGES = 4
 
@@ -117,20 +118,43 @@ def ingest_sink(star: Star, root: str, stream: str = "main"):
 # ---- K4 / C6: enrichment of order lines into the fact ----------------------
 
 def staged_time(star: Star) -> DataFrame:
-    return star.time_dim.select("time_id", "order_id", "order_date", "year", "month",
-                                "qty", "product_id", "customer_id")
+    return star.landed_lines
+
+
+class ProductLookup:
+    """The product lookup of a star's tables, prepared once as a table, and again as soon as
+    the files of those tables are others: a batch reads what a fresh read of them would give."""
+
+    def __init__(self, star: Star):
+        self.star, self.path, self.schema, self.states = star, None, None, None
+
+    def read(self) -> DataFrame:
+        spark = self.star.spark
+        states = self.star.t.states("part", "supplier", "nation")
+        if states != self.states:
+            path, lookup = new_scratch(spark, "product_lookup"), product_lookup(self.star.refreshed())
+            lookup.write.parquet(path)
+            before, self.path, self.schema, self.states = self.path, path, lookup.schema, states
+            if before:
+                remove_folder(spark, before)
+        return spark.read.schema(self.schema).parquet(self.path)
 
 
 def enrich_sink(star: Star, fact_path: str, echo: int = 0, stream: str = "main"):
     """foreachBatch body: order lines -> fact rows of this batch, and beside them
     (``<fact_path>_rejects``) the lines that make none, with the reason.
 
+    The dimensions are looked at in every batch; their lookup is made anew when they changed.
+    It is joined by a shuffle, which spreads the lines of few files over all cores, and hashed, as
+    neither side is needed in the order of the products before it is written.
+
     With ``echo`` > 0 the rows just written are read back by their batch
     partition and the first ``echo`` are printed (the reference prints every
     loaded row; off by default)."""
+    prepared = ProductLookup(star)
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        fresh = star.refreshed()  # dimensions re-read every batch
-        judged = judged_lines(fresh, batch).persist()
+        judged = persist_by_size(judged_lines(star, batch, prepared.read().hint("shuffle_hash")))
         try:
             batch_partition_write(judged.where("reason IS NULL").select(*FACT_LINE).drop("year"),
                                   fact_path, batch_id, sort_by="product_id", stream=stream)

@@ -158,6 +158,18 @@ def batch_partition_write(df: DataFrame, path: str, batch_id: int,
             remove_folder(spark, folder)
 
 
+def persist_by_size(df: DataFrame) -> DataFrame:
+    """``df`` kept for several uses, in as many partitions as its rows ask for: adaptive execution
+    leaves kept rows in the shuffle's number of partitions, however few they are, unless told otherwise."""
+    conf, key = df.sparkSession.conf, "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return df.persist()  # the plan is fixed here
+    finally:
+        conf.set(key, before)
+
+
 def in_batch(stream: str, batch_id: int):
     """Condition: the row was written by this batch."""
     from pyspark.sql import functions as F

@@ -275,6 +275,18 @@ def test_a_slow_sink_lowers_and_a_fast_one_raises_the_limit(spark, scratch, slow
     assert sum(seen) == 22 and not math.isnan(again.served)
 
 
+def test_a_fixed_part_of_the_time_does_not_shrink_batches_to_nothing():
+    def driven(fixed, per_file, limit, batches=12):
+        c = RateControl(seconds=5.0, most=24, limit=limit)
+        for _ in range(batches):
+            c.heard(c.limit, fixed + per_file * c.limit, 1.0, 1000 * c.limit)
+        return c
+    c = driven(8.0, 0.5, 4)     # the fixed part alone takes longer than wanted: files get as much time as it does
+    assert c.limit in (15, 16) and c.fixed == pytest.approx(8.0)
+    assert driven(3.0, 0.5, 8).limit in (5, 6)  # 3 s of the fixed part, 6 files in as much time
+    assert driven(0.0, 1.0, 16).limit == 5   # without one as before
+
+
 def test_batches_of_empty_files_change_no_limit_and_lose_no_row(spark, scratch):
     from shelfwise.streaming.control import file_source, run_controlled
     from shelfwise.streaming.progress import timed_sink

@@ -1,7 +1,9 @@
 """Steps whose input is expensive compute it once, with the results of the plain form."""
 
 import datetime as dt
+import glob
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from shelfwise.functions import parse_order_date
@@ -10,6 +12,10 @@ from shelfwise.plans import aggregates as A
 from shelfwise.plans import fact as FT
 from shelfwise.plans import ingest as I
 from shelfwise.plans import queries as Q
+from shelfwise.session import local_path
+from shelfwise.sources.staging import write_range
+from shelfwise.sources.star import build_star
+from shelfwise.streaming import jobs as S
 from tests.helpers import plan_text
 
 
@@ -102,3 +108,40 @@ def test_only_rows_with_a_fault_are_written_out_as_text(spark, scratch):
     assert rows == {None: None, "malformed line": "1,4/7/97", "non-numeric id or quantity":
                     '{"order_id":"x","order_date_text":"4/7/97 10:00","product_id":"1","customer_id":"5",'
                     '"customer_name":"Ann","gender":"F","quantity":"2"}'}
+
+
+def test_the_key_of_landed_lines_is_that_of_all_columns(star):
+    got = star.landed_lines
+    assert same(got, star.time_dim.select(*got.columns))
+    assert dict(got.dtypes) == dict(star.time_dim.select(*got.columns).dtypes)
+
+
+def test_the_product_lookup_of_a_stream_is_made_anew_only_for_other_products(star, spark, scratch, monkeypatch):
+    root, made = scratch("dims"), []
+    tables = f"{root}/tables"
+    for name in ("supplier", "nation"):
+        getattr(star.t, name).write.parquet(f"{tables}/{name}.parquet")
+    star.t.part.where("p_partkey < 1000").write.parquet(f"{tables}/part.parquet")
+    monkeypatch.setattr(S, "product_lookup", lambda star: made.append(1) or FT.product_lookup(star))
+    sink = S.enrich_sink(build_star(spark, tables), f"{root}/fact")
+    lines = star.landed_lines.where("time_id <= 2000").repartition(4)
+    known = lines.where("product_id < 1000").count()
+
+    def stored(batch, path="fact"):
+        return spark.read.parquet(f"{root}/{path}").where(F.col("batch_id") == batch)
+
+    sink(lines, 0)
+    sink(lines, 1)
+    assert len(made) == 1 and [stored(b).count() for b in (0, 1)] == [known] * 2 and known < 2000
+    assert len(stored(1).inputFiles()) < int(spark.conf.get("spark.sql.shuffle.partitions"))  # files follow the rows
+    star.t.part.where("p_partkey >= 1000").write.mode("append").parquet(f"{tables}/part.parquet")
+    sink(lines, 2)
+    assert len(made) == 2 and stored(2).count() == 2000 and stored(1, "fact_rejects").count() == 2000 - known
+    assert same(stored(2).drop("stream", "batch_id"), FT.judged_lines(star, lines).select(*FT.FACT_KEYS, "total_sale"))
+
+
+def test_a_landed_file_can_be_shared_by_tasks(spark, scratch):
+    rows, at = spark.range(1, 1_200_001, numPartitions=1).select("id", F.xxhash64("id").alias("x")), scratch("landed")
+    write_range(rows, "id", 0, 1_200_000, at)
+    [file] = glob.glob(f"{local_path(at)}/*.parquet")
+    assert pq.ParquetFile(file).metadata.num_row_groups > 1
